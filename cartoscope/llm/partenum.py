@@ -36,6 +36,8 @@ BROADCAST_IDS = 500_000
 STAR_ROUNDS = 4
 #: Where the open signatures hold on average no more other documents than this, all their pairs are compared at once.
 FEW_PARTNERS = 16
+#: Rounds in which documents that differ too much from all others of their open signatures are taken out.
+PEELS = 2
 
 
 def shingle_sets(texts: Texts, q: int) -> Iterator[np.ndarray]:
@@ -156,13 +158,35 @@ def _arrays(q: int):
     return run
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame, q: int) -> DataFrame:
+    """Rows (doc, shingles) of the documents with these distinct ids, one a document."""
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_arrays(q), "doc long, shingles array<long>")
+
+
+def _peeled(docs: DataFrame, members: DataFrame, q: int, percent: int) -> DataFrame:
+    """The members (sig, rep) that can still link with another one.
+
+    A shingle that no other member document has is a difference to each of them. A document with
+    more of these than any similar pair may differ by is done; without it others become unique, so a few rounds are made.
+    """
+    for _ in range(PEELS):
+        members = durable(members, "members")
+        sets = durable(_sets_of(docs, durable(members.select(F.col("rep").alias("id")).distinct(), "ids"), q), "peel")
+        alone = sets.select("doc", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("doc").alias("doc"), F.max("doc").alias("other")).where("doc = other")
+        alone = alone.groupBy("doc").agg(F.count("*").alias("unique"))
+        n = F.size("shingles")
+        most = F.floor(n * (100 + percent) / percent * (100 - percent) / (100 + percent) + 1e-9)
+        stay = sets.join(alone, "doc", "left").where(F.coalesce("unique", F.lit(0)) <= most).select(F.col("doc").alias("rep"))
+        members = members.join(stay, "rep", "left_semi")
+        members = members.join(members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1"), "sig", "left_semi")
+    return durable(members, "members")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, q: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have 100 * intersection >= percent * union, compared exactly."""
     pairs = durable(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = F.broadcast(ids) if pairs.count() * 2 <= BROADCAST_IDS else ids
-    sets = docs.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    sets = sets.mapInArrow(_arrays(q), "doc long, shingles array<long>")
+    sets = _sets_of(docs, durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"), q)
     left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y")), "b")
     same = F.size(F.array_intersect("x", "y"))
@@ -206,12 +230,15 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
         bad = named.join(failed.select("a", "b"), ["a", "b"], "left_semi").select("sig").distinct()
         named = named.join(bad, "sig", "left_semi")
         members = durable(named.select("sig", F.explode(F.array("rep", "centre_rep")).alias("rep")).distinct(), "members")
+        group = _with_component(members, comps)
+        mixed = group.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2")  # of two, the centre was compared
+        members = _peeled(docs, group.join(mixed, "sig", "left_semi").select("sig", "rep"), q, percent)
     for turn in range(STAR_ROUNDS + 1):
         if members is None:
             break
         group = _with_component(members, comps)
         mixed = group.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "sig", F.lit(turn))).alias("c"))
-        group = durable(group.join(mixed.where("lo <> hi and size > 2"), "sig"), "members")  # of two, the centre was compared
+        group = durable(group.join(mixed.where("lo <> hi"), "sig"), "members")
         rows, cross = group.agg(F.count("*"), F.sum(F.col("size") - 1)).first()
         if not rows:
             break

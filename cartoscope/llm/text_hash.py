@@ -14,6 +14,9 @@ _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
+#: ASCII characters that are neither letters nor digits.
+SEPARATORS = np.zeros(256, bool)
+SEPARATORS[:128] = [not chr(c).isalnum() for c in range(128)]
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -56,10 +59,10 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 class Texts:
     """Words of consecutive texts: hash of each word, and where each text's words begin."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, lower: bool):
+    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, lower: bool, spaces: np.ndarray = SPACES):
         self.ids, self.data, self.offsets = ids, data, offsets
         low = LOWER[data] if lower else data
-        word = ~SPACES[data]
+        word = ~spaces[data]
         starts, ends = word.copy(), word.copy()
         if len(data):
             starts[1:] &= ~word[:-1]
@@ -73,7 +76,7 @@ class Texts:
         self.at = np.searchsorted(self.starts, offsets)  # of text i: words at[i]:at[i + 1]
 
 
-def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20) -> Iterator[tuple[Texts, int, int]]:
+def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.ndarray = SPACES) -> Iterator[tuple[Texts, int, int]]:
     """Parts (texts, first row, last row + 1) of a batch (id, text, ...) of about limit bytes of text each.
 
     A null text counts as empty. One text of any length stays whole.
@@ -89,5 +92,5 @@ def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20) -> Iterator
     while i < len(ids):
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
         j = min(j, len(ids))
-        yield Texts(ids[i:j], data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lower), i, j
+        yield Texts(ids[i:j], data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lower, spaces), i, j
         i = j
