@@ -33,8 +33,6 @@ from cartoscope.llm.text_hash import Texts, U, chunks, mix, prefix, spans
 
 #: Rounds of renaming. Each costs a window at least two words at either end.
 ROUNDS = 3
-#: A table of (document, positions) is broadcast up to this many positions, else shuffled.
-BROADCAST_POSITIONS = 1_000_000
 
 
 def recompress(h: np.ndarray, first: np.ndarray, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -201,7 +199,6 @@ def _repeats(docs: DataFrame, width: int) -> DataFrame:
     named = ids.mapInArrow(_named(width), "name long, doc long, first int")
     shared = named.withColumn("lo", F.min("doc").over(up)).withColumn("hi", F.max("doc").over(down)).where("lo < hi")
     wanted = durable(shared.groupBy(F.col("doc").alias("id")).agg(F.collect_list("first").alias("wanted")), "anchors")
-    wanted = _small(wanted, "wanted")
     windows = ids.join(wanted, "id").mapInArrow(_windowed(width), "name long, doc long, first int, mask long, hashes array<long>")
     windows = windows.repartition("name")
     each = windows.select("name", "doc", "first", "mask", F.posexplode_outer("hashes").alias("step", "hash"))
@@ -212,17 +209,11 @@ def _repeats(docs: DataFrame, width: int) -> DataFrame:
     return masks.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("first", "mask")).alias("groups"))
 
 
-def _small(table: DataFrame, lists: str) -> DataFrame:
-    """table, to be broadcast if its lists hold few items in all; else joins shuffle it."""
-    n = table.agg(F.sum(F.size(lists) + F.lit(4))).first()[0] or 0
-    return F.broadcast(table) if n <= BROADCAST_POSITIONS else table
-
-
 def removed_words(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 50) -> DataFrame:
     """Rows (id_col, n_words, n_removed, kept_sha256): each text without the words of windows of width words
     that also start in a document with a smaller id; judged on the input."""
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = _small(durable(_repeats(docs, width), "repeats"), "groups")
+    cut = durable(_repeats(docs, width), "repeats")
     out = docs.join(cut, "id", "left").select("id", "text", "groups").mapInArrow(_kept(width, False), "id long, n_words long, n_removed long, kept string")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
@@ -232,7 +223,7 @@ def drop_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     space, others stay as they are. Documents of which nothing is left go. chars_col: a length to keep in step."""
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     cut = durable(_repeats(docs, width), "repeats")
-    changed = docs.join(_small(cut, "groups"), "id").select("id", "text", "groups").mapInArrow(_kept(width, True), "id long, n_words long, n_removed long, kept string")
+    changed = docs.join(cut, "id").select("id", "text", "groups").mapInArrow(_kept(width, True), "id long, n_words long, n_removed long, kept string")
     changed = changed.where("n_removed > 0").dropDuplicates(["id"]).select(F.col("id").alias("__cut_id"), F.col("kept").alias("__kept"))
     out = documents.join(changed, F.col(id_col) == F.col("__cut_id"), "left").where("__kept is null or __kept <> ''")
     columns = {text_col: F.coalesce("__kept", text_col)}
