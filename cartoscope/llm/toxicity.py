@@ -1,10 +1,10 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-Inputs are word embeddings (words that are frequent in the fitting sample) and character embeddings (hashed
+Inputs are word embeddings (words that tell the classes of the fitting sample apart) and character embeddings (hashed
 character trigrams of every word, so unknown words have a vector too). Overlapping windows of words
 go through two gated recurrent layers, one in each direction; attention pools their states to one
-logit a window. A text's score is a calibrated logistic of the largest window logit and of the log-sum of
-all. Everything is numpy: the network is fitted by backpropagation on a bounded
+logit a window. A text's score is a calibrated logistic of the largest window logit and of the expected
+number of toxic windows. Everything is numpy: the network is fitted by backpropagation on a bounded
 sample of labelled texts, and scores all overlapping windows of all whole texts inside Spark tasks.
 
 Defined results: null and empty texts and texts without words have no window and the score of
@@ -28,8 +28,8 @@ from cartoscope.llm.text_hash import LOWER, SEPARATORS, Texts, U, chunks
 WINDOW, STRIDE = 48, 32
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_BUCKETS = 8, 8, 4, 4096
 #: Labelled texts to fit on, at most, and words in the table, at most: the only bounds, whatever the input.
-FIT_TEXTS, TABLE_WORDS = 3000, 20_000
-EPOCHS, BATCH, RATE, TABLE_RATE, DECAY, SUSPECT = 5, 64, 0.01, 0.01, 0.2, 0.4
+FIT_TEXTS, TABLE_WORDS, CHI = 3000, 512, 15.0
+EPOCHS, BATCH, RATE, TABLE_RATE, DECAY, SUSPECT = 5, 32, 0.03, 0.01, 0.1, 0.4
 PARTS = 2048  # windows scored together
 
 
@@ -39,7 +39,7 @@ class Network:
 
     words: np.ndarray
     weights: dict[str, np.ndarray]
-    final: np.ndarray  # logistic weights of the text's features: 1, largest, log-sum
+    final: np.ndarray  # logistic weights of the text's features: 1, largest, number
     base: float
 
 
@@ -142,28 +142,31 @@ def fit(texts: list[str], labels: np.ndarray, *, seed: int = 7) -> Network | Non
     offs = np.cumsum([0, *map(len, raw)])
     t = Texts(np.arange(len(raw)), np.frombuffer(b"".join(raw), np.uint8), offs, True, SEPARATORS)
     of_word = np.repeat(np.arange(len(raw)), np.diff(t.at))
-    pairs = np.unique(np.stack([t.hash, of_word.astype(U)]), axis=1)[0] if len(t.hash) else t.hash
-    seen, df = np.unique(pairs, return_counts=True)
-    enough = df >= max(5, len(raw) // 80)
+    learnt = rng.permutation(len(raw)) % 4 > 0  # the others calibrate
+    if len(set(labels[learnt].tolist())) < 2 or len(set(labels[~learnt].tolist())) < 2:
+        learnt = np.ones(len(raw), bool)
+    # the table holds the words whose presence tells the classes apart best (chi square), among those in enough texts
+    mine = learnt[of_word]
+    pairs = np.unique(np.stack([t.hash[mine], of_word[mine].astype(U)]), axis=1)
+    seen, back = np.unique(pairs[0], return_inverse=True)
+    alls, ones = np.bincount(back), np.bincount(back, weights=labels[pairs[1].astype(np.int64)])
+    n, n1 = int(learnt.sum()), max(1, int(labels[learnt].sum()))
+    expected = alls * n1 / n
+    chi = (ones - expected) ** 2 / (expected * (1 - n1 / n) * np.maximum(1 - alls / n, 1e-3) + 0.5)
+    enough = (alls >= max(3, n // 200)) & (chi >= CHI)
     if enough.sum() > TABLE_WORDS:
-        enough &= df >= np.sort(df)[-TABLE_WORDS]
+        enough &= chi >= np.sort(chi[enough])[-TABLE_WORDS]
     words = seen[enough]
+    lift = np.log((ones + 2 * n1 / n) / (alls - ones + 2 * (1 - n1 / n))) - np.log(n1 / max(1, n - n1))
+    lift = lift[enough]
     ids = _word_ids(words, t.hash)
     tri, size = _trigrams(t), t.ends - t.starts
-    learnt = rng.permutation(len(raw)) % 4 > 0  # the others calibrate
-    if len(set(labels[learnt].tolist())) < 2 or len(set(labels[~learnt].tolist())) < 2:
-        learnt = np.ones(len(raw), bool)
-
     def start(*shape: int, scale: float = 0.3) -> np.ndarray:
         return rng.normal(0, scale, shape)
 
     w = {"word": start(len(words) + 1, WORD_DIM, scale=0.1), "char": start(CHAR_BUCKETS, CHAR_DIM, scale=0.1), "wx": start(WORD_DIM, 6 * HIDDEN), "cx": start(CHAR_DIM, 6 * HIDDEN), "bx": np.zeros(6 * HIDDEN), "u0": start(HIDDEN, 3 * HIDDEN), "u1": start(HIDDEN, 3 * HIDDEN), "attend": start(2 * HIDDEN), "out": start(2 * HIDDEN), "bias": np.zeros(1)}
-    # the first dimension of a word starts at its shrunk log-odds between the classes of the texts that are learnt from
-    toxic = labels[of_word] * learnt[of_word]
-    ones, alls = (np.bincount(np.unique(ids * len(raw) + of_word) // len(raw), minlength=len(words) + 1) for ids, of_word in ((ids[toxic > 0], of_word[toxic > 0]), (ids[learnt[of_word]], of_word[learnt[of_word]])))
-    n1, n = max(1, int(labels[learnt].sum())), int(learnt.sum())
-    lift = np.log((ones + 2 * n1 / n) / (alls - ones + 2 * (1 - n1 / n))) - np.log(n1 / max(1, n - n1))
-    w["word"][:-1, 0] = np.clip(lift[:-1], -1, 4) / 2
+    # the first dimension of a word starts at its shrunk log-odds between the classes
+    w["word"][:-1, 0] = np.clip(lift, -2, 4) / 2
     first_moment, second_moment = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     text, first, length = windows(t.at)
     y = labels[text].astype(float)
@@ -232,7 +235,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def text_features(texts: Texts, net: Network) -> np.ndarray:
-    """For each text 1, largest window logit, log-sum of the windows' odds; not finite without windows."""
+    """For each text 1, largest window logit, expected number of toxic windows (6 at most); not finite without windows."""
     w = net.weights
     out = np.full((len(texts.at) - 1, 3), -np.inf)
     text, first, length = windows(texts.at)
@@ -258,8 +261,8 @@ def text_features(texts: Texts, net: Network) -> np.ndarray:
             logits[b] = _forward(w, x, mask)
     new = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
     top = np.maximum.reduceat(logits, new)
-    total = np.add.reduceat(np.exp(np.minimum(logits, 30)), new)
-    out[text[new]] = np.stack([np.ones(len(new)), top, np.log(total)], 1)
+    total = np.add.reduceat(_sigmoid(logits), new)
+    out[text[new]] = np.stack([np.ones(len(new)), top, np.minimum(total, 6)], 1)
     return out
 
 
