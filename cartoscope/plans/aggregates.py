@@ -146,7 +146,7 @@ def agg_contrast(t: Tables) -> DataFrame:
     return T.pixels(t).groupBy("image").agg(S.contrast(F.col("value"), F.col("value") > 150).alias("contrast"))
 
 
-@query("SELECT (SELECT count(DISTINCT (section, x)) FROM @human) AS na, (SELECT count(DISTINCT (section, x)) FROM @machine) AS nb, (SELECT count(*) FROM (SELECT section, x FROM @human INTERSECT SELECT section, x FROM @machine)) AS n_both, 2 * n_both / (na + nb) AS dice")
+@query("SELECT *, 2 * n_both / (na + nb) AS dice FROM (SELECT (SELECT count(DISTINCT (section, x)) FROM @human) AS na, (SELECT count(DISTINCT (section, x)) FROM @machine) AS nb, (SELECT count(*) FROM (SELECT section, x FROM @human INTERSECT SELECT section, x FROM @machine)) AS n_both)")
 def agg_dice(t: Tables) -> DataFrame:
     mask = lambda df: df.select("section", "x").distinct()
     return S.dice(mask(T.human_points(t)), mask(T.machine_points(t)), ["section", "x"])
