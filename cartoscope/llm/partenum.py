@@ -66,14 +66,20 @@ def bands(percent: int, largest: int) -> list[int]:
     return low
 
 
-def _family(s: np.ndarray, k: int, seed: int) -> tuple[np.ndarray, bool]:
+def spare_partitions(smallest: int, k: int) -> int:
+    """First-level partitions beyond k + 1, so that a set of the smallest size rarely leaves as many of them empty."""
+    empty = (k + 1) * np.exp(-0.9 * smallest / (k + 1))
+    return int(np.ceil(1.3 * empty + 4 * np.sqrt(empty))) + 1
+
+
+def _family(s: np.ndarray, k: int, seed: int, spare: int) -> tuple[np.ndarray, bool]:
     """Signatures of set s for distance k, and whether some pair might depend on an empty projection."""
     salt = U((seed * 0x9E3779B97F4A7C15 + 0x1234567) % 2**64)
     m = mix(s ^ mix(np.array([salt], U)))
     if k == 0:
         return mix(np.array([np.sum(m, dtype=U)], U)), False
     two_level = k <= 7
-    n1 = (k + 2) // 2 if two_level else k + 2 + (k + 1) // 40
+    n1 = (k + 2) // 2 if two_level else k + 1 + spare
     n2, k2 = (3, 1) if two_level else (1, 0)
     part = ((m >> U(33)) % U(n1 * n2)).astype(np.int64)
     total = np.zeros(n1 * n2, U)
@@ -99,9 +105,10 @@ def signatures(s: np.ndarray, percent: int, low: list[int]) -> np.ndarray:
     out = []
     for instance in (band, band + 1):
         upper = low[instance] * 100 // percent
+        spare = spare_partitions(low[max(0, instance - 1)], 2 * upper * (100 - percent) // (100 + percent))
         k, seed, more = 2 * upper * (100 - percent) // (100 + percent), 0, True
         while more:
-            found, more = _family(s, k, seed)
+            found, more = _family(s, k, seed, spare)
             out.append(mix(found ^ U((instance * 1_000_003 + seed * 7_919 + 1) % 2**64)))
             seed += 1
     return np.concatenate(out)
