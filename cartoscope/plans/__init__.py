@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("detections", "joins", "aggregates", "windows", "groups", "landmarks", "pixels")
+MODULES = ("detections", "joins", "aggregates", "windows", "groups", "landmarks", "pixels", "sources", "streams")
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
