@@ -202,7 +202,8 @@ def _shards(classes: DataFrame, overlap: int) -> DataFrame:
         first = rows.groupBy("shard").agg(F.min_by(F.struct("rep", "vector", "parts"), F.xxhash64("rep", F.lit(cut))).alias("p")).select("shard", "p.*")
         pivots = pivots.unionByName(first).dropDuplicates(["shard", "rep"])
         pivots = pivots.select("shard", F.xxhash64("shard", "rep", F.lit(cut)).alias("pivot"), "vector", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        together = rows.select("shard", "part", "rep", "vector").groupBy("shard", "part").cogroup(pivots.groupBy("shard", "part"))
+        pivots, dealt = durable(pivots, "pivots"), rows.select("shard", "part", "rep", "vector")  # read back, so the two sides share no columns
+        together = dealt.groupBy("shard", "part").cogroup(pivots.groupBy("shard", "part"))
         rows = together.applyInArrow(_assign(overlap), "rep long, cell long").select("rep", F.col("cell").alias("shard"))
     return done
 
