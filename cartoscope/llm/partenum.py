@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -38,6 +38,8 @@ STAR_ROUNDS = 4
 FEW_PARTNERS = 16
 #: Rounds in which documents that differ too much from all others of their open signatures are taken out.
 PEELS = 2
+#: Longs of parity bits that a document carries into the comparison of pairs (a power of two).
+PARITIES = 8
 
 
 def shingle_sets(texts: Texts, q: int) -> Iterator[np.ndarray]:
@@ -171,8 +173,14 @@ def _sets_of(docs: DataFrame, ids: DataFrame, q: int) -> DataFrame:
     return docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_arrays(q), "doc long, shingles array<long>")
 
 
+def _parities() -> list[Column]:
+    """Aggregates of a column s of shingles: whether each of 64 * PARITIES buckets holds an odd number of them, as bits of longs."""
+    return [F.bit_xor(F.expr(f"if(shiftright(s, 6) & {PARITIES - 1} = {j}, shiftleft(1L, cast(s & 63 as int)), 0L)")) for j in range(PARITIES)]
+
+
 def _peeled(docs: DataFrame, members: DataFrame, q: int, percent: int) -> DataFrame:
-    """The members (sig, rep) that can still link with another one.
+    """The members (sig, rep, n, unique, parities) that can still link with another one; n: shingles, unique: those that no other
+    member has, parities: of the other shingles.
 
     A shingle that no other member document has is a difference to each of them. A document with
     more of these than any similar pair may differ by is done; without it others become unique, so a few rounds are made.
@@ -180,13 +188,15 @@ def _peeled(docs: DataFrame, members: DataFrame, q: int, percent: int) -> DataFr
     for _ in range(PEELS):
         members = durable(members, "members")
         sets = durable(_sets_of(docs, durable(members.select(F.col("rep").alias("id")).distinct(), "ids"), q), "peel")
-        alone = sets.select("doc", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("doc").alias("doc"), F.max("doc").alias("other")).where("doc = other")
-        alone = alone.groupBy("doc").agg(F.count("*").alias("unique"))
-        n = F.size("shingles")
-        most = F.floor(n * (100 + percent) / percent * (100 - percent) / (100 + percent) + 1e-9)
-        stay = sets.join(alone, "doc", "left").where(F.coalesce("unique", F.lit(0)) <= most).select(F.col("doc").alias("rep"))
-        members = members.join(stay, "rep", "left_semi")
-        members = members.join(members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1"), "sig", "left_semi")
+        each = sets.select("doc", F.explode("shingles").alias("s"))
+        alone = each.groupBy("s").agg(F.min("doc").alias("doc"), F.max("doc").alias("other")).where("doc = other")
+        alone = alone.groupBy("doc").agg(F.count("*").alias("unique"), *[x.alias(f"u{j}") for j, x in enumerate(_parities())])
+        whole = each.groupBy("doc").agg(F.count("*").alias("n"), *[x.alias(f"w{j}") for j, x in enumerate(_parities())])
+        most = F.floor(F.col("n") * (100 + percent) / percent * (100 - percent) / (100 + percent) + 1e-9)
+        stay = whole.join(alone, "doc", "left").fillna(0, ["unique", *(f"u{j}" for j in range(PARITIES))]).where(F.col("unique") <= most)
+        shared = [F.col(f"w{j}").bitwiseXOR(F.col(f"u{j}")).alias(f"p{j}") for j in range(PARITIES)]
+        members = members.select("sig", "rep").join(stay.select(F.col("doc").alias("rep"), "n", "unique", *shared), "rep")
+        members = members.join(members.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1"), "sig", "left_semi")
     return durable(members, "members")
 
 
@@ -240,6 +250,7 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
         group = _with_component(members, comps)
         mixed = group.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2")  # of two, the centre was compared
         members = _peeled(docs, group.join(mixed, "sig", "left_semi").select("sig", "rep"), q, percent)
+    barren, carried = False, ("n", "unique", *(f"p{j}" for j in range(PARITIES)))
     for turn in range(STAR_ROUNDS + 1):
         if members is None:
             break
@@ -249,16 +260,21 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
         rows, cross = group.agg(F.count("*"), F.sum(F.col("size") - 1)).first()
         if not rows:
             break
-        members = group.select("sig", "rep")
-        last = turn == STAR_ROUNDS or cross <= FEW_PARTNERS * rows
+        members = group.select("sig", "rep", *carried)
+        last = barren or turn == STAR_ROUNDS or cross <= FEW_PARTNERS * rows
         if last:
-            left, right = (group.select("sig", F.col("rep").alias(x), F.col("comp").alias(f"comp_{x}")) for x in "ab")
-            pairs = left.join(right, "sig").where("a < b and comp_a <> comp_b").select("a", "b").distinct()
+            left, right = (group.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "comp", *carried)]) for x in "ab")
+            # what either has alone is a difference, and so is at least one shingle in each bucket of unlike parity; most
+            # pairs are settled by that within the join
+            odd = " + ".join(f"bit_count(p{j}_a ^ p{j}_b)" for j in range(PARITIES))
+            close = f"(unique_a + unique_b + {odd}) * {100 + percent} <= (n_a + n_b) * {100 - percent}"
+            pairs = left.join(right, "sig").where(f"rep_a < rep_b and comp_a <> comp_b and {close}").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
             pairs = pairs.join(first, ["a", "b"], "left_anti")
         else:
             pairs = group.where("comp <> c.comp").select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
         found = durable(_verified(docs, pairs, q, percent), "links")
-        if not found.isEmpty():
+        barren = found.isEmpty()  # another centre would find no more: compare what is left
+        if not barren:
             links = durable(links.unionByName(found), "links")
             comps = durable(connected_components(links, "a", "b"), "comps")
         if last:
@@ -270,7 +286,7 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
 
 
 def _with_component(members: DataFrame, comps: DataFrame) -> DataFrame:
-    return members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("comp"))
+    return members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*members.columns, F.coalesce("component", "rep").alias("comp"))
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
