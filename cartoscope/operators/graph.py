@@ -17,7 +17,7 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     if large:
         sides = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sides.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        return sides.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        return sides.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     down = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
     joined = down.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
