@@ -32,6 +32,8 @@ SHARD, PIVOTS, CUTS = 2000, 128, 3
 #: Rows of one assignment task, queries of the audit and the recall that they must show.
 ASSIGN_ROWS, AUDIT, TARGET = 20_000, 256, 0.95
 SLACK = 0.03
+#: Queries searched together: their frontiers are held at once.
+QUERIES = 32
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -159,8 +161,8 @@ def _search(threshold: float):
         lists[a, np.arange(len(a)) - np.repeat(np.cumsum(size) - size, size)] = k
         medoid = int((x @ x.mean(0)).argmax())
         pairs_q, pairs_v = [], []
-        for i in range(0, len(reps), 256):
-            q, v = range_search(x, lists, np.arange(i, min(i + 256, len(reps))), medoid, threshold)
+        for i in range(0, len(reps), QUERIES):
+            q, v = range_search(x, lists, np.arange(i, min(i + QUERIES, len(reps))), medoid, threshold)
             pairs_q.append(q + i)
             pairs_v.append(v)
         q, v = np.concatenate(pairs_q), np.concatenate(pairs_v)
