@@ -151,6 +151,7 @@ def fill_polygons(edges: DataFrame) -> DataFrame:
     """Pixels (polygon, section, row, col) whose centre row crosses a polygon between pairs of crossings (even-odd scan lines).
 
     edges: polygon, section, x, y, x2, y2. Rows are sampled at row + 0.5, columns from the ceiling of one crossing to before the next.
+    Crossings are sorted, so the runs of a line are disjoint and no pixel comes twice.
     """
     low, high = F.least("y", "y2"), F.greatest("y", "y2")
     rows = edges.where("y <> y2").select("polygon", "section", "x", "y", "x2", "y2", F.explode(F.sequence(F.ceil(low - 0.5), F.ceil(high - 0.5))).alias("row"))
@@ -160,7 +161,7 @@ def fill_polygons(edges: DataFrame) -> DataFrame:
     line = W.partitionBy("polygon", "section", "row").orderBy("cut")
     rows = rows.withColumns({"k": F.row_number().over(line), "next": F.lead("cut").over(line)}).where("k % 2 = 1 and next is not null")
     first, last = F.ceil(F.col("cut") - 0.5), F.ceil(F.col("next") - 0.5) - 1
-    return rows.where(first <= last).select("polygon", "section", "row", F.explode(F.sequence(first, last)).alias("col")).distinct()
+    return rows.where(first <= last).select("polygon", "section", "row", F.explode(F.sequence(first, last)).alias("col"))
 
 
 def downsample(pixels: DataFrame, factor: int = 2, how: Callable[[str], Column] = F.avg) -> DataFrame:

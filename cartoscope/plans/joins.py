@@ -157,6 +157,25 @@ def join_point_in_polygon_all(t: Tables) -> DataFrame:
     return P.polygon_intersection(pip_points(t), zones(t)).select("id")
 
 
+# The same three over every polygon; the SQL of those above keeps every twentieth.
+PIP_WHOLE = PIP.replace("@poly", "@pol")
+
+
+@query(f"WITH {PIP_WHOLE} SELECT * FROM inside")
+def join_point_in_polygon_whole(t: Tables) -> DataFrame:
+    return P.in_polygons(pip_points(t), T.polygons(t))
+
+
+@query(f"WITH {PIP_WHOLE} SELECT DISTINCT id FROM inside")
+def join_point_in_polygon_any_whole(t: Tables) -> DataFrame:
+    return P.polygon_union(pip_points(t), T.polygons(t)).select("id")
+
+
+@query(f"WITH {PIP_WHOLE} SELECT i.id FROM inside i JOIN (SELECT section, count(*) AS total FROM many GROUP BY section) USING (section) GROUP BY i.id, total HAVING count(*) = total")
+def join_point_in_polygon_all_whole(t: Tables) -> DataFrame:
+    return P.polygon_intersection(pip_points(t), T.polygons(t)).select("id")
+
+
 PAIRS = "a.section = b.section AND a.id < b.id AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) < 900"
 
 

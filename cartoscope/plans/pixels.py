@@ -9,7 +9,6 @@ from cartoscope.operators import pixels as X
 from cartoscope.operators import spatial as P
 from cartoscope.operators import stats as S
 from cartoscope.plans import tables as T
-from cartoscope.plans.joins import zones
 from cartoscope.plans.registry import TABLES_SQL, Tables, query
 
 TABLES_SQL["fg"] = "SELECT image, row, col FROM @pix WHERE value > 150"
@@ -96,9 +95,14 @@ def pix_draw_disc(t: Tables) -> DataFrame:
     return X.draw_discs(T.human_points(t).where("id % 7 = 0"), 5)
 
 
+@query("SELECT DISTINCT section, y + i AS row, x + j AS col FROM @human, (SELECT unnest(range(-5, 6)) AS i), (SELECT unnest(range(-5, 6)) AS j) WHERE i * i + j * j <= 25")
+def pix_draw_disc_whole(t: Tables) -> DataFrame:
+    return X.draw_discs(T.human_points(t), 5)
+
+
 @query()
 def pix_fill_polygon(t: Tables) -> DataFrame:
-    return X.fill_polygons(P.polygon_edges(zones(t)))
+    return X.fill_polygons(P.polygon_edges(T.polygons(t)))
 
 
 @query("SELECT image, (row // 2)::BIGINT AS row, (col // 2)::BIGINT AS col, avg(value) AS value, 1 AS level FROM @pix GROUP BY ALL UNION ALL SELECT image, (row // 4)::BIGINT, (col // 4)::BIGINT, avg(value), 2 FROM @pix GROUP BY ALL UNION ALL SELECT image, 0, 0, avg(value), 3 FROM @pix GROUP BY image")
