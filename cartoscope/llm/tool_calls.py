@@ -10,8 +10,8 @@ gathered: a message is a row, and (level, turn, call_id) is its order within the
 Defined results: a null conversation or id links with nothing and keeps its row; a null or malformed
 arguments text is invalid with the error `json`; an unknown tool has the error `tool`. Calls that repeat an id in a
 conversation: the first by (turn, name, arguments) stands, the others are counted in n_repeats. Of
-several results for one id the first by (turn, content) is linked. Results without a call are rows
-of kind `result`. Dependencies on ids that the conversation lacks are counted, not waited for. Empty tables
+several results for one id the first by (turn, content) is linked. All other results - without a call, with a
+null conversation or id, or behind the linked one - are rows of kind `result`, one each. Dependencies on ids that the conversation lacks are counted, not waited for. Empty tables
 give empty results; extra columns are ignored.
 """
 
@@ -119,13 +119,18 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: Schema) -> DataF
     whole = calls.where("conv is not null and call_id is not null")
     distinct = whole.groupBy("conv", "call_id").agg(first, (F.count("*") - 1).alias("n_repeats")).select("conv", "call_id", "x.*", "n_repeats")
     distinct = durable(distinct, "calls")
-    answers = results.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
+    # equal results are counted, not dropped: every result is either linked or a row of its own
+    named = results.where("conv is not null and call_id is not null").groupBy("conv", "call_id", "turn", "content").agg(F.count("*").alias("n"))
+    answers = named.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
     linked = distinct.hint("shuffle_hash").join(answers, ["conv", "call_id"], "left").join(levels(distinct), ["conv", "call_id"])
     rows = linked.select("conv", "call_id", F.lit("call").alias("kind"), "turn", "name", "arguments", "level", F.col("r").isNotNull().alias("linked"), "r.content", F.col("n_missing").cast("long").alias("n_missing"), "n_repeats")
     nothing = {"level": "int", "n_missing": "long", "n_repeats": "long"}
     loose = calls.where("conv is null or call_id is null").select("conv", "call_id", F.lit("call").alias("kind"), "turn", "name", "arguments", F.lit(False).alias("linked"), F.lit(None).cast("string").alias("content"), *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
-    orphans = answers.join(distinct.select("conv", "call_id"), ["conv", "call_id"], "left_anti")
-    orphans = orphans.select("conv", "call_id", F.lit("result").alias("kind"), "r.turn", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.lit(False).alias("linked"), "r.content", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
+    taken = distinct.select("conv", "call_id").join(answers, ["conv", "call_id"])
+    others = named.join(taken, ["conv", "call_id"], "left").withColumn("n", F.col("n") - F.coalesce(F.col("r.turn").eqNullSafe(F.col("turn")) & F.col("r.content").eqNullSafe(F.col("content")) & F.col("r").isNotNull(), F.lit(False)).cast("int"))
+    others = others.select("conv", "call_id", "turn", "content", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).drop("col")
+    others = others.unionByName(results.where("conv is null or call_id is null").select("conv", "call_id", "turn", "content"))
+    orphans = others.select("conv", "call_id", F.lit("result").alias("kind"), "turn", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.lit(False).alias("linked"), "content", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
     rows = rows.unionByName(loose).unionByName(orphans)
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("conv", "call_id", "turn")}
     return rows.mapInArrow(_written(schemas), f"conv {kinds['conv']}, call_id {kinds['call_id']}, kind string, turn {kinds['turn']}, name string, level int, linked boolean, n_missing long, n_repeats long, valid boolean, errors string, message string")

@@ -387,6 +387,16 @@ def test_tool_calls(spark):
     assert tool_calls.format_calls(calls.limit(0), results.limit(0), queries.SCHEMAS).collect() == []
 
 
+def test_every_tool_result_is_kept(spark):
+    calls = spark.createDataFrame([(1, "a", 0, "search", "{}", []), (1, "b", 0, "search", "{}", [])], "conv long, call_id string, turn long, name string, arguments string, depends_on array<string>")
+    told = [(1, "a", 1, "x"), (1, "a", 1, "x"), (1, "a", 2, "y"), (1, "b", None, None), (1, "q", 1, "x"), (1, "q", 1, "x"), (1, "q", 3, None), (None, "a", 1, "x"), (None, "a", 2, "y"), (1, None, 1, "x"), (1, None, 1, "x"), (None, None, None, None)]
+    results = spark.createDataFrame(told, "conv long, call_id string, turn long, content string")
+    rows = tool_calls.format_calls(calls, results, queries.SCHEMAS).collect()
+    assert sorted((r.call_id, r.linked, json.loads(r.message)["result"]) for r in rows if r.kind == "call") == [("a", True, "x"), ("b", True, None)]
+    got = collections.Counter((r.conv, r.call_id, r.turn, json.loads(r.message)["content"]) for r in rows if r.kind == "result")
+    assert got == collections.Counter(told) - collections.Counter([told[0], told[3]])
+
+
 def test_registered_sql(spark):
     from tests import oracle
 
