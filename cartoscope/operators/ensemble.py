@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -12,15 +13,21 @@ from pyspark.sql import functions as F
 
 from cartoscope.operators.detect import threshold_class
 
+#: Models that are fitted at once.
+TOGETHER = 6
+
 
 def train(rows: DataFrame, features: Sequence[str], label: str, key: str, models: int = 30, depth: int = 3, rounds: int = 50, percent: int = 80) -> list[GBTClassificationModel]:
     """Models that differ in their seed and in the hash split of the rows they learn from."""
     data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(rows)
-    out = []
-    for seed in range(models):
+
+    def fit(seed: int) -> GBTClassificationModel:
         part = data.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100)) < percent)
-        out.append(GBTClassifier(featuresCol="features", labelCol=label, maxDepth=depth, maxIter=rounds, stepSize=0.3, seed=seed).fit(part))
-    return out
+        return GBTClassifier(featuresCol="features", labelCol=label, maxDepth=depth, maxIter=rounds, stepSize=0.3, seed=seed).fit(part)
+
+    # a fit is a long row of short jobs, so several share the executors
+    with ThreadPoolExecutor(min(models, TOGETHER)) as pool:
+        return list(pool.map(fit, range(models)))
 
 
 def score(rows: DataFrame, features: Sequence[str], models: Sequence[GBTClassificationModel]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -138,12 +139,12 @@ def map_points(points: DataFrame, matrices: DataFrame, key: str, inverse: bool =
     return rows.withColumns({f"__{c}": v for c, v in zip(AXES, new, strict=True)}).select(*[c for c in points.columns if c not in AXES], *[F.col(f"__{c}").alias(c) for c in AXES])
 
 
-def residuals(pairs: DataFrame, fits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distance of each transformed landmark from its partner."""
+def residuals(pairs: DataFrame, fits: DataFrame, keys: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
+    """Distance of each transformed landmark from its partner, by every fit of its keys; more: columns of the fits to keep."""
     rows = pairs.join(fits.drop("n"), list(keys))
     new = apply_matrix(F.col("x1"), F.col("y1"), F.col("z1"), [F.col(c) for c in MATRIX])
     square = sum(((v - F.col(f"{c}2")) * (v - F.col(f"{c}2")) for v, c in zip(new, AXES, strict=True)), F.lit(0.0))
-    return rows.select(*pairs.columns, F.sqrt(square).alias("residual"))
+    return rows.select(*pairs.columns, *more, F.sqrt(square).alias("residual"))
 
 
 def registration_error(pairs: DataFrame, fits: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -183,18 +184,31 @@ def compose_sections(transforms: DataFrame, middle: int, centre: tuple[float, fl
     return out.select("section", F.col("cos").alias("m00"), (-F.col("sin")).alias("m01"), F.col("dx").alias("m02"), F.col("sin").alias("m10"), F.col("cos").alias("m11"), F.col("dy").alias("m12"))
 
 
-def combinations(pairs: DataFrame, k: int) -> DataFrame:
-    """Rows (combo, structure, coordinates): every k-subset of the structures, by ordered self joins; one row a member."""
-    names = pairs.select("structure").distinct()
-    combos = names.select(F.col("structure").alias("s0"), F.array("structure").alias("combo"))
-    for i in range(1, k):
-        combos = combos.join(names.select(F.col("structure").alias(f"s{i}")), F.col(f"s{i}") > F.col(f"s{i - 1}")).withColumn("combo", F.concat("combo", F.array(f"s{i}")))
-    return combos.select("combo", F.explode("combo").alias("structure")).join(pairs, "structure")
+#: Combinations of one group at most; a longer list of structures is an error, never cut.
+COMBINATIONS = 20_000_000
 
 
-def rank_combinations(pairs: DataFrame, k: int) -> DataFrame:
-    """Each k-subset's affine fit judged on all landmarks: combo, mean_dist, and its rank."""
-    members = combinations(pairs, k).withColumn("combo", F.array_join(F.transform("combo", lambda c: c.cast("string")), ","))
-    fits = affine_fit(members, ["combo"]).where("m00 is not null")
-    error = registration_error(fits.select("combo").crossJoin(F.broadcast(pairs)), fits, ["combo"])
-    return error.select("combo", "mean_dist", "rms")
+def combinations(pairs: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
+    """Rows (keys, combo, structure, coordinates): every k-subset of each group's structures; one row a member.
+
+    A group's structures are one sorted list, whose size is checked; a subset grows by exploding the rest of its list.
+    """
+    lists = pairs.where("structure is not null").groupBy(*keys).agg(F.sort_array(F.collect_set("structure")).alias("names"))
+    most = lists.agg(F.max(F.size("names"))).first()[0] or 0
+    if math.comb(most, k) > COMBINATIONS:
+        raise ValueError(f"{most} structures have {math.comb(most, k)} subsets of {k}, more than {COMBINATIONS}")
+    combos = lists.where(F.size("names") >= k).select(*keys, "names", F.lit(0).alias("at"), F.array().cast(lists.schema["names"].dataType).alias("combo"))
+    for i in range(k):
+        # a member at a place that leaves enough behind it for the others
+        place = F.explode(F.sequence(F.col("at") + 1, F.size("names") - (k - 1 - i))).alias("next")
+        combos = combos.select(*keys, "names", "combo", place)
+        combos = combos.select(*keys, "names", F.col("next").alias("at"), F.concat("combo", F.array(F.element_at("names", F.col("next")))).alias("combo"))
+    return combos.select(*keys, "combo", F.explode("combo").alias("structure")).join(pairs, [*keys, "structure"])
+
+
+def rank_combinations(pairs: DataFrame, k: int, keys: Sequence[str]) -> DataFrame:
+    """Each k-subset's affine fit judged on all landmarks of its group: keys, combo, mean_dist, rms. Subsets in one plane have no fit."""
+    members = combinations(pairs, k, keys).withColumn("combo", F.array_join(F.transform("combo", lambda c: c.cast("string")), ","))
+    fits = affine_fit(members, [*keys, "combo"]).where("m00 is not null")
+    rows = residuals(pairs, fits, keys, ["combo"])
+    return rows.groupBy(*keys, "combo").agg(F.avg("residual").alias("mean_dist"), F.sqrt(F.avg(F.col("residual") * F.col("residual"))).alias("rms"))

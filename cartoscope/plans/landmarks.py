@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from cartoscope.operators import landmarks as L
 from cartoscope.operators import stats as ST
@@ -63,14 +64,15 @@ def win_compose_transforms(t: Tables) -> DataFrame:
 
 @query()
 def iter_combinations(t: Tables) -> DataFrame:
-    pairs = paired(t).where("brain = 'MACHINERY' and structure < 9").drop("brain")
-    return digits(L.rank_combinations(pairs, 5))
+    return digits(L.rank_combinations(paired(t), 5, ["brain"]))
 
 
 @query()
 def topk_best_combo(t: Tables) -> DataFrame:
-    pairs = paired(t).where("brain = 'FURNITURE' and structure < 8").drop("brain")
-    return digits(L.rank_combinations(pairs, 5).orderBy("mean_dist", "combo").limit(10))
+    """The ten best combinations of every brain."""
+    ranked = digits(L.rank_combinations(paired(t), 5, ["brain"]))
+    best = W.partitionBy("brain").orderBy("mean_dist", "combo")
+    return ranked.withColumn("place", F.row_number().over(best)).where("place <= 10").drop("place")
 
 
 @query("SELECT structure, avg(x) AS x, avg(y) AS y, avg(z) AS z, count(*) AS n_brains FROM @lm GROUP BY structure")

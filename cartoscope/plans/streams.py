@@ -52,11 +52,11 @@ FEATURES = ["x", "y", "area", "mean_score", "std_score"]
 
 @query()
 def ml_train_ensemble(t: Tables) -> DataFrame:
-    return E.describe(E.train(training_rows(t), FEATURES, "label", "id", models=3, depth=3, rounds=5))
+    return E.describe(E.train(training_rows(t), FEATURES, "label", "id"))
 
 
 @query()
 def ml_score_ensemble(t: Tables) -> DataFrame:
     rows = training_rows(t)
-    models = E.train(rows, FEATURES, "label", "id", models=3, depth=3, rounds=5)
+    models = E.train(rows, FEATURES, "label", "id")
     return E.score(rows, FEATURES, models).select("id", F.round("mean_score", 6).alias("mean_score"), F.round("std_score", 6).alias("std_score"), "predictions")
