@@ -7,9 +7,10 @@ whose neighbour lists are robustly pruned; lists of one vector from several shar
 shard then searches every one of its vectors: greedy descent from the shard's medoid, then range
 expansion over all nodes near the threshold. Every hit is verified in double precision, and counted in
 the first shard that both vectors share. A shard that pivots cannot cut (a third of all rows within the
-threshold, say) is dealt as pairs of blocks, so no task holds more than two blocks. The recall is
-audited against brute force for a bounded number of queries; below the target everything is built
-again with more overlap.
+threshold, say) is dealt as pairs of blocks, so no task holds more than two blocks. A minimum spanning
+tree of each shard joins the graph, so no clump is cut off from another, however large it is. The recall of
+every label is audited against brute force for a bounded number of queries; labels below the target are
+built again with more overlap, and those still below it are compared exactly, block by block.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and those
 without a label, link with nothing: n_links 0, component_id their own id, kept. Vectors of different length
@@ -66,6 +67,23 @@ def robust_lists(x: np.ndarray, degree: int, alpha: float, pool: int = 64) -> li
     return out
 
 
+def spanning_tree(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a minimum spanning tree of unit vectors: what hangs together at any threshold does so by its edges."""
+    n = len(x)
+    best, parent = np.full(n, np.inf), np.zeros(n, np.int64)
+    left = np.ones(n, bool)
+    now, ends = 0, []
+    for _ in range(n - 1):
+        left[now] = False
+        near = 1 - x @ x[now]
+        closer = left & (near < best)
+        best[closer], parent[closer] = near[closer], now
+        now = int(np.where(left, best, np.inf).argmin())
+        ends.append(now)
+    to = np.array(ends, np.int64)
+    return parent[to], to
+
+
 def range_search(x: np.ndarray, lists: np.ndarray, queries: np.ndarray, medoid: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) with cosine >= threshold - SLACK that greedy descent and range expansion reach.
 
@@ -120,7 +138,10 @@ def _build(degree: int, alpha: float):
     def run(table: pa.Table) -> pa.Table:
         reps = table["rep"].to_numpy()
         reps, at = np.unique(reps, return_index=True)
-        lists = robust_lists(_unit(_matrix(table["vector"]))[at], degree, alpha) if len(reps) > 1 else [np.zeros(0, np.int64)]
+        x = _unit(_matrix(table["vector"]))[at]
+        lists = robust_lists(x, degree, alpha, max(64, 3 * degree)) if len(reps) > 1 else [np.zeros(0, np.int64)]
+        for a, b in zip(*spanning_tree(x), strict=True):
+            lists[a] = np.append(lists[a], b)
         return pa.table({"rep": pa.array(reps), "near": pa.array([reps[i] for i in lists], pa.list_(pa.int64()))})
 
     return run
@@ -183,6 +204,47 @@ def _search(threshold: float):
     return run
 
 
+def _compare(threshold: float):
+    """Links of one block, or across two, by comparing all pairs."""
+
+    def run(table: pa.Table) -> pa.Table:
+        reps, at = np.unique(table["rep"].to_numpy(), return_index=True)
+        raw, count, block = _matrix(table["vector"])[at], table["cnt"].to_numpy()[at], table["block"].to_numpy()[at]
+        split = table["lo"][0].as_py() != table["hi"][0].as_py()
+        x, norm = _unit(raw), np.sqrt((raw * raw).sum(1))
+        links, root = np.zeros(len(reps), np.int64), np.arange(len(reps))
+        for i in range(0, len(reps), QUERIES):
+            q, v = np.nonzero(x[i : i + QUERIES] @ x.T >= threshold - 1e-9)
+            q = q + i
+            ok = (q < v) & (block[q] != block[v]) if split else q < v
+            q, v = q[ok], v[ok]
+            ok = (raw[q] * raw[v]).sum(1) / (norm[q] * norm[v]) >= threshold
+            q, v = q[ok], v[ok]
+            np.add.at(links, q, count[v])
+            np.add.at(links, v, count[q])
+            root = root[_roots(len(reps), np.r_[np.arange(len(reps)), q], np.r_[root, v])]
+        return pa.table({"rep": pa.array(reps), "links": pa.array(links), "root": pa.array(reps[root])})
+
+    return run
+
+
+def _exact(classes: DataFrame, threshold: float) -> DataFrame:
+    """Rows (rep, links, root) of all pairs of each label, dealt as pairs of blocks."""
+    placed = _blocks(classes.select("rep", F.col("label_key").alias("shard")))
+    placed = placed.join(classes.select("rep", "vector", "cnt"), "rep")
+    return placed.groupBy("shard", "lo", "hi").applyInArrow(_compare(threshold), "rep long, links long, root long")
+
+
+def _blocks(shards: DataFrame) -> DataFrame:
+    """Rows (rep, shard, block, lo, hi): shards over SHARD are dealt as all pairs of blocks of half of it."""
+    sizes = shards.groupBy("shard").agg(F.count("*").alias("n"))
+    blocks = F.when(F.col("n") > SHARD, F.ceil(F.col("n") * 2 / SHARD)).otherwise(1)
+    placed = shards.join(sizes, "shard").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    placed = placed.select("rep", "shard", "block", other)
+    return placed.select("rep", "shard", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+
 def _shards(classes: DataFrame, overlap: int) -> DataFrame:
     """Rows (rep, shard): every class in its overlapping shards; shards over SHARD are left after CUTS cuts."""
     rows = classes.select("rep", F.xxhash64("label", F.size("vector")).alias("shard"))
@@ -214,11 +276,7 @@ def _linked(classes: DataFrame, threshold: float, overlap: int, degree: int, alp
     """Rows (rep, links, root) of one build and search, one row for each group that a class was in."""
     shards = _shards(classes, overlap)
     homes = shards.groupBy("rep").agg(F.collect_list("shard").alias("homes"))
-    sizes = shards.groupBy("shard").agg(F.count("*").alias("n"))
-    blocks = F.when(F.col("n") > SHARD, F.ceil(F.col("n") * 2 / SHARD)).otherwise(1)
-    placed = shards.join(sizes, "shard").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), "blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    placed = placed.select("rep", "shard", "block", other).select("rep", "shard", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    placed = _blocks(shards)
     placed = placed.join(classes.select("rep", "vector", "cnt"), "rep").join(homes, "rep")
     placed = durable(placed, "placed")
     graph = placed.select("shard", "lo", "hi", "rep", "vector").groupBy("shard", "lo", "hi").applyInArrow(_build(degree, alpha), "rep long, near array<long>")
@@ -227,40 +285,32 @@ def _linked(classes: DataFrame, threshold: float, overlap: int, degree: int, alp
     return sided.join(union, "rep").groupBy("shard", "lo", "hi").applyInArrow(_search(threshold), "rep long, links long, root long")
 
 
-def _brute(queries: list, threshold: float):
-    """Verified links of the audit's queries within one batch of classes."""
-
-    def run(batches):
-        for batch in batches:
-            rep, count = batch.column("rep").to_numpy(), batch.column("cnt").to_numpy()
-            key = batch.column("label_key").to_numpy()
-            at = {}
-            for label in np.unique(key):
-                at[label] = np.flatnonzero(key == label)
-            table = pa.Table.from_batches([batch])
-            found: dict[int, int] = {}
-            for label, rows in at.items():
-                some = [(r, v) for r, k, v in queries if k == label]
-                if some:
-                    x = _unit(_matrix(table["vector"].take(pa.array(rows))))
-                    sims = _unit(np.array([v for _, v in some])) @ x.T
-                    for (r, _), line in zip(some, sims, strict=True):
-                        hit = (line >= threshold) & (rep[rows] != r)
-                        found[r] = found.get(r, 0) + int(count[rows][hit].sum())
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["rep", "links"])
+def _brute(threshold: float):
+    """Verified links of the audit's queries within one part of their label."""
 
-    return run
+    def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        links = np.zeros(len(queries), np.int64)
+        if len(rows) and len(queries):
+            rep, count, asked = rows["rep"].to_numpy(), rows["cnt"].to_numpy(), queries["query"].to_numpy()
+            sims = _unit(_matrix(queries["vector"])) @ _unit(_matrix(rows["vector"])).T
+            links = ((sims >= threshold) & (rep[None, :] != asked[:, None])) @ count
+        return pa.table({"rep": queries["query"], "links": pa.array(links.astype(np.int64))})
+
+    return lambda key, rows, queries: run(key, rows, queries)
 
 
-def audit_recall(classes: DataFrame, found: DataFrame, threshold: float, queries: int = AUDIT) -> float:
-    """Share of the true links of at most queries classes (the first by a hash) that found (rep, links) has."""
-    keyed = classes.select("rep", "vector", "cnt", F.xxhash64("label", F.size("vector")).alias("label_key"))
-    some = [(r["rep"], r["label_key"], list(r["vector"])) for r in keyed.orderBy(F.xxhash64("rep", F.lit("audit"))).limit(queries).collect()]
-    if not some:
-        return 1.0
-    truth = keyed.mapInArrow(_brute(some, threshold), "rep long, links long").groupBy("rep").agg(F.sum("links").alias("truth"))
-    both = truth.join(found, "rep", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
-    return both[1] / both[0] if both[0] else 1.0
+def audit_recall(classes: DataFrame, found: DataFrame, threshold: float, queries: int = AUDIT) -> DataFrame:
+    """Rows (label_key, recall): the share of the true links of about so many classes of each label, drawn by a hash, that found (rep, links) has."""
+    sizes = classes.groupBy("label_key").agg(F.count("*").alias("n"))
+    rows = classes.select("rep", "label_key", "vector", "cnt").join(sizes, "label_key").withColumn("parts", F.ceil(F.col("n") / ASSIGN_ROWS))
+    some = rows.where(F.pmod(F.xxhash64("rep", F.lit("audit")), F.col("n")) < queries)
+    some = some.select("label_key", F.col("rep").alias("query"), "vector", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    some = durable(some, "audit")  # read back, so the two sides share no columns
+    dealt = rows.select("label_key", F.pmod(F.xxhash64("rep", F.lit("part")), "parts").alias("part"), "rep", "vector", "cnt")
+    truth = dealt.groupBy("label_key", "part").cogroup(some.groupBy("label_key", "part")).applyInArrow(_brute(threshold), "rep long, links long")
+    truth = truth.groupBy("rep").agg(F.sum("links").alias("truth")).join(classes.select("rep", "label_key"), "rep").join(found, "rep", "left")
+    sums = truth.groupBy("label_key").agg(F.sum("truth").alias("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0)))).alias("met"))
+    return sums.select("label_key", F.when(F.col("truth") > 0, F.col("met") / F.col("truth")).otherwise(1.0).alias("recall"))
 
 
 def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98, overlap: int = 3, degree: int = 24, alpha: float = 1.2) -> DataFrame:
@@ -271,13 +321,24 @@ def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col
     keyed = rows.select("id", "ok", F.when(F.col("ok"), F.struct("label", "vector")).alias("key"))
     classes = keyed.where("ok").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("cnt"))
     # two classes can share their smallest id only if rows share an id; their vectors then stand for one node
-    classes = durable(classes.select("rep", "key.label", "key.vector", "cnt", "key"), "classes")
+    classes = classes.select("rep", "key.label", "key.vector", "cnt", "key").withColumn("label_key", F.xxhash64("label", F.size("vector")))
+    classes = durable(classes, "classes")
+    raw, left = None, classes
     for _ in range(3):
-        raw = durable(_linked(classes, threshold, overlap, degree, alpha), "linked")
-        found = raw.groupBy("rep").agg(F.sum("links").alias("links"))
-        if audit_recall(classes, found, threshold) >= TARGET:
+        now = durable(_linked(left, threshold, overlap, degree, alpha), "linked")
+        recall = audit_recall(left, now.groupBy("rep").agg(F.sum("links").alias("links")), threshold)
+        low = durable(recall.where(F.col("recall") < TARGET).select("label_key"), "low")
+        if low.isEmpty():
+            raw, left = now if raw is None else raw.unionByName(now), None
             break
+        good = left.join(low, "label_key", "left_anti").select("rep")
+        good = now.join(good, "rep", "left_semi")
+        raw = good if raw is None else raw.unionByName(good)
+        left = durable(left.join(low, "label_key", "left_semi"), "left")
         overlap, degree = overlap + 3, 2 * degree
+    if left is not None:
+        raw = raw.unionByName(durable(_exact(left, threshold), "exact"))
+    found = raw.groupBy("rep").agg(F.sum("links").alias("links"))
     comps = connected_components(raw.where("rep <> root"), "rep", "root").withColumnRenamed("node", "rep")
     named = classes.join(found, "rep", "left").join(comps, "rep", "left")
     named = named.select("key", (F.coalesce("links", F.lit(0)) + F.col("cnt") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))

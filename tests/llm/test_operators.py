@@ -277,6 +277,36 @@ def test_oversized_shards_are_cut(spark, monkeypatch):
     assert all(got[i] <= n for i, n in enumerate(near))
 
 
+def clumps():
+    """Clumps of 130 and 100 vectors, far tighter than the distance between them, which is within the threshold; the first holds the medoid."""
+    rng = np.random.default_rng(12)
+    a, b = np.zeros(16), np.zeros(16)
+    a[0], b[:2] = 1, (0.985, np.sqrt(1 - 0.985**2))
+    return np.vstack([c + rng.normal(size=(n, 16)) * 1e-4 for c, n in ((a, 130), (b, 100))])
+
+
+def vectors(spark, x, label=1, start=0):
+    return spark.createDataFrame([(start + i, [float(v) for v in r], label) for i, r in enumerate(x)], "vec_id long, embedding array<double>, label int")
+
+
+def test_clumps_within_the_threshold_are_linked(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "TARGET", 0.0)  # by the graph alone
+    got = flat_graph.near_duplicates(vectors(spark, clumps())).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(229, 0)}
+
+
+def test_labels_below_the_target_are_compared_exactly(spark, monkeypatch):
+    """No pair is found by the graph; one label is dealt as blocks."""
+    rng = np.random.default_rng(13)
+    x = np.vstack([rng.normal(size=(60, 8)), rng.normal(size=(1, 8)) + rng.normal(size=(60, 8)) * 0.05])
+    near = [(u @ u.T >= 0.98).sum(1) - 1 for u in (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, x[:30]))]
+    monkeypatch.setattr(flat_graph, "SHARD", 40)
+    monkeypatch.setattr(flat_graph, "_linked", lambda classes, *a: classes.select("rep", F.lit(0).cast("long").alias("links"), F.col("rep").alias("root")))
+    got = {r.vec_id: r for r in flat_graph.near_duplicates(vectors(spark, x).unionByName(vectors(spark, x[:30], 2, 500))).collect()}
+    assert [got[i].n_links for i in range(120)] == near[0].tolist() and [got[500 + i].n_links for i in range(30)] == near[1].tolist()
+    assert len({got[i].component_id for i in range(60, 120) if got[i].n_links}) == 1
+
+
 def test_url_rules(spark):
     urls = [None, "", "nohost", "http://com", "http://COM/", "http://a.com/x", "http://Example.com/en/1", "https://b.example.com/en/", "https://www.example.com/en/9?x", "http://x.net/es/1", "http://net/fr/", "http://anet/fr/1", "http://spam-farm.org/en/", "x://a://b/c#d", "http://a..com/", "http://ok.org"]
     pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(urls)], "page_id long, url string, host string, verdict string")
