@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local temporary one is set only where none is named (tests)."""
+    """The folder of spark.checkpoint.dir. Where none is named, one process (a local master) gets a temporary one; a cluster is refused."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='cartoscope-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -31,6 +34,11 @@ def durable(df: DataFrame, label: str = "t") -> DataFrame:
     return out
 
 
+def together(tables: list[DataFrame]) -> DataFrame:
+    """One scan over several durable() tables of one schema, however many there are."""
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*[t._durable_path for t in tables])
+
+
 def release(df: DataFrame | None) -> None:
     """Delete the files of a durable() table that no later step reads."""
     path = getattr(df, "_durable_path", None)
