@@ -66,7 +66,7 @@ def agg_hemisphere_com(t: Tables) -> DataFrame:
     return S.mean_points(rows, ["structure", "side"], ("z", "y", "x")).withColumns({c: F.col(c) * 10 for c in "zyx"})
 
 
-@query("SELECT cx, cy, count(*) AS n, array_to_string(list_sort(list(x)), ',') AS xs FROM (SELECT x // 250 AS cx, y // 250 AS cy, x FROM @human) GROUP BY ALL")
+@query("SELECT cx, cy, count(*) AS n, array_to_string(list_sort(list(x)), ',') AS xs FROM (SELECT floor(x / 250)::BIGINT AS cx, floor(y / 250)::BIGINT AS cy, x FROM @human) GROUP BY ALL")
 def agg_chunk_lists(t: Tables) -> DataFrame:
     rows = T.human_points(t).select(F.floor(F.col("x") / 250).alias("cx"), F.floor(F.col("y") / 250).alias("cy"), "x")
     return rows.groupBy("cx", "cy").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("x")).cast("array<string>"), ",").alias("xs"))
@@ -92,12 +92,12 @@ def agg_histogram_combined(t: Tables) -> DataFrame:
     return S.combined_histogram(T.pixels(t))
 
 
-@query("SELECT x // 100 AS x_bin, y // 100 AS y_bin, (section // 10)::BIGINT AS section_bin, count(*) AS n FROM @det GROUP BY ALL")
+@query("SELECT floor(x / 100)::BIGINT AS x_bin, floor(y / 100)::BIGINT AS y_bin, floor(section / 10)::BIGINT AS section_bin, count(*) AS n FROM @det GROUP BY ALL")
 def agg_density_3d(t: Tables) -> DataFrame:
     return S.density_grid(T.detections(t), [0, 0, 0], [100, 100, 10], ["x", "y", "section"])
 
 
-@query("SELECT x // 50 AS x, y // 50 AS y, count(DISTINCT animal) AS n_brains FROM @det GROUP BY ALL")
+@query("SELECT floor(x / 50)::BIGINT AS x, floor(y / 50)::BIGINT AS y, count(DISTINCT animal) AS n_brains FROM @det GROUP BY ALL")
 def agg_pooled_voxels(t: Tables) -> DataFrame:
     rows = T.detections(t).select(F.floor(F.col("x") / 50).alias("x"), F.floor(F.col("y") / 50).alias("y"), "animal")
     return S.pooled_voxels(rows, ["x", "y"], "animal")
@@ -128,7 +128,7 @@ def agg_mode_annotator(t: Tables) -> DataFrame:
     return S.mode(T.sessions(t), ["prep"], "annotator")
 
 
-@query("SELECT image, value, n FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY n DESC, value) AS r FROM (SELECT image, value // 50 AS value, count(*) AS n FROM @pix WHERE row IN (0, 7) OR col IN (0, 7) GROUP BY ALL)) WHERE r = 1")
+@query("SELECT image, value, n FROM (SELECT *, row_number() OVER (PARTITION BY image ORDER BY n DESC, value) AS r FROM (SELECT image, floor(value / 50)::BIGINT AS value, count(*) AS n FROM @pix WHERE row IN (0, 7) OR col IN (0, 7) GROUP BY ALL)) WHERE r = 1")
 def agg_mode_border(t: Tables) -> DataFrame:
     border = T.pixels(t).where("row in (0, 7) or col in (0, 7)").select("image", F.floor(F.col("value") / 50).alias("value"))
     return S.mode(border, ["image"], "value")

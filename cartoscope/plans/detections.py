@@ -57,12 +57,12 @@ def flt_prune_xy(t: Tables) -> DataFrame:
     return D.prune(T.detections(t).select("id", "x", "y", "area"), (100, 900), (50, 950), (500, 4000))
 
 
-@query("SELECT id, x, y, (x // 256)::BIGINT AS tile_x, (y // 256)::BIGINT AS tile_y FROM @det")
+@query("SELECT id, x, y, floor(x / 256)::BIGINT AS tile_x, floor(y / 256)::BIGINT AS tile_y FROM @det")
 def flt_tile_core(t: Tables) -> DataFrame:
     return D.tile_core(T.detections(t).select("id", "x", "y"), 256, 40)
 
 
-@query("SELECT id, (section // 8)::BIGINT AS slab, (section % 8)::BIGINT AS local_z, section::BIGINT AS global_z FROM @det")
+@query("SELECT id, floor(section / 8)::BIGINT AS slab, (section % 8)::BIGINT AS local_z, section::BIGINT AS global_z FROM @det")
 def flt_slab_core(t: Tables) -> DataFrame:
     out = D.slab_core(T.detections(t).select("id", "section"), 8, 2)
     return out.select("id", "slab", F.col("local_z").cast("long").alias("local_z"), F.col("global_z").cast("long").alias("global_z"))
@@ -298,7 +298,7 @@ def math_id_to_rgb(t: Tables) -> DataFrame:
 @query("SELECT s_suppkey AS section, cos(rotation) AS m00, -sin(rotation) AS m01, xshift + 100 - 100 * cos(rotation) + 80 * sin(rotation) AS m02, sin(rotation) AS m10, cos(rotation) AS m11, yshift + 80 - 100 * sin(rotation) - 80 * cos(rotation) AS m12 FROM (SELECT section AS s_suppkey, rotation, xshift, yshift FROM @trf)")
 def map_rigid_params(t: Tables) -> DataFrame:
     m = S.rigid_matrix(F.col("rotation"), F.col("xshift"), F.col("yshift"), (100.0, 80.0))
-    return T.transforms(t).select("section", *[m[i].alias(f"m{i // 3}{i % 3}") for i in range(6)])
+    return T.transforms(t).select("section", *[m[i].alias(f"m{floor(i / 3)::BIGINT}{i % 3}") for i in range(6)])
 
 
 @query("SELECT id, x * 2.0::DOUBLE AS x, y * 0.5::DOUBLE AS y, section::DOUBLE AS z, 1000 - x AS flipped FROM @det")

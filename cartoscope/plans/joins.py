@@ -72,7 +72,7 @@ def join_landmark_offsets(t: Tables) -> DataFrame:
 
 
 @query("""SELECT base, l.x AS left_x, r.x AS right_x, (l.x + r.x) / 2 AS mid_x, 500 * 2 - l.x AS mirrored_x FROM
-  (SELECT structure // 2 AS base, x FROM @lm WHERE brain = 'BUILDING' AND structure % 2 = 0) l JOIN (SELECT structure // 2 AS base, x FROM @lm WHERE brain = 'BUILDING' AND structure % 2 = 1) r USING (base)""")
+  (SELECT floor(structure / 2)::BIGINT AS base, x FROM @lm WHERE brain = 'BUILDING' AND structure % 2 = 0) l JOIN (SELECT floor(structure / 2)::BIGINT AS base, x FROM @lm WHERE brain = 'BUILDING' AND structure % 2 = 1) r USING (base)""")
 def join_left_right_pairs(t: Tables) -> DataFrame:
     lm = T.landmarks(t).where("brain = 'BUILDING'")
     named = lm.select(F.concat(F.floor(F.col("structure") / 2), F.when(F.col("structure") % 2 == 0, "_L").otherwise("_R")).alias("structure"), "x")
@@ -84,25 +84,25 @@ def join_parent_names(t: Tables) -> DataFrame:
     return M.with_parent(T.ontology(t)).select("id", "name", "parent_name", "parent_acronym")
 
 
-TABLES_SQL["mask"] = "SELECT DISTINCT section, y // 32 AS row, x // 32 AS col FROM @human"
+TABLES_SQL["mask"] = "SELECT DISTINCT section, floor(y / 32)::BIGINT AS row, floor(x / 32)::BIGINT AS col FROM @human"
 
 
 def tissue(t: Tables) -> DataFrame:
     return T.human_points(t).select("section", F.floor(F.col("y") / 32).alias("row"), F.floor(F.col("x") / 32).alias("col")).distinct()
 
 
-@query("SELECT d.id, m.section IS NOT NULL AS on_mask FROM @machine d LEFT JOIN @mask m ON d.section = m.section AND d.y // 32 = m.row AND d.x // 32 = m.col")
+@query("SELECT d.id, m.section IS NOT NULL AS on_mask FROM @machine d LEFT JOIN @mask m ON d.section = m.section AND floor(d.y / 32)::BIGINT = m.row AND floor(d.x / 32)::BIGINT = m.col")
 def join_mask_lookup(t: Tables) -> DataFrame:
     return P.on_mask(T.machine_points(t), tissue(t)).select("id", "on_mask")
 
 
-@query("SELECT d.id, CASE WHEN m.section IS NULL AND d.predictions > 0 THEN -2 ELSE d.predictions END::INTEGER AS predictions FROM @det d LEFT JOIN @mask m ON d.section = m.section AND d.y // 32 = m.row AND d.x // 32 = m.col")
+@query("SELECT d.id, CASE WHEN m.section IS NULL AND d.predictions > 0 THEN -2 ELSE d.predictions END::INTEGER AS predictions FROM @det d LEFT JOIN @mask m ON d.section = m.section AND floor(d.y / 32)::BIGINT = m.row AND floor(d.x / 32)::BIGINT = m.col")
 def prj_fix_outside_mask(t: Tables) -> DataFrame:
     rows = P.on_mask(T.detections(t).select("id", "section", "x", "y", "predictions"), tissue(t))
     return rows.select("id", F.when(~F.col("on_mask") & (F.col("predictions") > 0), -2).otherwise(F.col("predictions")).alias("predictions"))
 
 
-@query("SELECT d.id, CASE WHEN m.section IS NULL THEN 'inner' ELSE 'border' END AS part FROM @machine d LEFT JOIN @mask m ON d.section = m.section AND d.y // 32 = m.row AND d.x // 32 = m.col")
+@query("SELECT d.id, CASE WHEN m.section IS NULL THEN 'inner' ELSE 'border' END AS part FROM @machine d LEFT JOIN @mask m ON d.section = m.section AND floor(d.y / 32)::BIGINT = m.row AND floor(d.x / 32)::BIGINT = m.col")
 def join_border_cells(t: Tables) -> DataFrame:
     return P.on_mask(T.machine_points(t), tissue(t)).select("id", F.when(F.col("on_mask"), "border").otherwise("inner").alias("part"))
 
@@ -209,7 +209,7 @@ def join_exclude_annotated(t: Tables) -> DataFrame:
     return P.without_annotated(T.machine_points(t), T.human_points(t), 40)
 
 
-@query("SELECT id, x // 300 AS tile_x, y // 200 AS tile_y, x % 300 AS local_x, y % 200 AS local_y FROM @det")
+@query("SELECT id, floor(x / 300)::BIGINT AS tile_x, floor(y / 200)::BIGINT AS tile_y, x % 300 AS local_x, y % 200 AS local_y FROM @det")
 def join_points_to_tile(t: Tables) -> DataFrame:
     return P.to_tiles(T.detections(t).select("id", "x", "y"), 300, 200).select("id", "tile_x", "tile_y", "local_x", "local_y")
 
@@ -221,7 +221,7 @@ def join_slice_match(t: Tables) -> DataFrame:
     return P.next_slice(T.human_points(t), 50)
 
 
-@query("""WITH o AS (SELECT id, section, x, y FROM @det WHERE predictions = 2), c AS (SELECT id, y // 10 + i AS row, x // 10 + j AS col FROM o, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j))
+@query("""WITH o AS (SELECT id, section, x, y FROM @det WHERE predictions = 2), c AS (SELECT id, floor(y / 10)::BIGINT + i AS row, floor(x / 10)::BIGINT + j AS col FROM o, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j))
   SELECT p.id AS a, q.id AS b, p.section AS z, count(*) AS shared FROM o p JOIN o q ON p.section + 1 = q.section AND abs(p.x - q.x) <= 25 AND abs(p.y - q.y) <= 25
   JOIN c ca ON ca.id = p.id JOIN c cb ON cb.id = q.id AND ca.row = cb.row AND ca.col = cb.col GROUP BY ALL""")
 def join_plane_overlap(t: Tables) -> DataFrame:
@@ -231,7 +231,7 @@ def join_plane_overlap(t: Tables) -> DataFrame:
     return P.plane_overlap(objects, cells, 25)
 
 
-TABLES_SQL["grid"] = "SELECT section // 8 AS bx, x // 200 AS by, y // 200 AS bz, count(*) AS n FROM @det GROUP BY ALL"
+TABLES_SQL["grid"] = "SELECT floor(section / 8)::BIGINT AS bx, floor(x / 200)::BIGINT AS by, floor(y / 200)::BIGINT AS bz, count(*) AS n FROM @det GROUP BY ALL"
 
 
 def grid(t: Tables) -> DataFrame:

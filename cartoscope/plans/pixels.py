@@ -105,7 +105,7 @@ def pix_fill_polygon(t: Tables) -> DataFrame:
     return X.fill_polygons(P.polygon_edges(T.polygons(t)))
 
 
-@query("SELECT image, (row // 2)::BIGINT AS row, (col // 2)::BIGINT AS col, avg(value) AS value, 1 AS level FROM @pix GROUP BY ALL UNION ALL SELECT image, (row // 4)::BIGINT, (col // 4)::BIGINT, avg(value), 2 FROM @pix GROUP BY ALL UNION ALL SELECT image, 0, 0, avg(value), 3 FROM @pix GROUP BY image")
+@query("SELECT image, floor(row / 2)::BIGINT AS row, floor(col / 2)::BIGINT AS col, avg(value) AS value, 1 AS level FROM @pix GROUP BY ALL UNION ALL SELECT image, floor(row / 4)::BIGINT, floor(col / 4)::BIGINT, avg(value), 2 FROM @pix GROUP BY ALL UNION ALL SELECT image, 0, 0, avg(value), 3 FROM @pix GROUP BY image")
 def agg_downsample(t: Tables) -> DataFrame:
     return X.pyramid(T.pixels(t), 3)
 

@@ -153,7 +153,7 @@ def sink_all_predictions(t: Tables) -> DataFrame:
     return rows.select("section", F.to_json(F.struct("x", "y", "section")).alias("json"))
 
 
-@query("SELECT sum(n)::BIGINT AS n_points, count(*) AS n_cells, max(n) AS \"limit\" FROM (SELECT x // 200 AS cx, y // 200 AS cy, section // 10 AS cz, count(*) AS n FROM @det GROUP BY ALL)")
+@query("SELECT sum(n)::BIGINT AS n_points, count(*) AS n_cells, max(n) AS \"limit\" FROM (SELECT floor(x / 200)::BIGINT AS cx, floor(y / 200)::BIGINT AS cy, floor(section / 10)::BIGINT AS cz, count(*) AS n FROM @det GROUP BY ALL)")
 def sink_spatial_chunks(t: Tables) -> DataFrame:
     path = folder(t, "chunks")
     rows = S.spatial_chunks(T.detections(t).select("id", "x", "y", F.col("section").alias("z")), (200, 200, 10))
@@ -161,7 +161,7 @@ def sink_spatial_chunks(t: Tables) -> DataFrame:
     return S.chunk_info(t.spark.read.parquet(path))
 
 
-@query("SELECT cx, cy, cz, count(*) AS n FROM (SELECT DISTINCT x // 256 AS cx, y // 256 AS cy, section // 16 AS cz, x, y, section FROM @human) GROUP BY ALL")
+@query("SELECT cx, cy, cz, count(*) AS n FROM (SELECT DISTINCT floor(x / 256)::BIGINT AS cx, floor(y / 256)::BIGINT AS cy, floor(section / 16)::BIGINT AS cz, x, y, section FROM @human) GROUP BY ALL")
 def sink_chunked_voxels(t: Tables) -> DataFrame:
     rows = S.spatial_chunks(T.human_points(t).select("x", "y", F.col("section").alias("z")).distinct(), (256, 256, 16))
     return rows.groupBy("cx", "cy", "cz").agg(F.count("*").alias("n"))

@@ -128,7 +128,7 @@ def pixels(t: Tables) -> DataFrame:
 
 
 TABLES_SQL["pix"] = """
-SELECT vec_id AS image, ((p - 1) // 8)::INTEGER AS row, ((p - 1) % 8)::INTEGER AS col, floor(abs(e::DOUBLE) * 1000)::BIGINT AS value
+SELECT vec_id AS image, floor((p - 1) / 8)::INTEGER AS row, ((p - 1) % 8)::INTEGER AS col, floor(abs(e::DOUBLE) * 1000)::BIGINT AS value
 FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS p FROM embeddings)"""
 
 
@@ -138,7 +138,7 @@ def voxels(t: Tables) -> DataFrame:
     return t.part.select(F.floor(k / 10000).alias("z"), (F.floor(k / 100) % 100).alias("y"), (k % 100).alias("x"), F.col("p_size").alias("structure"), k.alias("voxel"))
 
 
-TABLES_SQL["vox"] = "SELECT p_partkey // 10000 AS z, (p_partkey // 100) % 100 AS y, p_partkey % 100 AS x, p_size AS structure, p_partkey AS voxel FROM part"
+TABLES_SQL["vox"] = "SELECT floor(p_partkey / 10000)::BIGINT AS z, (floor(p_partkey / 100)::BIGINT) % 100 AS y, p_partkey % 100 AS x, p_size AS structure, p_partkey AS voxel FROM part"
 
 
 def polygons(t: Tables) -> DataFrame:

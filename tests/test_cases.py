@@ -61,8 +61,8 @@ def test_similarity_is_recovered(spark, mirror):
         assert np.allclose(found, 2 * r, atol=1e-9) and math.isclose(m["scale"], 2, abs_tol=1e-9)
         fit = landmarks.affine_fit(df, ["brain"])
         assert landmarks.registration_error(df, fit, ["brain"]).first()["rms"] < 1e-6
-        pts = spark.createDataFrame([("b", *map(float, q)) for q in y], "brain string, x double, y double, z double")
-        back = [[r.x, r.y, r.z] for r in landmarks.map_points(pts, fit, "brain", inverse=True).collect()]
+        pts = spark.createDataFrame([("b", i, *map(float, q)) for i, q in enumerate(y)], "brain string, id int, x double, y double, z double")
+        back = [[r.x, r.y, r.z] for r in sorted(landmarks.map_points(pts, fit, "brain", inverse=True).collect(), key=lambda r: r.id)]
         assert np.allclose(back, x, atol=1e-6)
 
 
