@@ -13,7 +13,7 @@ such a symbol (a long run) is its own anchor, so nothing is lost.
 
 Defined results: null and empty texts have no words (n_words 0, nothing removed, the hash of the
 empty text). Texts shorter than a window lose nothing. Repeats within one document stay; equal
-windows of rows with the same id stay. Rows with a null id are kept whole. Texts of any length are
+windows of rows with the same id stay, and each row of an id is cut by its own text. Rows with a null id are kept whole. Texts of any length are
 used whole. Extra columns of the input are ignored by removed_words() and kept by drop_repeats().
 """
 
@@ -24,15 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from cartoscope.functions.durable import durable
-from cartoscope.llm.text_hash import Texts, U, chunks, mix, prefix, spans
+from cartoscope.functions.durable import durable, release
+from cartoscope.llm.text_hash import Texts, U, chunks, mix, window_hashes
 
 #: Rounds of renaming. Each costs a window at least two words at either end.
 ROUNDS = 3
+#: A group of consecutive windows is a bit mask, so it has no more windows than this.
+WIDEST = 63
 
 
 def recompress(h: np.ndarray, first: np.ndarray, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -66,8 +69,7 @@ def anchors(texts: Texts, width: int, rounds: int = ROUNDS) -> dict[str, np.ndar
     n = len(h)
     of_word = np.repeat(np.arange(len(at) - 1), np.diff(at))
     p = np.flatnonzero(np.arange(n) + width <= at[of_word + 1]) if n else np.zeros(0, np.int64)
-    sums = prefix(h)
-    window = spans(sums, p, p + width)
+    window = window_hashes(h, width)[p]
     if not len(p):
         empty = np.zeros(0, np.int64)
         return {"doc": empty, "first": empty, "count": empty, "at": empty, "name": empty.astype(U), "hash": window}
@@ -104,19 +106,41 @@ def anchors(texts: Texts, width: int, rounds: int = ROUNDS) -> dict[str, np.ndar
     pick = chosen[new]
     end = np.r_[start, n]
     context = 2 * rounds
-    lo = np.where(pick >= 0, start[pick] - context, p[new])
-    hi = np.where(pick >= 0, end[pick + 1] + context, p[new] + width)
-    named = mix(spans(sums, lo, hi) + np.where(pick >= 0, name[pick], U(7)))
+    named = mix(window[new] ^ U(7))
+    by = np.flatnonzero(pick >= 0)
+    if len(by):
+        around = window_hashes(h, context)
+        named[by] = mix(mix(around[start[pick[by]] - context] + U(1)) + mix(around[end[pick[by] + 1]] + U(2)) * U(3) + name[pick[by]])
     return {"doc": doc[new], "first": p[new] - at[doc[new]], "count": np.diff(np.r_[new, len(p)]), "at": new, "name": named, "hash": window}
 
 
 def _named(width: int):
+    """Rows (name, doc, first, known): the groups of windows of each chunk.
+
+    A name that two documents of the chunk have is shared already: its groups are known and go under names of their own,
+    and only the smallest and the largest document stand for the chunk under the name itself (first -1). So a name that
+    every document has brings two rows a chunk to its task, not all of its groups.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, i, _ in chunks(batch, lower=False):
+            for texts, _, _ in chunks(batch, lower=False):
                 x = anchors(texts, width)
-                ids = batch.column(0).take(pa.array(x["doc"] + i))
-                yield pa.RecordBatch.from_arrays([pa.array(x["name"].view(np.int64)), ids, pa.array(x["first"].astype(np.int32))], ["name", "doc", "first"])
+                name, doc, first = x["name"], texts.ids[x["doc"]].astype(np.int64), x["first"].astype(np.int32)
+                order = np.lexsort((doc, name))
+                name, doc, first = name[order], doc[order], first[order]
+                head = np.flatnonzero(np.r_[True, name[1:] != name[:-1]]) if len(name) else np.zeros(0, np.int64)
+                tail = np.r_[head[1:], len(name)][: len(head)] - 1
+                both = doc[head] < doc[tail]
+                shared = np.repeat(both, tail - head + 1)
+                own = mix(mix(doc[shared].astype(U)) + first[shared].astype(U))
+                marks = (doc[head[both]], doc[tail[both]])
+                names = np.concatenate([name[~shared], own, name[head[both]], name[head[both]]])
+                docs = np.concatenate([doc[~shared], doc[shared], *marks])
+                firsts = np.concatenate([first[~shared], first[shared], np.full(2 * int(both.sum()), -1, np.int32)])
+                known = np.zeros(len(names), bool)
+                known[int((~shared).sum()) : int((~shared).sum()) + int(shared.sum())] = True
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(docs), pa.array(firsts), pa.array(known)], ["name", "doc", "first", "known"])
 
     return run
 
@@ -154,7 +178,8 @@ def _windowed(width: int):
                 keep = ~settled[group]
                 offs = np.r_[0, np.cumsum(np.where(settled, 0, count))].astype(np.int32)
                 name = np.where(settled, mix(ids.astype(U) * U(31) + first.astype(U)), name)
-                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(ids), pa.array(first.astype(np.int32)), pa.array(mask), pa.ListArray.from_arrays(pa.array(offs), pa.array(hashes[keep].view(np.int64)))], ["name", "doc", "first", "mask", "hashes"])
+                content = batch.column(3).take(pa.array(doc + i))
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(ids), content, pa.array(first.astype(np.int32)), pa.array(mask), pa.ListArray.from_arrays(pa.array(offs), pa.array(hashes[keep].view(np.int64)))], ["name", "doc", "content", "first", "mask", "hashes"])
 
     return run
 
@@ -192,41 +217,59 @@ def _kept(width: int, with_text: bool):
 
 
 def _repeats(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc, groups): the windows to remove, as groups (first, mask)."""
+    """A durable table (id, content, groups): the windows to remove from the text of that id and hash, as groups (first, mask)."""
+    if not 1 <= width <= WIDEST:
+        raise ValueError(f"width must be from 1 to {WIDEST}: a window group is a mask of so many bits")
     ids = docs.where("id is not null")
     up = W.partitionBy("name").orderBy("doc").rowsBetween(W.unboundedPreceding, W.currentRow)
     down = W.partitionBy("name").orderBy(F.desc("doc")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    named = ids.mapInArrow(_named(width), "name long, doc long, first int")
-    shared = named.withColumn("lo", F.min("doc").over(up)).withColumn("hi", F.max("doc").over(down)).where("lo < hi")
+    named = ids.mapInArrow(_named(width), "name long, doc long, first int, known boolean")
+    shared = named.withColumn("lo", F.min("doc").over(up)).withColumn("hi", F.max("doc").over(down)).where("(known or lo < hi) and first >= 0")
     wanted = durable(shared.groupBy(F.col("doc").alias("id")).agg(F.collect_list("first").alias("wanted")), "anchors")
-    windows = ids.join(wanted, "id").mapInArrow(_windowed(width), "name long, doc long, first int, mask long, hashes array<long>")
+    windows = ids.join(wanted, "id").select("id", "text", "wanted", F.xxhash64("text")).mapInArrow(_windowed(width), "name long, doc long, content long, first int, mask long, hashes array<long>")
     windows = windows.repartition("name")
-    each = windows.select("name", "doc", "first", "mask", F.posexplode_outer("hashes").alias("step", "hash"))
+    each = windows.select("name", "doc", "content", "first", "mask", F.posexplode_outer("hashes").alias("step", "hash"))
     same = W.partitionBy("name", "hash").orderBy("doc").rowsBetween(W.unboundedPreceding, W.currentRow)
     each = each.withColumn("lo", F.min("doc").over(same))
     bit = F.when(F.col("hash").isNotNull() & (F.col("lo") < F.col("doc")), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("step"))).otherwise(F.lit(0).cast("long"))
-    masks = each.groupBy("name", "doc", "first").agg(F.bit_or(bit).bitwiseOR(F.max("mask")).alias("mask")).where("mask <> 0")
-    return masks.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("first", "mask")).alias("groups"))
+    masks = each.groupBy("name", "doc", "content", "first").agg(F.bit_or(bit).bitwiseOR(F.max("mask")).alias("mask")).where("mask <> 0")
+    out = durable(masks.groupBy(F.col("doc").alias("id"), "content").agg(F.collect_list(F.struct("first", "mask")).alias("groups")), "repeats")
+    release(wanted)
+    return out
 
 
 def removed_words(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 50) -> DataFrame:
     """Rows (id_col, n_words, n_removed, kept_sha256): each text without the words of windows of width words
     that also start in a document with a smaller id; judged on the input."""
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = durable(_repeats(docs, width), "repeats")
-    out = docs.join(cut, "id", "left").select("id", "text", "groups").mapInArrow(_kept(width, False), "id long, n_words long, n_removed long, kept string")
+    cut = _repeats(docs, width)
+    out = docs.withColumn("content", F.xxhash64("text")).join(cut, ["id", "content"], "left").select("id", "text", "groups").mapInArrow(_kept(width, False), "id long, n_words long, n_removed long, kept string")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+def _cut(width: int, text_col: str, chars_col: str | None):
+    """Rows with their passages cut: (text, groups, row) to the fields of row. Rows of which nothing is left go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = _kept(width, True)
+        for batch in batches:
+            row = batch.column(3)
+            fields = {f.name: row.field(k) for k, f in enumerate(row.type)}
+            cut = pa.Table.from_batches(kept(iter([batch.select([0, 1, 2])])))["kept"].combine_chunks() if len(batch) else pa.array([], pa.string())
+            fields[text_col] = pc.coalesce(cut, fields[text_col])
+            if chars_col:
+                fields[chars_col] = pc.coalesce(pc.utf8_length(cut).cast(fields[chars_col].type), fields[chars_col])
+            stay = pc.not_equal(pc.fill_null(pc.utf8_length(cut), -1), 0)
+            yield pa.RecordBatch.from_arrays(list(fields.values()), list(fields)).filter(stay)
+
+    return run
+
+
 def drop_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 50, chars_col: str | None = None) -> DataFrame:
     """The input with repeated passages cut from text_col: a changed text is its kept words joined by one
-    space, others stay as they are. Documents of which nothing is left go. chars_col: a length to keep in step."""
-    docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = durable(_repeats(docs, width), "repeats")
-    changed = docs.join(cut, "id").select("id", "text", "groups").mapInArrow(_kept(width, True), "id long, n_words long, n_removed long, kept string")
-    changed = changed.where("n_removed > 0").dropDuplicates(["id"]).select(F.col("id").alias("__cut_id"), F.col("kept").alias("__kept"))
-    out = documents.join(changed, F.col(id_col) == F.col("__cut_id"), "left").where("__kept is null or __kept <> ''")
-    columns = {text_col: F.coalesce("__kept", text_col)}
-    if chars_col:
-        columns[chars_col] = F.coalesce(F.length("__kept").cast(documents.schema[chars_col].dataType), chars_col)
-    return out.withColumns(columns).select(documents.columns)
+    space, others stay as they are. Documents of which nothing is left go. chars_col: a length to keep in step.
+
+    Cuts are joined by id and content, so rows that share an id keep their own words."""
+    docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    cut = _repeats(docs.select("id", "text"), width)
+    return docs.withColumn("content", F.xxhash64("text")).join(cut, ["id", "content"], "left").select("id", "text", "groups", "row").mapInArrow(_cut(width, text_col, chars_col), documents.schema)

@@ -8,9 +8,6 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_MULTIPLIER = pow(5, 27)  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_MULTIPLIER, -1, 2**64)
-_powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -30,37 +27,59 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=U) * U(0xA24BAED4963EE407))
+def _blocks(words: np.ndarray) -> np.ndarray:
+    """Distinct random offsets of the blocks 0, 1, ... of a word."""
+    return mix(words.astype(U) * U(0xA24BAED4963EE407) + U(0x9FB21C651E98DF25))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the multiplier and of its inverse."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_MULTIPLIER, _INVERSE)):
-            x = np.full(max(n, 1 << 16), base, U)
-            x[0] = 1
-            _powers[k] = np.cumprod(x, dtype=U)
-    return _powers[0][:n], _powers[1][:n]
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each data[start:end].
 
-
-def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of a polynomial hash, one longer than values."""
-    out = np.zeros(len(values) + 1, U)
-    np.cumsum(values * powers(len(values))[0], out=out[1:])
-    return out
-
-
-def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of values[start:end], equal for equal sequences wherever they stand."""
-    back = powers(len(sums) + 1)[1]
-    return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(U))
+    A word is cut into blocks of eight bytes; each block is scrambled together with its number, so that no
+    algebraic relation between blocks carries over to the sum, and the length is mixed in.
+    """
+    if not len(starts):
+        return np.zeros(0, U)
+    size = ends - starts
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    at_each = np.ndarray((len(data),), np.dtype("<u8"), padded, 0, (1,))  # the eight bytes from each byte on
+    if size.max() <= 8:
+        total = mix(_cut(at_each[starts], size) ^ _blocks(np.zeros(1)))
+    else:
+        count = (size + 7) >> 3
+        head = np.cumsum(count) - count
+        number = np.arange(head[-1] + count[-1]) - np.repeat(head, count)
+        value = _cut(at_each[np.repeat(starts, count) + 8 * number], np.repeat(size, count) - 8 * number)
+        total = np.add.reduceat(mix(value ^ _blocks(number)), head, dtype=U)
+    return mix(total + size.astype(U))
+
+
+def _cut(value: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Eight bytes of which only the first left ones count."""
+    return value & (U(0xFFFFFFFFFFFFFFFF) >> (U(64) - U(8) * np.minimum(left, 8).astype(U)))
+
+
+def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """Hash of h[i:i + width] for each i where it fits, by doubling: halves are scrambled before they are joined."""
+    out, at, power, size = None, 0, h, 1
+    while True:
+        if width & size:
+            part = power[at : len(h) - width + 1 + at] if len(h) >= width else power[:0]
+            out = part if out is None else mix(out * U(3) + mix(part + U(at)))
+            at += size
+        if 2 * size > width:
+            return mix(out + U(width))
+        power = mix(mix(power[: max(0, len(power) - size)] + U(size)) * U(5) + power[size:])
+        size *= 2
 
 
 class Texts:
     """Words of consecutive texts: hash of each word, and where each text's words begin."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, lower: bool, spaces: np.ndarray = SPACES):
+    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, lower: bool, spaces: np.ndarray = SPACES, known: np.ndarray | None = None):
         self.ids, self.data, self.offsets = ids, data, offsets
+        self.known = np.ones(len(ids), bool) if known is None else known  # ids that are not null
         low = LOWER[data] if lower else data
         word = ~spaces[data]
         starts, ends = word.copy(), word.copy()
@@ -72,16 +91,19 @@ class Texts:
             last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
             ends[last] = word[last]
         self.starts, self.ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-        self.hash = spans(prefix(_BYTES[low]), self.starts, self.ends)
+        self.hash = word_hashes(low, self.starts, self.ends)
         self.at = np.searchsorted(self.starts, offsets)  # of text i: words at[i]:at[i + 1]
 
 
 def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.ndarray = SPACES) -> Iterator[tuple[Texts, int, int]]:
     """Parts (texts, first row, last row + 1) of a batch (id, text, ...) of about limit bytes of text each.
 
-    A null text counts as empty. One text of any length stays whole.
+    A null text counts as empty. One text of any length stays whole. Integer ids stay integers; known tells
+    which are not null.
     """
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    ids = batch.column(0)
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
+    ids = (ids.fill_null(0) if pa.types.is_integer(ids.type) else ids).to_numpy(zero_copy_only=False)
     column = batch.column(1)
     if not len(column):
         return
@@ -92,5 +114,5 @@ def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.
     while i < len(ids):
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
         j = min(j, len(ids))
-        yield Texts(ids[i:j], data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lower, spaces), i, j
+        yield Texts(ids[i:j], data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lower, spaces, known[i:j]), i, j
         i = j
