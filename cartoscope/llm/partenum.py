@@ -3,22 +3,29 @@
 Each document is the set of its distinct word shingles. Set sizes are cut into bands whose upper
 end is at most lower/threshold, so two similar sets lie in the same or in neighbouring bands. In an
 instance (a band and the one below it) similar sets differ in at most k shingles. The shingle
-domain is split into first-level partitions (and, for small k, each into three second-level
-ones, of which all subsets of two are enumerated); two sets that differ in at most k shingles
-agree on one projection, whose hash is a signature. Documents that share a signature are compared
-exactly. A projection that is empty in a set tells nothing, so such sets also sign under another
-seed, until no pair can depend on an empty projection; no candidate is lost and none is capped.
+domain is split into first-level partitions, each of them into three second-level ones, and every
+subset of two of these is enumerated: k differences leave a first-level partition with at most one,
+and there one subset is equal in both sets. The hash of a subset's shingles is a signature. A subset
+that is empty in a set tells nothing, so some first-level partitions are spare, and sets with more
+empty ones than that also sign under another seed, until no pair can depend on an empty subset; no
+candidate is lost and none is capped.
+
+Documents that share a signature are compared exactly, the likely pairs first: each document with
+that smallest id which it meets under most signatures, then with those smallest ids that
+are in other components. Documents whose signatures still hold several components are peeled: a
+shingle that no other open document has is a difference to each of them, so a document with too many
+of these, even beside the one that has fewest, is settled without a comparison. What is left is
+joined on the rarest shingles of each set, of which similar sets share one (still exact).
 
 Defined results: null and empty texts and texts without words have the empty set, n_shingles 0,
 and are linked with nothing (component_id is their own id). Rows with a null id keep a null
-component. Repeated rows each give a row. Texts of any length are used whole. Extra columns of the
-input are ignored. An empty table gives an empty result.
+component and link nothing. Repeated rows each give a row. An id with several texts is one node, which
+links by each of its sets. Texts of any length are used whole. Extra columns of the input are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,20 +33,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from cartoscope.functions.durable import durable
+from cartoscope.functions.durable import durable, release
 from cartoscope.llm.text_hash import Texts, U, chunks, mix
 from cartoscope.operators.graph import connected_components
 
-#: Ids that may be broadcast to pick the texts to compare again (8 bytes each); beyond it they are shuffled.
+#: Ids or pairs that may be broadcast to pick texts (8 or 16 bytes each); beyond it they are shuffled.
 BROADCAST_IDS = 500_000
-#: Rounds with one chosen centre a signature before the rest is compared pair by pair.
-STAR_ROUNDS = 4
-#: Where the open signatures hold on average no more other documents than this, all their pairs are compared at once.
-FEW_PARTNERS = 16
-#: Rounds in which documents that differ too much from all others of their open signatures are taken out.
+#: Rounds in which documents that differ too much from all other open ones are taken out.
 PEELS = 2
 #: Longs of parity bits that a document carries into the comparison of pairs (a power of two).
 PARITIES = 8
+#: A bound that no set of shingles reaches.
+FREE = 1 << 40
 
 
 def shingle_sets(texts: Texts, q: int) -> Iterator[np.ndarray]:
@@ -68,66 +73,73 @@ def bands(percent: int, largest: int) -> list[int]:
     return low
 
 
-def spare_partitions(smallest: int, k: int) -> int:
-    """First-level partitions beyond k + 1, so that a set of the smallest size rarely leaves as many of them empty."""
-    empty = (k + 1) * np.exp(-0.9 * smallest / (k + 1))
-    return int(np.ceil(1.3 * empty + 4 * np.sqrt(empty))) + 1
-
-
-def _family(s: np.ndarray, k: int, seed: int, spare: int) -> tuple[np.ndarray, bool]:
-    """Signatures of set s for distance k, and whether some pair might depend on an empty projection."""
-    salt = U((seed * 0x9E3779B97F4A7C15 + 0x1234567) % 2**64)
-    m = mix(s ^ mix(np.array([salt], U)))
-    if k == 0:
-        return mix(np.array([np.sum(m, dtype=U)], U)), False
-    two_level = k <= 7
-    n1 = (k + 2) // 2 if two_level else k + 1 + spare
-    n2, k2 = (3, 1) if two_level else (1, 0)
-    part = ((m >> U(33)) % U(n1 * n2)).astype(np.int64)
-    total = np.zeros(n1 * n2, U)
-    np.add.at(total, part, mix(m))
-    count = np.bincount(part, minlength=n1 * n2)
-    if two_level:
-        total, count = total.reshape(n1, n2), count.reshape(n1, n2)
-        chosen = list(combinations(range(n2), n2 - k2))
-        total = np.stack([total[:, c].sum(1, dtype=U) for c in chosen], 1).ravel()
-        count = np.stack([count[:, c].sum(1) for c in chosen], 1).ravel()
-        deficient = bool((count == 0).any())
-    else:
-        deficient = int((count == 0).sum()) >= n1 - k
-    full = np.flatnonzero(count)
-    return mix(total[full] + mix(full.astype(U) + salt)), deficient
-
-
-def signatures(s: np.ndarray, percent: int, low: list[int]) -> np.ndarray:
-    """All signatures of a set: of its own band's instance and of the next."""
-    if not len(s):
-        return s
-    band = int(np.searchsorted(low, len(s), "right")) - 1
-    out = []
-    for instance in (band, band + 1):
-        upper = low[instance] * 100 // percent
-        spare = spare_partitions(low[max(0, instance - 1)], 2 * upper * (100 - percent) // (100 + percent))
-        k, seed, more = 2 * upper * (100 - percent) // (100 + percent), 0, True
-        while more:
-            found, more = _family(s, k, seed, spare)
-            out.append(mix(found ^ U((instance * 1_000_003 + seed * 7_919 + 1) % 2**64)))
-            seed += 1
-    return np.concatenate(out)
-
-
-def _key(s: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for the whole set."""
-    return int(np.sum(mix(s + U(11)), dtype=U).astype(np.int64)), int(np.sum(mix(s ^ U(0xABCDEF)), dtype=U).astype(np.int64))
+def scheme(instance: int, percent: int, low: list[int]) -> tuple[int, int, int]:
+    """Distance k of an instance, its first-level partitions, and how many of these are spare."""
+    upper = low[instance] * 100 // percent
+    k = 2 * upper * (100 - percent) // (100 + percent)
+    n1 = k // 2 + 1
+    empty = 3 * n1 * np.exp(-2 * low[max(0, instance - 1)] / (3 * n1))
+    spare = int(np.ceil(1.3 * empty + 2.5 * np.sqrt(empty))) if k > 7 else 0
+    return k, n1 + spare, spare
+
+
+def signatures(values: np.ndarray, sizes: np.ndarray, percent: int, low: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of sets (values: their elements one set behind the other) and the set of each:
+    for the instance of its own band and the next. Sets that only equal sets are similar to have none."""
+    found, owners = [], []
+    head = np.cumsum(sizes) - sizes
+    band = np.searchsorted(low, sizes, "right") - 1
+    for step in (0, 1):
+        instances, back = np.unique(band[sizes > 0] + step, return_inverse=True)
+        k, n1, spare = np.zeros((3, len(sizes)), np.int64)
+        k[sizes > 0], n1[sizes > 0], spare[sizes > 0] = np.array([scheme(int(i), percent, low) for i in instances]).reshape(-1, 3)[back].T
+        left, seed = np.flatnonzero(k > 0), 0
+        while len(left):
+            size = sizes[left]
+            of = np.repeat(np.arange(len(left)), size)
+            m = mix(values[np.arange(len(of)) + (head[left] - (np.cumsum(size) - size))[of]] ^ mix(np.array([seed], U)))
+            cells = 3 * n1[left]
+            base = np.cumsum(cells) - cells
+            cell = base[of] + ((m >> U(33)) % cells[of].astype(U)).astype(np.int64)
+            total = np.zeros(cells.sum(), U)
+            np.add.at(total, cell, mix(m))
+            count = np.bincount(cell, minlength=len(total)).reshape(-1, 3)
+            total = total.reshape(-1, 3)
+            pair = total.sum(1, dtype=U)[:, None] - total  # the subset that leaves one of three out
+            empty = count.sum(1)[:, None] == count
+            owner = np.repeat(np.arange(len(left)), cells)
+            place = (np.arange(len(owner)) - base[owner]).astype(U)
+            tag = (band[left][owner] + step).astype(U) * U(1_000_003) + U(seed * 7_919 + 1)
+            use = ~empty.ravel()
+            found.append(mix(mix(pair.ravel()[use] + mix(place[use] + U(1))) ^ tag[use]))
+            owners.append(left[owner[use]])
+            lacking = np.add.reduceat(empty.any(1), base // 3, dtype=np.int64)
+            left, seed = left[lacking > spare[left]], seed + 1
+    return (np.concatenate(found), np.concatenate(owners)) if found else (np.zeros(0, U), np.zeros(0, np.int64))
+
+
+def _flat(texts: Texts, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of all texts, one set behind the other, and the sizes of the sets."""
+    sets = list(shingle_sets(texts, q))
+    return np.concatenate(sets), np.array([len(s) for s in sets], np.int64)
+
+
+def _keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """128 bits for each set: two sums of scrambled elements."""
+    sums = np.zeros((2, len(values) + 1), U)
+    np.cumsum(mix(values + U(11)), out=sums[0, 1:])
+    np.cumsum(mix(values ^ U(0xABCDEF)), out=sums[1, 1:])
+    end = np.cumsum(sizes)
+    return (sums[:, end] - sums[:, end - sizes]).view(np.int64)
 
 
 def _measured(q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, i, j in chunks(batch, lower=True):
-                rows = [(len(s), *_key(s)) for s in shingle_sets(texts, q)]
-                n, a, b = (list(x) for x in zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["doc_id", "n_shingles", "key_a", "key_b"])
+                values, sizes = _flat(texts, q)
+                a, b = _keys(values, sizes)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(sizes), pa.array(a), pa.array(b)], ["doc_id", "n_shingles", "key_a", "key_b"])
 
     return run
 
@@ -137,156 +149,170 @@ def _signed(q: int, percent: int):
         low = bands(percent, 1 << 20)
         for batch in batches:
             for texts, _, _ in chunks(batch, lower=True):
-                first: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
-                for k, s in enumerate(shingle_sets(texts, q)):
-                    if len(s) and texts.ids[k] == texts.ids[k]:
-                        key, doc = _key(s), int(texts.ids[k])
-                        if key not in first or doc < first[key][0]:  # of equal sets only the smallest id signs here
-                            first[key] = (doc, s)
-                if not first:
-                    continue
-                while low[-1] <= max(len(s) for _, s in first.values()):
+                values, sizes = _flat(texts, q)
+                a, b = _keys(values, sizes)
+                order = np.lexsort((texts.ids, ~texts.known, b, a))  # of equal sets only the smallest id signs here
+                again = np.zeros(len(sizes), bool)
+                again[order[1:]] = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]])
+                signs = texts.known & ~again & (sizes > 0)
+                values, sizes, ids = values[np.repeat(signs, sizes)], sizes[signs], texts.ids[signs].astype(np.int64)
+                while len(sizes) and low[-2] <= sizes.max():
                     low.append(low[-1] * 100 // percent + 1)
-                low.append(low[-1] * 100 // percent + 1)
-                signed = [(doc, signatures(s, percent, low)) for doc, s in first.values()]
-                ids = np.repeat(np.array([d for d, _ in signed], np.int64), [len(x) for _, x in signed])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x for _, x in signed]).view(np.int64)), pa.array(ids)], ["sig", "doc"])
+                sig, owner = signatures(values, sizes, percent, low)
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids[owner])], ["sig", "doc"])
 
     return run
 
 
-def _arrays(q: int):
+def _arrays(q: int, names: list[str]):
+    """Rows (id, text, ...) to (id, ..., key, shingles), key: of the set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, i, j in chunks(batch, lower=True):
-                sets = list(shingle_sets(texts, q))
-                offs = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                values = pa.array(np.concatenate(sets).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.ListArray.from_arrays(pa.array(offs), values)], ["doc", "shingles"])
+                values, sizes = _flat(texts, q)
+                offs = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                sets = pa.ListArray.from_arrays(offs, pa.array(values.view(np.int64)))
+                others = [batch.column(k)[i:j] for k in range(2, batch.num_columns)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *others, pa.array(_keys(values, sizes)[0]), sets], names)
 
     return run
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, q: int) -> DataFrame:
-    """Rows (doc, shingles) of the documents with these distinct ids, one a document."""
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(ids, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_arrays(q), "doc long, shingles array<long>")
+def _picked(docs: DataFrame, ids: DataFrame, many: int, on: str = "id") -> DataFrame:
+    """The rows of docs (id, text) with an id in ids (on, ...), beside what ids has: no text moves while ids has at most BROADCAST_IDS rows."""
+    return docs.join(F.broadcast(ids) if many <= BROADCAST_IDS else ids, docs["id"] == ids[on]).select(docs["id"], "text", *[c for c in ids.columns if c != on])
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, q: int, percent: int) -> DataFrame:
+    """A durable table of the pairs (a, b) whose shingle sets have 100 * intersection >= percent * union, compared exactly."""
+    pairs = durable(pairs, "pairs")
+    ids = durable(pairs.select("b").distinct(), "ids")
+    left = _picked(docs, pairs, pairs.count(), "a").mapInArrow(_arrays(q, ["a", "b", "ka", "x"]), "a long, b long, ka long, x array<long>")
+    right = _picked(docs, ids, ids.count(), "b").mapInArrow(_arrays(q, ["b", "kb", "y"]), "b long, kb long, y array<long>")
+    same = F.size(F.array_intersect("x", "y"))
+    both = left.join(right, "b").where(100 * same >= percent * (F.size("x") + F.size("y") - same))
+    found = durable(both.select("a", "b"), "links")  # not made distinct here: that would bind all rows of a centre to one task
+    release(pairs)
+    release(ids)
+    return found
 
 
 def _parities() -> list[Column]:
-    """Aggregates of a column s of shingles: whether each of 64 * PARITIES buckets holds an odd number of them, as bits of longs."""
-    return [F.bit_xor(F.expr(f"if(shiftright(s, 6) & {PARITIES - 1} = {j}, shiftleft(1L, cast(s & 63 as int)), 0L)")) for j in range(PARITIES)]
+    """Aggregates of a column s of shingles: whether each of 64 * PARITIES buckets holds an odd number of them, as bits of longs p0, p1, ..."""
+    return [F.bit_xor(F.expr(f"if(shiftright(s, 6) & {PARITIES - 1} = {j}, shiftleft(1L, cast(s & 63 as int)), 0L)")).alias(f"p{j}") for j in range(PARITIES)]
 
 
-def _peeled(docs: DataFrame, members: DataFrame, q: int, percent: int) -> DataFrame:
-    """The members (sig, rep, n, unique, parities) that can still link with another one; n: shingles, unique: those that no other
-    member has, parities: of the other shingles.
+def _open_rows(docs: DataFrame, members: DataFrame, q: int, percent: int) -> DataFrame | None:
+    """A durable table (s, doc, comp, n, w, most, p0, ...) of the rarest shingles of the documents in members (sig, doc, comp) that can still
+    link with one in another component, with parity bits of their common shingles; None without any.
 
-    A shingle that no other member document has is a difference to each of them. A document with
-    more of these than any similar pair may differ by is done; without it others become unique, so a few rounds are made.
+    w: shingles that no other open document has, less the differences that a similar pair may have; of a
+    pair w is not positive in sum. most: the largest set that shares enough with the other shingles. Of the rarest
+    shingles given here two similar sets share one at least.
     """
-    for _ in range(PEELS):
-        members = durable(members, "members")
-        sets = durable(_sets_of(docs, durable(members.select(F.col("rep").alias("id")).distinct(), "ids"), q), "peel")
+    members = durable(members, "members")
+    for turn in range(PEELS + 1):
+        now = durable(members.select("doc", "comp").distinct(), "open")
+        many = now.count()
+        if not many:
+            return None
+        sets = _picked(docs, now.withColumnRenamed("doc", "id"), many).dropDuplicates(["id", "text"]).mapInArrow(_arrays(q, ["doc", "comp", "key", "shingles"]), "doc long, comp long, key long, shingles array<long>")
+        sets = durable(sets, "peel")
         each = sets.select("doc", F.explode("shingles").alias("s"))
-        alone = each.groupBy("s").agg(F.min("doc").alias("doc"), F.max("doc").alias("other")).where("doc = other")
-        alone = alone.groupBy("doc").agg(F.count("*").alias("unique"), *[x.alias(f"u{j}") for j, x in enumerate(_parities())])
-        whole = each.groupBy("doc").agg(F.count("*").alias("n"), *[x.alias(f"w{j}") for j, x in enumerate(_parities())])
-        most = F.floor(F.col("n") * (100 + percent) / percent * (100 - percent) / (100 + percent) + 1e-9)
-        stay = whole.join(alone, "doc", "left").fillna(0, ["unique", *(f"u{j}" for j in range(PARITIES))]).where(F.col("unique") <= most)
-        shared = [F.col(f"w{j}").bitwiseXOR(F.col(f"u{j}")).alias(f"p{j}") for j in range(PARITIES)]
-        members = members.select("sig", "rep").join(stay.select(F.col("doc").alias("rep"), "n", "unique", *shared), "rep")
-        members = members.join(members.groupBy("sig").agg(F.count("*").alias("many")).where("many > 1"), "sig", "left_semi")
-    return durable(members, "members")
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, q: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have 100 * intersection >= percent * union, compared exactly."""
-    pairs = durable(pairs, "pairs")
-    sets = _sets_of(docs, durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"), q)
-    left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y")), "b")
-    same = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * same >= percent * (F.size("x") + F.size("y") - same)).select("a", "b").distinct()
+        found_in = each.groupBy("s").agg(F.count("*").alias("df"), F.min("doc").alias("doc"), F.max("doc").alias("other"))
+        alone = found_in.where("doc = other").groupBy("doc").agg(F.count("*").alias("alone"))
+        whole = sets.groupBy("doc", "comp").agg(F.max(F.size("shingles")).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        several = F.col("lo") < F.col("hi")  # an id with several sets stays
+        own = F.coalesce("alone", F.lit(0))
+        w = F.when(several, -FREE).otherwise((100 + percent) * own - (100 - percent) * F.col("n"))
+        most = F.when(several, FREE).otherwise(F.floor((100 * F.col("n") - (100 + percent) * own) / percent + 1e-6))
+        state = durable(whole.join(alone, "doc", "left").select("doc", "comp", F.when(several, 0).otherwise(F.col("n")).cast("long").alias("n"), w.cast("long").alias("w"), most.cast("long").alias("most")), "state")
+        if turn < PEELS:
+            held = members.join(state.select("doc", "n", "w", "most"), "doc")
+            least = held.groupBy("sig").agg(F.min("w").alias("least"), F.min("n").alias("smallest"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+            can = f"w + least <= 0 and most >= smallest and most * 100 >= n * {percent}"
+            after = durable(held.join(least, "sig").where(can).select("sig", "doc", "comp"), "members")
+            for old in (members, now, sets, state):
+                release(old)
+            members = after
+    counted = durable(each.join(found_in.select("s", "df"), "s"), "counted")
+    parities = counted.where("df > 1").groupBy("doc").agg(*_parities())
+    ranked = counted.withColumn("turn", F.row_number().over(W.partitionBy("doc").orderBy("df", "s")))
+    rare = ranked.join(state.join(parities, "doc"), "doc").where(f"n = 0 or turn <= n - ceil(n * {percent} / 100) + 1").where("df > 1")
+    rows = durable(rare.drop("df", "turn"), "rare")
+    release(counted)
+    for old in (members, now, sets, state):
+        release(old)
+    return rows
 
 
 def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", q: int = 5, percent: int = 80) -> DataFrame:
     """Rows (id_col, n_shingles, component_id): near-duplicate groups by word-shingle Jaccard similarity.
 
-    Two documents link when 100 * |A & B| >= percent * |A | B|; a component is what links reach, named by
-    its smallest id. Each signature's documents are first compared with one centre (linear in the
-    group); only where that leaves several components in one signature are further centres, and
-    at last all pairs of different components, compared.
+    Two documents link when 100 * |A & B| >= percent * |A | B|; a component is what links reach, named by its smallest id.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     measured = durable(docs.mapInArrow(_measured(q), "doc_id long, n_shingles long, key_a long, key_b long"), "sets")
-    classes = measured.where("n_shingles > 0").groupBy("n_shingles", "key_a", "key_b").agg(F.min("doc_id").alias("rep"))
-    reps = measured.join(classes, ["n_shingles", "key_a", "key_b"]).select(F.col("doc_id").alias("doc"), "rep").distinct()
-
+    key = ["n_shingles", "key_a", "key_b"]
+    classes = durable(measured.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")), "classes")
+    # an id with several sets is one node: it is tied to the smallest id of each of them
+    several = measured.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi"))
+    several = durable(several.where("lo <> hi").select("doc_id"), "several")
+    ties = measured.join(several, "doc_id", "left_semi").join(classes, key).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # any other id behind the smallest of its set has the same signatures as that one
+    copies = measured.join(classes.where("rep < last"), key).where("doc_id > rep").select(F.col("doc_id").alias("doc")).distinct()
+    copies = durable(copies.join(several.withColumnRenamed("doc_id", "doc"), "doc", "left_anti"), "copies")
+    few = copies.count() <= BROADCAST_IDS
+
+    sources = docs.join(F.broadcast(copies), docs["id"] == copies["doc"], "left_anti") if few else docs
     by_sig = W.partitionBy("sig").orderBy("doc").rowsBetween(W.unboundedPreceding, W.currentRow)
-    signed = docs.mapInArrow(_signed(q, percent), "sig long, doc long")
-    shared = durable(signed.withColumn("centre", F.min("doc").over(by_sig)).where("doc > centre"), "sigs")
-
-    def as_reps(pairs: DataFrame) -> DataFrame:
-        """Pairs of documents as distinct pairs a < b of different set representatives."""
-        pairs = pairs.distinct()
-        pairs = pairs.join(reps.select(F.col("doc").alias("x"), F.col("rep").alias("rx")), "x").join(reps.select(F.col("doc").alias("y"), F.col("rep").alias("ry")), "y")
-        return pairs.where("rx <> ry").select(F.least("rx", "ry").alias("a"), F.greatest("rx", "ry").alias("b")).distinct()
+    signed = sources.mapInArrow(_signed(q, percent), "sig long, doc long")
+    shared = signed.withColumn("centre", F.min("doc").over(by_sig)).where("doc > centre")
+    shared = durable(shared if few else shared.join(copies, "doc", "left_anti"), "sigs")
+    met = durable(shared.groupBy("doc", "centre").agg(F.count("*").alias("votes")), "met")
 
-    first = durable(as_reps(shared.select(F.col("doc").alias("x"), F.col("centre").alias("y"))), "stars")
-    links = durable(_verified(docs, first, q, percent), "links")
+    best = met.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre"))
+    links = _verified(docs, best.select(F.col("doc").alias("a"), F.col("centre").alias("b")), q, percent).unionByName(ties)
     comps = durable(connected_components(links, "a", "b"), "comps")
-
-    # signatures under which one centre left several components
-    failed = first.join(links, ["a", "b"], "left_anti")
-    failed = _apart(failed, comps)
-    members = None
-    if not failed.isEmpty():
-        named = shared.join(reps.select("doc", "rep"), "doc").join(reps.select(F.col("doc").alias("centre"), F.col("rep").alias("centre_rep")), "centre")
-        named = named.select("sig", "rep", "centre_rep", F.least("rep", "centre_rep").alias("a"), F.greatest("rep", "centre_rep").alias("b"))
-        bad = named.join(failed.select("a", "b"), ["a", "b"], "left_semi").select("sig").distinct()
-        named = named.join(bad, "sig", "left_semi")
-        members = durable(named.select("sig", F.explode(F.array("rep", "centre_rep")).alias("rep")).distinct(), "members")
-        group = _with_component(members, comps)
-        mixed = group.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2")  # of two, the centre was compared
-        members = _peeled(docs, group.join(mixed, "sig", "left_semi").select("sig", "rep"), q, percent)
-    barren, carried = False, ("n", "unique", *(f"p{j}" for j in range(PARITIES)))
-    for turn in range(STAR_ROUNDS + 1):
-        if members is None:
-            break
-        group = _with_component(members, comps)
-        mixed = group.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "sig", F.lit(turn))).alias("c"))
-        group = durable(group.join(mixed.where("lo <> hi"), "sig"), "members")
-        rows, cross = group.agg(F.count("*"), F.sum(F.col("size") - 1)).first()
-        if not rows:
-            break
-        members = group.select("sig", "rep", *carried)
-        last = barren or turn == STAR_ROUNDS or cross <= FEW_PARTNERS * rows
-        if last:
-            left, right = (group.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "comp", *carried)]) for x in "ab")
-            # what either has alone is a difference, and so is at least one shingle in each bucket of unlike parity; most
-            # pairs are settled by that within the join
-            odd = " + ".join(f"bit_count(p{j}_a ^ p{j}_b)" for j in range(PARITIES))
-            close = f"(unique_a + unique_b + {odd}) * {100 + percent} <= (n_a + n_b) * {100 - percent}"
-            pairs = left.join(right, "sig").where(f"rep_a < rep_b and comp_a <> comp_b and {close}").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-            pairs = pairs.join(first, ["a", "b"], "left_anti")
-        else:
-            pairs = group.where("comp <> c.comp").select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct()
-        found = durable(_verified(docs, pairs, q, percent), "links")
-        barren = found.isEmpty()  # another centre would find no more: compare what is left
-        if not barren:
-            links = durable(links.unionByName(found), "links")
-            comps = durable(connected_components(links, "a", "b"), "comps")
-        if last:
-            break
-
-    named = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("n_shingles", "key_a", "key_b", F.coalesce("component", "rep").alias("component_id"))
-    out = measured.join(named, ["n_shingles", "key_a", "key_b"], "left")
+    rest = _apart(met.join(best, ["doc", "centre"], "left_anti").select(F.col("doc").alias("a"), F.col("centre").alias("b")), comps)
+    links, comps = _more(docs, rest, links, comps, q, percent)
+
+    # what a signature's smallest id left in several components
+    apart = durable(_apart(met.select(F.col("doc").alias("a"), F.col("centre").alias("b")), comps), "apart")
+    bad = shared.join(apart.select(F.col("a").alias("doc"), F.col("b").alias("centre")), ["doc", "centre"], "left_semi").select("sig").distinct()
+    held = shared.join(durable(bad, "bad"), "sig", "left_semi")
+    held = held.select("sig", "doc").unionAll(held.select("sig", F.col("centre").alias("doc")).distinct())
+    crowded = held.groupBy("sig").agg(F.count("*").alias("size")).where("size > 2")  # of two, the one pair was compared
+    rows = _open_rows(docs, _with_component(held.join(crowded, "sig", "left_semi").select("sig", "doc"), comps), q, percent)
+    if rows is not None:
+        left, right = (rows.select("s", *[F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "s"]) for x in "ab")
+        # buckets of unlike parity hold at least one difference each
+        odd = " + ".join(f"bit_count(p{j}_a ^ p{j}_b)" for j in range(PARITIES))
+        near = f"comp_a < comp_b and w_a + w_b + {100 + percent} * ({odd}) <= 0 and n_b <= most_a and n_a <= most_b and (n_a = 0 or n_b = 0 or 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b))"
+        pairs = left.join(right, "s").where(near).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
+        links, comps = _more(docs, pairs, links, comps, q, percent)
+    for old in (shared, met, apart, rows, copies):
+        release(old)
+
+    named = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component_id"))
+    out = measured.join(named, key, "left")
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _more(docs: DataFrame, pairs: DataFrame, links: DataFrame, comps: DataFrame, q: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components with those of further pairs (a, b)."""
+    found = _verified(docs, pairs, q, percent)
+    if found.isEmpty():
+        return links, comps
+    links = links.unionByName(found)
+    again = durable(connected_components(links, "a", "b"), "comps")
+    release(comps)
+    return links, again
+
+
 def _with_component(members: DataFrame, comps: DataFrame) -> DataFrame:
-    return members.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*members.columns, F.coalesce("component", "rep").alias("comp"))
+    return members.join(comps.withColumnRenamed("node", "doc"), "doc", "left").select(*members.columns, F.coalesce("component", "doc").alias("comp"))
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -299,5 +325,6 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", q: int = 5, percent: int = 80) -> DataFrame:
     """The input's rows (all columns) of one document of each near-duplicate group: its smallest id."""
     comps = jaccard_components(documents, id_col=id_col, text_col=text_col, q=q, percent=percent)
-    gone = comps.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return documents.join(gone, id_col, "left_anti")
+    gone = durable(comps.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct(), "gone")
+    same = documents[id_col].cast("long") == gone["__gone"]
+    return documents.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, same, "left_anti")
