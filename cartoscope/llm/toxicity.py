@@ -3,13 +3,14 @@
 Inputs are word embeddings (words that tell the classes of the fitting sample apart) and character embeddings (hashed
 character trigrams of every word, so unknown words have a vector too). Overlapping windows of words
 go through two gated recurrent layers, one in each direction; attention pools their states to one
-logit a window. A text's score is a calibrated logistic of the largest window logit and of the expected
-number of toxic windows. Everything is numpy: the network is fitted by backpropagation on a bounded
+logit a window. A text's score is a calibrated logistic of the largest window logit and of the logarithm of
+the expected number of toxic windows. Everything is numpy: the network is fitted by backpropagation on a bounded
 sample of labelled texts, and scores all overlapping windows of all whole texts inside Spark tasks.
 
 Defined results: null and empty texts and texts without words have no window and the score of
 the sample's base rate. Rows with a null id are scored. Repeated rows are scored each. With no
-labelled rows of both classes every score is 0. Texts of any length are scored whole. Only text_col is an
+labelled rows of both classes every score is 0; of an id with several labels the largest counts, with several texts the
+smallest is learnt from. drop_toxic() judges every row by its own text, also where ids are null or repeated. Texts of any length are scored whole. Only text_col is an
 input of a score; extra columns are ignored by score() and kept by drop_toxic().
 """
 
@@ -27,8 +28,8 @@ from cartoscope.llm.text_hash import LOWER, SEPARATORS, Texts, U, chunks
 
 WINDOW, STRIDE = 48, 32
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_BUCKETS = 8, 8, 4, 4096
-#: Labelled texts to fit on, at most, and words in the table, at most: the only bounds, whatever the input.
-FIT_TEXTS, TABLE_WORDS, CHI = 3000, 512, 15.0
+#: Labelled texts to fit on, at most, their bytes, at most, and words in the table, at most: the only bounds, whatever the input.
+FIT_TEXTS, FIT_BYTES, TABLE_WORDS, CHI = 3000, 12 << 20, 512, 15.0
 EPOCHS, BATCH, RATE, TABLE_RATE, DECAY, SUSPECT = 5, 32, 0.03, 0.01, 0.1, 0.4
 PARTS = 2048  # windows scored together
 
@@ -133,34 +134,69 @@ def _gradients(w: dict[str, np.ndarray], mask: np.ndarray, keep: dict, d: np.nda
     return grads, dx
 
 
-def fit(texts: list[str], labels: np.ndarray, *, seed: int = 7) -> Network | None:
-    """Fit the network on whole texts with labels 0 and 1; None if a class is missing."""
-    if len(set(labels.tolist())) < 2:
-        return None
-    rng = np.random.default_rng(seed)
-    raw = [t.encode() for t in texts]
-    offs = np.cumsum([0, *map(len, raw)])
-    t = Texts(np.arange(len(raw)), np.frombuffer(b"".join(raw), np.uint8), offs, True, SEPARATORS)
-    of_word = np.repeat(np.arange(len(raw)), np.diff(t.at))
-    learnt = rng.permutation(len(raw)) % 4 > 0  # the others calibrate
-    if len(set(labels[learnt].tolist())) < 2 or len(set(labels[~learnt].tolist())) < 2:
-        learnt = np.ones(len(raw), bool)
-    # the table holds the words whose presence tells the classes apart best (chi square), among those in enough texts
-    mine = learnt[of_word]
-    pairs = np.unique(np.stack([t.hash[mine], of_word[mine].astype(U)]), axis=1)
-    seen, back = np.unique(pairs[0], return_inverse=True)
-    alls, ones = np.bincount(back), np.bincount(back, weights=labels[pairs[1].astype(np.int64)])
+@dataclass
+class Sample:
+    """Texts as what the network reads: hash, size and first trigram of each word, trigram buckets of all words' bytes, first word of each text."""
+
+    hash: np.ndarray
+    size: np.ndarray
+    start: np.ndarray
+    tri: np.ndarray
+    at: np.ndarray
+
+
+def compact(t: Texts) -> Sample:
+    size = (t.ends - t.starts).astype(np.int32)
+    start = np.cumsum(size, dtype=np.int64) - size
+    inside = np.arange(size.sum()) + np.repeat(t.starts - start, size)
+    return Sample(t.hash, size, start, _trigrams(t)[inside].astype(np.uint16), t.at)
+
+
+def sample(texts: list[str], limit: int = 1 << 20) -> Sample:
+    """Texts in parts of about limit bytes, so that only the compact arrays of all of them are held."""
+    hashes, sizes, tris, words = [], [], [], []
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    for part, _, _ in chunks(pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), column], ["id", "text"]), lower=True, limit=limit, spaces=SEPARATORS):
+        t = compact(part)
+        hashes.append(t.hash)
+        sizes.append(t.size)
+        tris.append(t.tri)
+        words.append(np.diff(t.at))
+    size = np.concatenate(sizes)
+    return Sample(np.concatenate(hashes), size, np.cumsum(size, dtype=np.int64) - size, np.concatenate(tris), np.r_[0, np.cumsum(np.concatenate(words))])
+
+
+def _table(t: Sample, labels: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words whose presence tells the classes apart best (chi square), among those in enough texts, and their shrunk log-odds."""
+    mine = learnt[np.repeat(np.arange(len(labels)), np.diff(t.at))]
+    seen, word = np.unique(t.hash[mine], return_inverse=True)
+    text = np.repeat(np.arange(len(labels)), np.diff(t.at))[mine]
+    pairs = np.unique(word * len(labels) + text)  # each word once a text, packed in one key
+    word, text = pairs // len(labels), pairs % len(labels)
+    alls, ones = np.bincount(word, minlength=len(seen)), np.bincount(word, weights=labels[text], minlength=len(seen))
     n, n1 = int(learnt.sum()), max(1, int(labels[learnt].sum()))
     expected = alls * n1 / n
     chi = (ones - expected) ** 2 / (expected * (1 - n1 / n) * np.maximum(1 - alls / n, 1e-3) + 0.5)
     enough = (alls >= max(3, n // 200)) & (chi >= CHI)
     if enough.sum() > TABLE_WORDS:
         enough &= chi >= np.sort(chi[enough])[-TABLE_WORDS]
-    words = seen[enough]
     lift = np.log((ones + 2 * n1 / n) / (alls - ones + 2 * (1 - n1 / n))) - np.log(n1 / max(1, n - n1))
-    lift = lift[enough]
+    return seen[enough], lift[enough]
+
+
+def fit(texts: list[str], labels: np.ndarray, *, seed: int = 7) -> Network | None:
+    """Fit the network on whole texts with labels 0 and 1; None if a class is missing."""
+    if len(set(labels.tolist())) < 2:
+        return None
+    rng = np.random.default_rng(seed)
+    t = sample(texts)
+    learnt = rng.permutation(len(texts)) % 4 > 0  # the others calibrate
+    if len(set(labels[learnt].tolist())) < 2 or len(set(labels[~learnt].tolist())) < 2:
+        learnt = np.ones(len(texts), bool)
+    words, lift = _table(t, labels, learnt)
     ids = _word_ids(words, t.hash)
-    tri, size = _trigrams(t), t.ends - t.starts
+    tri, size = t.tri, t.size
+
     def start(*shape: int, scale: float = 0.3) -> np.ndarray:
         return rng.normal(0, scale, shape)
 
@@ -177,7 +213,7 @@ def fit(texts: list[str], labels: np.ndarray, *, seed: int = 7) -> Network | Non
         mask = (np.arange(WINDOW)[:, None] < length[b]).astype(float)[:, :, None]
         distinct, back = np.unique(cell, return_inverse=True)
         spread = np.repeat(np.arange(len(distinct)), size[distinct])
-        places = np.arange(len(spread)) - np.repeat(np.cumsum(size[distinct]) - size[distinct], size[distinct]) + t.starts[distinct][spread]
+        places = np.arange(len(spread)) - np.repeat(np.cumsum(size[distinct]) - size[distinct], size[distinct]) + t.start[distinct][spread]
         chars = np.zeros((len(distinct), CHAR_DIM))
         np.add.at(chars, spread, w["char"][tri[places]])
         chars /= size[distinct][:, None]
@@ -218,7 +254,7 @@ def fit(texts: list[str], labels: np.ndarray, *, seed: int = 7) -> Network | Non
                 change = first_moment[k] / (1 - 0.9**step) / (np.sqrt(second_moment[k] / (1 - 0.99**step)) + 1e-6)
                 w[k] = w[k] - (TABLE_RATE if table else RATE) * (change + (DECAY if table else 1e-3) * w[k])
     net = Network(words, {k: v.astype(np.float32) for k, v in w.items()}, np.zeros(3), float(labels.mean()))
-    features = text_features(t, net)
+    features = np.concatenate([text_features(part, net) for part in _parts(t)])
     use = np.isfinite(features[:, 1]) & (~learnt | learnt.all())
     net.final = _logistic(features[use], labels[use].astype(float))
     return net
@@ -234,20 +270,27 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return c
 
 
-def text_features(texts: Texts, net: Network) -> np.ndarray:
-    """For each text 1, largest window logit, expected number of toxic windows (6 at most); not finite without windows."""
+def _parts(t: Sample, limit: int = 1 << 20) -> Iterator[Sample]:
+    """Whole texts of t, about limit bytes of words at a time."""
+    end = np.r_[t.start, len(t.tri)]
+    i = 0
+    while i < len(t.at) - 1:
+        j = max(i + 1, int(np.searchsorted(end[t.at], end[t.at[i]] + limit, "right")) - 1)
+        a, b = t.at[i], t.at[j]
+        yield Sample(t.hash[a:b], t.size[a:b], t.start[a:b] - end[a], t.tri[end[a] : end[b]], t.at[i : j + 1] - a)
+        i = j
+
+
+def text_features(t: Sample, net: Network) -> np.ndarray:
+    """For each text 1, largest window logit, log(1 + expected number of toxic windows); not finite without windows."""
     w = net.weights
-    out = np.full((len(texts.at) - 1, 3), -np.inf)
-    text, first, length = windows(texts.at)
+    out = np.full((len(t.at) - 1, 3), -np.inf)
+    text, first, length = windows(t.at)
     if not len(text):
         return out
     table = w["word"] @ w["wx"] + w["bx"]
-    tri = _trigrams(texts)
-    inside = np.stack([texts.starts, texts.ends], 1).ravel()
-    if inside[-1] == len(tri):
-        inside = inside[:-1]
-    chars = np.add.reduceat(w["char"][tri], inside, axis=0)[::2] / (texts.ends - texts.starts)[:, None].astype(np.float32)
-    ids = _word_ids(net.words, texts.hash)
+    chars = np.add.reduceat(w["char"][t.tri], t.start, axis=0) / t.size[:, None].astype(np.float32)
+    ids = _word_ids(net.words, t.hash)
     logits = np.empty(len(text))
     full = np.flatnonzero(length == WINDOW)
     for group, masked in ((full, False), (np.flatnonzero(length < WINDOW), True)):
@@ -262,7 +305,7 @@ def text_features(texts: Texts, net: Network) -> np.ndarray:
     new = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
     top = np.maximum.reduceat(logits, new)
     total = np.add.reduceat(_sigmoid(logits), new)
-    out[text[new]] = np.stack([np.ones(len(new)), top, np.minimum(total, 6)], 1)
+    out[text[new]] = np.stack([np.ones(len(new)), top, np.log1p(total)], 1)
     return out
 
 
@@ -274,27 +317,45 @@ def scores(features: np.ndarray, net: Network) -> np.ndarray:
 def _scored(net: Network | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, i, j in chunks(batch, lower=True, limit=1 << 20, spaces=SEPARATORS):
-                s = scores(text_features(texts, net), net) if net else np.zeros(j - i)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(s)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(batch_scores(batch.column(1), net))], ["id", "score"])
 
     return run
 
 
+def batch_scores(texts: pa.Array, net: Network | None) -> np.ndarray:
+    """Score of every text of an Arrow column, in parts of about a megabyte; a null text counts as empty."""
+    if net is None or not len(texts):
+        return np.zeros(len(texts))
+    out = []
+    for t, _, _ in chunks(pa.RecordBatch.from_arrays([pa.nulls(len(texts), pa.int64()), texts], ["id", "text"]), lower=True, limit=1 << 20, spaces=SEPARATORS):
+        out.append(scores(text_features(compact(t), net), net))
+    return np.concatenate(out)
+
+
 def held_out(id_col: str) -> Column:
     """Rows whose labels are never learnt from: crc32 of the id as text leaves 1 by 3."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = FIT_TEXTS) -> Network | None:
-    """Fit on at most limit labelled texts that are not held out, the first by a hash of the id."""
+def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = FIT_TEXTS, limit_bytes: int = FIT_BYTES) -> Network | None:
+    """Fit on labelled texts that are not held out: the first by a hash of the id, at most limit texts and limit_bytes of text.
+
+    An id with several labels counts with the largest, one with several texts with the smallest.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
     known = known.where(~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(limit)
+    known = known.orderBy(F.xxhash64("id"), "id").limit(limit).select("id", "label", F.xxhash64("id").alias("turn"))
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    rows = docs.join(F.broadcast(known), "id").dropDuplicates(["id"]).collect()
+    sizes = docs.select("id", F.octet_length("text").alias("bytes")).join(F.broadcast(known), "id").groupBy("id").agg(F.max("bytes").alias("bytes"), F.first("turn").alias("turn")).collect()
+    sizes.sort(key=lambda r: (r["turn"], r["id"]))
+    room = np.cumsum([r["bytes"] for r in sizes])
+    chosen = [(r["id"],) for r, used in zip(sizes, room, strict=True) if used <= limit_bytes]
+    if not chosen:
+        return None
+    wanted = documents.sparkSession.createDataFrame(chosen, known.select("id").schema)
+    rows = docs.join(F.broadcast(known.join(F.broadcast(wanted), "id")), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label")).collect()
     rows = sorted(rows, key=lambda r: r["id"])
-    return fit([r["text"] for r in rows], np.array([r["label"] for r in rows], np.int64)) if rows else None
+    return fit([r["text"] for r in rows], np.array([r["label"] for r in rows], np.int64))
 
 
 def score(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7, net: Network | None = None) -> DataFrame:
@@ -306,8 +367,19 @@ def score(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def _clean(net: Network | None, threshold: float):
+    """Rows (text, row) to the fields of the rows that score below the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stay = pa.array(batch_scores(batch.column(0), net) < threshold)
+            yield pa.RecordBatch.from_struct_array(batch.column(1)).filter(stay)
+
+    return run
+
+
 def drop_toxic(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The input's rows (all columns) whose score is below the threshold."""
-    scored = score(documents, labels, id_col=id_col, text_col=text_col, threshold=threshold)
-    gone = scored.where("predicted = 1").select(id_col).distinct()
-    return documents.join(gone, id_col, "left_anti")
+    """The input's rows (all columns) whose own score is below the threshold, whatever their id; one pass without a shuffle."""
+    net = learn(documents, labels, id_col=id_col, text_col=text_col)
+    rows = documents.select(F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    return rows.mapInArrow(_clean(net, threshold), documents.schema)
