@@ -1,14 +1,15 @@
 """Chat formatting: tool calls linked with their results, ordered, validated and serialised.
 
 Calls and results are joined by their identifier (a hash join on the conversation and the id). Calls
-are ordered topologically over what they depend on: in each round the calls of which every dependency has a
-level get the next one, so a level is one more than the largest of its dependencies; calls on a cycle, or
+are ordered topologically over what they depend on: a level is one more than the largest of its
+dependencies; chains are followed by doubling, calls with several dependencies in rounds; calls on a cycle, or
 behind one, have no level. Arguments are parsed and checked against the tool's schema, and every message
 is written as canonical JSON (sorted keys, no spaces, characters as they are). No conversation is ever
 gathered: a message is a row, and (level, turn, call_id) is its order within the conversation.
 
 Defined results: a null conversation or id links with nothing and keeps its row; a null or malformed
-arguments text is invalid with the error `json`; an unknown tool has the error `tool`. Calls that repeat an id in a
+arguments text is invalid with the error `json`, and so is one with NaN, infinite numbers, unpaired surrogates or nesting
+beyond the parser's depth; a schema property without a type takes any; an unknown tool has the error `tool`. Calls that repeat an id in a
 conversation: the first by (turn, name, arguments) stands, the others are counted in n_repeats. Of
 several results for one id the first by (turn, content) is linked. All other results - without a call, with a
 null conversation or id, or behind the linked one - are rows of kind `result`, one each. Dependencies on ids that the conversation lacks are counted, not waited for. Empty tables
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartoscope.functions.durable import durable, release
+from cartoscope.functions.durable import durable, release, together
 
 Schema = Mapping[str, Mapping[str, Any]]
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "array": list, "object": dict}
@@ -48,39 +49,94 @@ def faults(arguments: Any, schema: Mapping[str, Any]) -> list[str]:
     for k, rule in fields.items():
         if k not in arguments:
             continue
-        v = arguments[k]
-        if not isinstance(v, KINDS[rule["type"]]) or isinstance(v, bool) and rule["type"] != "boolean":
+        v, kind = arguments[k], rule.get("type")
+        number = isinstance(v, (int, float)) and not isinstance(v, bool)
+        if kind and (not isinstance(v, KINDS[kind]) or isinstance(v, bool) and kind != "boolean"):
             out.append(f"type:{k}")
-        elif "minimum" in rule and v < rule["minimum"] or "maximum" in rule and v > rule["maximum"]:
+        elif number and ("minimum" in rule and v < rule["minimum"] or "maximum" in rule and v > rule["maximum"]):
             out.append(f"range:{k}")
         elif "enum" in rule and v not in rule["enum"]:
             out.append(f"enum:{k}")
     return sorted(out)
 
 
+def _chains(calls: DataFrame, real: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Durable tables of the calls by their number n of dependencies (conv, call_id, n), and of those with exactly one: (conv,
+    call_id, anchor, dist), anchor being the first call up the chain that has none or several, null behind a cycle.
+
+    Every chain is halved in each round, so a conversation of m dependent calls takes log2(m) rounds.
+    """
+    counts = real.groupBy("conv", "call_id").agg(F.count("*").alias("n"), F.min("dep").alias("dep"))
+    nodes = durable(calls.select("conv", "call_id").join(counts, ["conv", "call_id"], "left").fillna(0, ["n"]), "nodes")
+    target = nodes.select("conv", F.col("call_id").alias("dep"), (F.col("n") != 1).alias("final"))
+    singles = nodes.where("n = 1").select("conv", "call_id", "dep").join(target, ["conv", "dep"])
+    singles = durable(singles.select("conv", "call_id", F.col("dep").alias("anchor"), F.lit(1).cast("long").alias("dist"), "final"), "chains")
+    most = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+    reach = 1
+    while reach < most and not singles.where("not final").isEmpty():
+        ahead = singles.select("conv", F.col("call_id").alias("anchor"), F.col("anchor").alias("next"), F.col("dist").alias("more"), F.col("final").alias("last"))
+        met = singles.where("not final").join(ahead, ["conv", "anchor"])
+        met = met.select("conv", "call_id", F.col("next").alias("anchor"), (F.col("dist") + F.col("more")).alias("dist"), F.col("last").alias("final"))
+        after = durable(singles.where("final").unionAll(met.select(singles.columns)), "chains")
+        release(singles)
+        singles, reach = after, 2 * reach
+    return nodes, singles
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """Rows (conv, call_id, level, n_missing) of distinct calls with depends_on: array of ids in the same conversation."""
+    """Rows (conv, call_id, level, n_missing) of distinct calls with depends_on: array of ids in the same conversation.
+
+    Chains of calls with one dependency are followed by doubling; only calls with several are levelled
+    round by round, as many rounds as such calls lie behind each other.
+    """
     edges = calls.select("conv", "call_id", F.explode("depends_on").alias("dep")).distinct()
     known = calls.select("conv", F.col("call_id").alias("dep"))
     real = durable(edges.join(known, ["conv", "dep"], "left_semi"), "edges")
     missing = edges.join(known, ["conv", "dep"], "left_anti").groupBy("conv", "call_id").agg(F.count("*").alias("n_missing"))
-    done = durable(calls.select("conv", "call_id").join(real, ["conv", "call_id"], "left_anti").withColumn("level", F.lit(0)), "levels")
-    open_edges, level = real, 0
-    while not open_edges.isEmpty():
-        level += 1
-        # an edge is met once its dependency has a level; a call is next when all of its edges are met
-        met = open_edges.join(done.select("conv", F.col("call_id").alias("dep"), "level"), ["conv", "dep"], "left")
-        ready = met.groupBy("conv", "call_id").agg(F.count_if(F.col("level").isNull()).alias("open")).where("open = 0").select("conv", "call_id", F.lit(level).alias("level"))
-        ready = durable(ready, "ready")
+    nodes, singles = _chains(calls, real)
+    tips = singles.where("final").select("conv", "call_id", "anchor", "dist")
+    done = [durable(nodes.where("n = 0").select("conv", F.col("call_id").alias("anchor"), F.lit(0).cast("long").alias("base")), "levels")]
+    # of each call with several dependencies, the anchors of these; an anchor behind a cycle never gets a level
+    forks = real.join(nodes.where("n > 1").select("conv", "call_id"), ["conv", "call_id"], "left_semi")
+    forks = forks.join(singles.select("conv", F.col("call_id").alias("dep"), F.when(F.col("final"), F.col("anchor")).alias("anchor"), "dist", F.lit(True).alias("single")), ["conv", "dep"], "left")
+    open_forks = durable(forks.select("conv", "call_id", F.when(F.col("single"), F.col("anchor")).otherwise(F.col("dep")).alias("anchor"), F.coalesce("dist", F.lit(0).cast("long")).alias("dist")), "forks")
+    while not open_forks.isEmpty():
+        met = open_forks.join(together(done), ["conv", "anchor"], "left")
+        ready = met.groupBy("conv", "call_id").agg(F.count_if(F.col("base").isNull()).alias("open"), F.max(F.col("base") + F.col("dist") + 1).alias("base"))
+        ready = durable(ready.where("open = 0").select("conv", F.col("call_id").alias("anchor"), "base"), "levels")
+        done.append(ready)
         if ready.isEmpty():
             break
-        done, before = durable(done.unionByName(ready), "levels"), done
-        left = durable(open_edges.join(ready, ["conv", "call_id"], "left_anti"), "edges")
-        release(before)
-        if open_edges is not real:
-            release(open_edges)
-        open_edges = left
-    return calls.select("conv", "call_id").join(done, ["conv", "call_id"], "left").join(missing, ["conv", "call_id"], "left").fillna(0, ["n_missing"])
+        left = durable(open_forks.join(ready.select("conv", F.col("anchor").alias("call_id")), ["conv", "call_id"], "left_anti"), "forks")
+        release(open_forks)
+        open_forks = left
+    release(open_forks)
+    own = nodes.where("n <> 1").select("conv", "call_id", F.col("call_id").alias("anchor"), F.lit(0).cast("long").alias("dist"))
+    found = own.unionAll(tips).join(together(done), ["conv", "anchor"]).select("conv", "call_id", (F.col("base") + F.col("dist")).cast("int").alias("level"))
+    return calls.select("conv", "call_id").join(found, ["conv", "call_id"], "left").join(missing, ["conv", "call_id"], "left").fillna(0, ["n_missing"])
+
+
+def _finite(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise ValueError("not a JSON number")
+    return value
+
+
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is not JSON")
+
+
+def parsed(text: str | None) -> Any:
+    """The value of a JSON text. ValueError where it is none, nests too deeply, or holds numbers or characters that JSON in UTF-8 cannot carry."""
+    if text is None:
+        raise ValueError("null")
+    try:
+        value = json.loads(text, parse_float=_finite, parse_constant=_no_constant)
+        canonical(value).encode()
+    except RecursionError as e:
+        raise ValueError("too deep") from e
+    return value
 
 
 def _written(schemas: Schema):
@@ -93,8 +149,8 @@ def _written(schemas: Schema):
                     out.append((None, None, canonical(message)))
                     continue
                 try:
-                    arguments = json.loads(row["arguments"])
-                except (TypeError, ValueError):
+                    arguments = parsed(row["arguments"])
+                except ValueError:
                     arguments, wrong = row["arguments"], ["json"]
                 else:
                     wrong = faults(arguments, schemas[row["name"]]) if row["name"] in schemas else ["tool"]

@@ -77,7 +77,58 @@ def test_signatures_meet(spark):
                 b = np.sort(np.r_[a[drop:], rng.integers(0, 2**62, int(rng.integers(0, 3))).astype(np.uint64)])
                 both = len(np.intersect1d(a, b))
                 if 100 * both >= percent * (len(a) + len(b) - both):
-                    assert len(np.intersect1d(partenum.signatures(a, percent, low), partenum.signatures(b, percent, low)))
+                    x, y = (partenum.signatures(v, np.array([len(v)]), percent, low)[0] for v in (a, b))
+                    assert len(np.intersect1d(x, y)) or np.array_equal(a, b)
+
+
+def thue_morse(a, b, n):
+    out, flip = [a], {a: b, b: a}
+    while len(out) < n:
+        out += [flip[c] for c in out]
+    return "".join(out)
+
+
+def test_words_of_one_structure_differ(spark):
+    """Two words that a polynomial hash modulo a power of two cannot tell apart."""
+    one, two = thue_morse("a", "b", 1024), thue_morse("b", "a", 1024)
+    rows = partenum.jaccard_components(docs(spark, [f"x {one} y", f"x {two} y"]), q=4, percent=85).collect()
+    assert sorted(r.component_id for r in rows) == [0, 1]
+    filler = " ".join(WORDS[:49])
+    assert {r.n_removed for r in recompression.removed_words(docs(spark, [f"{one} {filler}", f"{two} {filler}"])).collect()} == {0}
+
+
+def test_large_ids_beside_a_null_id(spark):
+    body = " ".join(WORDS[:60])
+    big = 2**60
+    rows = partenum.jaccard_components(docs(spark, [body, f"{body} tail", "other words of a text"], [big + 1, big + 3, None]), q=4, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {big + 1: big + 1, big + 3: big + 1, None: None}
+
+
+def test_ids_with_several_texts(spark):
+    a, b, c = (" ".join(WORDS[k : k + 60]) for k in (0, 100, 200))
+    rows = partenum.jaccard_components(docs(spark, [a, b, a, f"{b} tail", c, c], [1, 5, 5, 7, 3, 5]), q=4, percent=85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (3, 1), (5, 1), (5, 1), (5, 1), (7, 1)]
+
+
+def test_near_but_unlike_group(spark):
+    """Copies of one body with words of their own: some pairs link, most do not, and one body is long."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for n, edits in ((150, 6), (150, 2), (40, 1), (600, 12)):
+        body = random_text(rng, n).split()
+        for k in range(25):
+            w = list(body)
+            for at in rng.choice(n, edits, replace=False):
+                w[at] = f"own{k}{at}"
+            texts.append(" ".join(w))
+    sets = [shingles(t, 4) for t in texts]
+    root = list(range(len(sets)))
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    for _ in range(len(sets)):
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    got = {r.doc_id: r.component_id for r in partenum.jaccard_components(docs(spark, texts), q=4, percent=85).collect()}
+    assert got == dict(enumerate(root)) and 1 < len(set(root)) < len(root)
 
 
 def test_jaccard_edge_rows(spark):
@@ -417,6 +468,35 @@ def test_tool_calls(spark):
     assert tool_calls.format_calls(calls.limit(0), results.limit(0), queries.SCHEMAS).collect() == []
 
 
+def test_levels_are_longest_paths(spark):
+    """A long chain, a loop with calls behind it, and random dependencies, against plain recursion."""
+    rng = np.random.default_rng(15)
+    deps = {("chain", f"c{i}"): [f"c{i - 1}"] if i else [] for i in range(70)}
+    deps |= {("loop", a): [b] for a, b in (("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("e", "d"))} | {("loop", "f"): ["e", "free"], ("loop", "free"): []}
+    for conv in ("x", "y"):
+        for i in range(40):
+            deps[conv, f"r{i}"] = [f"r{j}" for j in rng.choice(i, min(i, int(rng.integers(0, 4))), replace=False)] + (["absent"] if i % 9 == 0 else [])
+
+    def level(conv, call, behind=()):
+        if call in behind:
+            return None
+        below = [level(conv, d, (*behind, call)) for d in deps[conv, call] if (conv, d) in deps]
+        return None if None in below else 1 + max(below, default=-1)
+
+    calls = spark.createDataFrame([(*k, v) for k, v in deps.items()], "conv string, call_id string, depends_on array<string>")
+    got = {(r.conv, r.call_id): (r.level, r.n_missing) for r in tool_calls.levels(calls).collect()}
+    assert got == {(c, k): (level(c, k), sum((c, d) not in deps for d in v)) for (c, k), v in deps.items()}
+
+
+def test_arguments_that_are_not_json(spark):
+    texts = ['{"query": "\\ud800"}', "[" * 100_000, '{"query": NaN}', '{"query": 1e999}', '{"query": Infinity}', '{"limit": ' + "9" * 5000 + "}", '{"query": "ok"}']
+    calls = spark.createDataFrame([(1, str(i), i, "search", t, []) for i, t in enumerate(texts)], "conv long, call_id string, turn long, name string, arguments string, depends_on array<string>")
+    none = spark.createDataFrame([], "conv long, call_id string, turn long, content string")
+    rows = {int(r.call_id): r for r in tool_calls.format_calls(calls, none, {"search": {"properties": {"query": {"enum": ["ok"]}}}}).collect()}
+    assert [rows[i].errors for i in range(len(texts))] == ["json"] * 6 + [""]
+    assert all(json.loads(rows[i].message)["arguments"] == texts[i] for i in range(6))
+
+
 def test_every_tool_result_is_kept(spark):
     calls = spark.createDataFrame([(1, "a", 0, "search", "{}", []), (1, "b", 0, "search", "{}", [])], "conv long, call_id string, turn long, name string, arguments string, depends_on array<string>")
     told = [(1, "a", 1, "x"), (1, "a", 1, "x"), (1, "a", 2, "y"), (1, "b", None, None), (1, "q", 1, "x"), (1, "q", 1, "x"), (1, "q", 3, None), (None, "a", 1, "x"), (None, "a", 2, "y"), (1, None, 1, "x"), (1, None, 1, "x"), (None, None, None, None)]
