@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from cartoscope.functions.durable import durable, release
+from cartoscope.functions.durable import durable, release, together
 from cartoscope.operators.graph import connected_components
 from cartoscope.operators.spatial import across_sections, proximity_pairs
 
@@ -107,24 +107,48 @@ def greedy_match(pairs: DataFrame, truth: str = "a", prediction: str = "b", dist
 
 
 def closure(tree: DataFrame) -> DataFrame:
-    """Rows (ancestor, id, depth): every node under each of its ancestors and itself (depth 0), by doubling joins."""
+    """Rows (ancestor, id, depth): every node under each of its ancestors and itself (depth 0), by doubling joins.
+
+    A node that lies on a cycle or behind one is a ValueError: it would be its own ancestor without end. A tree
+    of n nodes is no deeper than n, so the doubling stops there.
+    """
     up = tree.where("parent_id is not null").select("id", F.col("parent_id").alias("ancestor"), F.lit(1).alias("depth"))
-    out, step, reach = durable(up, "closure"), 1, None
+    tables, step = [durable(up, "closure")], 1
+    most = tables[0].count()
     while True:
+        out = together(tables)
         far = out.where(F.col("depth") == step).select(F.col("id").alias("ancestor"), F.col("ancestor").alias("__up"))
         more = out.join(far, "ancestor").select("id", F.col("__up").alias("ancestor"), (F.col("depth") + step).alias("depth"))
         reach = durable(more, "closure")
         if reach.isEmpty():
             break
-        out, step = durable(out.unionByName(reach), "closure"), 2 * step
+        tables.append(reach)
+        step *= 2
+        if step > most or not reach.where("id = ancestor").isEmpty():
+            raise ValueError("the parents run in a circle")
     own = tree.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("depth"))
-    return out.unionByName(own).select("ancestor", "id", "depth")
+    return together(tables).unionByName(own).select("ancestor", "id", "depth")
 
 
 def rollup(tree: DataFrame, counts: DataFrame, value: str = "n") -> DataFrame:
-    """Each node's total over itself and all descendants; 0 where there is none."""
-    rows = closure(tree).join(counts.select("id", value), "id", "left")
-    return rows.groupBy(F.col("ancestor").alias("id")).agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("total"))
+    """Each node's total over itself and all descendants; 0 where there is none.
+
+    Sums move up one level in each round, combined at every parent, so a round carries as many rows as there
+    are nodes with something to pass on, and no table of all ancestors is made. Nodes on a cycle are a ValueError.
+    """
+    parents = durable(tree.select("id", "parent_id"), "tree")
+    now = durable(counts.groupBy("id").agg(F.sum(value).cast("long").alias("total")).join(parents.select("id"), "id", "left_semi"), "sums")
+    sums, most = [now], parents.count()
+    while True:
+        if len(sums) > most + 1:
+            raise ValueError("the parents run in a circle")
+        up = now.join(parents.where("parent_id is not null"), "id").groupBy(F.col("parent_id").alias("id")).agg(F.sum("total").alias("total"))
+        now = durable(up, "sums")
+        if now.isEmpty():
+            break
+        sums.append(now)
+    total = together(sums).groupBy("id").agg(F.sum("total").alias("total"))
+    return parents.select("id").join(total, "id", "left").select("id", F.coalesce("total", F.lit(0)).cast("long").alias("total"))
 
 
 def within_levels(tree: DataFrame, node: str, levels: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from cartoscope.functions.durable import durable
 from cartoscope.operators.graph import connected_components
 
 RC = ("row", "col")
@@ -100,6 +101,39 @@ def component_stats(labelled: DataFrame) -> DataFrame:
     )
 
 
+#: Offsets of the lines (z, y) behind a line that its voxels can touch: half of the eight around it.
+LINES = ((0, 1), (1, -1), (1, 0), (1, 1))
+
+
+def components_3d(voxels: DataFrame) -> DataFrame:
+    """voxels (volume, z, y, x: the foreground) with component: 26-connected, named by its first run along x."""
+    keys = ["volume", "z", "y"]
+    line = W.partitionBy(*keys).orderBy("x")
+    starts = voxels.withColumn("new", (F.coalesce(F.col("x") - F.lag("x").over(line), F.lit(2)) > 1).cast("int"))
+    first = F.max(F.when(F.col("new") == 1, F.col("x"))).over(line.rowsBetween(W.unboundedPreceding, W.currentRow))
+    place = [F.lpad(c.cast("string"), 9, "0") for c in (F.col("z"), F.col("y"), first)]
+    named = starts.withColumn("run", F.concat_ws(":", F.col("volume").cast("string"), *place)).drop("new")
+    steps = F.array(*[F.struct(F.lit(z).alias("z"), F.lit(y).alias("y"), F.lit(x).alias("x")) for z, y in LINES for x in (-1, 0, 1)])
+    behind = named.select("volume", *"zyx", F.col("run").alias("other"), F.explode(steps).alias("o"))
+    behind = behind.select("volume", *[(F.col(c) + F.col(f"o.{c}")).alias(c) for c in "zyx"], "other")
+    edges = named.join(behind, ["volume", *"zyx"]).select(F.col("run").alias("src"), F.col("other").alias("dst")).distinct()
+    comps = connected_components(edges)
+    return named.join(comps, F.col("run") == F.col("node"), "left").select(*voxels.columns, F.coalesce("component", "run").alias("component"))
+
+
+def cell_measures(voxels: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """Per 26-connected component of voxels (volume, z, y, x, value) above the threshold: truncated centre (z, y, x), n_voxels,
+    z_depth, and intensity, the largest value of any voxel within radius of the centre on every axis; null without one."""
+    labelled = components_3d(voxels.where(F.col("value") > threshold))
+    cells = labelled.groupBy("volume", "component").agg(*[F.avg(c).cast("long").alias(c) for c in "zyx"], F.count("*").alias("n_voxels"), (F.max("z") - F.min("z") + 1).cast("long").alias("z_depth"))
+    cells = durable(cells, "cells")
+    around = range(-radius, radius + 1)
+    steps = F.array(*[F.struct(F.lit(i).alias("z"), F.lit(j).alias("y"), F.lit(k).alias("x")) for i in around for j in around for k in around])
+    near = cells.select("component", "volume", *"zyx", F.explode(steps).alias("o")).select("component", "volume", *[(F.col(c) + F.col(f"o.{c}")).alias(c) for c in "zyx"])
+    bright = near.join(voxels, ["volume", *"zyx"]).groupBy("component").agg(F.max("value").alias("intensity"))
+    return cells.join(bright, "component", "left").select("volume", *"zyx", "n_voxels", "z_depth", "intensity")
+
+
 def remove_small(labelled: DataFrame, smallest: int) -> DataFrame:
     """Pixels of components of at least so many pixels."""
     keep = labelled.groupBy("component").agg(F.count("*").alias("__n")).where(F.col("__n") >= smallest).select("component")

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from cartoscope.functions.durable import durable
+
 
 def filtered_sum(rows: DataFrame, condition: str, sums: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Sums of columns by keys over the rows that meet a condition."""
@@ -109,19 +111,32 @@ def dice(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return n.select("na", "nb", "n_both", (2 * F.col("n_both") / F.nullif(F.col("na") + F.col("nb"), F.lit(0))).alias("dice"))
 
 
+def running_sums(rows: DataFrame, by: Column, columns: Sequence[str]) -> DataFrame:
+    """rows with upto_<column>: sums of all rows up to and including each in the order of by (distinct values).
+
+    The rows are dealt by range; each range sums its own rows, and the totals of the ranges before it, one row a range, are
+    added. No task holds more than a range.
+    """
+    dealt = durable(rows.withColumn("__by", by).repartitionByRange("__by").withColumn("__part", F.spark_partition_id()), "ranges")
+    totals = dealt.groupBy("__part").agg(*[F.sum(c).alias(f"__{c}") for c in columns])
+    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("__part", *[F.coalesce(F.sum(f"__{c}").over(before), F.lit(0)).alias(f"__{c}") for c in columns])
+    inside = W.partitionBy("__part").orderBy("__by").rowsBetween(W.unboundedPreceding, W.currentRow)
+    own = dealt.select("*", *[F.sum(c).over(inside).alias(f"upto_{c}") for c in columns])
+    out = own.join(F.broadcast(offsets), "__part")  # as many rows as the session has shuffle partitions
+    return out.select(*rows.columns, *[(F.col(f"upto_{c}") + F.col(f"__{c}")).alias(f"upto_{c}") for c in columns])
+
+
 def roc_curve(rows: DataFrame, score: str, label: str) -> DataFrame:
-    """True and false positives at each distinct score, from above; groups of ties are one step."""
+    """True and false positives (tp, fp) at each distinct score, from above, and those of the score alone (p, n); ties are one step."""
     each = rows.groupBy(F.col(score).alias("threshold")).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n"))
-    w = W.orderBy(F.desc("threshold")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return each.select("threshold", F.sum("p").over(w).alias("tp"), F.sum("n").over(w).alias("fp"))
+    return running_sums(each, -F.col("threshold"), ["p", "n"]).withColumnsRenamed({"upto_p": "tp", "upto_n": "fp"})
 
 
 def auc(rows: DataFrame, score: str, label: str) -> DataFrame:
     """Area under the ROC curve by the trapezoid rule, with the confusion counts at a threshold of 0.5."""
     curve = roc_curve(rows, score, label)
-    w = W.orderBy(F.desc("threshold"))
-    steps = curve.withColumns({"tp0": F.coalesce(F.lag("tp").over(w), F.lit(0)), "fp0": F.coalesce(F.lag("fp").over(w), F.lit(0))})
-    area = steps.agg((F.sum((F.col("fp") - F.col("fp0")) * (F.col("tp") + F.col("tp0"))) / 2 / (F.max("tp") * F.max("fp"))).alias("auc"))
+    area = curve.agg((F.sum(F.col("n") * (2 * F.col("tp") - F.col("p"))) / 2 / (F.max("tp") * F.max("fp"))).alias("auc"))
     s, y = F.col(score) >= 0.5, F.col(label) == 1
     counts = rows.agg(F.count_if(s & y).alias("tp"), F.count_if(s & ~y).alias("fp"), F.count_if(~s & y).alias("fn"), F.count_if(~s & ~y).alias("tn"))
     return area.crossJoin(counts)
@@ -158,10 +173,9 @@ def ks_two_sample(sample: DataFrame, background: DataFrame, key: str, value: str
     The background's counts per distinct value are shared: each group joins only the cumulative share at its own
     values and just below them, where the largest gap must lie.
     """
-    w = W.orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     total = background.count()
-    ref = background.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    ref = ref.select("v", (F.sum("c").over(w) / total).alias("upto"), ((F.sum("c").over(w) - F.col("c")) / total).alias("before"))
+    ref = running_sums(background.groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c")), F.col("v"), ["c"])
+    ref = ref.select("v", (F.col("upto_c") / total).alias("upto"), ((F.col("upto_c") - F.col("c")) / total).alias("before"))
     own = sample.groupBy(key, F.col(value).alias("v")).agg(F.count("*").alias("c"))
     g = W.partitionBy(key).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     whole = W.partitionBy(key)

@@ -152,7 +152,8 @@ def agg_dice(t: Tables) -> DataFrame:
     return S.dice(mask(T.human_points(t)), mask(T.machine_points(t)), ["section", "x"])
 
 
-@query()
+@query("""WITH s AS (SELECT (mean_score + 3.5::DOUBLE) / 7 AS score, (status = 'F')::INTEGER AS label FROM @det), e AS (SELECT score, sum(label) AS p, sum(1 - label) AS n FROM s GROUP BY score), c AS (SELECT p, n, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM e WINDOW w AS (ORDER BY score DESC))
+  SELECT sum(n * (2 * c.tp - p))::DOUBLE / 2 / (max(c.tp) * max(c.fp))::DOUBLE AS auc, first(k.tp) AS tp, first(k.fp) AS fp, first(k.fn) AS fn, first(k.tn) AS tn FROM c, (SELECT count(*) FILTER (score >= 0.5 AND label = 1) AS tp, count(*) FILTER (score >= 0.5 AND label = 0) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn, count(*) FILTER (score < 0.5 AND label = 0) AS tn FROM s) k""")
 def agg_roc_auc(t: Tables) -> DataFrame:
     rows = T.detections(t).select(((F.col("mean_score") + 3.5) / 7).alias("score"), (F.col("status") == "F").cast("int").alias("label"))
     return S.auc(rows, "score", "label")
@@ -176,14 +177,22 @@ def agg_linear_fit(t: Tables) -> DataFrame:
     return out.select(F.round("slope", 9).alias("slope"), F.round("intercept", 6).alias("intercept"), "n_above", "n_below", F.round("p95_above", 6).alias("p95_above"), F.round("p95_below", 6).alias("p95_below"))
 
 
-@query("""WITH o AS (SELECT box, f1 AS v, count(*) AS c FROM @ftr GROUP BY ALL), n AS (SELECT box, sum(c) AS n FROM o GROUP BY box), r AS (SELECT v, sum(c) OVER (ORDER BY v) / sum(c) OVER () AS upto, (sum(c) OVER (ORDER BY v) - c) / sum(c) OVER () AS before FROM (SELECT f1 AS v, count(*) AS c FROM @ftr GROUP BY ALL)),
-  g AS (SELECT box, n, v, greatest(abs(s / n - upto), abs((s - c) / n - before)) AS gap FROM (SELECT o.box, n.n, o.v, o.c, sum(o.c) OVER (PARTITION BY o.box ORDER BY o.v) AS s FROM o JOIN n USING (box)) JOIN r USING (v))
-  SELECT box, n::BIGINT AS n, max(gap) AS ks FROM g GROUP BY ALL""")
+KS = """WITH o AS (SELECT box, f1 AS v, count(*) AS c FROM @ftr GROUP BY ALL), n AS (SELECT box, sum(c) AS n FROM o GROUP BY box), r AS (SELECT v, sum(c) OVER (ORDER BY v) / sum(c) OVER () AS upto, (sum(c) OVER (ORDER BY v) - c) / sum(c) OVER () AS before FROM (SELECT f1 AS v, count(*) AS c FROM @ftr GROUP BY ALL)),
+  g AS (SELECT box, n, v, greatest(abs(s / n - upto), abs((s - c) / n - before)) AS gap FROM (SELECT o.box, n.n, o.v, o.c, sum(o.c) OVER (PARTITION BY o.box ORDER BY o.v) AS s FROM o JOIN n USING (box)) JOIN r USING (v))"""
+
+
+@query(KS + " SELECT box, n::BIGINT AS n, max(gap) AS ks FROM g GROUP BY ALL")
 def agg_ks_two_sample(t: Tables) -> DataFrame:
     return S.ks_two_sample(T.features(t), T.features(t), "box", "f1").select("box", "n", "ks")
 
 
-@query()
+@query(
+    KS
+    + """, d AS (SELECT box, max(gap) AS ks, sqrt(n * t / (n + t)) AS root FROM g, (SELECT count(*)::DOUBLE AS t FROM @ftr) GROUP BY box, n, t),
+  p AS (SELECT floor(box / 10)::BIGINT AS bx, box % 10 AS by, list_sum(list_transform(range(1, 11), lambda k: 2 * pow(-1, k - 1) * exp(-2 * k * k * lam * lam))) AS p FROM (SELECT box, (root + 0.12::DOUBLE + 0.11::DOUBLE / root) * ks AS lam FROM d))
+  SELECT a.bx, a.by, b.bx AS bx2, b.by AS by2, CASE WHEN a.p < 0.05 AND b.p < 0.05 THEN 'both' WHEN a.p < 0.05 THEN 'first' WHEN b.p < 0.05 THEN 'second' ELSE 'none' END AS relation
+  FROM p a JOIN p b ON abs(a.bx - b.bx) <= 1 AND abs(a.by - b.by) <= 1 AND NOT (a.bx = b.bx AND a.by = b.by)"""
+)
 def agg_box_relation(t: Tables) -> DataFrame:
     """Neighbouring boxes and whether each differs from the background."""
     p = S.ks_two_sample(T.features(t), T.features(t), "box", "f1").select(F.floor(F.col("box") / 10).alias("bx"), (F.col("box") % 10).alias("by"), "p_value")

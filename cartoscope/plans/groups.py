@@ -95,7 +95,17 @@ def win_best_threshold(t: Tables) -> DataFrame:
     return G.best_threshold(rows).select("id", "group_id", "threshold")
 
 
-@query()
+TABLES_SQL["mth"] = """SELECT id * 10 + (threshold // 100) % 10 AS id, section, x + (threshold % 300)::DOUBLE / 100 AS x, y, mean_score - threshold::DOUBLE / 10000 AS mean_score, CASE WHEN predictions = 2 THEN 'sure' ELSE 'unsure' END AS kind, threshold
+  FROM (SELECT * FROM @det WHERE predictions >= 0), (SELECT unnest([2000, 2100, 2200, 2300, 2700]) AS threshold) WHERE (id + threshold // 100) % 3 > 0"""
+
+
+@query(
+    """WITH RECURSIVE t AS MATERIALIZED (SELECT * FROM @mth), e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.section = b.section AND a.id <> b.id AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) < 900),
+  reach AS (SELECT id AS node, id AS root FROM t UNION SELECT e.b, r.root FROM reach r JOIN e ON e.a = r.node WHERE r.root < e.b), grp AS (SELECT node AS id, min(root) AS group_id FROM reach GROUP BY node),
+  h AS (SELECT t.*, group_id, bool_or(kind = 'sure') OVER (PARTITION BY group_id) AS has_sure FROM t JOIN grp USING (id)), c AS (SELECT * FROM h WHERE kind = 'sure' OR NOT has_sure),
+  b AS (SELECT group_id, threshold FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY mean_score DESC, threshold) AS r FROM c) WHERE r = 1)
+  SELECT c.id, c.group_id, c.threshold, c.kind FROM c JOIN b ON c.group_id = b.group_id AND c.threshold = b.threshold"""
+)
 def iter_multi_threshold(t: Tables) -> DataFrame:
     """Detections of five thresholds (the same cells moved a little) combined into final ones."""
     rows = T.detections(t).where("predictions >= 0").select("id", "section", "x", "y", "mean_score", "predictions", F.explode(F.array(*[F.lit(v) for v in (2000, 2100, 2200, 2300, 2700)])).alias("threshold"))

@@ -120,59 +120,34 @@ def join_value_structure(t: Tables) -> DataFrame:
 
 
 PIP = """
-edges AS (SELECT polygon, section, x, y, coalesce(lead(x) OVER w, first(x) OVER w) AS x2, coalesce(lead(y) OVER w, first(y) OVER w) AS y2 FROM @poly
+edges AS (SELECT polygon, section, x, y, coalesce(lead(x) OVER w, first(x) OVER w) AS x2, coalesce(lead(y) OVER w, first(y) OVER w) AS y2 FROM @pol
   WINDOW w AS (PARTITION BY polygon ORDER BY point_order ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-many AS (SELECT polygon, section FROM @poly GROUP BY ALL HAVING count(*) >= 3),
+many AS (SELECT polygon, section FROM @pol GROUP BY ALL HAVING count(*) >= 3),
 hits AS (SELECT p.id, p.section, e.polygon,
     count(*) FILTER ((e.y > p.y) <> (e.y2 > p.y) AND CASE WHEN e.y2 > e.y THEN (p.x - e.x) * (e.y2 - e.y) - (p.y - e.y) * (e.x2 - e.x) < 0 ELSE (p.x - e.x) * (e.y2 - e.y) - (p.y - e.y) * (e.x2 - e.x) > 0 END) AS n,
     bool_or((p.x - e.x) * (e.y2 - e.y) - (p.y - e.y) * (e.x2 - e.x) = 0 AND p.x BETWEEN least(e.x, e.x2) AND greatest(e.x, e.x2) AND p.y BETWEEN least(e.y, e.y2) AND greatest(e.y, e.y2)) AS on_edge
   FROM @pip p JOIN edges e ON p.section = e.section JOIN many m ON m.polygon = e.polygon GROUP BY ALL),
 inside AS (SELECT id, polygon, section FROM hits WHERE NOT on_edge AND n % 2 = 1)
 """
-TABLES_SQL["poly"] = "SELECT * FROM @pol WHERE polygon % 20 = 0"
 TABLES_SQL["pip"] = "SELECT id, section, x % 200 AS x, y % 150 AS y FROM @human"
 
 
-def zones(t: Tables) -> DataFrame:
-    """Polygons of every twentieth order: the regions of interest that points are tested against."""
-    return T.polygons(t).where("polygon % 20 = 0")
-
-
 def pip_points(t: Tables) -> DataFrame:
     return T.human_points(t).select("id", "section", (F.col("x") % 200).alias("x"), (F.col("y") % 150).alias("y"))
 
 
 @query(f"WITH {PIP} SELECT * FROM inside")
 def join_point_in_polygon(t: Tables) -> DataFrame:
-    return P.in_polygons(pip_points(t), zones(t))
+    return P.in_polygons(pip_points(t), T.polygons(t))
 
 
 @query(f"WITH {PIP} SELECT DISTINCT id FROM inside")
 def join_point_in_polygon_any(t: Tables) -> DataFrame:
-    return P.polygon_union(pip_points(t), zones(t)).select("id")
+    return P.polygon_union(pip_points(t), T.polygons(t)).select("id")
 
 
 @query(f"WITH {PIP} SELECT i.id FROM inside i JOIN (SELECT section, count(*) AS total FROM many GROUP BY section) USING (section) GROUP BY i.id, total HAVING count(*) = total")
 def join_point_in_polygon_all(t: Tables) -> DataFrame:
-    return P.polygon_intersection(pip_points(t), zones(t)).select("id")
-
-
-# The same three over every polygon; the SQL of those above keeps every twentieth.
-PIP_WHOLE = PIP.replace("@poly", "@pol")
-
-
-@query(f"WITH {PIP_WHOLE} SELECT * FROM inside")
-def join_point_in_polygon_whole(t: Tables) -> DataFrame:
-    return P.in_polygons(pip_points(t), T.polygons(t))
-
-
-@query(f"WITH {PIP_WHOLE} SELECT DISTINCT id FROM inside")
-def join_point_in_polygon_any_whole(t: Tables) -> DataFrame:
-    return P.polygon_union(pip_points(t), T.polygons(t)).select("id")
-
-
-@query(f"WITH {PIP_WHOLE} SELECT i.id FROM inside i JOIN (SELECT section, count(*) AS total FROM many GROUP BY section) USING (section) GROUP BY i.id, total HAVING count(*) = total")
-def join_point_in_polygon_all_whole(t: Tables) -> DataFrame:
     return P.polygon_intersection(pip_points(t), T.polygons(t)).select("id")
 
 

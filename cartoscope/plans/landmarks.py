@@ -56,7 +56,11 @@ def map_inverse(t: Tables) -> DataFrame:
     return digits(L.map_points(T.landmarks(t), fits, "brain", inverse=True), 3)
 
 
-@query()
+@query("""WITH p AS (SELECT section, rotation AS r, xshift + 100 - 100 * cos(rotation) + 80 * sin(rotation) AS tx, yshift + 80 - 100 * sin(rotation) - 80 * cos(rotation) AS ty, (SELECT count(*) // 2 FROM @trf) AS mid FROM @trf),
+  u AS (SELECT section, a, sum(cos(a) * tx + sin(a) * ty) OVER w AS u, sum(-sin(a) * tx + cos(a) * ty) OVER w AS v FROM (SELECT *, sum(r) OVER (ORDER BY section) AS a FROM p WHERE section > mid) WINDOW w AS (ORDER BY section)),
+  d AS (SELECT section - 1 AS section, a, sum(cos(a - r) * tx - sin(a - r) * ty) OVER w AS dx, sum(sin(a - r) * tx + cos(a - r) * ty) OVER w AS dy FROM (SELECT *, sum(r) OVER (ORDER BY section DESC) AS a FROM p WHERE section <= mid) WINDOW w AS (ORDER BY section DESC)),
+  o AS (SELECT section, cos(a) AS c, sin(a) AS s, cos(a) * u - sin(a) * v AS dx, sin(a) * u + cos(a) * v AS dy FROM u UNION ALL SELECT section, cos(a), -sin(a), -cos(a) * dx - sin(a) * dy, sin(a) * dx - cos(a) * dy FROM d UNION ALL SELECT section, 1, 0, 0, 0 FROM p WHERE section = mid)
+  SELECT section, round(c, 6) AS m00, round(-s, 6) AS m01, round(dx, 6) AS m02, round(s, 6) AS m10, round(c, 6) AS m11, round(dy, 6) AS m12 FROM o""")
 def win_compose_transforms(t: Tables) -> DataFrame:
     n = t.supplier.count()
     return digits(L.compose_sections(T.transforms(t), n // 2, (100.0, 80.0)), 6)

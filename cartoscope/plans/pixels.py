@@ -70,7 +70,10 @@ def pix_remove_small(t: Tables) -> DataFrame:
     return X.remove_small(X.components(X.foreground(T.pixels(t), 150)), 4).select("image", "row", "col")
 
 
-@query()
+SITE = COMP.replace("@fg", "(SELECT image, row, col FROM (SELECT *, avg(value) OVER (PARTITION BY image) AS m, stddev_pop(value) OVER (PARTITION BY image) AS s FROM @pix) WHERE value > m + s)")
+
+
+@query(SITE + ", top AS (SELECT comp FROM (SELECT comp, row_number() OVER (PARTITION BY image ORDER BY count(*) DESC, comp) AS r FROM l GROUP BY image, comp) WHERE r <= 2) SELECT l.image, l.row, l.col, p.value FROM l JOIN @pix p ON p.image = l.image AND p.row = l.row AND p.col = l.col WHERE l.comp IN (SELECT comp FROM top)")
 def pix_find_site(t: Tables) -> DataFrame:
     return X.find_site(T.pixels(t), 1.0, 2).select("image", "row", "col", "value")
 
@@ -90,19 +93,19 @@ def pix_symmetrize(t: Tables) -> DataFrame:
     return X.symmetrize(T.pixels(t), "col", 8)
 
 
-@query("SELECT DISTINCT section, y + i AS row, x + j AS col FROM (SELECT * FROM @human WHERE id % 7 = 0), (SELECT unnest(range(-5, 6)) AS i), (SELECT unnest(range(-5, 6)) AS j) WHERE i * i + j * j <= 25")
-def pix_draw_disc(t: Tables) -> DataFrame:
-    return X.draw_discs(T.human_points(t).where("id % 7 = 0"), 5)
-
-
 @query("SELECT DISTINCT section, y + i AS row, x + j AS col FROM @human, (SELECT unnest(range(-5, 6)) AS i), (SELECT unnest(range(-5, 6)) AS j) WHERE i * i + j * j <= 25")
-def pix_draw_disc_whole(t: Tables) -> DataFrame:
+def pix_draw_disc(t: Tables) -> DataFrame:
     return X.draw_discs(T.human_points(t), 5)
 
 
-@query()
+@query("""WITH e AS (SELECT polygon, section, x, y, coalesce(lead(x) OVER w, first(x) OVER w) AS x2, coalesce(lead(y) OVER w, first(y) OVER w) AS y2 FROM @pol WINDOW w AS (PARTITION BY polygon ORDER BY point_order ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+  c AS (SELECT polygon, section, row, x + (row + 0.5::DOUBLE - y) * (x2 - x) / (y2 - y) AS cut FROM (SELECT *, unnest(range(least(y, y2) - 1, greatest(y, y2) + 1)) AS row FROM e WHERE y <> y2) WHERE row + 0.5 > least(y, y2) AND row + 0.5 <= greatest(y, y2)),
+  r AS (SELECT polygon, section, row, ceil(cut - 0.5)::BIGINT AS a, ceil(nxt - 0.5)::BIGINT - 1 AS b FROM (SELECT *, row_number() OVER w AS k, lead(cut) OVER w AS nxt FROM c WINDOW w AS (PARTITION BY polygon, section, row ORDER BY cut)) WHERE k % 2 = 1 AND nxt IS NOT NULL)
+  SELECT polygon, section, sum(b - a + 1)::BIGINT AS n, min(a) AS min_col, max(b) AS max_col, sum(row * (b - a + 1))::BIGINT AS sum_row, sum((a + b) * (b - a + 1) // 2)::BIGINT AS sum_col FROM r WHERE a <= b GROUP BY ALL""")
 def pix_fill_polygon(t: Tables) -> DataFrame:
-    return X.fill_polygons(P.polygon_edges(T.polygons(t)))
+    """Of the pixels of every polygon: number, bounding columns, and sums of rows and columns."""
+    pixels = X.fill_polygons(P.polygon_edges(T.polygons(t)))
+    return pixels.groupBy("polygon", "section").agg(F.count("*").alias("n"), F.min("col").alias("min_col"), F.max("col").alias("max_col"), F.sum("row").alias("sum_row"), F.sum("col").alias("sum_col"))
 
 
 @query("SELECT image, floor(row / 2)::BIGINT AS row, floor(col / 2)::BIGINT AS col, avg(value) AS value, 1 AS level FROM @pix GROUP BY ALL UNION ALL SELECT image, floor(row / 4)::BIGINT, floor(col / 4)::BIGINT, avg(value), 2 FROM @pix GROUP BY ALL UNION ALL SELECT image, 0, 0, avg(value), 3 FROM @pix GROUP BY image")
@@ -110,7 +113,8 @@ def agg_downsample(t: Tables) -> DataFrame:
     return X.pyramid(T.pixels(t), 3)
 
 
-@query()
+@query("""WITH k AS (SELECT d, exp(-d * d / 4.5::DOUBLE) AS w FROM (SELECT unnest(range(-3, 4)) AS d)), a AS (SELECT image, row + d AS r, col, sum(value * w) / sum(w) AS b FROM @pix, k GROUP BY ALL), b AS (SELECT image, r, col + d AS c, sum(b * w) / sum(w) AS b FROM a, k GROUP BY ALL)
+  SELECT p.image, p.row, p.col, round(greatest(p.value - b.b, 0.0::DOUBLE), 6) AS value FROM @pix p JOIN b ON b.image = p.image AND b.r = p.row AND b.c = p.col""")
 def pix_blur_subtract(t: Tables) -> DataFrame:
     return X.blur_subtract(T.pixels(t), 3, 1.5).select("image", "row", "col", F.round("value", 6).alias("value"))
 
@@ -120,7 +124,16 @@ def agg_moments(t: Tables) -> DataFrame:
     return X.moments(T.pixels(t), ["image"]).select("image", "m00", "m10", "m01", "m11", "m21", "m30")
 
 
-@query()
+HU = """WITH m AS (SELECT image, sum(v) AS m00, sum(v * x) AS m10, sum(v * y) AS m01, sum(v * x * y) AS m11, sum(v * x * x) AS m20, sum(v * y * y) AS m02, sum(v * x * x * x) AS m30, sum(v * y * y * y) AS m03, sum(v * x * x * y) AS m21, sum(v * x * y * y) AS m12 FROM (SELECT image, value::DOUBLE AS v, col::DOUBLE AS x, row::DOUBLE AS y FROM @pix) GROUP BY image),
+c AS (SELECT *, m10 / m00 AS a, m01 / m00 AS b FROM m),
+n AS (SELECT image, (m20 - a * m10) / pow(m00, 2) AS nu20, (m11 - a * m01) / pow(m00, 2) AS nu11, (m02 - b * m01) / pow(m00, 2) AS nu02, (m30 - 3 * a * m20 + 2 * a * a * m10) / pow(m00, 2.5) AS nu30, (m21 - 2 * a * m11 - b * m20 + 2 * a * a * m01) / pow(m00, 2.5) AS nu21,
+  (m12 - 2 * b * m11 - a * m02 + 2 * b * b * m10) / pow(m00, 2.5) AS nu12, (m03 - 3 * b * m02 + 2 * b * b * m01) / pow(m00, 2.5) AS nu03 FROM c),
+h AS (SELECT *, nu30 + nu12 AS p, nu21 + nu03 AS q, nu30 - 3 * nu12 AS r, 3 * nu21 - nu03 AS t, nu20 - nu02 AS s FROM n)
+SELECT image, round(nu20, 9) AS nu20, round(nu11, 9) AS nu11, round(nu02, 9) AS nu02, round(nu30, 9) AS nu30, round(nu21, 9) AS nu21, round(nu12, 9) AS nu12, round(nu03, 9) AS nu03, round(nu20 + nu02, 9) AS h0, round(s * s + 4 * nu11 * nu11, 9) AS h1, round(r * r + t * t, 9) AS h2, round(p * p + q * q, 9) AS h3,
+  round(r * p * (p * p - 3 * q * q) + t * q * (3 * p * p - q * q), 9) AS h4, round(s * (p * p - q * q) + 4 * nu11 * p * q, 9) AS h5, round(t * p * (p * p - 3 * q * q) - r * q * (3 * p * p - q * q), 9) AS h6 FROM h"""
+
+
+@query(HU)
 def agg_moments_hu(t: Tables) -> DataFrame:
     out = X.moments(T.pixels(t), ["image"])
     return out.select("image", *[F.round(c, 9).alias(c) for c in out.columns if c[0] in "nh"])
@@ -140,3 +153,16 @@ def win_match_histogram(t: Tables) -> DataFrame:
 @query("SELECT image, value, sum(count(*)) OVER (PARTITION BY image ORDER BY value) / sum(count(*)) OVER (PARTITION BY image) AS share FROM @pix GROUP BY image, value")
 def win_ecdf(t: Tables) -> DataFrame:
     return S.ecdf(T.pixels(t), ["image"], "value")
+
+
+TABLES_SQL["vol"] = "SELECT 0 AS volume, p_partkey % 20 AS z, floor(p_partkey / 20)::BIGINT % 20 AS y, floor(p_partkey / 400)::BIGINT AS x, p_size AS value FROM part"
+
+
+@query("""WITH RECURSIVE f AS MATERIALIZED (SELECT z, y, x, x * 400 + y * 20 + z AS p FROM @vol WHERE value > 46), e AS MATERIALIZED (SELECT a.p AS a, b.p AS b FROM f a JOIN f b ON abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+  reach AS (SELECT p AS node, p AS root FROM f UNION SELECT e.b, r.root FROM reach r JOIN e ON e.a = r.node WHERE r.root < e.b), c AS (SELECT node AS p, min(root) AS comp FROM reach GROUP BY node),
+  cells AS (SELECT comp, trunc(avg(z))::BIGINT AS z, trunc(avg(y))::BIGINT AS y, trunc(avg(x))::BIGINT AS x, count(*) AS n_voxels, max(z) - min(z) + 1 AS z_depth FROM f JOIN c USING (p) GROUP BY comp)
+  SELECT 0 AS volume, k.z, k.y, k.x, n_voxels, z_depth, max(v.value) AS intensity FROM cells k LEFT JOIN @vol v ON abs(v.z - k.z) <= 1 AND abs(v.y - k.y) <= 1 AND abs(v.x - k.x) <= 1 GROUP BY comp, k.z, k.y, k.x, n_voxels, z_depth""")
+def agg_cell_measures(t: Tables) -> DataFrame:
+    k = F.col("p_partkey")
+    voxels = t.part.select(F.lit(0).alias("volume"), (k % 20).alias("z"), (F.floor(k / 20) % 20).alias("y"), F.floor(k / 400).alias("x"), F.col("p_size").alias("value"))
+    return X.cell_measures(voxels, 46, 1)

@@ -133,3 +133,40 @@ def test_json_without_children(spark):
     df = spark.createDataFrame([(1, '{"type":"volume"}'), (2, "not json"), (3, None)], "id long, a string")
     assert annotations.volume_points(df, "id", "a", (1.0, 1.0, 1.0)).collect() == []
     assert annotations.cloud_points(df, "id", "a", (1.0, 1.0, 1.0)).collect() == []
+
+
+def test_a_circle_of_parents_is_an_error(spark):
+    from cartoscope.operators import groups
+
+    tree = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("r", None)], "id string, parent_id string")
+    with pytest.raises(ValueError):
+        groups.closure(tree)
+    with pytest.raises(ValueError):
+        groups.rollup(tree, spark.createDataFrame([("d", 1)], "id string, n long"))
+    fine = tree.where("id in ('d', 'r')").unionByName(spark.createDataFrame([("a", "r")], "id string, parent_id string"))
+    got = {r.id: r.total for r in groups.rollup(fine, spark.createDataFrame([("d", 1), ("d", 2), ("a", 5), ("gone", 9)], "id string, n long")).collect()}
+    assert got == {"d": 3, "a": 8, "r": 8}
+
+
+def test_running_sums_cross_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from cartoscope.operators import stats
+
+    rng = np.random.default_rng(3)
+    values = rng.permutation(500).tolist()
+    df = spark.createDataFrame([(v, v % 7) for v in values], "v int, n long").repartition(5)
+    got = {r.v: r.upto_n for r in stats.running_sums(df, -F.col("v"), ["n"]).collect()}
+    assert got == {v: sum(u % 7 for u in range(v, 500)) for v in range(500)}
+    assert stats.running_sums(df.limit(0), F.col("v"), ["n"]).collect() == []
+
+
+def test_cell_measures(spark):
+    from cartoscope.operators import pixels
+
+    cube = [(0, z, y, x, 9) for z in (1, 2) for y in (1, 2) for x in (1, 2)]
+    rows = [*cube, (0, 3, 3, 3, 20), (0, 9, 9, 9, 8), (1, 1, 1, 1, 7), (0, 1, 1, 0, 30), (0, 9, 9, 8, 2)]
+    df = spark.createDataFrame(rows, "volume int, z int, y int, x int, value int")
+    got = sorted(tuple(r) for r in pixels.cell_measures(df.where("value < 25").unionByName(df.where("value = 30").withColumn("value", df["value"] - 29)), 5, 1).collect())
+    # the cube and the voxel at its corner are one cell; its centre is cut to (1, 1, 1)
+    assert got == [(0, 1, 1, 1, 9, 3, 9), (0, 9, 9, 9, 1, 1, 8), (1, 1, 1, 1, 1, 1, 7)]
