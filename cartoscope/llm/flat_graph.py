@@ -33,6 +33,8 @@ SHARD, PIVOTS, CUTS = 2000, 128, 3
 #: Rows of one assignment task, queries of the audit and the recall that they must show.
 ASSIGN_ROWS, AUDIT, TARGET = 20_000, 256, 0.95
 SLACK = 0.03
+#: Rows whose distances to a shard are held at once while lists are built.
+ROWS = 128
 #: Queries searched together: their frontiers are held at once.
 QUERIES = 32
 
@@ -50,20 +52,22 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def robust_lists(x: np.ndarray, degree: int, alpha: float, pool: int = 64) -> list[np.ndarray]:
     """Neighbour lists of unit vectors: the nearest first, without those that a chosen one is alpha times closer to."""
     n = len(x)
-    near = 1 - x @ x.T
-    np.fill_diagonal(near, np.inf)
     width = min(pool, n - 1)
     out = []
-    for i in range(n):
-        some = np.argpartition(near[i], width - 1)[:width] if width < n - 1 else np.flatnonzero(np.arange(n) != i)
-        some = some[np.argsort(near[i, some], kind="stable")]
-        picked = []
-        while len(some) and len(picked) < degree:
-            best = some[0]
-            picked.append(best)
-            some = some[1:]
-            some = some[alpha * near[best, some] > near[i, some]]
-        out.append(np.array(picked, np.int64))
+    for start in range(0, n, ROWS):  # distances of a few rows at a time, never of all pairs
+        near = 1 - x[start : start + ROWS] @ x.T
+        near[np.arange(len(near)), np.arange(start, start + len(near))] = np.inf
+        pools = np.argpartition(near, width - 1, axis=1)[:, :width]
+        for row, some in zip(near, pools, strict=True):
+            some = some[np.argsort(row[some], kind="stable")]
+            between, away = 1 - x[some] @ x[some].T, row[some]
+            left, picked = np.arange(len(some)), []
+            while len(left) and len(picked) < degree:
+                best = left[0]
+                picked.append(some[best])
+                left = left[1:]
+                left = left[alpha * between[best, left] > away[left]]
+            out.append(np.array(picked, np.int64))
     return out
 
 
