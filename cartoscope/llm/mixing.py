@@ -9,7 +9,8 @@ met, the block at the end document by document. Sources have BLOCKS blocks each,
 keys and only block sums are ordered; the one window over documents sees one block of a source.
 
 Defined results: null texts and texts without words count 0 tokens and come once an epoch; a null source is a
-source of its own; rows with a null id are mixed like others; repeated rows count each. A source of no
+source of its own; rows with a null id are dealt to blocks by their text; repeated rows count each, and mixed_documents() gives an
+id's picks to its rows in turn. A source of no
 tokens gets weight 0 and one whole epoch. An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -71,7 +72,7 @@ def mix(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "sour
     Order by (epoch, source, block_key, doc_key) for the block permutations. budget: tokens in all, by default
     those of the input.
     """
-    block = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(BLOCKS))
+    block = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text")), F.lit(seed)), F.lit(BLOCKS))
     rows = documents.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("id", "source", source_key(F.col("source")).alias("key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n"), block.alias("block"))
     rows = durable(rows, "tokens")
@@ -109,9 +110,25 @@ def mix(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "sour
 def mixed_documents(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", target_entropy: float = 0.95, max_repeats: float = 4.0, seed: int = 1) -> DataFrame:
     """The input's rows (all columns), each as often as the mix picks its id."""
     picks = mix(documents, id_col=id_col, source_col=source_col, text_col=text_col, target_entropy=target_entropy, max_repeats=max_repeats, seed=seed)
-    # a repeated row is picked on its own account, so the picks of an id are shared by its rows
-    times = picks.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("__picks"))
-    rows = documents.groupBy(F.col(id_col).alias("__of")).agg(F.count("*").alias("__rows"))
-    times = times.join(rows, F.col("__id").eqNullSafe(F.col("__of"))).select("__id", F.ceil(F.col("__picks") / F.col("__rows")).alias("__times"))
-    out = documents.join(times, F.col(id_col).eqNullSafe(F.col("__id")))
-    return out.select(*documents.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))).alias("__pick")).select(documents.columns)
+    times = picks.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("picks"))
+    sizes = documents.groupBy(F.col(id_col).alias("of")).agg(F.count("*").alias("all"))
+    times = durable(times.join(sizes, times["id"].eqNullSafe(sizes["of"])).select("id", "picks", "all"), "times")
+    rows = documents.select(F.col(id_col).alias("row_id"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+
+    def met(some: DataFrame) -> DataFrame:
+        return rows.join(some, rows["row_id"].eqNullSafe(some["id"])).select("row", "id", "picks", "all")
+
+    out = met(times.where("all = 1")).select("row", F.col("picks").alias("n"))
+    several = times.where("all > 1")
+    if not several.isEmpty():
+        # the picks of an id are dealt to its rows in turn, none is made up; rows without an id are one group, dealt out by salts
+        salt = F.when(F.col("id").isNull(), F.pmod(F.xxhash64("row"), F.lit(BLOCKS))).otherwise(0)
+        shared = met(several).withColumn("salt", salt)
+        places = shared.groupBy("id", "salt").agg(F.count("*").alias("here"))
+        before = F.sum("here").over(W.partitionBy("id").orderBy("salt").rowsBetween(W.unboundedPreceding, -1))
+        places = places.select(F.col("id").alias("of"), F.col("salt").alias("at"), F.coalesce(before, F.lit(0)).alias("before"))
+        shared = shared.withColumn("turn", F.row_number().over(W.partitionBy("id", "salt").orderBy(F.xxhash64("row"))))
+        shared = shared.join(places, shared["id"].eqNullSafe(places["of"]) & (shared["salt"] == places["at"]))
+        more = (F.col("before") + F.col("turn") <= F.col("picks") % F.col("all")).cast("long")
+        out = out.unionByName(shared.select("row", (F.floor(F.col("picks") / F.col("all")) + more).alias("n")))
+    return out.where("n > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("row.*")
