@@ -18,16 +18,18 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Characters of marked words that a task's table holds before a new one is begun.
-TABLE_CHARS = 8_000_000
-#: Characters of text that are cut at a time.
-PART_CHARS = 4_000_000
+TABLE_CHARS = 4_000_000
+#: Bytes of text that are cut at a time.
+PART_BYTES = 1 << 20
 
 
 class ChunkTable:
@@ -91,16 +93,14 @@ class ChunkTable:
             yield sum([f[0] for f in found]) + end, " ".join(ids), text[1:] if self.prefix and text else text
 
 
-def _parts(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        if part and size + len(t) > PART_CHARS:
-            yield part
-            part, size = [], 0
-        part.append(t)
-        size += len(t)
-    if part:
-        yield part
+def _parts(column: pa.Array) -> Iterator[pa.Array]:
+    """Slices of a column of about PART_BYTES of text, so that only these are Python strings at a time."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0)))
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PART_BYTES, "right")))
+        yield column.slice(i, j - i)
+        i = j
 
 
 def _encoded(model_file: str, end: bool, digests: bool):
@@ -109,7 +109,8 @@ def _encoded(model_file: str, end: bool, digests: bool):
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:
             at = 0
-            for part in _parts([t or "" for t in batch.column(1).to_pylist()]):
+            for part in _parts(batch.column(1)):
+                part = [t or "" for t in part.to_pylist()]
                 n, ids, text = (list(x) for x in zip(*table.encode(part, end), strict=True))
                 if digests:
                     last = [pa.array(map(sha, ids)), pa.array(map(sha, text))]

@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and pipeline, and the SQL for those that SQL can express."""
+"""The queries op1 to op10 and that of all stages together, and the SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -202,7 +202,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus pipeline from documents to token counts."""
+    """All stages of corpus_pipeline, from documents to token counts."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)

@@ -517,7 +517,7 @@ def test_registered_sql(spark):
         assert columns == expected_columns and oracle.same(rows, expected), name
 
 
-def test_pipeline(spark):
+def test_stages(spark):
     import corpus_pipeline
 
     documents = spark.read.parquet(f"{SF}/documents.parquet")
@@ -530,3 +530,146 @@ def test_pipeline(spark):
     assert documents.count() > sizes[0] > 0 and sizes[1] < sizes[0] and sizes[2] <= sizes[1]
     out = corpus_pipeline.STAGES[4][1](spark, docs_now, SF)
     assert out.count() == sizes[3]
+
+
+def test_media_digests(spark):
+    """The query's columns, recomputed from the texts and the stored files; nulls, repeated ids and an empty table."""
+    texts = ["", None, "a" * 575, "b" * 576, "c" * 577, "é" * 400, "a" * 575, "long " * 3000]
+    frame = docs(spark, texts, [0, 1, 2, 3, 4, 5, None, 2])
+    stored = progressive_jpeg.store(frame)
+    media = collections.defaultdict(list)
+    for r in stored.collect():
+        media[r.doc_id].append(bytes(r.media))
+    rows = progressive_jpeg.read(stored, tensors=False).collect()
+    assert len(rows) == len(texts)
+    raw = collections.defaultdict(set)
+    for i, t in zip([0, 1, 2, 3, 4, 5, None, 2], texts):
+        b = (t or "").encode()
+        full = b + b"\xff" * (max(1, -(-len(b) // 576)) * 576 - len(b))
+        raw[i].add((len(b), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-32:])))
+    for r in rows:
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) in raw[r.doc_id]
+        assert (r.media_bytes, r.media_sha256) in {(len(m), hashlib.sha256(m).hexdigest()) for m in media[r.doc_id]}
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[0].feature == by_id[1].feature and by_id[None].media_sha256 in {hashlib.sha256(m).hexdigest() for m in media[2]}
+    assert progressive_jpeg.read(progressive_jpeg.store(docs(spark, [])), tensors=False).collect() == []
+
+
+def test_piece_digests(spark):
+    """The query's columns against the library on whole texts; nulls, repeated and null ids, and an empty table."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.model_file())
+    texts = [None, "", " ", "  two  spaces ", "▁mark ▁▁ x▁y", "tab\tline\n\nend", "éßﬁ ①", "word " * 5000, "\u3000wide", "<s> </s> <unk>"] + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    ids = [None, None, *range(len(texts) - 3), 3]
+    got = collections.Counter(tuple(r) for r in pieces.encode_decode(docs(spark, texts, ids), queries.model_file(), end=True, digests=True).collect())
+    want = collections.Counter()
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for i, t in zip(ids, texts):
+        x = model.encode(t or "", add_eos=True)
+        want[i, len(x), sha(" ".join(map(str, x))), sha(model.decode(x))] += 1
+    assert got == want
+    assert pieces.encode_decode(docs(spark, []), queries.model_file(), digests=True).collect() == []
+
+
+def test_license_labels_and_score(spark):
+    """Labels and score of every document by plain search."""
+    rows = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [None, "", "MIT License; Apache License, version 2.0", "MIT License", "mit license"]
+    ids = [*range(len(rows) - 2), None, len(rows) - 3]
+    words = [re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate({c: c + 32 for c in range(65, 91)})) for t in rows]
+    templates = [(p.split(), label) for p, label in (*license_scan.BASE, *license_scan.MORE)]
+    df = {w: sum(w in set(x) for x in words) for p, _ in templates for w in p}
+    got = collections.Counter((r.doc_id, r.n_words, r.labels, r.score) for r in license_scan.scan(docs(spark, rows, ids)).collect())
+    want = collections.Counter()
+    for i, x in zip(ids, words):
+        found = [(p, label) for p, label in templates if any(x[k : k + len(p)] == p for k in range(len(x)))]
+        miss = 1.0
+        for p, _ in found:
+            rarest = min(range(len(p)), key=lambda k: (df[p[k]], -len(p[k]), k))
+            miss *= 1 - 0.9 * (1 - df[p[rarest]] / len(rows))
+        want[i, len(x), ",".join(sorted({label for _, label in found})), round(1 - miss, 6)] += 1
+    assert {k[:3]: v for k, v in got.items()} == {k[:3]: v for k, v in want.items()}
+    assert all(min(abs(g[3] - w[3]) for w in want if w[:3] == g[:3]) < 2e-6 for g in got)
+
+
+def test_repeated_rows_share_their_picks(spark):
+    """mixed_documents() gives as many rows as there are picks, evenly to the rows of an id; null ids and clashing columns."""
+    rng = np.random.default_rng(21)
+    texts = [random_text(rng, 30) for _ in range(60)]
+    ids = [*range(40), *[7] * 5, *[None] * 15]
+    frame = docs(spark, texts, ids).withColumnRenamed("key", "__times").withColumnRenamed("level0", "salt").withColumnRenamed("sig", "picks")
+    picks = collections.Counter(r.doc_id for r in mixing.mix(frame).collect())
+    out = mixing.mixed_documents(frame)
+    assert out.columns == frame.columns
+    rows = [(r.doc_id, r.text) for r in out.collect()]
+    assert collections.Counter(i for i, _ in rows) == picks
+    for i in (7, None):
+        each = [sum(r == (i, t) for r in rows) for j, t in zip(ids, texts) if j == i]
+        assert max(each) - min(each) <= 1 and sum(each) == picks[i]
+
+
+def test_mix_by_plain_recount(spark):
+    """Weights and picks of the query on the given documents, recomputed in Python."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    got = mixing.mix(frame, target_entropy=0.95, max_repeats=4.0).collect()
+    docs_of = {r.doc_id: (r.source, len(re.findall("[^\x20\x09-\x0d]+", r.text or ""))) for r in frame.collect()}
+    size = collections.Counter()
+    for s, n in docs_of.values():
+        size[s] += n
+    total, names = sum(size.values()), sorted(size)
+    share = np.array([size[s] / total for s in names])
+
+    def at(a):
+        w = share**a / (share**a).sum()
+        return w, -(w * np.log(w)).sum()
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if at(mid)[1] >= 0.95 * np.log(len(names)) else (low, mid)
+    weight = dict(zip(names, at(1.0 if at(1.0)[1] >= 0.95 * np.log(len(names)) else low)[0]))
+    found = {r.source: r.weight for r in got}
+    assert (at(low)[0] / share).max() <= 4  # the limit of repeats plays no part here
+    assert all(abs(found[s] - weight[s]) < 1e-6 for s in names)
+    tokens, seen = collections.Counter(), collections.Counter()
+    for r in got:
+        assert (r.source, r.n_tokens) == docs_of[r.doc_id]
+        tokens[r.source] += r.n_tokens
+        seen[r.source, r.epoch, r.doc_id] += 1
+    assert max(seen.values()) == 1
+    longest = {s: max(n for t, n in docs_of.values() if t == s) for s in names}
+    assert all(weight[s] * total - longest[s] - 1 <= tokens[s] <= weight[s] * total + 1 for s in names)
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    """drop_toxic() and drop_repeats() with null and repeated ids, ties, an empty table and clashing names."""
+    rng = np.random.default_rng(4)
+    texts = [random_text(rng, 120) + (" vile" * 6 if i % 4 == 0 else "") for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    frame = docs(spark, [*texts, texts[0], texts[1], texts[0], None, ""], [*range(120), 500, 500, None, 501, 502])
+    net = toxicity.learn(frame, labels)
+    plain = toxicity.batch_scores(__import__("pyarrow").array([r.text for r in frame.collect()]), net)
+    kept = collections.Counter((r.doc_id, r.text) for r in toxicity.drop_toxic(frame, labels).collect())
+    assert kept == collections.Counter((r.doc_id, r.text) for r, s in zip(frame.collect(), plain) if s < 0.7)
+    assert (500, texts[1]) in kept and (500, texts[0]) not in kept and (None, texts[0]) not in kept
+    assert toxicity.drop_toxic(docs(spark, []), labels).collect() == []
+    passage = " ".join(WORDS[:60])
+    frame = docs(spark, [f"{passage} one", f"two {passage}", "three words here", f"{passage} four", None, passage], [1, 5, 5, None, 6, 7])
+    out = collections.Counter((r.doc_id, r.text) for r in recompression.drop_repeats(frame, chars_col="n_chars").collect())
+    assert out == collections.Counter([(1, f"{passage} one"), (5, "two"), (5, "three words here"), (None, f"{passage} four"), (6, None)])
+    assert recompression.drop_repeats(docs(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        recompression.removed_words(frame, width=64)
+
+
+def test_window_scan(spark):
+    """Logits of all windows of a text against a loop over its windows, one at a time."""
+    rng = np.random.default_rng(8)
+    texts = [random_text(rng, int(n)) + (" vile" if k % 3 == 0 else "") for k, n in enumerate(rng.integers(1, 200, 80))]
+    net = toxicity.fit(texts, np.array([int(k % 3 == 0) for k in range(80)]))
+    for text in texts[:12]:
+        whole = toxicity.text_features(toxicity.sample([text]), net)[0]
+        words = text.split()
+        starts = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        one = [toxicity.text_features(toxicity.sample([" ".join(words[s : s + toxicity.WINDOW])]), net)[0, 1] for s in starts]
+        assert np.isclose(whole[1], max(one), atol=1e-4) and np.isclose(np.expm1(whole[2]), sum(1 / (1 + np.exp(-z)) for z in one), atol=1e-4)
