@@ -1,4 +1,4 @@
-"""The corpus pipeline: toxicity, near duplicates, repeated passages, source mixing, encoding.
+"""From raw documents to tokens: toxicity, near duplicates, repeated passages, source mixing, encoding.
 
 STAGES are applied in this order; each is written as Parquet and read again as the next one's documents.
 """
