@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartoscope.functions.durable import durable
 from cartoscope.operators.detect import threshold_class
 
 #: Models that are fitted at once.
@@ -19,7 +20,8 @@ TOGETHER = 6
 
 def train(rows: DataFrame, features: Sequence[str], label: str, key: str, models: int = 30, depth: int = 3, rounds: int = 50, percent: int = 80) -> list[GBTClassificationModel]:
     """Models that differ in their seed and in the hash split of the rows they learn from."""
-    data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(rows)
+    read = durable(rows.select(*dict.fromkeys([*features, label, key])), "training")  # read once a model
+    data = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(read)
 
     def fit(seed: int) -> GBTClassificationModel:
         part = data.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(100)) < percent)

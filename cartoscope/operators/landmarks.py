@@ -29,7 +29,7 @@ def shared(landmarks: DataFrame, n_brains: int) -> DataFrame:
 def offsets(reference: DataFrame, landmarks: DataFrame, brains: DataFrame) -> DataFrame:
     """Offsets of every brain's structures from the reference's; nulls where a brain lacks one. brains: one small column."""
     ref = reference.select("structure", *[F.col(c).alias(f"r{c}") for c in "xyz"])
-    spine = ref.crossJoin(F.broadcast(brains.select(F.col("brain").alias("__brain"))))
+    spine = ref.crossJoin(brains.select(F.col("brain").alias("__brain")))
     m = landmarks.select("brain", F.col("structure").alias("__s"), "x", "y", "z")
     rows = spine.join(m, (F.col("__brain") == F.col("brain")) & (F.col("structure") == F.col("__s")), "left")
     d = {f"d{c}": F.col(c) - F.col(f"r{c}") for c in "xyz"}

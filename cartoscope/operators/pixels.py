@@ -160,10 +160,11 @@ def edge(mask: DataFrame) -> DataFrame:
 
 def border_band(mask: DataFrame, radius: int) -> DataFrame:
     """Mask pixels with a pixel outside the mask within a square of +-radius (what erosion takes away)."""
-    steps = [(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1)]
-    each = mask.select("image", *RC, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps])).alias("o"))
-    each = each.select("image", (F.col("row") + F.col("o.i")).alias("row"), (F.col("col") + F.col("o.j")).alias("col"))
-    full = each.groupBy("image", *RC).agg(F.count("*").alias("n")).where(F.col("n") == len(steps)).select("image", *RC)
+    full = mask.select("image", *RC)
+    for c in RC:  # a square is full if its lines are, and then its columns of full lines
+        other = RC[1 - RC.index(c)]
+        each = full.select("image", other, F.explode(F.sequence(F.col(c) - radius, F.col(c) + radius)).alias(c))
+        full = each.groupBy("image", *RC).agg(F.count("*").alias("n")).where(F.col("n") == 2 * radius + 1).select("image", *RC)
     return mask.join(full, ["image", *RC], "left_anti")
 
 

@@ -37,7 +37,7 @@ def join_com_session_region(t: Tables) -> DataFrame:
 
 @query("SELECT c_mktsegment AS animal, string_agg(DISTINCT n_name, ',' ORDER BY n_name) AS regions, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
 def join_com_manual_by_animal(t: Tables) -> DataFrame:
-    rows = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return M.regions_by_animal(rows.select(F.col("c_mktsegment").alias("animal"), F.col("n_name").alias("region")))
 
 

@@ -98,7 +98,7 @@ def point_files(points: DataFrame, key: str, axes: Sequence[str], order: Sequenc
 
 
 def write_partitioned(rows: DataFrame, path: str, key: str, kind: str = "csv") -> None:
-    """One folder a key. Rows of a key are dealt to several tasks by hash, so a hot key is several files."""
+    """One folder a key. Every task writes the rows it has, so a hot key is several files and nothing is shuffled."""
     rows.write.mode("overwrite").partitionBy(key).option("header", True).format(kind).save(path)
 
 
