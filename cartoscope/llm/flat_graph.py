@@ -30,6 +30,8 @@ from cartoscope.operators.graph import connected_components
 
 #: Classes of one shard at most (two blocks of half of it where pivots cannot cut), pivots of one cut, cuts.
 SHARD, PIVOTS, CUTS = 2000, 128, 3
+#: A cut that leaves more than this share of a shard together ends its cutting.
+MOST = 0.8
 #: Rows of one assignment task, queries of the audit and the recall that they must show.
 ASSIGN_ROWS, AUDIT, TARGET = 20_000, 256, 0.95
 SLACK = 0.03
@@ -123,17 +125,28 @@ def range_search(x: np.ndarray, lists: np.ndarray, queries: np.ndarray, medoid:
     return np.concatenate(hits_q), np.concatenate(hits_v)
 
 
-def _assign(overlap: int):
+def thinned(pivots: np.ndarray, close: float) -> list[int]:
+    """Places of the pivots without those that an earlier one is as close to, so that a clump has one pivot and stays together."""
+    kept: list[int] = []
+    for i, p in enumerate(pivots):
+        if not kept or (pivots[kept] @ p).max() < close:
+            kept.append(i)
+    return kept
+
+
+def _assign(overlap: int, close: float):
     def run(key: tuple, rows: pa.Table, pivots: pa.Table) -> pa.Table:
         if not len(rows):
-            return pa.table({"rep": pa.array([], pa.int64()), "cell": pa.array([], pa.int64())})
+            return pa.table({"rep": pa.array([], pa.int64()), "cell": pa.array([], pa.int64()), "was": pa.array([], pa.int64())})
         x, names = _unit(_matrix(rows["vector"])), pivots["pivot"].to_numpy()
         order = np.argsort(names)
-        sims = x @ _unit(_matrix(pivots["vector"]))[order].T
-        m = min(overlap, sims.shape[1])
+        places = _unit(_matrix(pivots["vector"]))[order]
+        kept = thinned(places, close)
+        sims = x @ places[kept].T
+        m = min(overlap, len(kept))
         top = np.argpartition(-sims, m - 1, axis=1)[:, :m]
-        cell = names[order][top].ravel()
-        return pa.table({"rep": pa.array(np.repeat(rows["rep"].to_numpy(), m)), "cell": pa.array(cell)})
+        cell = names[order][kept][top].ravel()
+        return pa.table({"rep": pa.array(np.repeat(rows["rep"].to_numpy(), m)), "cell": pa.array(cell), "was": pa.array(np.repeat(rows["n"].to_numpy(), m))})
 
     return lambda key, rows, pivots: run(key, rows, pivots)
 
@@ -249,16 +262,18 @@ def _blocks(shards: DataFrame) -> DataFrame:
     return placed.select("rep", "shard", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
 
 
-def _shards(classes: DataFrame, overlap: int) -> DataFrame:
-    """Rows (rep, shard): every class in its overlapping shards; shards over SHARD are left after CUTS cuts."""
-    rows = classes.select("rep", F.xxhash64("label", F.size("vector")).alias("shard"))
+def _shards(classes: DataFrame, overlap: int, close: float) -> DataFrame:
+    """Rows (rep, shard): every class in its overlapping shards. A shard over SHARD is left as it is after CUTS cuts, or
+    where a cut kept most of it together: a clump that pivots cannot cut."""
+    rows = classes.select("rep", F.xxhash64("label", F.size("vector")).alias("shard"), F.lit(1 << 60).alias("was"))
     done = None
     for cut in range(CUTS + 1):
         sizes = rows.groupBy("shard").agg(F.count("*").alias("n"))
         rows = durable(rows.join(sizes, "shard"), "shards")
-        small = rows.where(F.lit(cut == CUTS) | (F.col("n") <= SHARD)).select("rep", "shard")
+        final = F.lit(cut == CUTS) | (F.col("n") <= SHARD) | (F.col("n") > MOST * F.col("was"))
+        small = rows.where(final).select("rep", "shard")
         done = small if done is None else done.unionByName(small)
-        rows = rows.where(f"n > {SHARD}")
+        rows = rows.where(~final)
         if cut == CUTS or rows.isEmpty():
             return durable(done.distinct(), "shards")
         rows = rows.join(classes.select("rep", "vector"), "rep").withColumn("parts", F.ceil(F.col("n") / ASSIGN_ROWS))
@@ -270,15 +285,15 @@ def _shards(classes: DataFrame, overlap: int) -> DataFrame:
         first = rows.groupBy("shard").agg(F.min_by(F.struct("rep", "vector", "parts"), F.xxhash64("rep", F.lit(cut))).alias("p")).select("shard", "p.*")
         pivots = pivots.unionByName(first).dropDuplicates(["shard", "rep"])
         pivots = pivots.select("shard", F.xxhash64("shard", "rep", F.lit(cut)).alias("pivot"), "vector", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        pivots, dealt = durable(pivots, "pivots"), rows.select("shard", "part", "rep", "vector")  # read back, so the two sides share no columns
+        pivots, dealt = durable(pivots, "pivots"), rows.select("shard", "part", "rep", "vector", "n")  # read back, so the two sides share no columns
         together = dealt.groupBy("shard", "part").cogroup(pivots.groupBy("shard", "part"))
-        rows = together.applyInArrow(_assign(overlap), "rep long, cell long").select("rep", F.col("cell").alias("shard"))
+        rows = together.applyInArrow(_assign(overlap, close), "rep long, cell long, was long").select("rep", F.col("cell").alias("shard"), "was")
     return done
 
 
 def _linked(classes: DataFrame, threshold: float, overlap: int, degree: int, alpha: float) -> DataFrame:
     """Rows (rep, links, root) of one build and search, one row for each group that a class was in."""
-    shards = _shards(classes, overlap)
+    shards = _shards(classes, overlap, threshold - SLACK)
     homes = shards.groupBy("rep").agg(F.collect_list("shard").alias("homes"))
     placed = _blocks(shards)
     placed = placed.join(classes.select("rep", "vector", "cnt"), "rep").join(homes, "rep")
