@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and that of all stages together, and the SQL for those that SQL can express."""
+"""The queries op1 to op13 and that of all stages together, and the SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -201,6 +201,38 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(_table(spark, sf_dir, "documents"), width=50)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of ten words of a benchmark item."""
+    from cartoscope.llm.winnowing import decontaminate, digests
+
+    return digests(decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), width=10))
+
+
+#: Fixed value: what parts words, for DuckDB.
+PARTS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {PARTS})"
+
+OP12_SQL = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents
+), i AS MATERIALIZED (
+  SELECT item_id, {WORDS_SQL} AS w, least(len(w), 10) AS m FROM benchmark
+), iw AS MATERIALIZED (
+  SELECT DISTINCT item_id, m, w[p:p + m - 1] AS win FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM i WHERE len(w) > 0)
+), dw AS MATERIALIZED (
+  SELECT r, p, m, w[p:p + m - 1] AS win FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT m FROM iw))
+), h AS MATERIALIZED (
+  SELECT dw.r, dw.p, dw.m, iw.item_id FROM dw JOIN iw ON iw.m = dw.m AND iw.win = dw.win
+), c AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + m)) AS q FROM h) GROUP BY r
+), n AS (
+  SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline, from documents to token counts."""
     import corpus_pipeline
@@ -209,8 +241,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_tool_calls, op2_url_filter, op3_license_scan, op4_embedding_dedup, op5_progressive_jpeg, op6_toxicity, op7_jaccard_join, op8_sentencepiece, op9_source_mix, op10_substring_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_tool_calls, op2_url_filter, op3_license_scan, op4_embedding_dedup, op5_progressive_jpeg, op6_toxicity, op7_jaccard_join, op8_sentencepiece, op9_source_mix, op10_substring_dedup, op12_decontamination, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_tool_calls": OP1_SQL, "op2_url_filter": OP2_SQL, "op4_embedding_dedup": OP4_SQL}
+    return {"op1_tool_calls": OP1_SQL, "op2_url_filter": OP2_SQL, "op4_embedding_dedup": OP4_SQL, "op12_decontamination": OP12_SQL}
