@@ -28,6 +28,15 @@ def model_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_model_file() -> str:
+    """The byte-level BPE; CARTOSCOPE_BYTES names another one than the installed public one."""
+    if found := os.environ.get("CARTOSCOPE_BYTES"):
+        return found
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -201,6 +210,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(_table(spark, sf_dir, "documents"), width=50)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of the highest score for each benchmark item."""
+    from cartoscope.llm.term_scan import search
+
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of ten words of a benchmark item."""
     from cartoscope.llm.winnowing import decontaminate, digests
@@ -212,6 +228,24 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {PARTS})"
 
+OP11_SQL = f"""
+WITH t AS MATERIALIZED (
+  SELECT *, sum(tf) OVER (PARTITION BY r)::BIGINT AS n FROM (
+    SELECT r, doc_id, term, count(*) AS tf FROM (SELECT row_number() OVER () AS r, doc_id, unnest({WORDS_SQL}) AS term FROM documents) GROUP BY r, doc_id, term)
+), s AS (
+  SELECT count(DISTINCT r) AS docs, sum(tf)::BIGINT AS words FROM t
+), w AS (
+  SELECT term, floor(1000 * ln(((2 * docs + 2) / (2 * count(*) + 1))::DOUBLE))::BIGINT AS weight FROM t, s GROUP BY term, docs
+), i AS (
+  SELECT DISTINCT item_id, unnest({WORDS_SQL}) AS term FROM benchmark
+), c AS (
+  SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN w USING (term), s GROUP BY item_id, r, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c WHERE score > 0) WHERE rank <= 10
+"""
+
 OP12_SQL = f"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents
@@ -233,6 +267,13 @@ FROM d LEFT JOIN c USING (r) LEFT JOIN n USING (r)
 """
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned by byte offsets, with the corpus counts of linked ids."""
+    from cartoscope.llm.alignment import align
+
+    return align(_table(spark, sf_dir, "documents"), byte_model_file(), model_file())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline, from documents to token counts."""
     import corpus_pipeline
@@ -241,8 +282,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_tool_calls, op2_url_filter, op3_license_scan, op4_embedding_dedup, op5_progressive_jpeg, op6_toxicity, op7_jaccard_join, op8_sentencepiece, op9_source_mix, op10_substring_dedup, op12_decontamination, pipeline)}
+    return {f.__name__: f for f in (op1_tool_calls, op2_url_filter, op3_license_scan, op4_embedding_dedup, op5_progressive_jpeg, op6_toxicity, op7_jaccard_join, op8_sentencepiece, op9_source_mix, op10_substring_dedup, op11_lexical_search, op12_decontamination, op13_alignment, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_tool_calls": OP1_SQL, "op2_url_filter": OP2_SQL, "op4_embedding_dedup": OP4_SQL, "op12_decontamination": OP12_SQL}
+    return {"op1_tool_calls": OP1_SQL, "op2_url_filter": OP2_SQL, "op4_embedding_dedup": OP4_SQL, "op11_lexical_search": OP11_SQL, "op12_decontamination": OP12_SQL}

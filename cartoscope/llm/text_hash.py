@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -91,9 +92,13 @@ class Texts:
             last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
             ends[last] = word[last]
         self.starts, self.ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-        self.hash = word_hashes(low, self.starts, self.ends)
+        self.low = low
         self.at = np.searchsorted(self.starts, offsets)  # of text i: words at[i]:at[i + 1]
 
+    @cached_property
+    def hash(self) -> np.ndarray:
+        return word_hashes(self.low, self.starts, self.ends)
+
 
 def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.ndarray = SPACES) -> Iterator[tuple[Texts, int, int]]:
     """Parts (texts, first row, last row + 1) of a batch (id, text, ...) of about limit bytes of text each.
