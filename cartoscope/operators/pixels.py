@@ -230,11 +230,12 @@ def blur_subtract(pixels: DataFrame, radius: int, sigma: float) -> DataFrame:
     return pixels.join(out, ["image", *RC]).withColumn("value", F.greatest(F.col("value") - F.col("b"), F.lit(0.0))).drop("b")
 
 
-def mean_image(pixels: DataFrame) -> DataFrame:
-    """Mean of all images at each place, then (mean - mean of means) / population std."""
-    mean = pixels.groupBy(*RC).agg(F.avg("value").alias("m"))
-    ends = mean.agg(F.avg("m").alias("a"), F.stddev_pop("m").alias("s"))
-    return mean.crossJoin(F.broadcast(ends)).select(*RC, ((F.col("m") - F.col("a")) / F.col("s")).alias("z"))
+def mean_image(pixels: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Mean of all images (of each of the keys) at each place, then (mean - mean of means) / population std."""
+    mean = pixels.groupBy(*keys, *RC).agg(F.avg("value").alias("m"))
+    ends = mean.groupBy(*keys).agg(F.avg("m").alias("a"), F.stddev_pop("m").alias("s"))
+    rows = mean.join(ends, list(keys)) if keys else mean.crossJoin(F.broadcast(ends))
+    return rows.select(*keys, *RC, ((F.col("m") - F.col("a")) / F.col("s")).alias("z"))
 
 
 def mean_mask(pixels: DataFrame, quantile: float) -> DataFrame:

@@ -324,7 +324,7 @@ def date_stamps(t: Tables) -> DataFrame:
 
 
 @query("SELECT section, list_sum([section * 1.0::DOUBLE, xshift, yshift]) AS total, list_max([xshift, yshift]) AS largest FROM @trf")
-def arr_matrix_fold(t: Tables) -> DataFrame:
+def arr_sum_fold(t: Tables) -> DataFrame:
     a = F.array(F.col("section") * 1.0, "xshift", "yshift")
     return T.transforms(t).select("section", F.aggregate(a, F.lit(0.0), lambda s, v: s + v).alias("total"), F.array_max(F.array("xshift", "yshift")).alias("largest"))
 

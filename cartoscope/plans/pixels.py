@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartoscope.operators import correlation as C
 from cartoscope.operators import pixels as X
 from cartoscope.operators import spatial as P
 from cartoscope.operators import stats as S
@@ -140,10 +141,32 @@ def agg_moments_hu(t: Tables) -> DataFrame:
 
 
 @query("""SELECT image, avg(sqrt((gx * gx + gy * gy)::DOUBLE)) AS energy FROM (SELECT a.image, a.row, a.col, sum(b.value * (b.col - a.col) * (2 - abs(b.row - a.row))) AS gx, sum(b.value * (b.row - a.row) * (2 - abs(b.col - a.col))) AS gy FROM @pix a JOIN @pix b ON a.image = b.image AND abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 WHERE a.row BETWEEN 1 AND 6 AND a.col BETWEEN 1 AND 6 GROUP BY ALL) GROUP BY image""")
-def agg_corr_energy(t: Tables) -> DataFrame:
+def agg_sobel_energy(t: Tables) -> DataFrame:
     return X.sobel_energy(T.pixels(t))
 
 
+#: Windows of a candidate (two channels each), the template of a channel (six of eight lines), and gradients of both at their common size.
+CORR = """WITH p AS MATERIALIZED (SELECT image // 2 AS id, image % 2 AS channel, row, col, value FROM @pix), m AS (SELECT channel, row, col, avg(value) AS m FROM p WHERE id % 3 = 0 AND row < 6 GROUP BY ALL),
+  t AS MATERIALIZED (SELECT channel, row, col, (m - avg(m) OVER (PARTITION BY channel)) / stddev_pop(m) OVER (PARTITION BY channel) AS v FROM m),
+  w AS MATERIALIZED (SELECT id, channel, row - 1 AS row, col, value::DOUBLE AS v FROM p WHERE row BETWEEN 1 AND 6 UNION ALL SELECT -1, channel, row, col, v FROM t),
+  k AS (SELECT * FROM (VALUES (-2, -1, 1), (-1, -2, 4), (0, 0, 6), (1, 2, 4), (2, 1, 1)) AS k(o, d, s)),
+  e AS (SELECT a.id, a.channel, a.row, a.col, y.d AS yd, y.s AS ys, x.d AS xd, x.s AS xs, 5 - abs(5 - abs(a.row + y.o)) AS r, 7 - abs(7 - abs(a.col + x.o)) AS c FROM w a, k y, k x),
+  g AS MATERIALIZED (SELECT e.id, e.channel, e.row, e.col, sum(v * xd * ys) AS x, sum(v * xs * yd) AS y FROM e JOIN w b ON b.id = e.id AND b.channel = e.channel AND b.row = e.r AND b.col = e.c GROUP BY ALL),
+  s AS (SELECT id, channel, (avg(x) + avg(y)) / 2 AS m, sqrt((var_pop(x) + var_pop(y)) / 2) + 1e-8::DOUBLE AS s FROM g GROUP BY ALL),
+  n AS MATERIALIZED (SELECT g.id, g.channel, row, col, (x - m) / s AS x, (y - m) / s AS y FROM g JOIN s ON s.id = g.id AND s.channel = g.channel)
+  SELECT n.id, n.channel, round(avg(n.x * q.x + n.y * q.y), 6) AS corr, round(avg(sqrt(n.x * n.x + n.y * n.y) * t.v), 6) AS energy
+  FROM n JOIN n q ON q.id = -1 AND q.channel = n.channel AND q.row = n.row AND q.col = n.col JOIN t ON t.channel = n.channel AND t.row = n.row AND t.col = n.col WHERE n.id >= 0 GROUP BY ALL"""
+
+
+@query(CORR)
+def agg_corr_energy(t: Tables) -> DataFrame:
+    """Candidates of two channels against the mean image of every third one, of which six lines are the template."""
+    windows = T.pixels(t).select(F.expr("image div 2").alias("id"), (F.col("image") % 2).alias("channel"), "row", "col", "value")
+    template = X.mean_image(windows.where("id % 3 = 0 and row < 6"), ["channel"]).withColumnRenamed("z", "value")
+    out = C.correlation_energy(windows, template)
+    return out.select("id", "channel", *[F.round(c, 6).alias(c) for c in ("corr", "energy")])
+
+
 @query("""WITH o AS (SELECT image, value, sum(count(*)) OVER (PARTITION BY image ORDER BY value) / sum(count(*)) OVER (PARTITION BY image) AS share FROM @pix GROUP BY image, value), r AS (SELECT value AS ref, sum(count(*)) OVER (ORDER BY value) / sum(count(*)) OVER () AS share FROM @pix WHERE image < 5 GROUP BY value)
   SELECT p.image, p.row, p.col, m.ref AS value FROM @pix p JOIN (SELECT o.image, o.value, min(r.ref) AS ref FROM o JOIN r ON r.share >= o.share GROUP BY ALL) m ON m.image = p.image AND m.value = p.value""")
 def win_match_histogram(t: Tables) -> DataFrame:

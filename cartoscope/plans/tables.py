@@ -121,6 +121,26 @@ def transforms(t: Tables) -> DataFrame:
 TABLES_SQL["trf"] = "SELECT s_suppkey AS section, floor(s_acctbal)::DOUBLE / 10000 AS rotation, s_suppkey::DOUBLE AS xshift, (-s_suppkey)::DOUBLE AS yshift FROM supplier"
 
 
+def affine_steps(t: Tables) -> DataFrame:
+    """Section-to-previous affine transforms with shear: animal, section, m00 to m12."""
+    k = F.col("s_suppkey")
+    m = {"m00": 1 + (k % 7 - 3) / 64, "m01": (k % 5 - 2) / 32, "m02": (k % 11 - 5).cast("double"), "m10": (k % 3 - 1) / 16, "m11": 1 - (k % 4) / 64, "m12": (F.floor("s_acctbal") % 13).cast("double")}
+    return t.supplier.select(F.col("s_nationkey").alias("animal"), k.alias("section"), *[v.alias(c) for c, v in m.items()])
+
+
+TABLES_SQL["aff"] = """SELECT s_nationkey AS animal, s_suppkey AS section, 1 + (s_suppkey % 7 - 3) / 64::DOUBLE AS m00, (s_suppkey % 5 - 2) / 32::DOUBLE AS m01, (s_suppkey % 11 - 5)::DOUBLE AS m02,
+  (s_suppkey % 3 - 1) / 16::DOUBLE AS m10, 1 - (s_suppkey % 4) / 64::DOUBLE AS m11, (floor(s_acctbal)::BIGINT % 13)::DOUBLE AS m12 FROM supplier"""
+
+
+def turns(t: Tables) -> DataFrame:
+    """Euler angles of axes found in brains: brain, id, x, y, z."""
+    k = F.col("c_custkey")
+    return t.customer.select(F.col("c_mktsegment").alias("brain"), k.alias("id"), (F.floor("c_acctbal") / 20000).alias("x"), (k % 50 / 40).alias("y"), (k % 97 / 16).alias("z"))
+
+
+TABLES_SQL["trn"] = "SELECT c_mktsegment AS brain, c_custkey AS id, floor(c_acctbal)::DOUBLE / 20000 AS x, (c_custkey % 50) / 40::DOUBLE AS y, (c_custkey % 97) / 16::DOUBLE AS z FROM customer"
+
+
 def pixels(t: Tables) -> DataFrame:
     """Pixels of 8 x 8 images: image, row, col, value."""
     e = t.embeddings.select(F.col("vec_id").alias("image"), F.posexplode("embedding").alias("p", "e"))
