@@ -10,12 +10,14 @@ that is empty in a set tells nothing, so some first-level partitions are spare,
 empty ones than that also sign under another seed, until no pair can depend on an empty subset; no
 candidate is lost and none is capped.
 
-Documents that share a signature are compared exactly, the likely pairs first: each document with
+Shingles are compared by 64-bit hashes under a key that is drawn for the run, whole sets of equal size by 128 bits
+under two such keys, so no texts can be made in advance that collide. Documents that share a signature are compared by all
+their shingles, the likely pairs first: each document with
 that smallest id which it meets under most signatures, then with those smallest ids that
 are in other components. Documents whose signatures still hold several components are peeled: a
 shingle that no other open document has is a difference to each of them, so a document with too many
 of these, even beside the one that has fewest, is settled without a comparison. What is left is
-joined on the rarest shingles of each set, of which similar sets share one (still exact).
+joined on the rarest shingles of each set, of which similar sets share one.
 
 Defined results: null and empty texts and texts without words have the empty set, n_shingles 0,
 and are linked with nothing (component_id is their own id). Rows with a null id keep a null
@@ -26,6 +28,7 @@ links by each of its sets. Texts of any length are used whole. Extra columns of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from cartoscope.functions.durable import durable, release
-from cartoscope.llm.text_hash import Texts, U, chunks, mix
+from cartoscope.llm.text_hash import Texts, U, chunks, draw_keys, mix
 from cartoscope.operators.graph import connected_components
 
 #: Ids or pairs that may be broadcast to pick texts (8 or 16 bytes each); beyond it they are shuffled.
@@ -47,9 +50,16 @@ PARITIES = 8
 FREE = 1 << 40
 
 
-def shingle_sets(texts: Texts, q: int) -> Iterator[np.ndarray]:
+class Shingles(NamedTuple):
+    """Words of a shingle, and the keys of the run's two hashes."""
+
+    q: int
+    keys: tuple[int, int]
+
+
+def shingle_sets(texts: Texts, q: int, second: bool = False) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; with fewer than q words the whole sequence is one shingle."""
-    h = texts.hash
+    h = texts.second if second else texts.hash
     full = np.zeros(max(0, len(h) - q + 1), U)
     for k in range(q):
         full += mix(h[k : len(h) - q + 1 + k] + U(k + 1))
@@ -118,9 +128,9 @@ def signatures(values: np.ndarray, sizes: np.ndarray, percent: int, low: list[in
     return (np.concatenate(found), np.concatenate(owners)) if found else (np.zeros(0, U), np.zeros(0, np.int64))
 
 
-def _flat(texts: Texts, q: int) -> tuple[np.ndarray, np.ndarray]:
+def _flat(texts: Texts, q: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of all texts, one set behind the other, and the sizes of the sets."""
-    sets = list(shingle_sets(texts, q))
+    sets = list(shingle_sets(texts, q, second))
     return np.concatenate(sets), np.array([len(s) for s in sets], np.int64)
 
 
@@ -133,23 +143,25 @@ def _keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (sums[:, end] - sums[:, end - sizes]).view(np.int64)
 
 
-def _measured(q: int):
+def _measured(how: Shingles):
+    """Number of shingles and a key of 128 bits for each text: of the sets by both hashes, a sum each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, i, j in chunks(batch, lower=True):
-                values, sizes = _flat(texts, q)
-                a, b = _keys(values, sizes)
+            for texts, i, j in chunks(batch, lower=True, keys=how.keys):
+                values, sizes = _flat(texts, how.q)
+                a, b = _keys(values, sizes)[0], _keys(*_flat(texts, how.q, second=True))[1]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(sizes), pa.array(a), pa.array(b)], ["doc_id", "n_shingles", "key_a", "key_b"])
 
     return run
 
 
-def _signed(q: int, percent: int):
+def _signed(how: Shingles, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = bands(percent, 1 << 20)
         for batch in batches:
-            for texts, _, _ in chunks(batch, lower=True):
-                values, sizes = _flat(texts, q)
+            for texts, _, _ in chunks(batch, lower=True, keys=how.keys):
+                values, sizes = _flat(texts, how.q)
                 a, b = _keys(values, sizes)
                 order = np.lexsort((texts.ids, ~texts.known, b, a))  # of equal sets only the smallest id signs here
                 again = np.zeros(len(sizes), bool)
@@ -164,13 +176,13 @@ def _signed(q: int, percent: int):
     return run
 
 
-def _arrays(q: int, names: list[str]):
+def _arrays(how: Shingles, names: list[str]):
     """Rows (id, text, ...) to (id, ..., key, shingles), key: of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, i, j in chunks(batch, lower=True):
-                values, sizes = _flat(texts, q)
+            for texts, i, j in chunks(batch, lower=True, keys=how.keys):
+                values, sizes = _flat(texts, how.q)
                 offs = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
                 sets = pa.ListArray.from_arrays(offs, pa.array(values.view(np.int64)))
                 others = [batch.column(k)[i:j] for k in range(2, batch.num_columns)]
@@ -184,12 +196,12 @@ def _picked(docs: DataFrame, ids: DataFrame, many: int, on: str = "id") -> DataF
     return docs.join(F.broadcast(ids) if many <= BROADCAST_IDS else ids, docs["id"] == ids[on]).select(docs["id"], "text", *[c for c in ids.columns if c != on])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, q: int, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, how: Shingles, percent: int) -> DataFrame:
     """A durable table of the pairs (a, b) whose shingle sets have 100 * intersection >= percent * union, compared exactly."""
     pairs = durable(pairs, "pairs")
     ids = durable(pairs.select("b").distinct(), "ids")
-    left = _picked(docs, pairs, pairs.count(), "a").mapInArrow(_arrays(q, ["a", "b", "ka", "x"]), "a long, b long, ka long, x array<long>")
-    right = _picked(docs, ids, ids.count(), "b").mapInArrow(_arrays(q, ["b", "kb", "y"]), "b long, kb long, y array<long>")
+    left = _picked(docs, pairs, pairs.count(), "a").mapInArrow(_arrays(how, ["a", "b", "ka", "x"]), "a long, b long, ka long, x array<long>")
+    right = _picked(docs, ids, ids.count(), "b").mapInArrow(_arrays(how, ["b", "kb", "y"]), "b long, kb long, y array<long>")
     same = F.size(F.array_intersect("x", "y"))
     both = left.join(right, "b").where(100 * same >= percent * (F.size("x") + F.size("y") - same))
     found = durable(both.select("a", "b"), "links")  # not made distinct here: that would bind all rows of a centre to one task
@@ -203,7 +215,7 @@ def _parities() -> list[Column]:
     return [F.bit_xor(F.expr(f"if(shiftright(s, 6) & {PARITIES - 1} = {j}, shiftleft(1L, cast(s & 63 as int)), 0L)")).alias(f"p{j}") for j in range(PARITIES)]
 
 
-def _open_rows(docs: DataFrame, members: DataFrame, q: int, percent: int) -> DataFrame | None:
+def _open_rows(docs: DataFrame, members: DataFrame, how: Shingles, percent: int) -> DataFrame | None:
     """A durable table (s, doc, comp, n, w, most, p0, ...) of the rarest shingles of the documents in members (sig, doc, comp) that can still
     link with one in another component, with parity bits of their common shingles; None without any.
 
@@ -217,7 +229,7 @@ def _open_rows(docs: DataFrame, members: DataFrame, q: int, percent: int) -> Dat
         many = now.count()
         if not many:
             return None
-        sets = _picked(docs, now.withColumnRenamed("doc", "id"), many).dropDuplicates(["id", "text"]).mapInArrow(_arrays(q, ["doc", "comp", "key", "shingles"]), "doc long, comp long, key long, shingles array<long>")
+        sets = _picked(docs, now.withColumnRenamed("doc", "id"), many).dropDuplicates(["id", "text"]).mapInArrow(_arrays(how, ["doc", "comp", "key", "shingles"]), "doc long, comp long, key long, shingles array<long>")
         sets = durable(sets, "peel")
         each = sets.select("doc", F.explode("shingles").alias("s"))
         found_in = each.groupBy("s").agg(F.count("*").alias("df"), F.min("doc").alias("doc"), F.max("doc").alias("other"))
@@ -253,7 +265,8 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
     Two documents link when 100 * |A & B| >= percent * |A | B|; a component is what links reach, named by its smallest id.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    measured = durable(docs.mapInArrow(_measured(q), "doc_id long, n_shingles long, key_a long, key_b long"), "sets")
+    how = Shingles(q, draw_keys())
+    measured = durable(docs.mapInArrow(_measured(how), "doc_id long, n_shingles long, key_a long, key_b long"), "sets")
     key = ["n_shingles", "key_a", "key_b"]
     classes = durable(measured.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")), "classes")
     # an id with several sets is one node: it is tied to the smallest id of each of them
@@ -267,16 +280,16 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
 
     sources = docs.join(F.broadcast(copies), docs["id"] == copies["doc"], "left_anti") if few else docs
     by_sig = W.partitionBy("sig").orderBy("doc").rowsBetween(W.unboundedPreceding, W.currentRow)
-    signed = sources.mapInArrow(_signed(q, percent), "sig long, doc long")
+    signed = sources.mapInArrow(_signed(how, percent), "sig long, doc long")
     shared = signed.withColumn("centre", F.min("doc").over(by_sig)).where("doc > centre")
     shared = durable(shared if few else shared.join(copies, "doc", "left_anti"), "sigs")
     met = durable(shared.groupBy("doc", "centre").agg(F.count("*").alias("votes")), "met")
 
     best = met.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre"))
-    links = _verified(docs, best.select(F.col("doc").alias("a"), F.col("centre").alias("b")), q, percent).unionByName(ties)
+    links = _verified(docs, best.select(F.col("doc").alias("a"), F.col("centre").alias("b")), how, percent).unionByName(ties)
     comps = durable(connected_components(links, "a", "b"), "comps")
     rest = _apart(met.join(best, ["doc", "centre"], "left_anti").select(F.col("doc").alias("a"), F.col("centre").alias("b")), comps)
-    links, comps = _more(docs, rest, links, comps, q, percent)
+    links, comps = _more(docs, rest, links, comps, how, percent)
 
     # what a signature's smallest id left in several components
     apart = durable(_apart(met.select(F.col("doc").alias("a"), F.col("centre").alias("b")), comps), "apart")
@@ -284,14 +297,14 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
     held = shared.join(durable(bad, "bad"), "sig", "left_semi")
     held = held.select("sig", "doc").unionAll(held.select("sig", F.col("centre").alias("doc")).distinct())
     crowded = held.groupBy("sig").agg(F.count("*").alias("size")).where("size > 2")  # of two, the one pair was compared
-    rows = _open_rows(docs, _with_component(held.join(crowded, "sig", "left_semi").select("sig", "doc"), comps), q, percent)
+    rows = _open_rows(docs, _with_component(held.join(crowded, "sig", "left_semi").select("sig", "doc"), comps), how, percent)
     if rows is not None:
         left, right = (rows.select("s", *[F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "s"]) for x in "ab")
         # buckets of unlike parity hold at least one difference each
         odd = " + ".join(f"bit_count(p{j}_a ^ p{j}_b)" for j in range(PARITIES))
         near = f"comp_a < comp_b and w_a + w_b + {100 + percent} * ({odd}) <= 0 and n_b <= most_a and n_a <= most_b and (n_a = 0 or n_b = 0 or 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b))"
         pairs = left.join(right, "s").where(near).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
-        links, comps = _more(docs, pairs, links, comps, q, percent)
+        links, comps = _more(docs, pairs, links, comps, how, percent)
     for old in (shared, met, apart, rows, copies):
         release(old)
 
@@ -300,9 +313,9 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def _more(docs: DataFrame, pairs: DataFrame, links: DataFrame, comps: DataFrame, q: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _more(docs: DataFrame, pairs: DataFrame, links: DataFrame, comps: DataFrame, how: Shingles, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links and components with those of further pairs (a, b)."""
-    found = _verified(docs, pairs, q, percent)
+    found = _verified(docs, pairs, how, percent)
     if found.isEmpty():
         return links, comps
     links = links.unionByName(found)

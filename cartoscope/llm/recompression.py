@@ -8,7 +8,8 @@ substrings the symbols are equal, except for a few at both ends. For each window
 symbols that its own words determine are found, and the one with the smallest hash is its anchor;
 equal windows have equal anchors at equal places. The anchor's symbol with a few words around it
 is the name that documents share. Only windows whose name occurs in two documents or more are
-compared, by a hash of the whole window within the shared name (128 bits in all). A window without
+compared, by a hash of the whole window within the shared name. Name and hash are of 64 bits each, under two
+independent keys that are drawn for the run, so no texts can be made in advance that collide. A window without
 such a symbol (a long run) is its own anchor, so nothing is lost.
 
 Defined results: null and empty texts have no words (n_words 0, nothing removed, the hash of the
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from cartoscope.functions.durable import durable, release
-from cartoscope.llm.text_hash import Texts, U, chunks, mix, window_hashes
+from cartoscope.llm.text_hash import Texts, U, chunks, draw_keys, mix, window_hashes
 
 #: Rounds of renaming. Each costs a window at least two words at either end.
 ROUNDS = 3
@@ -65,11 +66,11 @@ def recompress(h: np.ndarray, first: np.ndarray, rounds: int) -> Iterator[tuple[
 def anchors(texts: Texts, width: int, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Groups of consecutive windows with one anchor: doc (index), first (word of the first window in the
     document), count, at (of its first window among all windows of the chunk), name; and the hash of every window."""
-    h, at = texts.hash, texts.at
+    h, at = texts.hash, texts.at  # names are made of these, hashes of windows of the second ones
     n = len(h)
     of_word = np.repeat(np.arange(len(at) - 1), np.diff(at))
     p = np.flatnonzero(np.arange(n) + width <= at[of_word + 1]) if n else np.zeros(0, np.int64)
-    window = window_hashes(h, width)[p]
+    window = window_hashes(texts.second, width)[p]
     if not len(p):
         empty = np.zeros(0, np.int64)
         return {"doc": empty, "first": empty, "count": empty, "at": empty, "name": empty.astype(U), "hash": window}
@@ -106,7 +107,7 @@ def anchors(texts: Texts, width: int, rounds: int = ROUNDS) -> dict[str, np.ndar
     pick = chosen[new]
     end = np.r_[start, n]
     context = 2 * rounds
-    named = mix(window[new] ^ U(7))
+    named = mix(window_hashes(h, width)[p[new]] ^ U(7)) if (pick < 0).any() else np.zeros(len(new), U)
     by = np.flatnonzero(pick >= 0)
     if len(by):
         around = window_hashes(h, context)
@@ -114,7 +115,7 @@ def anchors(texts: Texts, width: int, rounds: int = ROUNDS) -> dict[str, np.ndar
     return {"doc": doc[new], "first": p[new] - at[doc[new]], "count": np.diff(np.r_[new, len(p)]), "at": new, "name": named, "hash": window}
 
 
-def _named(width: int):
+def _named(width: int, keys: tuple[int, int]):
     """Rows (name, doc, first, known): the groups of windows of each chunk.
 
     A name that two documents of the chunk have is shared already: its groups are known and go under names of their own,
@@ -124,7 +125,7 @@ def _named(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, _, _ in chunks(batch, lower=False):
+            for texts, _, _ in chunks(batch, lower=False, keys=keys):
                 x = anchors(texts, width)
                 name, doc, first = x["name"], texts.ids[x["doc"]].astype(np.int64), x["first"].astype(np.int32)
                 order = np.lexsort((doc, name))
@@ -145,14 +146,14 @@ def _named(width: int):
     return run
 
 
-def _windowed(width: int):
+def _windowed(width: int, keys: tuple[int, int]):
     """Groups of windows under wanted anchors, with every window's hash. Windows that an earlier document of
     the same chunk also has are settled here: their bits are in mask, and a group settled as a whole carries no hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(2)
-            for texts, i, j in chunks(batch, lower=False):
+            for texts, i, j in chunks(batch, lower=False, keys=keys):
                 x = anchors(texts, width)
                 part = wanted.slice(i, j - i)
                 want = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -220,13 +221,13 @@ def _repeats(docs: DataFrame, width: int) -> DataFrame:
     """A durable table (id, content, groups): the windows to remove from the text of that id and hash, as groups (first, mask)."""
     if not 1 <= width <= WIDEST:
         raise ValueError(f"width must be from 1 to {WIDEST}: a window group is a mask of so many bits")
-    ids = docs.where("id is not null")
+    ids, keys = docs.where("id is not null"), draw_keys()
     up = W.partitionBy("name").orderBy("doc").rowsBetween(W.unboundedPreceding, W.currentRow)
     down = W.partitionBy("name").orderBy(F.desc("doc")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    named = ids.mapInArrow(_named(width), "name long, doc long, first int, known boolean")
+    named = ids.mapInArrow(_named(width, keys), "name long, doc long, first int, known boolean")
     shared = named.withColumn("lo", F.min("doc").over(up)).withColumn("hi", F.max("doc").over(down)).where("(known or lo < hi) and first >= 0")
     wanted = durable(shared.groupBy(F.col("doc").alias("id")).agg(F.collect_list("first").alias("wanted")), "anchors")
-    windows = ids.join(wanted, "id").select("id", "text", "wanted", F.xxhash64("text")).mapInArrow(_windowed(width), "name long, doc long, content long, first int, mask long, hashes array<long>")
+    windows = ids.join(wanted, "id").select("id", "text", "wanted", F.xxhash64("text")).mapInArrow(_windowed(width, keys), "name long, doc long, content long, first int, mask long, hashes array<long>")
     windows = windows.repartition("name")
     each = windows.select("name", "doc", "content", "first", "mask", F.posexplode_outer("hashes").alias("step", "hash"))
     same = W.partitionBy("name", "hash").orderBy("doc").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -28,15 +29,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-def _blocks(words: np.ndarray) -> np.ndarray:
+def draw_keys() -> tuple[int, int]:
+    """Keys of two independent hashes, drawn for one run: words that collide under them cannot be prepared."""
+    return secrets.randbits(64), secrets.randbits(64)
+
+
+def _blocks(words: np.ndarray, key: int) -> np.ndarray:
     """Distinct random offsets of the blocks 0, 1, ... of a word."""
-    return mix(words.astype(U) * U(0xA24BAED4963EE407) + U(0x9FB21C651E98DF25))
+    return mix(words.astype(U) * U(0xA24BAED4963EE407) + U((0x9FB21C651E98DF25 + key) % (1 << 64)))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each data[start:end].
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
+    """64-bit hash of each data[start:end] under a key.
 
-    A word is cut into blocks of eight bytes; each block is scrambled together with its number, so that no
+    A word is cut into blocks of eight bytes; each block is scrambled together with its number and the key, so that no
     algebraic relation between blocks carries over to the sum, and the length is mixed in.
     """
     if not len(starts):
@@ -46,13 +52,13 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     padded[: len(data)] = data
     at_each = np.ndarray((len(data),), np.dtype("<u8"), padded, 0, (1,))  # the eight bytes from each byte on
     if size.max() <= 8:
-        total = mix(_cut(at_each[starts], size) ^ _blocks(np.zeros(1)))
+        total = mix(_cut(at_each[starts], size) ^ _blocks(np.zeros(1), key))
     else:
         count = (size + 7) >> 3
         head = np.cumsum(count) - count
         number = np.arange(head[-1] + count[-1]) - np.repeat(head, count)
         value = _cut(at_each[np.repeat(starts, count) + 8 * number], np.repeat(size, count) - 8 * number)
-        total = np.add.reduceat(mix(value ^ _blocks(number)), head, dtype=U)
+        total = np.add.reduceat(mix(value ^ _blocks(number, key)), head, dtype=U)
     return mix(total + size.astype(U))
 
 
@@ -78,8 +84,8 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
 class Texts:
     """Words of consecutive texts: hash of each word, and where each text's words begin."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, lower: bool, spaces: np.ndarray = SPACES, known: np.ndarray | None = None):
-        self.ids, self.data, self.offsets = ids, data, offsets
+    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, lower: bool, spaces: np.ndarray = SPACES, known: np.ndarray | None = None, keys: tuple[int, int] = (0, 1)):
+        self.keys, self.ids, self.data, self.offsets = keys, ids, data, offsets
         self.known = np.ones(len(ids), bool) if known is None else known  # ids that are not null
         low = LOWER[data] if lower else data
         word = ~spaces[data]
@@ -97,10 +103,15 @@ class Texts:
 
     @cached_property
     def hash(self) -> np.ndarray:
-        return word_hashes(self.low, self.starts, self.ends)
+        return word_hashes(self.low, self.starts, self.ends, self.keys[0])
+
+    @cached_property
+    def second(self) -> np.ndarray:
+        """Hashes of the words under the other key."""
+        return word_hashes(self.low, self.starts, self.ends, self.keys[1])
 
 
-def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.ndarray = SPACES) -> Iterator[tuple[Texts, int, int]]:
+def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.ndarray = SPACES, keys: tuple[int, int] = (0, 1)) -> Iterator[tuple[Texts, int, int]]:
     """Parts (texts, first row, last row + 1) of a batch (id, text, ...) of about limit bytes of text each.
 
     A null text counts as empty. One text of any length stays whole. Integer ids stay integers; known tells
@@ -119,5 +130,5 @@ def chunks(batch: pa.RecordBatch, lower: bool, limit: int = 2 << 20, spaces: np.
     while i < len(ids):
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
         j = min(j, len(ids))
-        yield Texts(ids[i:j], data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lower, spaces, known[i:j]), i, j
+        yield Texts(ids[i:j], data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lower, spaces, known[i:j], keys), i, j
         i = j

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartoscope.llm import bloom_cascade, flat_graph, license_scan, mixing, partenum, pieces, progressive_jpeg, queries, recompression, tool_calls, toxicity
+from cartoscope.llm import bloom_cascade, flat_graph, license_scan, mixing, partenum, pieces, progressive_jpeg, queries, recompression, text_hash, tool_calls, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_chars long, sig string, name string, key string, level0 string"
@@ -97,6 +97,47 @@ def test_words_of_one_structure_differ(spark):
     assert {r.n_removed for r in recompression.removed_words(docs(spark, [f"{one} {filler}", f"{two} {filler}"])).collect()} == {0}
 
 
+#: Pairs of words that the unkeyed 64-bit hash of words cannot tell apart.
+ALIKE = (("peoycdx", "':8=fpw}"), ("kqsorrw", '^wa9={b"'))
+
+
+@pytest.mark.parametrize("pair", ALIKE)
+def test_words_made_to_collide(spark, pair):
+    from cartoscope.llm.text_hash import Texts
+
+    raw = " ".join(pair).encode()
+    plain = Texts(np.arange(1), np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), False)
+    keyed = Texts(np.arange(1), np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), False, keys=text_hash.draw_keys())
+    assert len(set(plain.hash.tolist())) == 1 and len({*keyed.hash.tolist(), *keyed.second.tolist()}) == 4
+    rows = partenum.jaccard_components(docs(spark, list(pair)), q=4, percent=85).collect()
+    assert sorted(r.component_id for r in rows) == [0, 1]
+    texts = [" ".join([*WORDS[:26], w, *WORDS[26:60]]) for w in pair]
+    assert {r.n_removed for r in recompression.removed_words(docs(spark, texts)).collect()} == {0}
+
+
+def test_components_of_any_size(spark):
+    """Squares of these components overflow, or vanish."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(4, 6))
+    vectors = [b * s for b in base for s in (1e200, 1e-200, 1.0, 5e-320)]
+    df = spark.createDataFrame([(i, "a", [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, label string, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in flat_graph.near_duplicates(df, threshold=0.98).collect()}
+    assert got == {i: (3, i // 4 * 4) for i in range(16)}
+
+
+def test_a_long_text_does_not_end_the_sample(spark, monkeypatch):
+    """Wherever it stands in the order of hashes, texts behind it that fit are learnt from."""
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: fitted.append(sorted(len(t) for t in texts)))
+    texts = ["a b c " * 10 for _ in range(60)]
+    for long in range(60):
+        some = [t if i != long else "x " * 3000 for i, t in enumerate(texts)]
+        if long in (0, 7, 21, 40):
+            labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+            toxicity.learn(docs(spark, some), labels, limit_bytes=5000)
+    assert len(fitted) == 4 and all(len(sizes) >= 30 and max(sizes) == 60 for sizes in fitted)
+
+
 def test_large_ids_beside_a_null_id(spark):
     body = " ".join(WORDS[:60])
     big = 2**60
