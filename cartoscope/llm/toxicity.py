@@ -338,7 +338,7 @@ def held_out(id_col: str) -> Column:
 
 
 def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = FIT_TEXTS, limit_bytes: int = FIT_BYTES) -> Network | None:
-    """Fit on labelled texts that are not held out: the first by a hash of the id, at most limit texts and limit_bytes of text.
+    """Fit on labelled texts that are not held out: by a hash of the id those of the first limit texts that fit into limit_bytes of text.
 
     An id with several labels counts with the largest, one with several texts with the smallest.
     """
@@ -348,8 +348,11 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     sizes = docs.select("id", F.octet_length("text").alias("bytes")).join(F.broadcast(known), "id").groupBy("id").agg(F.max("bytes").alias("bytes"), F.first("turn").alias("turn")).collect()
     sizes.sort(key=lambda r: (r["turn"], r["id"]))
-    room = np.cumsum([r["bytes"] for r in sizes])
-    chosen = [(r["id"],) for r, used in zip(sizes, room, strict=True) if used <= limit_bytes]
+    chosen, room = [], limit_bytes
+    for r in sizes:  # a text that does not fit is left out, and those behind it go on
+        if r["bytes"] <= room:
+            chosen.append((r["id"],))
+            room -= r["bytes"]
     if not chosen:
         return None
     wanted = documents.sparkSession.createDataFrame(chosen, known.select("id").schema)
