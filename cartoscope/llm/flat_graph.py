@@ -42,8 +42,11 @@ QUERIES = 32
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors, each scaled by the power of two that brings its largest component below 1: exact, and squares neither overflow nor vanish."""
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+    x = flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+    _, exponent = np.frexp(np.abs(x).max(1, initial=0))
+    return np.ldexp(x, -exponent[:, None])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
