@@ -43,12 +43,16 @@ CHUNK_BYTES = 4 << 20
 #: Bytes of text that are encoded at a time.
 STEP_BYTES = 1 << 20
 #: Characters of distinct parts that a task's table holds before a new one is begun.
-TABLE_CHARS = 3_000_000
+TABLE_CHARS = 30_000_000
+#: Parts that are encoded as one text, with the spaces at which they were parted.
+TOGETHER = 500
 #: Tokens of A in one row of the state vector, beyond which a document goes on in another row.
 ROW_TOKENS = 96
 #: A space between characters that are white space for no tokenizer.
 SEEN = "[^\\s\\u180e\\u200b-\\u200d\\ufeff]"
 PARTING = re.compile(f"(?<={SEEN}) (?={SEEN})")
+#: A part that may stand between two such spaces, and that both tokenizers give back as it is.
+PLAIN = re.compile(f"(?!.*\u2581){SEEN}(.*{SEEN})?", re.DOTALL)
 
 
 def byte_letters() -> dict[str, int]:
@@ -96,15 +100,48 @@ class Pair:
         new = list(dict.fromkeys(p for p in chain.from_iterable(cut) if p not in self.known))
         if not new:
             return
-        self.known |= {p: len(self.known) + i for i, p in enumerate(new)}
+        odd = [p for p in new if not PLAIN.fullmatch(p)]
+        if odd and not self.crosses:
+            new = [*(p for p in new if PLAIN.fullmatch(p)), *odd]
+        plain = new[: len(new) - len(odd)] if not self.crosses else []
+        self.known |= dict(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         self.held += sum(map(len, new)) + 100 * len(new)
-        a = [x.ids for x in self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
-        good = [self._joined(x, y) == (" " + p).encode() for p, x, y in zip(new, a, b, strict=True)]
+        if plain and not self._learn_together(plain):
+            plain = []
+        self._learn_each(new[len(plain) :])
+
+    def _learn_together(self, parts: list[str]) -> bool:
+        """Encode parts as a few texts, and cut the ids at the parts' ends; False if one tokenizer does not end a token there."""
+        texts = [" ".join(parts[i : i + TOGETHER]) for i in range(0, len(parts), TOGETHER)]
+        whole = "".join([" " + t for t in texts]).encode()
+        ids = ([x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1))
+        bounds = np.cumsum([1 + len(p.encode()) for p in parts])
+        found = []
+        for x, names, sizes in zip(ids, (self.a_bytes, self.b_bytes), (self.a_size, self.b_size), strict=True):
+            flat = np.concatenate([np.array(i, np.int32) for i in x])
+            ends = np.cumsum(sizes[flat])
+            at = np.searchsorted(ends, bounds)
+            if b"".join(map(names.__getitem__, chain.from_iterable(x))) != whole or not np.array_equal(ends[at], bounds):
+                return False
+            found.append((flat, at + 1))
+        self.good = np.concatenate([self.good, np.ones(len(parts), bool)])
+        for k, (flat, ends) in enumerate(found):
+            self._append(k, flat, ends)
+        return True
+
+    def _append(self, k: int, flat: np.ndarray, ends: np.ndarray) -> None:
+        self.ends[k] = np.concatenate([self.ends[k], self.ends[k][-1] + ends])
+        self.pools[k] = np.concatenate([self.pools[k], flat])
+
+    def _learn_each(self, parts: list[str]) -> None:
+        if not parts:
+            return
+        a = [x.ids for x in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
+        b = self.b.encode(parts, num_threads=1)
+        good = [self._joined(x, y) == (" " + p).encode() for p, x, y in zip(parts, a, b, strict=True)]
         self.good = np.concatenate([self.good, good])
         for k, ids in enumerate((a, b)):
-            self.ends[k] = np.concatenate([self.ends[k], self.ends[k][-1] + np.cumsum(list(map(len, ids)))])
-            self.pools[k] = np.concatenate([self.pools[k], np.fromiter(chain.from_iterable(ids), np.int32)])
+            self._append(k, np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum(list(map(len, ids))))
 
     def _joined(self, a: list[int], b: list[int]) -> bytes | None:
         """The bytes of both sequences; None if they differ."""
