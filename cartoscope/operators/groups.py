@@ -161,10 +161,3 @@ def prune_leaves(tree: DataFrame, present: DataFrame) -> DataFrame:
     inner = tree.where("parent_id is not null").select(F.col("parent_id").alias("id")).distinct()
     keep = inner.unionByName(present.select("id")).distinct()
     return tree.join(keep, "id", "left_semi")
-
-
-def merge_to_parent(labels: DataFrame, tree: DataFrame, chosen: DataFrame) -> DataFrame:
-    """labels with merged: the nearest chosen ancestor of the label (itself included), else the label."""
-    near = closure(tree).join(chosen.select(F.col("id").alias("ancestor")), "ancestor", "left_semi")
-    near = near.groupBy("id").agg(F.min(F.struct("depth", "ancestor")).alias("m")).select("id", F.col("m.ancestor").alias("__to"))
-    return labels.join(near, "id", "left").select(*labels.columns, F.coalesce("__to", "id").alias("merged"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartoscope.operators import metadata as M
 from cartoscope.operators import spatial as P
 from cartoscope.operators import stats as S
+from cartoscope.operators import tree as H
 from cartoscope.plans import tables as T
 from cartoscope.plans.registry import Tables, query
 
@@ -59,11 +60,14 @@ def agg_voxel_com(t: Tables) -> DataFrame:
     return S.weighted_centre(T.pixels(t), ["image"], "value", ["row", "col"])
 
 
-@query("""SELECT structure, side, avg(z) * 10 AS z, avg(y) * 10 AS y, avg(x) * 10 AS x, count(*) AS n FROM (SELECT structure, CASE WHEN structure % 3 = 2 THEN 'S' WHEN x < 50 THEN 'L' ELSE 'R' END AS side, z, y, x FROM @vox) GROUP BY ALL""")
+@query("""WITH RECURSIVE s AS MATERIALIZED (SELECT DISTINCT structure AS id, CASE structure % 3 WHEN 1 THEN 'L' WHEN 2 THEN 'R' ELSE 'S' END AS side FROM @vox), c AS (SELECT id AS a, id FROM s UNION ALL SELECT c.a, s.id FROM c JOIN s ON floor(s.id / 2) = c.id)
+  SELECT s.id AS structure, s.side, sum(v.z) / count(v.z) * 10 AS z, sum(v.y) / count(v.z) * 10 AS y, sum(v.x) / count(v.z) * 10 AS x, count(v.z) AS n FROM s JOIN c ON c.a = s.id LEFT JOIN @vox v ON v.structure = c.id AND (s.side = 'S' OR (s.side = 'L') = (v.x < 50)) GROUP BY ALL""")
 def agg_hemisphere_com(t: Tables) -> DataFrame:
-    side = F.when(F.col("structure") % 3 == 2, "S").when(F.col("x") < 50, "L").otherwise("R")
-    rows = T.voxels(t).withColumn("side", side)
-    return S.mean_points(rows, ["structure", "side"], ("z", "y", "x")).withColumns({c: F.col(c) * 10 for c in "zyx"})
+    """Centres of all structures over their descendants; structure k lies under k div 2, and its name ends in L, R or neither."""
+    side = F.when(F.col("structure") % 3 == 1, "L").when(F.col("structure") % 3 == 2, "R").otherwise("S")
+    asked = T.voxels(t).select("structure").distinct().withColumn("side", side)
+    tree = asked.select(F.col("structure").cast("long").alias("id"), F.expr("structure div 2").alias("parent_id"))
+    return H.hemisphere_centres(T.voxels(t), tree, asked, 50, 10.0)
 
 
 @query("SELECT cx, cy, count(*) AS n, array_to_string(list_sort(list(x)), ',') AS xs FROM (SELECT floor(x / 250)::BIGINT AS cx, floor(y / 250)::BIGINT AS cy, x FROM @human) GROUP BY ALL")

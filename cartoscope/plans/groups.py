@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartoscope.operators import groups as G
 from cartoscope.operators import spatial as P
 from cartoscope.operators import stats as ST
+from cartoscope.operators import tree as H
 from cartoscope.plans import tables as T
 from cartoscope.plans.registry import TABLES_SQL, Tables, query
 
@@ -156,7 +157,7 @@ def agg_hierarchy_rollup(t: Tables) -> DataFrame:
 
 @query(TREE + "SELECT id, depth FROM clo WHERE ancestor = 'r1' AND depth BETWEEN 1 AND 2")
 def iter_level_cutoff(t: Tables) -> DataFrame:
-    return G.within_levels(T.ontology(t), "r1", 2)
+    return H.within_levels(H.intervals(T.ontology(t)), "r1", 2)
 
 
 @query("SELECT id, parent_id, name FROM @ont WHERE id IN (SELECT parent_id FROM @ont) OR id IN (SELECT id FROM @cnt)")
@@ -167,7 +168,20 @@ def iter_prune_leaves(t: Tables) -> DataFrame:
 @query(TREE + "SELECT o.id, coalesce(m.to_id, o.id) AS merged FROM @cnt o LEFT JOIN (SELECT id, arg_min(ancestor, depth) AS to_id FROM clo WHERE ancestor LIKE 'n1%' GROUP BY id) m ON m.id = o.id")
 def iter_merge_to_parent(t: Tables) -> DataFrame:
     chosen = T.ontology(t).where("id like 'n1%'")
-    return G.merge_to_parent(T.region_counts(t).select("id"), T.ontology(t), chosen)
+    near = H.nearest_chosen(T.ontology(t), chosen)
+    return T.region_counts(t).select("id").join(near, "id", "left").select("id", F.coalesce("chosen", "id").alias("merged"))
+
+
+@query(TREE + "SELECT ancestor AS id, count(*) - 1 AS below, max(CASE WHEN ancestor = 'root' THEN 0 WHEN ancestor LIKE 'r%' THEN 1 WHEN ancestor LIKE 'n%' THEN 2 ELSE 3 END)::INTEGER AS depth FROM clo GROUP BY ancestor")
+def iter_tree_intervals(t: Tables) -> DataFrame:
+    """Number of descendants and depth of every region, from its interval."""
+    return H.intervals(T.ontology(t)).select("id", (F.col("last") - F.col("first")).alias("below"), "depth")
+
+
+@query(TREE + "SELECT c.ancestor AS id, coalesce(sum(n), 0)::BIGINT AS total FROM clo c LEFT JOIN @cnt o ON o.id = c.id GROUP BY c.ancestor")
+def agg_interval_rollup(t: Tables) -> DataFrame:
+    """Counts over descendants as differences of running sums."""
+    return H.subtree_sums(H.intervals(T.ontology(t)), T.region_counts(t), ["n"]).withColumnRenamed("n", "total")
 
 
 @query("SELECT v.structure, count(*) FILTER (WHERE d.id IS NOT NULL) AS n FROM (SELECT DISTINCT structure FROM @vox) v LEFT JOIN (SELECT id, x % 60 AS structure FROM @det) d ON d.structure = v.structure GROUP BY v.structure")

@@ -11,6 +11,7 @@ from cartoscope.functions.durable import shared_dir
 from cartoscope.plans import tables as T
 from cartoscope.plans.registry import Tables, query
 from cartoscope.sources import files as S
+from cartoscope.sources import writers as O
 
 
 def folder(t: Tables, name: str) -> str:
@@ -58,7 +59,7 @@ def src_com_textfiles(t: Tables) -> DataFrame:
     path = folder(t, "com")
     rows = T.transforms(t).select("section", F.concat_ws(" ", "rotation", "xshift", "yshift").alias("value"))
     rows.repartition("section").write.partitionBy("section").text(path)
-    read = t.spark.read.option("wholetext", True).text(path)
+    read = t.spark.read.text(path, wholetext=True)
     parts = F.split(F.trim("value"), r"\s+")
     out = read.select(F.col("section").cast("string").alias("structure"), (parts[0].cast("double") * 2).alias("x"), (parts[1].cast("double") * 2).alias("y"))
     return out.groupBy("structure").agg(F.round(F.sum("x"), 6).alias("x"), F.round(F.sum("y"), 6).alias("y"), F.count("*").alias("n"))
@@ -100,7 +101,10 @@ def src_registered_points(t: Tables) -> DataFrame:
 
 @query("SELECT section, 'point' || chr(10) || count(*) || chr(10) || string_agg(x || ' ' || y, chr(10) ORDER BY id) AS text FROM @human GROUP BY section")
 def sink_point_file(t: Tables) -> DataFrame:
-    return S.point_files(T.human_points(t), "section", ["x", "y"], ["id"])
+    """A file a section, written and read back as text."""
+    path = folder(t, "points")
+    O.write_points(T.human_points(t), "section", ["x", "y"], ["id"], path)
+    return t.spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"(.*)\.pts", 1).cast("int").alias("section"), F.regexp_replace("value", r"\n$", "").alias("text"))
 
 
 @query("SELECT section AS layer, count(*) AS n, round(sum(rotation), 6) AS z FROM @trf GROUP BY section")
@@ -156,7 +160,12 @@ def sink_spatial_chunks(t: Tables) -> DataFrame:
     return S.chunk_info(t.spark.read.parquet(path))
 
 
-@query("SELECT cx, cy, cz, count(*) AS n FROM (SELECT DISTINCT floor(x / 256)::BIGINT AS cx, floor(y / 256)::BIGINT AS cy, floor(section / 16)::BIGINT AS cz, x, y, section FROM @human) GROUP BY ALL")
+@query("SELECT cx, cy, cz, count(*) AS n FROM (SELECT DISTINCT floor(x / 256)::BIGINT AS cx, floor(y / 256)::BIGINT AS cy, floor(section / 16)::BIGINT AS cz, x, y, section FROM @human WHERE y >= 0 AND section >= 0) GROUP BY ALL")
 def sink_chunked_voxels(t: Tables) -> DataFrame:
-    rows = S.spatial_chunks(T.human_points(t).select("x", "y", F.col("section").alias("z")).distinct(), (256, 256, 16))
+    """A slab of ones for each chunk with a point, written and read back."""
+    path, size = folder(t, "slabs"), (256, 256, 16)
+    points = T.human_points(t).select("x", "y", F.col("section").alias("z"))
+    shape = points.agg(*[F.coalesce(F.max(c), F.lit(0)) + 1 for c in "xyz"]).first()
+    O.write_slabs(points.where("y >= 0 and z >= 0"), size, shape, path)
+    rows = S.spatial_chunks(O.read_slabs(t.spark.read.format("binaryFile").load(path)), size)
     return rows.groupBy("cx", "cy", "cz").agg(F.count("*").alias("n"))
