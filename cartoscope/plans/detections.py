@@ -240,7 +240,7 @@ def str_zero_pad(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey AS id, o_orderkey % 50 AS slide FROM orders")
 def str_slide_number(t: Tables) -> DataFrame:
-    name = F.concat(F.lit("DK39_slide"), F.lpad((F.col("o_orderkey") % 50).cast("string"), 3, "0"), F.lit("_2024.czi"))
+    name = F.concat(F.lit("AB12_slide"), F.lpad((F.col("o_orderkey") % 50).cast("string"), 3, "0"), F.lit("_2024.czi"))
     return t.orders.select(F.col("o_orderkey").alias("id"), S.slide_number(name).alias("slide"))
 
 

@@ -25,12 +25,16 @@ def stream_new_sections(t: Tables) -> DataFrame:
     return done.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("SELECT sha256(text) AS hash, 1::BIGINT AS n FROM documents GROUP BY text")
+@query("SELECT sha256(text) AS hash, 1::BIGINT AS n_first, count(*) - 1 AS n_duplicates, count(*) - 1 AS n_named FROM documents GROUP BY text")
 def stream_dedupe_files(t: Tables) -> DataFrame:
-    src = folder(t, "files")
-    t.documents.select("doc_id", "text").write.parquet(src)
-    rows = R.first_of_content(t.spark, src, "doc_id bigint, text string", "text", folder(t, "out"), folder(t, "mark"))
-    return rows.groupBy("hash").agg(F.count("*").alias("n"))
+    """Two arrivals of files; a duplicate is reported with the file that had its content first."""
+    src, out, mark = folder(t, "files"), folder(t, "out"), folder(t, "mark")
+    for half in (0, 1):
+        t.documents.where(F.col("doc_id") % 2 == half).select("doc_id", "text").write.mode("append").parquet(src)
+        rows = R.report_duplicates(t.spark, src, "doc_id bigint, text string", "text", "doc_id", out, mark)
+    names = rows.where("first").select(F.col("hash").alias("h"), F.col("file").alias("f"))
+    each = rows.join(names, F.col("hash").eqNullSafe(F.col("h")))
+    return each.groupBy("hash").agg(F.count_if("first").alias("n_first"), F.count_if("not first").alias("n_duplicates"), F.count_if(F.col("duplicate_of") == F.col("f")).alias("n_named"))
 
 
 @query("SELECT user_id, CASE WHEN count(*) FILTER (event_id % 4 = 0) > 0 THEN 'processed' ELSE 'waiting' END AS status FROM events GROUP BY user_id")

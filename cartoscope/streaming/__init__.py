@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def new_rows(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str) -> DataFrame:
@@ -14,12 +19,50 @@ def new_rows(spark: SparkSession, source: str, schema: str, out: str, checkpoint
     return spark.read.schema(schema).parquet(out)
 
 
-def first_of_content(spark: SparkSession, source: str, schema: str, content: str, out: str, checkpoint: str) -> DataFrame:
-    """Like new_rows, but only the first row of each content hash is kept, across calls (state in the checkpoint)."""
-    stream = spark.readStream.schema(schema).parquet(source).withColumn("hash", F.sha2(content, 256)).dropDuplicates(["hash"]).drop(content)
-    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out)
+#: Days after which a content that did not come again is forgotten.
+KEPT_DAYS = 365
+REPORT = "hash string, file string, first boolean, duplicate_of string"
+
+
+def _first_seen(keep_ms: int):
+    """State of a content hash: the file that had it first, and the time at which that is forgotten."""
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = state.getCurrentProcessingTimeMs()
+        file, until = state.get if state.exists else (None, now)
+        new = not state.exists or until < now  # a content that comes after its time is new, whether or not its timer has run
+        for part in parts:
+            first = np.zeros(len(part), bool)
+            if new:
+                file, first[0], new = part["file"].iloc[0], True, False
+            yield pd.DataFrame({"hash": [key[0]] * len(part), "file": part["file"].to_numpy(), "first": first, "duplicate_of": np.where(first, None, file)})
+        state.update((file, now + keep_ms))  # a content that comes again is kept from now on
+        state.setTimeoutDuration(keep_ms)
+
+    return run
+
+
+def report_duplicates(spark: SparkSession, source: str, schema: str, content: str, file: str, out: str, checkpoint: str, keep_ms: int = KEPT_DAYS * 86_400_000) -> DataFrame:
+    """What arrived under source since the last call, appended to out: hash, file, first, duplicate_of; returns out.
+
+    first marks the first file of a content; the others are reported on arrival with the file that had it, however many calls, restarts or arrivals
+    ago. State is one row a content and expires keep_ms after it last came. Of equal contents in one arrival any is the first.
+    """
+    rows = spark.readStream.schema(schema).parquet(source).select(F.sha2(content, 256).alias("hash"), F.col(file).cast("string").alias("file"))
+    seen = rows.groupBy("hash").applyInPandasWithState(_first_seen(keep_ms), REPORT, "file string, until long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    # timers ask for another batch without end, so a call runs batches only while there are files
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        q = seen.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(REPORT).parquet(out)
 
 
 def progress(arrived: DataFrame, processed: DataFrame, key: str) -> DataFrame:
