@@ -34,7 +34,7 @@ def stream_dedupe_files(t: Tables) -> DataFrame:
         rows = R.report_duplicates(t.spark, src, "doc_id bigint, text string", "text", "doc_id", out, mark)
     names = rows.where("first").select(F.col("hash").alias("h"), F.col("file").alias("f"))
     each = rows.join(names, F.col("hash").eqNullSafe(F.col("h")))
-    return each.groupBy("hash").agg(F.count_if("first").alias("n_first"), F.count_if("not first").alias("n_duplicates"), F.count_if(F.col("duplicate_of") == F.col("f")).alias("n_named"))
+    return each.groupBy("hash").agg(F.count_if("first").alias("n_first"), F.count_if(~F.col("first")).alias("n_duplicates"), F.count_if(F.col("duplicate_of") == F.col("f")).alias("n_named"))
 
 
 @query("SELECT user_id, CASE WHEN count(*) FILTER (event_id % 4 = 0) > 0 THEN 'processed' ELSE 'waiting' END AS status FROM events GROUP BY user_id")
