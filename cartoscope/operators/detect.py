@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartoscope.operators.selection import percentiles
+
 #: Corners of the regions in the (mean, std) plane, and the two corners of each of the six lines.
 CORNERS = ((0.0, 3.0), (3.0, 4.5), (1.0, 6.0), (-3.0, 4.0), (-10.0, 7.0), (10.0, 7.0))
 LINES = ((0, 1), (1, 2), (2, 3), (3, 0), (1, 5), (3, 4))
@@ -147,12 +149,12 @@ def ensemble_stats(scores: DataFrame, keys: Sequence[str], score: str = "score")
 
 def score_spread(scores: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
     """Median, and the distance from the 10th to the 90th percentile (linear interpolation)."""
-    p = scores.groupBy(*keys).agg(F.percentile(score, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("p"))
+    p = percentiles(scores, keys, score, (0.1, 0.5, 0.9))
     return p.select(*keys, F.col("p")[1].alias("median"), (F.col("p")[2] - F.col("p")[0]).alias("spread"))
 
 
 def by_shape(contours: DataFrame, area: tuple[float, float], circularity: float, percentile: float, image: str = "image") -> DataFrame:
     """Contours by area range, circularity above a bound and intensity above a percentile of their own image."""
-    cut = contours.groupBy(image).agg(F.percentile("intensity", F.lit(percentile)).alias("__cut"))
+    cut = percentiles(contours, [image], "intensity", [percentile]).select(image, F.col("p")[0].alias("__cut"))
     rows = contours.join(cut, image)
     return rows.where(F.col("area").between(*area) & (F.col("circularity") > circularity) & (F.col("intensity") > F.col("__cut"))).drop("__cut")

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from cartoscope.functions.durable import durable
 from cartoscope.operators.graph import connected_components
+from cartoscope.operators.selection import percentiles
 
 RC = ("row", "col")
 
@@ -41,13 +42,13 @@ def minmax(pixels: DataFrame, top: int) -> DataFrame:
 
 def quantile_scale(pixels: DataFrame, target: float, quantile: float = 0.99) -> DataFrame:
     """Values times target / the image's quantile of positive values."""
-    rows = _per_image(pixels, q=F.percentile(F.when(F.col("value") > 0, F.col("value")), F.lit(quantile)))
-    return rows.withColumn("value", F.col("value") * target / F.col("q")).drop("q")
+    q = percentiles(pixels, ["image"], F.when(F.col("value") > 0, F.col("value")), [quantile], "q")
+    return pixels.join(q, "image").withColumn("value", F.col("value") * target / F.col("q")[0]).drop("q")
 
 
 def percentile_stretch(pixels: DataFrame, low: float, high: float, top: float) -> DataFrame:
     """Values clipped to two percentiles of the image and scaled to [0, top]."""
-    rows = _per_image(pixels, p=F.percentile("value", F.array(F.lit(low), F.lit(high))))
+    rows = pixels.join(percentiles(pixels, ["image"], "value", (low, high)), "image")
     a, b = F.col("p")[0], F.col("p")[1]
     v = F.when(b > a, (F.least(F.greatest(F.col("value"), a), b) - a) * top / (b - a)).otherwise(0.0)
     return rows.withColumn("value", v).drop("p")
@@ -240,9 +241,9 @@ def mean_image(pixels: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def mean_mask(pixels: DataFrame, quantile: float) -> DataFrame:
     """Mean over images at each place, and whether it is above a quantile of the means."""
-    mean = pixels.groupBy(*RC).agg(F.avg("value").alias("mean"))
-    cut = mean.agg(F.percentile("mean", F.lit(quantile)).alias("q"))
-    return mean.crossJoin(F.broadcast(cut)).select(*RC, "mean", (F.col("mean") > F.col("q")).alias("kept"))
+    mean = durable(pixels.groupBy(*RC).agg(F.avg("value").alias("mean")), "mean")
+    cut = percentiles(mean, [], "mean", [quantile])
+    return mean.crossJoin(F.broadcast(cut)).select(*RC, "mean", (F.col("mean") > F.col("p")[0]).alias("kept"))
 
 
 def assemble(pixels: DataFrame, row_origin: Column, col_origin: Column, how: Callable[[str], Column]) -> DataFrame:

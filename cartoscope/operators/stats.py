@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from cartoscope.functions.durable import durable
+from cartoscope.operators.selection import percentiles
 
 
 def filtered_sum(rows: DataFrame, condition: str, sums: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -75,7 +76,8 @@ def error_pivot(rows: DataFrame, metrics: Sequence[str], brains: Sequence[str])
 
 def box_quantiles(rows: DataFrame, keys: Sequence[str], value: str, fewest: int) -> DataFrame:
     """Quartiles of a value in groups of at least so many rows."""
-    p = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p")).where(F.col("n") >= fewest)
+    enough = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") >= fewest)
+    p = enough.join(percentiles(rows, keys, value, (0.25, 0.5, 0.75)), list(keys))
     return p.select(*keys, "n", F.col("p")[0].alias("q1"), F.col("p")[1].alias("median"), F.col("p")[2].alias("q3"))
 
 
@@ -161,10 +163,13 @@ def effect_size(rows: DataFrame, group: str, value: str, first: str, second: str
 
 def linear_fit(rows: DataFrame, x: str, y: str) -> DataFrame:
     """Slope, intercept, and the 95th percentile of absolute residuals above and below the line with their counts."""
-    fit = rows.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
+    fit = durable(rows.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")), "fit")  # one line for all passes
     r = rows.crossJoin(F.broadcast(fit)).withColumn("r", F.col(y) - F.col("slope") * F.col(x) - F.col("intercept"))
     up, down = F.when(F.col("r") > 0, F.col("r")), F.when(F.col("r") < 0, -F.col("r"))
-    return r.agg(F.first("slope").alias("slope"), F.first("intercept").alias("intercept"), F.count(up).alias("n_above"), F.count(down).alias("n_below"), F.percentile(up, F.lit(0.95)).alias("p95_above"), F.percentile(down, F.lit(0.95)).alias("p95_below"))
+    total = r.agg(F.first("slope").alias("slope"), F.first("intercept").alias("intercept"), F.count(up).alias("n_above"), F.count(down).alias("n_below"))
+    sides = percentiles(r.where("r <> 0").select((F.col("r") > 0).alias("above"), F.abs("r").alias("r")), ["above"], "r", [0.95])
+    ends = sides.agg(*[F.max(F.when(F.col("above") == side, F.col("p")[0])).alias(n) for side, n in ((True, "p95_above"), (False, "p95_below"))])
+    return total.crossJoin(ends)
 
 
 def ks_two_sample(sample: DataFrame, background: DataFrame, key: str, value: str) -> DataFrame:
