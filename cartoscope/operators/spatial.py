@@ -87,25 +87,49 @@ def polygon_edges(vertices: DataFrame, keys: Sequence[str] = ("polygon", "sectio
     return vertices.withColumns(nxt).select(*keys, "point_order", "x", "y", "x2", "y2")
 
 
+def polygon_cells(vertices: DataFrame, cell: float) -> DataFrame:
+    """What a point of a grid cell has to be tested against: (section, polygon, __cx, __cy, x, y, x2, y2, times).
+
+    In a strip of cells of one height a ray to the right crosses an edge that reaches over the whole strip whatever its height is: cells
+    left of it only count such edges, and an odd count is one row without an edge. Other rows are edges that touch the
+    cell, or end within its strip right of it. So a cell inside a polygon is one row without an edge, and a
+    cell outside none. times: how often the row counts (edges of a polygon can repeat).
+    """
+    e = polygon_edges(vertices)
+    e = e.select("polygon", "section", *[F.col(c).cast("double").alias(c) for c in ("x", "y", "x2", "y2")])
+    low, high = F.least("y", "y2"), F.greatest("y", "y2")
+    e = e.withColumn("__cy", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
+    bottom, top = F.col("__cy") * F.lit(float(cell)), (F.col("__cy") + 1) * F.lit(float(cell))
+    at = lambda v: F.col("x") + (v - F.col("y")) * (F.col("x2") - F.col("x")) / F.nullif(F.col("y2") - F.col("y"), F.lit(0.0))
+    ends = [F.coalesce(at(F.greatest(low, bottom)), "x"), F.coalesce(at(F.least(high, top)), "x2")]
+    room = F.lit(1e-6 * cell) + F.lit(1e-9) * (F.abs("x") + F.abs("x2"))  # for rounding: more cells than needed hold the edge
+    left = F.greatest(F.least(*ends) - room, F.least("x", "x2"))
+    right = F.least(F.greatest(*ends) + room, F.greatest("x", "x2"))
+    e = e.withColumns({"first": F.floor(left / cell), "last": F.floor(right / cell), "whole": (low <= bottom) & (high >= top)})
+    e = e.withColumn("lo", F.min("first").over(W.partitionBy("polygon", "section", "__cy")))
+    e = e.withColumn("__cx", F.explode(F.sequence("lo", "last")))
+    plain = F.col("whole") & (F.col("__cx") < F.col("first"))
+    e = e.withColumns({c: F.when(~plain, F.col(c)) for c in ("x", "y", "x2", "y2")})
+    rows = e.groupBy("section", "polygon", "__cx", "__cy", "x", "y", "x2", "y2").agg((F.count("*") % 2).alias("times"))
+    return rows.where("x is not null or times = 1")
+
+
 def in_polygons(points: DataFrame, vertices: DataFrame, cell: float = 64) -> DataFrame:
     """Pairs (id, polygon, section): points strictly inside a polygon of their section (even-odd rule).
 
-    Polygons have three vertices or more; points on an edge are outside. A polygon's bounding box is cut into
-    grid cells, so only points of those cells meet its edges.
+    Polygons have three vertices or more (fewer enclose nothing); points on an edge are outside. Points meet the rows of
+    their cell only: one in a cell inside a polygon meets no edge, one in a border cell the few edges there.
     """
-    many = vertices.groupBy("polygon", "section").agg(F.count("*").alias("n"), *[f(c).alias(f"{m}_{c}") for c in "xy" for m, f in (("lo", F.min), ("hi", F.max))]).where("n >= 3")
-    boxes = many.select("polygon", "section", "lo_x", "hi_x", "lo_y", "hi_y", F.explode(F.sequence(F.floor(F.col("lo_x") / cell), F.floor(F.col("hi_x") / cell))).alias("__cx"))
-    boxes = boxes.select("*", F.explode(F.sequence(F.floor(F.col("lo_y") / cell), F.floor(F.col("hi_y") / cell))).alias("__cy"))
-    p = points.select("id", "section", F.col("x").alias("px"), F.col("y").alias("py")).withColumns({"__cx": F.floor(F.col("px") / cell), "__cy": F.floor(F.col("py") / cell)})
-    near = p.join(boxes, ["section", "__cx", "__cy"]).where("px between lo_x and hi_x and py between lo_y and hi_y").select("id", "section", "polygon", "px", "py")
-    met = near.join(polygon_edges(vertices), ["polygon", "section"])
+    p = points.select("id", "section", F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py")).withColumns({"__cx": F.floor(F.col("px") / cell), "__cy": F.floor(F.col("py") / cell)})
+    met = p.join(polygon_cells(vertices, cell), ["section", "__cx", "__cy"])
     cross = (F.col("px") - F.col("x")) * (F.col("y2") - F.col("y")) - (F.col("py") - F.col("y")) * (F.col("x2") - F.col("x"))
     on = (cross == 0) & F.col("px").between(F.least("x", "x2"), F.greatest("x", "x2")) & F.col("py").between(F.least("y", "y2"), F.greatest("y", "y2"))
     spans = (F.col("y") > F.col("py")) != (F.col("y2") > F.col("py"))
     # the crossing lies right of the point: compared without a division
     right = F.when(F.col("y2") > F.col("y"), cross < 0).otherwise(cross > 0)
-    found = met.groupBy("id", "section", "polygon").agg(F.count_if(spans & right).alias("n"), F.max(on).alias("on"))
-    return found.where(~F.col("on") & (F.col("n") % 2 == 1)).select("id", "polygon", "section")
+    met = met.select("id", "section", "polygon", "times", F.coalesce(on, F.lit(False)).alias("on"), F.coalesce(spans & right, F.lit(True)).alias("crossed"))
+    found = met.where("on or crossed").groupBy("id", "section", "polygon").agg(F.sum(F.when(F.col("crossed"), F.col("times"))).alias("n"), F.max("on").alias("on"))
+    return found.where("not on and n % 2 = 1").select("id", "polygon", "section")
 
 
 def polygon_union(points: DataFrame, vertices: DataFrame) -> DataFrame:
