@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -87,23 +89,69 @@ def consecutive_runs(points: DataFrame, pair_distance: float = 30) -> DataFrame:
     return spans.groupBy("n_sections").agg(F.count("*").alias("n_cells"))
 
 
-def greedy_match(pairs: DataFrame, truth: str = "a", prediction: str = "b", dist: str = "d2") -> DataFrame:
-    """One-to-one matching by ascending distance (ties by ids): rounds that take all pairs which are best on both sides.
+#: Pairs of a component that one task settles in sorted order; larger components take rounds.
+COMPONENT_PAIRS = 1_000_000
 
-    Equal to the sorted greedy order, since a pair that is best on both sides can never lose to an earlier one.
+
+def _settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of pairs sorted by component, distance and ids, those whose both ends are free when their turn comes."""
+    now, ends_a, ends_b = None, set(), set()
+    for batch in batches:
+        keep = np.zeros(len(batch), bool)
+        for i, (comp, a, b) in enumerate(zip(*(batch[c].tolist() for c in ("comp", "a", "b")), strict=True)):
+            if comp != now:
+                now, ends_a, ends_b = comp, set(), set()
+            if a not in ends_a and b not in ends_b:
+                ends_a.add(a)
+                ends_b.add(b)
+                keep[i] = True
+        yield batch.loc[keep, ["a", "b", "dist"]]
+
+
+def greedy_match(pairs: DataFrame, truth: str = "a", prediction: str = "b", dist: str = "d2", most: int = COMPONENT_PAIRS) -> DataFrame:
+    """One-to-one matching by ascending distance (ties by ids): (truth, prediction, dist) of the pairs taken.
+
+    Pairs only compete within a connected component of the graph of pairs. A component of one pair is taken as it is; others
+    are settled in sorted order, many in one task. Components of more than most pairs take rounds, each
+    of all pairs that are best on both sides, which can never lose to an earlier one. Pairs with a null id or distance match nothing.
+    Repeated pairs count once, at their smallest distance. Ids are integers or strings.
     """
-    order = F.struct(dist, truth, prediction)
-    left, out = durable(pairs.select(truth, prediction, dist), "match"), None
+    named = pairs.select(F.col(truth).alias("a"), F.col(prediction).alias("b"), F.col(dist).alias("dist")).where("a is not null and b is not null and dist is not null")
+    each = durable(named.groupBy("a", "b").agg(F.min("dist").alias("dist")), "match")
+    node = lambda side: F.concat(F.lit(side), F.col(side).cast("string"))
+    comps = durable(connected_components(each.select(node("a").alias("src"), node("b").alias("dst"))), "comps")
+    of_truth = comps.where("node like 'a%'").select(F.substring("node", 2, 1 << 30).cast(each.schema["a"].dataType).alias("a"), F.col("component").alias("comp"))
+    each_of = durable(each.join(of_truth, "a"), "match")
+    sizes = durable(each_of.groupBy("comp").agg(F.count("*").alias("n")), "sizes")
+    release(comps)
+    release(each)
+    rows = each_of.join(sizes, "comp")
+    alone = rows.where("n = 1").select("a", "b", "dist")
+    kinds = ", ".join(f"{c} {each.schema[c].dataType.simpleString()}" for c in ("a", "b", "dist"))
+    some = rows.where((F.col("n") > 1) & (F.col("n") <= most)).repartition("comp").sortWithinPartitions("comp", "dist", "a", "b")
+    out = [durable(alone.unionByName(some.select("comp", "a", "b", "dist").mapInPandas(_settled, kinds)), "took")]
+    large = sizes.where(F.col("n") > most)
+    if not large.isEmpty():
+        out += _rounds(rows.where(F.col("n") > most).select("a", "b", "dist"))
+    release(each_of)
+    release(sizes)
+    return together(out).select(F.col("a").alias(truth), F.col("b").alias(prediction), F.col("dist").alias(dist))
+
+
+def _rounds(pairs: DataFrame) -> list[DataFrame]:
+    """Durable tables of the pairs (a, b, dist) that each round takes."""
+    order = F.struct("dist", "a", "b")
+    left, out = durable(pairs, "match"), []
     while not left.isEmpty():
-        best = left.groupBy(truth).agg(F.min(order).alias("m")).select("m.*")
-        top = left.groupBy(prediction).agg(F.min(order).alias("m")).select("m.*")
-        took = durable(best.join(top, [dist, truth, prediction]), "took")
-        out = took if out is None else out.unionByName(took)
-        rest = left.join(took.select(truth), truth, "left_anti").join(took.select(prediction), prediction, "left_anti")
-        after = durable(rest, "match")
+        best = left.groupBy("a").agg(F.min(order).alias("m")).select("m.*")
+        top = left.groupBy("b").agg(F.min(order).alias("m")).select("m.*")
+        out.append(durable(best.join(top, ["dist", "a", "b"]).select("a", "b", "dist"), "took"))
+        rest = left.join(out[-1].select("a"), "a", "left_anti").join(out[-1].select("b"), "b", "left_anti")
+        after = durable(rest.select("a", "b", "dist"), "match")
         release(left)
         left = after
-    return out if out is not None else left
+    release(left)
+    return out
 
 
 def closure(tree: DataFrame) -> DataFrame:
