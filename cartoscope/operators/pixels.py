@@ -278,16 +278,50 @@ def moments(mask: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumns({f"h{i}": e for i, e in enumerate(hu)})
 
 
-def match_histogram(pixels: DataFrame, reference: DataFrame) -> DataFrame:
-    """Values mapped so that an image's distribution follows the reference's: the smallest reference value whose share reaches the pixel value's."""
-    from cartoscope.operators.stats import ecdf
-
-    own = ecdf(pixels, ["image"], "value")
-    ref = ecdf(reference.withColumn("one", F.lit(1)), ["one"], "value").select(F.col("value").alias("ref"), F.col("share").alias("ref_share"))
-    steps = own.select("image", F.col("value"), F.col("share"), F.lit(None).cast("long").alias("ref")).unionByName(own.select("image").distinct().crossJoin(F.broadcast(ref)).select("image", F.lit(None).cast("long").alias("value"), F.col("ref_share").alias("share"), "ref"))
-    # as-of: for each own share the first reference share that is not below it
-    w = W.partitionBy("image").orderBy(F.desc("share"), F.col("ref").isNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = steps.withColumn("to", F.min("ref").over(w)).where("value is not null").select("image", "value", "to")
+def _around_shares(shares: DataFrame, reference: DataFrame) -> DataFrame:
+    """For each share the reference rows next to it: (share, below, above), structs of share and ref; null beyond the ends.
+
+    reference: distinct share and ref. Shares and reference are dealt by range together, so no range meets another's rows; of what lies
+    before and behind a range its neighbours need one row each.
+    """
+    rows = shares.select("share", F.lit(None).cast(reference.schema["ref"].dataType).alias("ref")).unionByName(reference.select("share", "ref"))
+    dealt = durable(rows.repartitionByRange("share").withColumn("__part", F.spark_partition_id()), "ranges")
+    here = F.when(F.col("ref").isNotNull(), F.struct("share", "ref"))
+    ends = dealt.groupBy("__part").agg(F.min(here).alias("lo"), F.max(here).alias("hi"))  # as many rows as the session has shuffle partitions
+    before = F.last("hi", True).over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    behind = F.last("lo", True).over(W.orderBy(F.desc("__part")).rowsBetween(W.unboundedPreceding, -1))
+    ends = ends.select("__part", before.alias("before"), behind.alias("behind"))
+    inside = W.partitionBy("__part")
+    up, down = (F.last(here, True).over(inside.orderBy(o, F.col("ref").isNull()).rowsBetween(W.unboundedPreceding, W.currentRow)) for o in (F.asc("share"), F.desc("share")))
+    found = dealt.withColumns({"below": up, "above": down}).where("ref is null").join(F.broadcast(ends), "__part")
+    return found.select("share", F.coalesce("below", "before").alias("below"), F.coalesce("above", "behind").alias("above"))
+
+
+def match_histogram(pixels: DataFrame, reference: DataFrame, linear: bool = False, top: int | None = None) -> DataFrame:
+    """Values mapped so that an image's distribution follows the reference's.
+
+    To the smallest reference value whose share reaches the pixel value's; linear: interpolated between the reference
+    values around the share, and the smallest one below all. top: the result divided by its image's largest
+    value, times top, truncated (65535 for 16 bits); 0 where the largest value is 0. An empty reference gives null values.
+    """
+    from cartoscope.operators.stats import ecdf, running_sums
+
+    own = durable(ecdf(pixels, ["image"], "value"), "shares")
+    counts = running_sums(reference.where("value is not null").groupBy("value").agg(F.count("*").alias("n")), F.col("value"), ["n"])
+    total = reference.where("value is not null").agg(F.count("*").alias("total"))
+    ref = counts.crossJoin(F.broadcast(total)).select(F.col("value").alias("ref"), (F.col("upto_n") / F.col("total")).alias("share"))
+    near = _around_shares(own.select("share").distinct(), ref)
+    a, b = F.col("below"), F.col("above")
+    if linear:
+        slope = (b["ref"] - a["ref"]) / F.nullif(b["share"] - a["share"], F.lit(0.0))
+        to = F.when(a.isNull(), b["ref"]).when(b.isNull() | (a["share"] == b["share"]), a["ref"]).otherwise(slope * (F.col("share") - a["share"]) + a["ref"]).cast("double")
+    else:
+        to = b["ref"]
+    found = own.join(near.select("share", to.alias("to")), "share").select("image", "value", "to")
+    if top is not None:
+        largest = found.groupBy("image").agg(F.max("to").alias("largest"))
+        scaled = F.when(F.col("largest") == 0, 0).otherwise(F.floor(F.lit(top) * (F.col("to") / F.nullif(F.col("largest"), F.lit(0)))))
+        found = found.join(largest, "image").select("image", "value", scaled.cast("long").alias("to"))
     return pixels.join(found, ["image", "value"]).withColumn("value", F.col("to")).drop("to")
 
 

@@ -173,6 +173,17 @@ def win_match_histogram(t: Tables) -> DataFrame:
     return X.match_histogram(T.pixels(t), T.pixels(t).where("image < 5")).select("image", "row", "col", "value")
 
 
+@query("""WITH o AS MATERIALIZED (SELECT image, value, sum(count(*)) OVER (PARTITION BY image ORDER BY value) / sum(count(*)) OVER (PARTITION BY image) AS s FROM @pix GROUP BY image, value),
+  r AS MATERIALIZED (SELECT value AS ref, sum(count(*)) OVER (ORDER BY value) / sum(count(*)) OVER () AS share FROM @pix GROUP BY value),
+  m AS (SELECT s, max(share) FILTER (share <= s) AS s0, arg_max(ref, share) FILTER (share <= s) AS v0, min(share) FILTER (share >= s) AS s1, arg_min(ref, share) FILTER (share >= s) AS v1 FROM (SELECT DISTINCT s FROM o), r GROUP BY s),
+  t AS (SELECT s, CASE WHEN s0 IS NULL THEN v1 WHEN s0 = s1 THEN v0 ELSE (v1 - v0)::DOUBLE / (s1 - s0) * (s - s0) + v0 END::DOUBLE AS v FROM m),
+  g AS (SELECT image, value, v, max(v) OVER (PARTITION BY image) AS largest FROM o JOIN t USING (s))
+  SELECT p.image, p.row, p.col, CASE WHEN largest = 0 THEN 0 ELSE floor(65535 * (v / largest))::BIGINT END AS value FROM @pix p JOIN g ON g.image = p.image AND g.value = p.value""")
+def win_match_histogram_linear(t: Tables) -> DataFrame:
+    """Every image against the values of all images together, interpolated, in 16 bits."""
+    return X.match_histogram(T.pixels(t), T.pixels(t), linear=True, top=65535).select("image", "row", "col", "value")
+
+
 @query("SELECT image, value, sum(count(*)) OVER (PARTITION BY image ORDER BY value) / sum(count(*)) OVER (PARTITION BY image) AS share FROM @pix GROUP BY image, value")
 def win_ecdf(t: Tables) -> DataFrame:
     return S.ecdf(T.pixels(t), ["image"], "value")
