@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -159,13 +160,21 @@ def edge(mask: DataFrame) -> DataFrame:
     return mask.join(full, ["image", *RC], "left_anti")
 
 
+def spans(pixels: DataFrame, along: str) -> DataFrame:
+    """Runs of consecutive pixels (image, row, col) along a coordinate: (image, the other coordinate, first, last)."""
+    other = RC[1 - RC.index(along)]
+    line = W.partitionBy("image", other).orderBy(along)
+    starts = pixels.withColumn("__new", F.coalesce(F.col(along) - F.lag(along).over(line) > 1, F.lit(True)))
+    named = starts.withColumn("first", F.max(F.when(F.col("__new"), F.col(along))).over(line.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return named.groupBy("image", other, "first").agg(F.max(along).alias("last"))
+
+
 def border_band(mask: DataFrame, radius: int) -> DataFrame:
     """Mask pixels with a pixel outside the mask within a square of +-radius (what erosion takes away)."""
     full = mask.select("image", *RC)
-    for c in RC:  # a square is full if its lines are, and then its columns of full lines
-        other = RC[1 - RC.index(c)]
-        each = full.select("image", other, F.explode(F.sequence(F.col(c) - radius, F.col(c) + radius)).alias(c))
-        full = each.groupBy("image", *RC).agg(F.count("*").alias("n")).where(F.col("n") == 2 * radius + 1).select("image", *RC)
+    for c in ("col", "row"):  # a square is full if its lines are, and then its columns of full lines: runs lose radius at both ends
+        runs = spans(full, c).where(F.col("last") - F.col("first") >= 2 * radius)
+        full = runs.select("image", RC[1 - RC.index(c)], F.explode(F.sequence(F.col("first") + radius, F.col("last") - radius)).alias(c))
     return mask.join(full, ["image", *RC], "left_anti")
 
 
@@ -176,11 +185,24 @@ def symmetrize(voxels: DataFrame, axis: str, size: int) -> DataFrame:
     return voxels.join(mirrored, keys, "full").select(*keys, ((F.coalesce("value", F.lit(0)) + F.coalesce("__m", F.lit(0))) / 2).alias("value"))
 
 
+def united(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Disjoint runs (keys, first, last) that cover what runs cover, in each group of keys; runs that touch become one."""
+    line = W.partitionBy(*keys).orderBy("first", "last")
+    reach = F.max("last").over(line.rowsBetween(W.unboundedPreceding, -1))
+    opened = runs.select(*keys, "first", "last").distinct().withColumn("__new", F.coalesce(F.col("first") > reach + 1, F.lit(True)))
+    named = opened.withColumn("__start", F.max(F.when(F.col("__new"), F.col("first"))).over(line.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return named.groupBy(*keys, F.col("__start").alias("first")).agg(F.max("last").alias("last"))
+
+
 def draw_discs(points: DataFrame, radius: int) -> DataFrame:
-    """Distinct pixels (section, row, col) within radius of a point."""
-    steps = [(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1) if i * i + j * j <= radius * radius]
-    each = points.select("section", "x", "y", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps])).alias("o"))
-    return each.select("section", (F.col("y") + F.col("o.i")).alias("row"), (F.col("x") + F.col("o.j")).alias("col")).distinct()
+    """Distinct pixels (section, row, col) within radius of a point (whole coordinates).
+
+    A point is one run a row, 2 radius + 1 in all; runs are united before they become pixels.
+    """
+    rows = [(i, math.isqrt(radius * radius - i * i)) for i in range(-radius, radius + 1)]
+    each = points.select("section", "x", "y", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in rows])).alias("o"))
+    runs = each.select("section", (F.col("y") + F.col("o.i")).alias("row"), (F.col("x") - F.col("o.w")).alias("first"), (F.col("x") + F.col("o.w")).alias("last"))
+    return united(runs, ["section", "row"]).select("section", "row", F.explode(F.sequence("first", "last")).alias("col"))
 
 
 def fill_polygons(edges: DataFrame) -> DataFrame:
@@ -219,8 +241,6 @@ def pyramid(pixels: DataFrame, levels: int, how: Callable[[str], Column] = F.avg
 
 def blur_subtract(pixels: DataFrame, radius: int, sigma: float) -> DataFrame:
     """Value minus the Gaussian-blurred value, clipped at 0. The kernel is separable: rows, then columns; missing pixels don't count."""
-    import math
-
     steps = [(d, math.exp(-d * d / (2 * sigma * sigma))) for d in range(-radius, radius + 1)]
     out = pixels.select("image", *RC, F.col("value").cast("double").alias("b"))
     for c in RC:
