@@ -57,22 +57,22 @@ def _sums(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.count("*").alias("n"), *sums)
 
 
-def _moments(row: pd.Series) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray, float, float]:
+def _moments(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """n, sums a and b, products xx and xy, and the sum of squares of x, one entry a row."""
     one, two = [f"{c}1" for c in AXES], [f"{c}2" for c in AXES]
-    n = row["n"]
-    a, b = np.array([row[f"s_{c}"] for c in one]), np.array([row[f"s_{c}"] for c in two])
-    xx = np.array([[row[f"p_{p}_{q}"] for q in one] for p in one])
-    xy = np.array([[row[f"p_{p}_{q}"] for q in two] for p in one])
-    return n, a, b, xx, xy, sum(row[f"p_{c}_{c}"] for c in one), sum(row[f"p_{c}_{c}"] for c in two)
+    table = lambda names: np.stack([rows[c].to_numpy(float) for c in names], 1)
+    xx = table([f"p_{p}_{q}" for p in one for q in one]).reshape(-1, 3, 3)
+    xy = table([f"p_{p}_{q}" for p in one for q in two]).reshape(-1, 3, 3)
+    return rows["n"].to_numpy(float), table([f"s_{c}" for c in one]), table([f"s_{c}" for c in two]), xx, xy, np.trace(xx, axis1=1, axis2=2)
 
 
 def _solved(keys: Sequence[str], columns: Sequence[str], solve):
-    """mapInPandas function: the last small step of a fit for each row of sums."""
+    """mapInPandas function: the last small step of a fit for all rows of sums of a batch at once. solve: one row of results each, NaN without one."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = [[*(row[k] for k in keys), *solve(row)] for _, row in part.iterrows()]
-            yield pd.DataFrame(rows, columns=[*keys, *columns])
+            found = pd.DataFrame(solve(part), columns=list(columns), index=part.index)
+            yield pd.concat([part[[*keys, "n"]], found.astype(object).where(found.notna(), None)], axis=1)
 
     return run
 
@@ -83,38 +83,45 @@ MATRIX = [f"m{i}{j}" for i in range(3) for j in range(4)]
 def affine_fit(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Least-squares affine of each group of paired landmarks: keys, n, m00..m23 (3 x 4). Null with fewer than four pairs or a singular set."""
 
-    def solve(row: pd.Series) -> list:
-        n, a, b, xx, xy, _, _ = _moments(row)
-        left = np.block([[xx, a[:, None]], [a[None, :], np.array([[n]])]])
-        right = np.vstack([xy, b[None, :]])
-        if n < 4 or np.linalg.matrix_rank(left) < 4:
-            return [n, *[None] * 12]
-        return [n, *np.linalg.solve(left, right).T.ravel()]
+    def solve(rows: pd.DataFrame) -> np.ndarray:
+        n, a, b, xx, xy, _ = _moments(rows)
+        left = np.block([[xx, a[:, :, None]], [a[:, None, :], n[:, None, None]]])
+        right = np.concatenate([xy, b[:, None, :]], 1)
+        out = np.full((len(n), 12), np.nan)
+        finite = np.isfinite(left).all((1, 2)) & np.isfinite(right).all((1, 2)) & (n >= 4)
+        fit = finite.copy()
+        fit[finite] = np.linalg.matrix_rank(left[finite]) == 4
+        out[fit] = np.linalg.solve(left[fit], right[fit]).transpose(0, 2, 1).reshape(-1, 12)
+        return out
 
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in keys}
     schema = ", ".join([*(f"{c} {k}" for c, k in kinds.items()), "n long", *(f"{c} double" for c in MATRIX)])
-    return _sums(pairs, keys).mapInPandas(_solved(keys, ["n", *MATRIX], solve), schema)
+    return _sums(pairs, keys).mapInPandas(_solved(keys, MATRIX, solve), schema)
 
 
 def similarity_fit(pairs: DataFrame, keys: Sequence[str], scale: bool = True) -> DataFrame:
     """Rotation, translation and scale (1 for a rigid fit) of each group: keys, n, m00..m23, scale. Reflections are turned into rotations."""
 
-    def solve(row: pd.Series) -> list:
-        n, a, b, _, xy, xx, _ = _moments(row)
-        if n < 3:
-            return [n, *[None] * 13]
-        c = (xy - np.outer(a, b) / n) / n
-        u, d, vt = np.linalg.svd(c.T)
-        sign = np.diag([1, 1, np.sign(np.linalg.det(u) * np.linalg.det(vt))])
-        r = u @ sign @ vt
-        variance = (xx - a @ a / n) / n
-        s = float(np.trace(np.diag(d) @ sign) / variance) if scale and variance > 0 else 1.0
-        t = b / n - s * r @ (a / n)
-        return [n, *np.hstack([s * r, t[:, None]]).ravel(), s]
+    def solve(rows: pd.DataFrame) -> np.ndarray:
+        moments = _moments(rows)
+        out = np.full((len(rows), 13), np.nan)
+        fit = (moments[0] >= 3) & np.all([np.isfinite(m.reshape(len(rows), -1)).all(1) for m in moments], 0)
+        n, a, b, _, xy, xx = (m[fit] for m in moments)
+        c = (xy - a[:, :, None] * b[:, None, :] / n[:, None, None]) / n[:, None, None]
+        u, d, vt = np.linalg.svd(c.transpose(0, 2, 1))
+        sign = np.ones((len(n), 3))
+        sign[:, 2] = np.sign(np.linalg.det(u) * np.linalg.det(vt))
+        r = (u * sign[:, None, :]) @ vt
+        variance = (xx - (a * a).sum(1) / n) / n
+        scaled = scale & (variance > 0)
+        s = np.where(scaled, (d * sign).sum(1) / np.where(scaled, variance, 1.0), 1.0)
+        t = b / n[:, None] - s[:, None] * np.einsum("kij,kj->ki", r, a / n[:, None])
+        out[fit] = np.hstack([np.concatenate([s[:, None, None] * r, t[:, :, None]], 2).reshape(-1, 12), s[:, None]])
+        return out
 
     kinds = {c: pairs.schema[c].dataType.simpleString() for c in keys}
     schema = ", ".join([*(f"{c} {k}" for c, k in kinds.items()), "n long", *(f"{c} double" for c in [*MATRIX, "scale"])])
-    return _sums(pairs, keys).mapInPandas(_solved(keys, ["n", *MATRIX, "scale"], solve), schema)
+    return _sums(pairs, keys).mapInPandas(_solved(keys, [*MATRIX, "scale"], solve), schema)
 
 
 def apply_matrix(x: Column, y: Column, z: Column, m: Sequence[Column]) -> list[Column]:

@@ -218,12 +218,12 @@ def principal_axes(voxels: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = []
-            for _, r in part.iterrows():
-                values, vectors = np.linalg.eigh(np.array([[r[f"c_{a}{b}"] for b in axes] for a in axes], float))
-                first = vectors[:, -1] * np.sign(vectors[np.abs(vectors[:, -1]).argmax(), -1])
-                out.append([*(r[k] for k in keys), *(r[f"mean_{c}"] for c in axes), *values[::-1], *first])
-            yield pd.DataFrame(out, columns=[*keys, *(f"mean_{c}" for c in axes), "v1", "v2", "v3", "a_x", "a_y", "a_z"])
+            products = np.stack([part[f"c_{a}{b}"].to_numpy(float) for a in axes for b in axes], 1).reshape(-1, 3, 3)
+            values, vectors = np.linalg.eigh(products)
+            first = vectors[:, :, -1]
+            largest = np.take_along_axis(first, np.abs(first).argmax(1)[:, None], 1)
+            found = pd.DataFrame(np.hstack([values[:, ::-1], first * np.sign(largest)]), columns=["v1", "v2", "v3", "a_x", "a_y", "a_z"], index=part.index)
+            yield pd.concat([part[[*keys, *(f"mean_{c}" for c in axes)]], found], axis=1)
 
     kinds = {c: voxels.schema[c].dataType.simpleString() for c in keys}
     return rows.mapInPandas(run, ", ".join([*(f"{c} {k}" for c, k in kinds.items()), *(f"{c} double" for c in ("mean_x", "mean_y", "mean_z", "v1", "v2", "v3", "a_x", "a_y", "a_z"))]))
