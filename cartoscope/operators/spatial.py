@@ -1,7 +1,8 @@
 """Spatial joins by grid keys: a distance predicate becomes an equi-join on cells, so nothing is a nested loop.
 
-Cells are as large as the distance, so a cell meets its 3 x 3 neighbours only. A dense cell is one key of the
-join; the skew join of the adaptive planner splits it.
+Cells are twice as wide as the distance, so the square around a point touches about four. A dense cell is one
+key of the join; the skew join of the adaptive planner splits it. These joins are never broadcast: the planner takes a
+table of points for as large as its files, whatever it was exploded to.
 """
 
 from __future__ import annotations
@@ -17,26 +18,51 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / size)
 
 
-def _around(points: DataFrame, size: float) -> DataFrame:
-    """points once for each of the 3 x 3 cells around their own."""
-    near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    rows = points.withColumn("__o", F.explode(near))
-    return rows.withColumns({"__cx": _cell(F.col("x"), size) + F.col("__o.i"), "__cy": _cell(F.col("y"), size) + F.col("__o.j")}).drop("__o")
+#: Cells are so many times as wide as the reach of a join.
+WIDTH = 2
+
+
+def _touched(points: DataFrame, reach: float) -> DataFrame:
+    """points once for each cell (__cx, __cy) that the square of reach around them touches."""
+    for c in "xy":
+        room = F.lit(reach * (1 + 1e-6)) + F.abs(c) * 1e-15  # for rounding: more cells than needed
+        points = points.withColumn(f"__c{c}", F.explode(F.sequence(_cell(F.col(c) - room, WIDTH * reach), _cell(F.col(c) + room, WIDTH * reach))))
+    return points
+
+
+def _located(points: DataFrame, name: str, section: Column) -> DataFrame:
+    return points.select(F.col("id").alias(name), section.alias("section"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+
+
+def _own(c: str, reach: float) -> Column:
+    return _cell(F.col(c), WIDTH * reach)
+
+
+def _met(a: DataFrame, right: DataFrame, reach: float, section: Column) -> DataFrame:
+    """Rows (a, b, section, ax, ay, __cx, __cy, d2, dist) of touched points and points of the cells within reach."""
+    b = _located(right, "b", section).withColumns({f"__c{c}": _own(c, reach) for c in "xy"}).withColumnsRenamed({"x": "bx", "y": "by"})
+    square = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
+    pairs = a.withColumnsRenamed({"x": "ax", "y": "ay"}).join(b.hint("merge"), ["section", "__cx", "__cy"]).withColumn("d2", square)
+    return pairs.where(F.col("d2") <= reach * reach).withColumn("dist", F.sqrt("d2"))
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, reach: float, section_step: int = 0) -> DataFrame:
     """Pairs (a, b, section, dist) of ids of left and right in one section (right: section + step) within reach."""
-    a = _around(left.select(F.col("id").alias("a"), "section", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), reach).select("a", "section", F.col("x").alias("ax"), F.col("y").alias("ay"), "__cx", "__cy")
-    b = right.select(F.col("id").alias("b"), (F.col("section") - section_step).cast(left.schema["section"].dataType).alias("section"), F.col("x").cast("double").alias("bx"), F.col("y").cast("double").alias("by"))
-    b = b.withColumns({"__cx": _cell(F.col("bx"), reach), "__cy": _cell(F.col("by"), reach)})
-    square = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by"))
-    pairs = a.join(b, ["section", "__cx", "__cy"]).withColumn("d2", square)
-    return pairs.where(F.col("d2") <= reach * reach).select("a", "b", "section", "d2", F.sqrt("d2").alias("dist"))
+    a = _touched(_located(left, "a", F.col("section")), reach)
+    return _met(a, right, reach, (F.col("section") - section_step).cast(left.schema["section"].dataType)).select("a", "b", "section", "d2", "dist")
 
 
 def proximity_pairs(points: DataFrame, pair_distance: float = 30) -> DataFrame:
-    """Unordered pairs of points of one section that are strictly closer than pair_distance."""
-    return candidate_pairs(points, points, pair_distance).where((F.col("a") < F.col("b")) & (F.col("d2") < pair_distance**2)).select("a", "b", "section", "dist")
+    """Unordered pairs of points of one section that are strictly closer than pair_distance.
+
+    A point looks into its own cell and the touched ones behind it (by row, then column), so a pair meets once.
+    """
+    reach = pair_distance
+    behind = (F.col("__cy") > _own("y", reach)) | ((F.col("__cy") == _own("y", reach)) & (F.col("__cx") >= _own("x", reach)))
+    a = _touched(_located(points, "a", F.col("section")), reach).where(behind)
+    same = (F.col("__cx") == _own("ax", reach)) & (F.col("__cy") == _own("ay", reach))
+    pairs = _met(a, points, reach, F.col("section")).where((F.col("a") < F.col("b")) | ((F.col("a") > F.col("b")) & ~same))
+    return pairs.where(F.col("d2") < pair_distance**2).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "section", "dist")
 
 
 def across_sections(points: DataFrame, pair_distance: float = 30) -> DataFrame:
