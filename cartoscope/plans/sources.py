@@ -162,10 +162,10 @@ def sink_spatial_chunks(t: Tables) -> DataFrame:
 
 @query("SELECT cx, cy, cz, count(*) AS n FROM (SELECT DISTINCT floor(x / 256)::BIGINT AS cx, floor(y / 256)::BIGINT AS cy, floor(section / 16)::BIGINT AS cz, x, y, section FROM @human WHERE y >= 0 AND section >= 0) GROUP BY ALL")
 def sink_chunked_voxels(t: Tables) -> DataFrame:
-    """A slab of ones for each chunk with a point, written and read back."""
+    """A slab of ones for each chunk with a point, written and read back. Slabs are packed: most of their voxels are 0."""
     path, size = folder(t, "slabs"), (256, 256, 16)
     points = T.human_points(t).select("x", "y", F.col("section").alias("z"))
     shape = points.agg(*[F.coalesce(F.max(c), F.lit(0)) + 1 for c in "xyz"]).first()
-    O.write_slabs(points.where("y >= 0 and z >= 0"), size, shape, path)
+    O.write_slabs(points.where("y >= 0 and z >= 0"), size, shape, path, packed=True)
     rows = S.spatial_chunks(O.read_slabs(t.spark.read.format("binaryFile").load(path)), size)
     return rows.groupBy("cx", "cy", "cz").agg(F.count("*").alias("n"))

@@ -97,6 +97,14 @@ def point_files(points: DataFrame, key: str, axes: Sequence[str], order: Sequenc
     return rows.select(key, F.concat_ws("\n", F.lit("point"), F.size("l").cast("string"), F.array_join(F.transform("l", lambda v: v["line"]), "\n")).alias("text"))
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows by keys to as many tasks as spark.sql.shuffle.partitions says, so that a key is one file of one task.
+
+    The number is named because the adaptive planner would otherwise merge small rows into one task, however many files they become.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def write_partitioned(rows: DataFrame, path: str, key: str, kind: str = "csv") -> None:
     """One folder a key. Every task writes the rows it has, so a hot key is several files and nothing is shuffled."""
     rows.write.mode("overwrite").partitionBy(key).option("header", True).format(kind).save(path)
