@@ -111,7 +111,7 @@ def sink_point_file(t: Tables) -> DataFrame:
 def src_tile_info_json(t: Tables) -> DataFrame:
     path = folder(t, "tiles")
     rows = T.transforms(t).select(F.col("section").alias("layer"), F.array("xshift", "yshift").alias("tile_mmxx_um"), F.array("xshift", "yshift").alias("tile_mmll_um"), F.col("rotation").alias("layer_z_um"), F.array("xshift").alias("stack_size_um"), F.lit(0).alias("tile"))
-    rows.write.partitionBy("layer", "tile").json(path)
+    S.dealt(rows, "layer", "tile").write.partitionBy("layer", "tile").json(path)
     return S.tile_info(t.spark, path).groupBy(F.col("layer").cast("long").alias("layer")).agg(F.count("*").alias("n"), F.round(F.sum("layer_z_um"), 6).alias("z"))
 
 
