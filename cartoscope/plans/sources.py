@@ -58,7 +58,7 @@ def src_db_tables(t: Tables) -> DataFrame:
 def src_com_textfiles(t: Tables) -> DataFrame:
     path = folder(t, "com")
     rows = T.transforms(t).select("section", F.concat_ws(" ", "rotation", "xshift", "yshift").alias("value"))
-    rows.repartition("section").write.partitionBy("section").text(path)
+    S.dealt(rows, "section").write.partitionBy("section").text(path)
     read = t.spark.read.text(path, wholetext=True)
     parts = F.split(F.trim("value"), r"\s+")
     out = read.select(F.col("section").cast("string").alias("structure"), (parts[0].cast("double") * 2).alias("x"), (parts[1].cast("double") * 2).alias("y"))
