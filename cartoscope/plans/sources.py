@@ -156,7 +156,7 @@ def sink_all_predictions(t: Tables) -> DataFrame:
 def sink_spatial_chunks(t: Tables) -> DataFrame:
     path = folder(t, "chunks")
     rows = S.spatial_chunks(T.detections(t).select("id", "x", "y", F.col("section").alias("z")), (200, 200, 10))
-    rows.write.partitionBy("cx", "cy", "cz").parquet(path)
+    S.dealt(rows, "cx", "cy", "cz").write.partitionBy("cx", "cy", "cz").parquet(path)
     return S.chunk_info(t.spark.read.parquet(path))
 
 
