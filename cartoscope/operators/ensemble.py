@@ -54,22 +54,33 @@ class Ensemble:
 
     def margins(self, x: np.ndarray, first: int = 0) -> np.ndarray:
         """Sum of the leaf values (row, model) of the rounds from first on; x: (row, feature), NaN where missing."""
-        out = np.zeros((len(x), self.feature.shape[1]))
+        out = np.zeros((self.feature.shape[1], len(x)))
+        columns = np.ascontiguousarray(x.T)
         for r in range(first, len(self.feature)):
-            out += np.take_along_axis(self.value[r].T, self.leaves(x, r), 0)
-        return out
+            for m, node in enumerate(self._leaves(columns, r)):
+                out[m] += self.value[r, m][node]
+        return out.T
 
     def leaves(self, x: np.ndarray, r: int) -> np.ndarray:
         """The node (row, model) of each row in the trees of a round."""
-        model = np.arange(self.feature.shape[1])
-        node = np.zeros((len(x), len(model)), np.int64)
-        row = np.arange(len(x))[:, None]
-        for _ in range((self.feature.shape[2] + 1).bit_length() - 2):
-            f = self.feature[r][model, node]
-            v = x[row, np.maximum(f, 0)]
-            left = np.where(np.isnan(v), self.missing_left[r][model, node], v < self.cut[r][model, node])
-            node = np.where(f < 0, node, 2 * node + 2 - left)
-        return node
+        return np.array(list(self._leaves(np.ascontiguousarray(x.T), r)), np.int64).reshape(-1, len(x)).T
+
+    def _leaves(self, columns: np.ndarray, r: int) -> Iterator[np.ndarray]:
+        """The node of each row in each model's tree of a round: every split is one comparison of a whole column."""
+        blank = np.isnan(columns)
+        holes = blank.any(1)
+
+        def under(m: int, i: int) -> np.ndarray | np.int16:
+            f = self.feature[r, m, i]
+            if f < 0:
+                return np.int16(i)
+            left = columns[f] < self.cut[r, m, i]
+            if holes[f] and self.missing_left[r, m, i]:
+                left |= blank[f]
+            return np.where(left, under(m, 2 * i + 1), under(m, 2 * i + 2))
+
+        for m in range(self.feature.shape[1]):
+            yield np.broadcast_to(under(m, 0), columns.shape[1:])
 
 
 def empty(features: Sequence[str], edges: Sequence[np.ndarray], models: int, depth: int, rounds: int = 0) -> Ensemble:
@@ -122,7 +133,11 @@ def quantile_edges(rows: DataFrame, features: Sequence[str], bins: int) -> list[
 
 def _matrix(column: pa.Array, kind: type, width: int) -> np.ndarray:
     """Values of a binary column, all of one size, a row each."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
+    if not len(column):
+        return np.zeros((0, width), kind)
+    _, ends, held = column.cast(pa.large_binary()).buffers()
+    at = np.frombuffer(ends, np.int64)[column.offset] if column.offset else 0
+    return np.frombuffer(held, kind, len(column) * width, int(at)).reshape(len(column), width)
 
 
 def _read(batch: pa.RecordBatch, features: int, models: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -172,20 +187,21 @@ def _cells(trees: Ensemble, first: int, level: int, bins: int):
     nodes, last = 1 << level, len(trees.feature) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, models * nodes * features * bins), np.int64)
+        sums = np.zeros((2, models, nodes, features, bins), np.int64)
         done = replace(trees, **{k: getattr(trees, k)[:last] for k in ("feature", "cut", "missing_left", "value")})
         for batch in batches:
             x, y, learns, f = _read(batch, features, models)
-            parts = gradients(f + done.margins(x, first), y)
-            node = trees.leaves(x, last) - (nodes - 1)
-            row, model = np.nonzero(learns & (node >= 0))  # a smaller node is a leaf of an earlier level
-            head = (model * nodes + node[row, model]) * features
-            for j, e in enumerate(trees.edges):
-                missing = np.isnan(x[:, j])
-                place = np.where(missing, bins - 1, np.searchsorted(e, x[:, j], "right"))
-                cell = (head + j) * bins + place[row]
-                for total, part in zip(sums, parts, strict=True):
-                    total += np.bincount(cell, part[row, model], len(total)).astype(np.int64)  # a batch's sums are exact as doubles
+            g, h = (np.ascontiguousarray(v.T, float) for v in gradients(f + done.margins(x, first), y))
+            columns, used = np.ascontiguousarray(x.T), np.ascontiguousarray(learns.T)
+            places = [np.where(np.isnan(c), bins - 1, np.searchsorted(e, c, "right")) for c, e in zip(columns, trees.edges, strict=True)]
+            for m, leaf in enumerate(trees._leaves(columns, last)):
+                node = leaf.astype(np.int64) - (nodes - 1)
+                some = used[m] & (node >= 0)  # a smaller node is a leaf of an earlier level
+                head = np.where(some, node, 0) * bins
+                for total, part in zip(sums, (g[m] * some, h[m] * some), strict=True):
+                    for j, place in enumerate(places):
+                        total[m, :, j] += np.bincount(head + place, part, nodes * bins).astype(np.int64).reshape(nodes, bins)  # a batch's sums are exact as doubles
+        sums = sums.reshape(2, -1)
         some = np.flatnonzero(sums.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[0, some]), pa.array(sums[1, some])], ["cell", "g", "h"])
 
@@ -268,6 +284,8 @@ def train(rows: DataFrame, features: Sequence[str], label: str, key: str, models
         learns = [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(100)) < percent for i in range(a, b)]
         table = known.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)], F.col(label).cast("double").alias("y"), *[v.alias(f"l{i}") for i, v in enumerate(learns)])
         some = trees.models(slice(a, b))
+        # a small file is one row group, which is one task: rows are dealt to as many tasks as can run
+        table = table.repartition(max(known.sparkSession.sparkContext.defaultParallelism, known.rdd.getNumPartitions()))
         state = durable(table.mapInArrow(_begun(len(features), some), STATE), "state")
         parts.append(_rounds(state, some, depth, rounds, eta))
     return replace(parts[0], **{k: np.concatenate([getattr(p, k) for p in parts], 1) for k in ("feature", "cut", "missing_left", "value")})

@@ -118,3 +118,12 @@ def test_nothing_to_learn_from(spark):
     trees = ensemble.train(blank, FEATURES, "label", "id", models=2, rounds=2, percent=100)
     assert (trees.feature < 0).all() and (trees.value[:, :, 0] > 0).all()
     assert len(ensemble.score(blank, FEATURES, trees).collect()) == 2
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark, rows, tmp_path, monkeypatch):
+    """A file of one row group is one task, however many rows it has."""
+    frame(spark, rows, 1).write.parquet(f"{tmp_path}/one")
+    seen, kept = [], ensemble.durable
+    monkeypatch.setattr(ensemble, "durable", lambda df, label: seen.append(df.rdd.getNumPartitions()) or kept(df, label))
+    ensemble.train(spark.read.parquet(f"{tmp_path}/one"), FEATURES, "label", "id", models=2, rounds=1)
+    assert min(seen) >= spark.sparkContext.defaultParallelism
