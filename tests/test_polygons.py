@@ -52,3 +52,14 @@ def test_empty_tables(spark):
     vertices = spark.createDataFrame([], "polygon int, section int, point_order int, x double, y double")
     points = spark.createDataFrame([(1, 1, 2.0, 3.0)], "id int, section int, x double, y double")
     assert spatial.in_polygons(points, vertices).collect() == []
+
+
+def test_in_all_polygons_asks_only_points_of_shared_cells(spark, monkeypatch):
+    square = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    corners = {1: square(0, 200), 2: square(100, 300), 3: [(150, 150), (160, 160)]}
+    vertices = spark.createDataFrame([(k, 1, i, float(x), float(y)) for k, c in corners.items() for i, (x, y) in enumerate(c)], "polygon int, section int, point_order int, x double, y double")
+    points = spark.createDataFrame([(i, 1, float(i), float(i)) for i in range(1, 300)] + [(900, 2, 150.0, 150.0), (901, 1, None, 1.0)], "id int, section int, x double, y double")
+    asked, plain = [], spatial.in_polygons
+    monkeypatch.setattr(spatial, "in_polygons", lambda p, *more: asked.append(p.count()) or plain(p, *more))
+    got = sorted(r.id for r in spatial.polygon_intersection(points, vertices, 20).collect())
+    assert got == list(range(101, 200)) and asked[0] <= 121
