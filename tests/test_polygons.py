@@ -63,3 +63,17 @@ def test_in_all_polygons_asks_only_points_of_shared_cells(spark, monkeypatch):
     monkeypatch.setattr(spatial, "in_polygons", lambda p, *more: asked.append(p.count()) or plain(p, *more))
     got = sorted(r.id for r in spatial.polygon_intersection(points, vertices, 20).collect())
     assert got == list(range(101, 200)) and asked[0] <= 121
+
+
+def test_no_pair_of_a_point_and_a_polygon_is_shuffled(spark):
+    corners = shapes()
+    vertices = spark.createDataFrame([(k, k % 2, i, float(x), float(y)) for k, c in corners.items() for i, (x, y) in enumerate(c)], "polygon int, section int, point_order int, x double, y double")
+    points = spark.createDataFrame([(i, i % 2, float(i % 97 - 20), float(i % 89 - 20)) for i in range(400)], "id int, section int, x double, y double")
+    pairs = spatial.in_polygons(points, vertices)
+    some = spatial.polygon_union(points, vertices)
+    for df in (pairs, some):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("Aggregate")  # nothing is grouped behind the join
+    want = {(r.id, k) for r in points.collect() for k, c in corners.items() if k % 2 == r.section and inside(r.x, r.y, c)}
+    assert {(r.id, r.polygon) for r in pairs.collect()} == want
+    assert sorted(r.id for r in some.collect()) == sorted({i for i, _ in want})
