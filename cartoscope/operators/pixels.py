@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -205,21 +207,70 @@ def draw_discs(points: DataFrame, radius: int) -> DataFrame:
     return united(runs, ["section", "row"]).select("section", "row", F.explode(F.sequence("first", "last")).alias("col"))
 
 
-def fill_polygons(edges: DataFrame) -> DataFrame:
-    """Pixels (polygon, section, row, col) whose centre row crosses a polygon between pairs of crossings (even-odd scan lines).
+#: Crossings of polygons and rows that a task holds at once.
+CROSSINGS = 2_000_000
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Polygons (polygon, section, edges) to their runs (polygon, section, row, first, last), a bounded number of crossings at once."""
+
+    def runs(owner: np.ndarray, e: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        many = np.maximum(b - a + 1, 0)
+        at = np.repeat(np.arange(len(a)), many)
+        row = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many) + a[at]
+        x, y, x2, y2 = e[:, at]
+        middle = row + 0.5
+        on = np.flatnonzero((middle > np.minimum(y, y2)) & (middle <= np.maximum(y, y2)))
+        x, y, x2, y2, middle = (v[on] for v in (x, y, x2, y2, middle))
+        cut, row, of = x + (middle - y) * (x2 - x) / (y2 - y), row[on], owner[at[on]]
+        order = np.lexsort((cut, row, of))
+        cut, row, of = cut[order], row[order], of[order]
+        new = np.r_[True, (row[1:] != row[:-1]) | (of[1:] != of[:-1])][: len(cut)]
+        place = np.arange(len(cut)) - np.maximum.accumulate(np.where(new, np.arange(len(cut)), 0))
+        k = np.flatnonzero((place[:-1] % 2 == 0) & ~new[1:])
+        first, last = np.ceil(cut[k] - 0.5), np.ceil(cut[k + 1] - 0.5) - 1
+        keep = first <= last
+        return of[k][keep], row[k][keep], first[keep].astype(np.int64), last[keep].astype(np.int64)
+
+    for batch in batches:
+        lists = batch.column(2)
+        sizes = np.diff(lists.offsets.to_numpy())
+        flat = lists.flatten()
+        parts = flat.flatten()
+        e = np.array([parts[flat.type.get_field_index(c)].to_numpy(zero_copy_only=False) for c in ("x", "y", "x2", "y2")]).reshape(4, -1)
+        owner = np.repeat(np.arange(len(batch)), sizes)
+        a, b = (np.ceil(f(e[1], e[3]) - 0.5).astype(np.int64) for f in (np.minimum, np.maximum))
+        upto = np.r_[0, np.cumsum(b - a + 1)][np.r_[0, np.cumsum(sizes)]]  # crossings of the polygons before each
+        start = 0
+        while start < len(batch):
+            end = max(start + 1, int(np.searchsorted(upto, upto[start] + CROSSINGS, "right")) - 1)
+            here = slice(*np.searchsorted(owner, (start, end)))
+            low, high = a[here], b[here]
+            top = int(high.max(initial=0))
+            bottom = int(low.min(initial=0))
+            # one polygon of more crossings is taken in bands of rows
+            step = max(1, CROSSINGS // max(1, len(low))) if upto[end] - upto[start] > CROSSINGS else top - bottom + 1
+            for band in range(bottom, top + 1, step):
+                of, row, first, last = runs(owner[here], e[:, here], np.maximum(low, band), np.minimum(high, band + step - 1))
+                of = pa.array(of)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(row), pa.array(first), pa.array(last)], ["polygon", "section", "row", "first", "last"])
+            start = end
+
+
+def fill_runs(edges: DataFrame) -> DataFrame:
+    """Runs (polygon, section, row, first, last) of pixels whose centre row crosses a polygon between pairs of crossings (even-odd scan lines).
 
     edges: polygon, section, x, y, x2, y2. Rows are sampled at row + 0.5, columns from the ceiling of one crossing to before the next.
-    Crossings are sorted, so the runs of a line are disjoint and no pixel comes twice.
+    Crossings are made and sorted inside the task, so only edges are shuffled or sorted by Spark. Runs of a line are disjoint.
     """
-    low, high = F.least("y", "y2"), F.greatest("y", "y2")
-    rows = edges.where("y <> y2").select("polygon", "section", "x", "y", "x2", "y2", F.explode(F.sequence(F.ceil(low - 0.5), F.ceil(high - 0.5))).alias("row"))
-    at = F.col("row") + 0.5
-    rows = rows.where((at > F.least("y", "y2")) & (at <= F.greatest("y", "y2")))
-    rows = rows.withColumn("cut", F.col("x") + (at - F.col("y")) * (F.col("x2") - F.col("x")) / (F.col("y2") - F.col("y")))
-    line = W.partitionBy("polygon", "section", "row").orderBy("cut")
-    rows = rows.withColumns({"k": F.row_number().over(line), "next": F.lead("cut").over(line)}).where("k % 2 = 1 and next is not null")
-    first, last = F.ceil(F.col("cut") - 0.5), F.ceil(F.col("next") - 0.5) - 1
-    return rows.where(first <= last).select("polygon", "section", "row", F.explode(F.sequence(first, last)).alias("col"))
+    rows = edges.where("y <> y2").groupBy("polygon", "section").agg(F.collect_list(F.struct(*[F.col(c).cast("double").alias(c) for c in ("x", "y", "x2", "y2")])).alias("e"))
+    kinds = {c: edges.schema[c].dataType.simpleString() for c in ("polygon", "section")}
+    return rows.mapInArrow(_runs, f"polygon {kinds['polygon']}, section {kinds['section']}, row long, first long, last long")
+
+
+def fill_polygons(edges: DataFrame) -> DataFrame:
+    """Pixels (polygon, section, row, col) of the runs of fill_runs; no pixel comes twice."""
+    return fill_runs(edges).select("polygon", "section", "row", F.explode(F.sequence("first", "last")).alias("col"))
 
 
 def downsample(pixels: DataFrame, factor: int = 2, how: Callable[[str], Column] = F.avg) -> DataFrame:

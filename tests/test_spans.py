@@ -1,7 +1,9 @@
 """Discs and erosion by runs equal a pixel-by-pixel count."""
 
+import math
 import random
 
+import pyarrow as pa
 import pytest
 
 from cartoscope.operators.pixels import border_band, draw_discs, united
@@ -33,3 +35,26 @@ def test_united_runs(spark):
     assert got == {(1, 0, 12), (1, 14, 14), (2, 5, 5)}
     empty = spark.createDataFrame([], "section int, x long, y long")
     assert draw_discs(empty, 3).collect() == []
+
+
+def test_runs_of_polygons(spark, monkeypatch):
+    from cartoscope.operators import pixels as X
+    from cartoscope.operators.spatial import polygon_edges
+
+    rng = random.Random(5)
+    corners = {k: [(rng.randint(-30, 60), rng.randint(-30, 60)) for _ in range(rng.randint(1, 9))] for k in range(40)}
+    edges = polygon_edges(spark.createDataFrame([(k, 1, i, x, y) for k, c in corners.items() for i, (x, y) in enumerate(c)], "polygon long, section int, point_order int, x long, y long"))
+    want = set()
+    for k, c in corners.items():
+        for row in range(-40, 70):
+            at = row + 0.5
+            cuts = sorted(x + (at - y) * (x2 - x) / (y2 - y) for (x, y), (x2, y2) in zip(c, c[1:] + c[:1]) if min(y, y2) < at <= max(y, y2))
+            want |= {(k, 1, row, col) for a, b in zip(cuts[::2], cuts[1::2]) for col in range(math.ceil(a - 0.5), math.ceil(b - 0.5))}
+    plan = X.fill_runs(edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan  # neither crossings nor pixels are rows of a sort
+    assert {tuple(r) for r in X.fill_polygons(edges).collect()} == want
+    batch = edges.where("y <> y2").toPandas()
+    lists = batch.groupby(["polygon", "section"])[["x", "y", "x2", "y2"]].apply(lambda g: g.astype(float).to_dict("records")).reset_index(name="e")
+    monkeypatch.setattr(X, "CROSSINGS", 50)  # chunks, and bands of one polygon
+    small = [r for b in X._runs(iter([pa.RecordBatch.from_pandas(lists)])) for r in b.to_pylist()]
+    assert {(r["polygon"], 1, r["row"], col) for r in small for col in range(r["first"], r["last"] + 1)} == want
