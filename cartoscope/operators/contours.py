@@ -51,13 +51,13 @@ def densify(vertices: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def angle_sorted(vertices: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Distinct vertices ordered by the negative angle about their centroid (ties by x, y)."""
-    v = vertices.select(*keys, "x", "y").distinct()
-    whole = W.partitionBy(*keys)
-    v = v.withColumns({"cx": F.avg("x").over(whole), "cy": F.avg("y").over(whole)})
-    angle = -F.atan2(F.col("y") - F.col("cy"), F.col("x") - F.col("cx"))
-    order = W.partitionBy(*keys).orderBy(F.round(angle, 9), "x", "y")
-    return v.withColumn("point_order", F.row_number().over(order).cast("long")).select(*keys, "point_order", "x", "y")
+    """Distinct vertices ordered by the negative angle about their centroid (ties by x, y). A polygon is sorted in its own row."""
+    v = vertices.groupBy(*keys).agg(F.collect_set(F.struct("x", "y")).alias("v"))
+    total = lambda some: F.aggregate(some, F.lit(0.0), lambda s, x: s + x)
+    given = {c: F.filter(F.transform(f"v.{c}", lambda x: x.cast("double")), lambda x: x.isNotNull()) for c in "xy"}
+    v = v.withColumns({f"c{c}": total(some) / F.nullif(F.size(some), F.lit(0)) for c, some in given.items()})
+    turned = F.transform("v", lambda e: F.struct(F.round(-F.atan2(e["y"] - F.col("cy"), e["x"] - F.col("cx")), 9).alias("a"), e["x"].alias("x"), e["y"].alias("y")))
+    return v.select(*keys, F.posexplode(F.array_sort(turned)).alias("k", "e")).select(*keys, (F.col("k") + 1).cast("long").alias("point_order"), "e.x", "e.y")
 
 
 def fill_sections(polygons: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from cartoscope.operators.ordering import distinct_positions
+
 
 def sections_view(animal: DataFrame, scan_run: DataFrame, slide: DataFrame, scene: DataFrame, good: str) -> DataFrame:
     """Scenes of good slides with their scan run and animal; channel_index counts channels from 0."""
@@ -69,8 +71,8 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def scene_order(scenes: DataFrame) -> DataFrame:
-    """scenes with their 0-based order per channel by slide, scene and file."""
-    return scenes.withColumn("scene_order", (F.row_number().over(W.partitionBy("channel").orderBy("slide", "scene", "file")) - 1).cast("long"))
+    """Distinct scenes (channel, slide, scene, file) with their 0-based order per channel by slide, scene and file."""
+    return distinct_positions(scenes, "channel", ["slide", "scene", "file"], "scene_order")
 
 
 def section_files(rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from cartoscope.functions.durable import durable
+
 
 def presence(keys: DataFrame, found: DataFrame, key: str, name: str) -> DataFrame:
     """keys with a boolean: whether found has a row of that key."""
@@ -23,6 +25,28 @@ def sorted_by(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return rows.orderBy(*order)
 
 
+#: Rows that a task sorts and numbers.
+RANGE_ROWS = 500_000
+
+
+def distinct_positions(rows: DataFrame, within: str, order: Sequence[str], name: str) -> DataFrame:
+    """Distinct rows (within, order) with 0-based dense positions within groups.
+
+    The rows are dealt by ranges of (within, order), about RANGE_ROWS each, so a group may lie in many tasks; only one count a range and group is
+    added up in one place.
+    """
+    keys = [within, *order]
+    parts = max(1, -(-rows.count() // RANGE_ROWS))
+    # written once: both the counts and the rows see the same ranges
+    here = rows.select(*keys).repartitionByRange(parts, *keys).distinct().withColumn("__p", F.spark_partition_id())
+    here = durable(here.withColumn("__at", F.row_number().over(W.partitionBy("__p", within).orderBy(*order))), "positions")
+    sizes = here.groupBy(F.col("__p").alias("__q"), F.col(within).alias("__w")).agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(W.partitionBy("__w").orderBy("__q").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("__q", "__w", before.alias("__before"))
+    out = here.join(F.broadcast(sizes), (F.col("__p") == F.col("__q")) & F.col(within).eqNullSafe(F.col("__w")))
+    return out.select(*keys, (F.col("__before") + F.col("__at") - 1).cast("long").alias(name))
+
+
 def positions(rows: DataFrame, within: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """0-based dense positions within groups."""
     return rows.withColumn(name, (F.row_number().over(W.partitionBy(*within).orderBy(*order)) - 1).cast("long"))

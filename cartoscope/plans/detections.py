@@ -161,8 +161,8 @@ def limit_first(t: Tables) -> DataFrame:
 
 @query("SELECT slide, scene, channel, file, row_number() OVER (PARTITION BY channel ORDER BY slide, scene, file) - 1 AS position FROM (SELECT DISTINCT slide, scene, channel, file FROM @scn WHERE active)")
 def sort_sections(t: Tables) -> DataFrame:
-    rows = T.scenes(t).where("active").select("slide", "scene", "channel", "file").distinct()
-    return O.positions(rows, ["channel"], ["slide", "scene", "file"], "position")
+    rows = O.distinct_positions(T.scenes(t).where("active"), "channel", ["slide", "scene", "file"], "position")
+    return rows.select("slide", "scene", "channel", "file", "position")
 
 
 @query("SELECT polygon, section, point_order, x, y FROM @pol")

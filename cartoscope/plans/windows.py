@@ -19,7 +19,7 @@ TABLES_SQL["arc"] = "SELECT *, sqrt(((x2 - x) * (x2 - x) + (y2 - y) * (y2 - y)):
 
 @query("SELECT slide, scene, channel, file, row_number() OVER (PARTITION BY channel ORDER BY slide, scene, file) - 1 AS scene_order FROM (SELECT DISTINCT slide, scene, channel, file FROM @scn)")
 def win_scene_order(t: Tables) -> DataFrame:
-    return M.scene_order(T.scenes(t).select("slide", "scene", "channel", "file").distinct())
+    return M.scene_order(T.scenes(t)).select("slide", "scene", "channel", "file", "scene_order")
 
 
 @query("SELECT id, row_number() OVER (ORDER BY section, id) - 1 AS section, lpad((row_number() OVER (ORDER BY section, id) - 1)::VARCHAR, greatest(3, length((row_number() OVER (ORDER BY section, id) - 1)::VARCHAR))::INTEGER, '0') || '.tif' AS file_name FROM @human")

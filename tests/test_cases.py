@@ -170,3 +170,22 @@ def test_cell_measures(spark):
     got = sorted(tuple(r) for r in pixels.cell_measures(df.where("value < 25").unionByName(df.where("value = 30").withColumn("value", df["value"] - 29)), 5, 1).collect())
     # the cube and the voxel at its corner are one cell; its centre is cut to (1, 1, 1)
     assert got == [(0, 1, 1, 1, 9, 3, 9), (0, 9, 9, 9, 1, 1, 8), (1, 1, 1, 1, 1, 1, 7)]
+
+
+def test_positions_of_a_group_are_numbered_by_ranges(spark, monkeypatch):
+    from cartoscope.operators import ordering
+
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 40)
+    rows = [(k % 3 if k % 10 else None, k * 7 % 50, k % 4) for k in range(300)] * 2
+    got = [tuple(r) for r in ordering.distinct_positions(spark.createDataFrame(rows, "g int, a int, b int"), "g", ["a", "b"], "n").collect()]
+    want = {(g, a, b, i) for key in (None, 0, 1, 2) for i, (g, a, b) in enumerate(sorted({r for r in rows if r[0] == key}, key=lambda r: r[1:]))}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_angle_sort_sorts_a_polygon_in_its_row(spark):
+    from cartoscope.operators.contours import angle_sorted
+
+    square = [(0, 0), (4, 4), (0, 4), (4, 0), (4, 0)]
+    out = angle_sorted(spark.createDataFrame([(1, 1, x, y) for x, y in square] + [(2, 1, 5, 5)], "polygon int, section int, x long, y long"))
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.polygon, r.point_order, r.x, r.y) for r in out.collect()) == [(1, 1, 0, 4), (1, 2, 4, 4), (1, 3, 4, 0), (1, 4, 0, 0), (2, 1, 5, 5)]
