@@ -76,8 +76,12 @@ def running(m: np.ndarray, new: np.ndarray) -> np.ndarray:
     return m
 
 
+#: Entries of the product of the rows before one.
+BEHIND = tuple(f"b{c}" for c in ENTRIES)
+
+
 def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (key, at, ENTRIES) of one range to (part, key, at, place, ENTRIES): places and running products of each key within the range."""
+    """Sorted rows (key, at, ENTRIES) of one range to (part, key, at, place, ENTRIES, BEHIND): places and running products of each key within the range, with and without the row itself."""
     part = TaskContext.get().partitionId()
     last, place, before = None, 0, np.eye(3)
     for batch in batches:
@@ -93,25 +97,29 @@ def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = running(m, new)
         head = np.flatnonzero(new)
         places = np.arange(len(code)) - np.repeat(head, np.diff(np.r_[head, len(code)]))
-        if last == batch.column(0)[0].as_py():  # the key goes on from the batch before
+        goes_on = last == batch.column(0)[0].as_py()  # the key of the batch before
+        if goes_on:
             run = int(head[1]) if len(head) > 1 else len(code)
             m[:run] = m[:run] @ before
             places[:run] += place
+        behind = np.concatenate([before[None], m[:-1]])
+        behind[head[1:] if goes_on else head] = np.eye(3)
         last, place, before = batch.column(0)[len(code) - 1].as_py(), int(places[-1]) + 1, m[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), part, np.int32)), batch.column(0), batch.column(1), pa.array(places), *[pa.array(np.ascontiguousarray(m[:, k // 3, k % 3])) for k in range(6)]], ["part", "key", "at", "place", *ENTRIES])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), part, np.int32)), batch.column(0), batch.column(1), pa.array(places), *[pa.array(np.ascontiguousarray(v[:, k // 3, k % 3])) for v in (m, behind) for k in range(6)]], ["part", "key", "at", "place", *ENTRIES, *BEHIND])
 
 
-def running_products(transforms: DataFrame, key: str, order: str, parts: int | None = None) -> DataFrame:
+def running_products(transforms: DataFrame, key: str, order: str, parts: int | None = None, descending: bool = False, without_own: bool = False) -> DataFrame:
     """A durable table (key, order, place, n, ENTRIES): for each row of a key the product of its matrices from the first one up to it.
 
     place: 0-based; n: rows of the key. Rows with a null key or order are left out; a null entry makes the products from
-    there on NaN. parts: ranges to deal the rows to.
+    there on NaN. parts: ranges to deal the rows to. descending: from the last row back. without_own: up to the row before.
     """
     rows = transforms.select(F.col(key).alias("key"), F.col(order).alias("at"), *[F.col(c).cast("double").alias(c) for c in ENTRIES]).where("key is not null and at is not null")
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("key", "at")}
     many = [parts] if parts else []
-    dealt = rows.repartitionByRange(*many, "key", "at").sortWithinPartitions("key", "at", *ENTRIES)
-    here = durable(dealt.mapInArrow(_ranged, f"part int, key {kinds['key']}, at {kinds['at']}, place long, {', '.join(f'{c} double' for c in ENTRIES)}"), "ranges")
+    at = F.desc("at") if descending else F.asc("at")
+    dealt = rows.repartitionByRange(*many, "key", at).sortWithinPartitions("key", at, *ENTRIES)
+    here = durable(dealt.mapInArrow(_ranged, f"part int, key {kinds['key']}, at {kinds['at']}, place long, {', '.join(f'{c} double' for c in (*ENTRIES, *BEHIND))}"), "ranges")
     whole = here.groupBy("key", "part").agg(F.max_by(F.struct(*ENTRIES), "place").alias("m"), F.count("*").alias("rows"))
     lists = whole.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("part", "m", "rows"))).alias("x"), F.sum("rows").alias("n"))
     # what stands before each range: the product and the rows of the ranges before it
@@ -119,7 +127,7 @@ def running_products(transforms: DataFrame, key: str, order: str, parts: int | N
     each = lists.select("key", "n", F.col("x.part").alias("part"), counted.alias("ahead"), F.concat(F.array(identity()), scanned(F.col("x.m"))).alias("b"))
     before = each.select("key", "n", F.explode(F.slice(F.arrays_zip("part", "ahead", "b"), 1, F.size("part"))).alias("r")).select("key", "n", "r.*")
     rows = here.join(before, ["key", "part"])
-    now = product([F.col(c) for c in ENTRIES], entries(F.col("b")))
+    now = product([F.col(c) for c in (BEHIND if without_own else ENTRIES)], entries(F.col("b")))
     out = rows.select(F.col("key").alias(key), F.col("at").alias(order), (F.col("place") + F.col("ahead")).alias("place"), "n", *[v.alias(c) for v, c in zip(now, ENTRIES, strict=True)])
     out = durable(out, "products")
     release(here)
@@ -129,11 +137,19 @@ def running_products(transforms: DataFrame, key: str, order: str, parts: int | N
 def to_middle(transforms: DataFrame, key: str, order: str, parts: int | None = None) -> DataFrame:
     """Rows (key, order, ENTRIES): the transform of every section of a key to its middle one (place n // 2).
 
-    Above the middle these are products of section-to-previous transforms outward, below it products of inverses. Both are the running
-    product up to the section times the inverse of the running product up to the middle.
+    Above the middle these are products of section-to-previous transforms outward, below it products of inverses. Both
+    start at the middle: by way of the first section, long chains would cancel what is left of a double.
     """
     upto = running_products(transforms, key, order, parts)
-    middle = upto.where("place = n div 2").select(F.col(key).alias("__key"), as_struct(inverse([F.col(c) for c in ENTRIES])).alias("__back"))
-    rows = upto.join(middle, F.col(key) == F.col("__key"))
-    now = product([F.col(c) for c in ENTRIES], entries(F.col("__back")))
-    return rows.select(key, order, *[v.alias(c) for v, c in zip(now, ENTRIES, strict=True)])
+    middle = durable(upto.where("place = n div 2").select(F.col(key).alias("__key"), F.col(order).alias("__at")), "middle")
+    release(upto)
+    rows = transforms.join(middle, F.col(key) == F.col("__key"))
+    entry = [F.col(c).cast("double") for c in ENTRIES]
+    above = running_products(rows.where(F.col(order) > F.col("__at")), key, order, parts)
+    back = rows.where(F.col(order) <= F.col("__at")).select(key, order, *[v.alias(c) for v, c in zip(inverse(entry), ENTRIES, strict=True)])
+    below = running_products(back, key, order, parts, descending=True, without_own=True)
+    out = above.select(key, order, *ENTRIES).unionByName(below.select(key, order, *ENTRIES))
+    # a matrix without an inverse up to the middle leaves a key no results
+    lost = back.where(F.col(ENTRIES[0]).isNull() & F.col(order).isNotNull()).select(F.col(key).alias("__lost")).distinct()
+    out = out.join(lost, F.col(key) == F.col("__lost"), "left")
+    return out.select(key, order, *[F.when(F.col("__lost").isNull(), F.col(c)).alias(c) for c in ENTRIES])

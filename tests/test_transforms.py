@@ -175,3 +175,18 @@ def test_a_large_image_is_no_window(spark, monkeypatch):
     with pytest.raises(ValueError):
         correlation.windows(df, ["id", "channel"])
     assert correlation.windows(df.where(F.col("row") < 0), ["id", "channel"]).collect() == []
+
+
+def test_long_chains_keep_their_digits(spark):
+    n, mid = 1501, 750
+    m = {k: np.array([[1 + (k % 7 - 3) / 64, (k % 5 - 2) / 32, k % 11 - 5], [(k % 3 - 1) / 16, 1 - (k % 4) / 64, k % 13], [0, 0, 1]], float) for k in range(n)}
+    df = spark.createDataFrame([("a", k, *map(float, v[:2].ravel())) for k, v in m.items()], ["animal", "section", *chains.ENTRIES])
+    want = {mid: np.eye(3)}
+    for k in range(mid + 1, n):
+        want[k] = m[k] @ want[k - 1]
+    for k in range(mid, 0, -1):
+        want[k - 1] = np.linalg.inv(m[k]) @ want[k]
+    got = {r.section: np.array(r[2:]) for r in chains.to_middle(df, "animal", "section", 5).collect()}
+    assert len(got) == n
+    for k, v in want.items():
+        assert np.abs(got[k] - v[:2].ravel()).max() <= 1e-8 * np.abs(v).max()
