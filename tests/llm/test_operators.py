@@ -682,6 +682,13 @@ def test_mix_by_plain_recount(spark):
     assert all(weight[s] * total - longest[s] - 1 <= tokens[s] <= weight[s] * total + 1 for s in names)
 
 
+def test_only_texts_go_to_python(spark):
+    """drop_toxic() sends a text once and gets a number back; no whole row goes to Python and back again."""
+    frame = docs(spark, ["a b", "c d"])
+    plan = toxicity.drop_toxic(frame, spark.createDataFrame([(0, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int"))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+
+
 def test_rows_are_judged_by_their_own_text(spark):
     """drop_toxic() and drop_repeats() with null and repeated ids, ties, an empty table and clashing names."""
     rng = np.random.default_rng(4)
