@@ -291,12 +291,16 @@ def pyramid(pixels: DataFrame, levels: int, how: Callable[[str], Column] = F.avg
 
 
 def blur_subtract(pixels: DataFrame, radius: int, sigma: float) -> DataFrame:
-    """Value minus the Gaussian-blurred value, clipped at 0. The kernel is separable: rows, then columns; missing pixels don't count."""
+    """Value minus the Gaussian-blurred value, clipped at 0. The kernel is separable: rows, then columns; missing pixels don't count.
+
+    A pixel becomes 2 * radius + 1 rows, so lines of pixels are dealt to a named number of tasks before, not their many sums after.
+    """
+    parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = [(d, math.exp(-d * d / (2 * sigma * sigma))) for d in range(-radius, radius + 1)]
     out = pixels.select("image", *RC, F.col("value").cast("double").alias("b"))
     for c in RC:
         other = RC[1 - RC.index(c)]
-        spread = out.select("image", other, c, "b", F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in steps])).alias("k"))
+        spread = out.repartition(parts, "image", other).select("image", other, c, "b", F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in steps])).alias("k"))
         spread = spread.select("image", other, (F.col(c) + F.col("k.d")).alias(c), (F.col("b") * F.col("k.w")).alias("v"), F.col("k.w").alias("w"))
         out = spread.groupBy("image", *RC).agg((F.sum("v") / F.sum("w")).alias("b"))
     return pixels.join(out, ["image", *RC]).withColumn("value", F.greatest(F.col("value") - F.col("b"), F.lit(0.0))).drop("b")

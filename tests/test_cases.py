@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartoscope.operators import contours, detect, groups, landmarks, spatial, stats
+from cartoscope.operators import contours, detect, groups, landmarks, pixels, spatial, stats
 from cartoscope.operators.graph import connected_components
 from cartoscope.functions import scalars
 
@@ -189,3 +189,14 @@ def test_angle_sort_sorts_a_polygon_in_its_row(spark):
     out = angle_sorted(spark.createDataFrame([(1, 1, x, y) for x, y in square] + [(2, 1, 5, 5)], "polygon int, section int, x long, y long"))
     assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.polygon, r.point_order, r.x, r.y) for r in out.collect()) == [(1, 1, 0, 4), (1, 2, 4, 4), (1, 3, 4, 0), (1, 4, 0, 0), (2, 1, 5, 5)]
+
+
+def test_blur_deals_lines_before_they_multiply(spark):
+    """Both passes of the blur deal pixels to a named number of tasks before a pixel becomes 2 * radius + 1 rows; values stay."""
+    frame = spark.createDataFrame([(1, 0, 0, 8), (1, 0, 1, 0), (1, 2, 0, 4)], "image long, row int, col int, value long").coalesce(1)
+    out = pixels.blur_subtract(frame, 1, 1.0)
+    assert out._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 2
+    w = math.exp(-0.5)
+    blurred = {(0, 0): 8 / (1 + w), (0, 1): 8 * w / (1 + w), (2, 0): 4.0}
+    assert {(r.row, r.col) for r in out.collect()} == set(blurred)
+    assert {(r.row, r.col): round(r.value, 9) for r in out.collect()} == {k: round(max(v - b, 0.0), 9) for (k, v), b in zip({(0, 0): 8, (0, 1): 0, (2, 0): 4}.items(), blurred.values())}
