@@ -200,3 +200,18 @@ def test_blur_deals_lines_before_they_multiply(spark):
     blurred = {(0, 0): 8 / (1 + w), (0, 1): 8 * w / (1 + w), (2, 0): 4.0}
     assert {(r.row, r.col) for r in out.collect()} == set(blurred)
     assert {(r.row, r.col): round(r.value, 9) for r in out.collect()} == {k: round(max(v - b, 0.0), 9) for (k, v), b in zip({(0, 0): 8, (0, 1): 0, (2, 0): 4}.items(), blurred.values())}
+
+
+def test_annotation_texts_are_parsed_once(spark):
+    """A filter on a parsed text does not parse it again, and the result stays."""
+    from cartoscope.operators import annotations
+
+    text = '{"type":"volume","childJsons":[{"type":"polygon","childJsons":[{"type":"line","pointA":[1e-6,2e-6,3.5e-6],"pointB":[0,0,0]}]}]}'
+    df = spark.createDataFrame([(1, text), (2, text.replace("volume", "cloud"))], "id long, a string")
+    for read, n in ((annotations.volume_points, 1), (annotations.cloud_points, 0)):
+        out = read(df, "id", "a", (1.0, 1.0, 1.0))
+        assert out._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+        assert out.count() == n
+    point = annotations.com_points(df, "id", "a")
+    assert point._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1 and point.count() == 0
+    assert tuple(annotations.volume_points(df, "id", "a", (1.0, 1.0, 1.0)).first()) == (1, 0, 0, 1.0, 2.0, 3)
