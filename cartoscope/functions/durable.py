@@ -44,6 +44,10 @@ def release(df: DataFrame | None) -> None:
     path = getattr(df, "_durable_path", None)
     if path is None:
         return
-    spark = df.sparkSession
+    remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system, if it is there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -33,3 +33,24 @@ def test_state_expires(spark, folders):
     assert arrive(spark, folders, [("a", "x")], 1500) == {"a": (True, None)}
     time.sleep(3)
     assert arrive(spark, folders, [("b", "x")], 1500)["b"] == (True, None)
+
+
+def test_equal_names_and_many_contents(spark, folders):
+    rows = [("a", "x"), ("a", "x"), (None, "w"), (None, "w"), ("z", "v"), (None, "v")]
+    src, out, mark = folders
+    spark.createDataFrame(rows, "name string, text string").write.parquet(src)
+    found = [tuple(r)[1:] for r in streaming.report_duplicates(spark, src, "name string, text string", "text", "name", out, mark).collect()]
+    assert sorted(found, key=str) == sorted([("a", True, None), ("a", False, "a"), (None, True, None), (None, False, None), ("z", True, None), (None, False, "z")], key=str)
+    assert streaming.report_duplicates(spark, src, "name string, text string", "text", "name", out, mark).count() == 6  # nothing arrived
+
+
+def test_smallest_name_is_first_whatever_the_order(spark, folders):
+    src, out, mark = folders
+    for part in range(3):
+        rows = spark.range(part * 1000, part * 1000 + 2000, 1, 8).selectExpr("printf('%04d', 9999 - id) AS name", "cast(id % 250 as string) AS text")
+        rows.write.mode("append").parquet(src)
+        found = streaming.report_duplicates(spark, src, "name string, text string", "text", "name", out, mark)
+    assert found.where("first").count() == 250 and found.count() == 6000
+    firsts = {r.file for r in found.where("first").collect()}
+    assert firsts == {f"{9999 - k:04d}" for k in range(1750, 2000)}  # of the first arrival, the smallest name of each content
+    assert {r.duplicate_of for r in found.where("not first").collect()} == firsts
