@@ -44,6 +44,10 @@ from cartoscope.operators.graph import connected_components
 BROADCAST_IDS = 500_000
 #: Rounds in which documents that differ too much from all other open ones are taken out.
 PEELS = 2
+#: One shingle in so many shows in the first of these rounds what a document has alone; fewer found alone settle fewer, and lose no pair.
+FIRST_PEEL = 4
+#: Longs of the shortest sketch of a set.
+LEAST_LONGS = 4
 #: Longs of parity bits that a document carries into the comparison of pairs (a power of two).
 PARITIES = 8
 #: A bound that no set of shingles reaches.
@@ -143,15 +147,27 @@ def _keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (sums[:, end] - sums[:, end - sizes]).view(np.int64)
 
 
+def sketches(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bits of sets as longs, one sketch behind the other, and their lengths: whether each bucket holds an odd number of elements.
+    A sketch has at least as many bits as its set has elements, a power of two of longs; its halves fold (by xor) into one of half the length."""
+    longs = np.maximum(LEAST_LONGS, 1 << np.ceil(np.log2(np.maximum(sizes, 1) / 64)).clip(0).astype(np.int64))
+    of = np.repeat(np.cumsum(longs) - longs, sizes)
+    bits = np.zeros(longs.sum(), U)
+    np.bitwise_xor.at(bits, of + ((values >> U(6)) & np.repeat(longs - 1, sizes).astype(U)).astype(np.int64), U(1) << (values & U(63)))
+    return bits, longs
+
+
 def _measured(how: Shingles):
-    """Number of shingles and a key of 128 bits for each text: of the sets by both hashes, a sum each."""
+    """Number of shingles, a key of 128 bits (of the sets by both hashes, a sum each) and a sketch for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, i, j in chunks(batch, lower=True, keys=how.keys):
                 values, sizes = _flat(texts, how.q)
                 a, b = _keys(values, sizes)[0], _keys(*_flat(texts, how.q, second=True))[1]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(sizes), pa.array(a), pa.array(b)], ["doc_id", "n_shingles", "key_a", "key_b"])
+                bits, longs = sketches(values, sizes)
+                sketch = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(longs)].astype(np.int32)), pa.array(bits.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(sizes), pa.array(a), pa.array(b), sketch], ["doc_id", "n_shingles", "key_a", "key_b", "sketch"])
 
     return run
 
@@ -176,17 +192,19 @@ def _signed(how: Shingles, percent: int):
     return run
 
 
-def _arrays(how: Shingles, names: list[str]):
-    """Rows (id, text, ...) to (id, ..., key, shingles), key: of the set."""
+def _arrays(how: Shingles, names: list[str], part: int = 0):
+    """Rows (id, text, ...) to (id, ..., key, shingles), key: of the set; with part also n, its size, and of the shingles one in part (a power of two)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts, i, j in chunks(batch, lower=True, keys=how.keys):
                 values, sizes = _flat(texts, how.q)
-                offs = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-                sets = pa.ListArray.from_arrays(offs, pa.array(values.view(np.int64)))
+                key, kept = _keys(values, sizes)[0], (values & U(max(part, 1) - 1)) == 0
+                offs = pa.array(np.r_[0, np.cumsum(kept)][np.r_[0, np.cumsum(sizes)]].astype(np.int32))
+                sets = pa.ListArray.from_arrays(offs, pa.array(values[kept].view(np.int64)))
                 others = [batch.column(k)[i:j] for k in range(2, batch.num_columns)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *others, pa.array(_keys(values, sizes)[0]), sets], names)
+                size = {"n": pa.array(sizes)} if part else {}
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], *others, pa.array(key), sets, *size.values()], [*names, *size])
 
     return run
 
@@ -196,16 +214,42 @@ def _picked(docs: DataFrame, ids: DataFrame, many: int, on: str = "id") -> DataF
     return docs.join(F.broadcast(ids) if many <= BROADCAST_IDS else ids, docs["id"] == ids[on]).select(docs["id"], "text", *[c for c in ids.columns if c != on])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, how: Shingles, percent: int) -> DataFrame:
-    """A durable table of the pairs (a, b) whose shingle sets have 100 * intersection >= percent * union, compared exactly."""
+def _odd(x: str, y: str) -> str:
+    """SQL: buckets of unlike parity of two sketches, the longer one folded to the other's length; each holds at least one difference."""
+    w = f"least(size({x}), size({y}))"
+    one = lambda c: f"aggregate(sequence(i, size({c}) - 1, {w}), 0L, (t, k) -> t ^ get({c}, k))"
+    return f"aggregate(sequence(0, {w} - 1), 0, (sum, i) -> sum + bit_count({one(x)} ^ {one(y)}))"
+
+
+def _likely(sets: DataFrame, pairs: DataFrame, ids: DataFrame, many: int, few: int, percent: int) -> DataFrame:
+    """A durable table of the pairs (a, b) whose sizes and sketches allow that they link: no pair that does is lost."""
+    sets = sets.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    left, right = (
+        sets.join(F.broadcast(t) if count <= BROADCAST_IDS else t, sets["id"] == t[on]).select(*t.columns, F.col("n").alias(f"n_{on}"), F.col("sketch").alias(f"s_{on}"))
+        for t, on, count in ((pairs, "a", many), (ids, "b", few))
+    )
+    sizes = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    both = left.join(right, "b").where(sizes).where(f"{100 + percent} * {_odd('s_a', 's_b')} <= {100 - percent} * (n_a + n_b)")
+    return durable(both.select("a", "b"), "likely")
+
+
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, how: Shingles, percent: int) -> DataFrame:
+    """A durable table of the pairs (a, b) whose shingle sets have 100 * intersection >= percent * union, compared exactly.
+
+    Most pairs that meet by chance differ in more buckets of their sketches than similar sets can, so only few sets are moved.
+    """
     pairs = durable(pairs, "pairs")
     ids = durable(pairs.select("b").distinct(), "ids")
-    left = _picked(docs, pairs, pairs.count(), "a").mapInArrow(_arrays(how, ["a", "b", "ka", "x"]), "a long, b long, ka long, x array<long>")
+    likely = _likely(sets, pairs, ids, pairs.count(), ids.count(), percent)
+    release(pairs)
+    release(ids)
+    ids = durable(likely.select("b").distinct(), "ids")
+    left = _picked(docs, likely, likely.count(), "a").mapInArrow(_arrays(how, ["a", "b", "ka", "x"]), "a long, b long, ka long, x array<long>")
     right = _picked(docs, ids, ids.count(), "b").mapInArrow(_arrays(how, ["b", "kb", "y"]), "b long, kb long, y array<long>")
     same = F.size(F.array_intersect("x", "y"))
     both = left.join(right, "b").where(100 * same >= percent * (F.size("x") + F.size("y") - same))
     found = durable(both.select("a", "b"), "links")  # not made distinct here: that would bind all rows of a centre to one task
-    release(pairs)
+    release(likely)
     release(ids)
     return found
 
@@ -229,12 +273,15 @@ def _open_rows(docs: DataFrame, members: DataFrame, how: Shingles, percent: int)
         many = now.count()
         if not many:
             return None
-        sets = _picked(docs, now.withColumnRenamed("doc", "id"), many).dropDuplicates(["id", "text"]).mapInArrow(_arrays(how, ["doc", "comp", "key", "shingles"]), "doc long, comp long, key long, shingles array<long>")
+        texts = _picked(docs, now.withColumnRenamed("doc", "id"), many)
+        # most documents are settled by a part of their shingles; repeated rows matter to the counts of the last turn alone
+        texts, part = (texts.dropDuplicates(["id", "text"]), 1) if turn else (texts, FIRST_PEEL)
+        sets = texts.mapInArrow(_arrays(how, ["doc", "comp", "key", "shingles"], part), "doc long, comp long, key long, shingles array<long>, n long")
         sets = durable(sets, "peel")
         each = sets.select("doc", F.explode("shingles").alias("s"))
         found_in = each.groupBy("s").agg(F.count("*").alias("df"), F.min("doc").alias("doc"), F.max("doc").alias("other"))
         alone = found_in.where("doc = other").groupBy("doc").agg(F.count("*").alias("alone"))
-        whole = sets.groupBy("doc", "comp").agg(F.max(F.size("shingles")).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        whole = sets.groupBy("doc", "comp").agg(F.max("n").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
         several = F.col("lo") < F.col("hi")  # an id with several sets stays
         own = F.coalesce("alone", F.lit(0))
         w = F.when(several, -FREE).otherwise((100 + percent) * own - (100 - percent) * F.col("n"))
@@ -266,7 +313,7 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
     """
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     how = Shingles(q, draw_keys())
-    measured = durable(docs.mapInArrow(_measured(how), "doc_id long, n_shingles long, key_a long, key_b long"), "sets")
+    measured = durable(docs.mapInArrow(_measured(how), "doc_id long, n_shingles long, key_a long, key_b long, sketch array<long>"), "sets")
     key = ["n_shingles", "key_a", "key_b"]
     classes = durable(measured.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")), "classes")
     # an id with several sets is one node: it is tied to the smallest id of each of them
@@ -286,10 +333,10 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
     met = durable(shared.groupBy("doc", "centre").agg(F.count("*").alias("votes")), "met")
 
     best = met.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre"))
-    links = _verified(docs, best.select(F.col("doc").alias("a"), F.col("centre").alias("b")), how, percent).unionByName(ties)
+    links = _verified(docs, measured, best.select(F.col("doc").alias("a"), F.col("centre").alias("b")), how, percent).unionByName(ties)
     comps = durable(connected_components(links, "a", "b"), "comps")
     rest = _apart(met.join(best, ["doc", "centre"], "left_anti").select(F.col("doc").alias("a"), F.col("centre").alias("b")), comps)
-    links, comps = _more(docs, rest, links, comps, how, percent)
+    links, comps = _more(docs, measured, rest, links, comps, how, percent)
 
     # what a signature's smallest id left in several components
     apart = durable(_apart(met.select(F.col("doc").alias("a"), F.col("centre").alias("b")), comps), "apart")
@@ -304,7 +351,7 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
         odd = " + ".join(f"bit_count(p{j}_a ^ p{j}_b)" for j in range(PARITIES))
         near = f"comp_a < comp_b and w_a + w_b + {100 + percent} * ({odd}) <= 0 and n_b <= most_a and n_a <= most_b and (n_a = 0 or n_b = 0 or 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b))"
         pairs = left.join(right, "s").where(near).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
-        links, comps = _more(docs, pairs, links, comps, how, percent)
+        links, comps = _more(docs, measured, pairs, links, comps, how, percent)
     for old in (shared, met, apart, rows, copies):
         release(old)
 
@@ -313,9 +360,9 @@ def jaccard_components(documents: DataFrame, *, id_col: str = "doc_id", text_col
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def _more(docs: DataFrame, pairs: DataFrame, links: DataFrame, comps: DataFrame, how: Shingles, percent: int) -> tuple[DataFrame, DataFrame]:
+def _more(docs: DataFrame, sets: DataFrame, pairs: DataFrame, links: DataFrame, comps: DataFrame, how: Shingles, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links and components with those of further pairs (a, b)."""
-    found = _verified(docs, pairs, how, percent)
+    found = _verified(docs, sets, pairs, how, percent)
     if found.isEmpty():
         return links, comps
     links = links.unionByName(found)

@@ -88,6 +88,38 @@ def thue_morse(a, b, n):
     return "".join(out)
 
 
+def test_sketches_bound_the_difference(spark):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 3, 200, 256, 300, 2000)]
+    sets += [sets[-1][:1700], sets[-2][:250], sets[3][3:], sets[0][:0]]
+    bits, longs = partenum.sketches(np.concatenate(sets), np.array([len(x) for x in sets]))
+    parts = np.split(bits.view(np.int64), np.cumsum(longs)[:-1])
+    assert all(64 * n >= len(x) and n & (n - 1) == 0 for n, x in zip(longs, sets, strict=True))
+    rows = [(i, j, parts[i].tolist(), parts[j].tolist()) for i in range(len(sets)) for j in range(len(sets))]
+    odd = {(r.i, r.j): r.odd for r in spark.createDataFrame(rows, "i int, j int, x array<long>, y array<long>").selectExpr("i", "j", f"{partenum._odd('x', 'y')} AS odd").collect()}
+    for (i, j), n in odd.items():
+        differ = len(np.setxor1d(sets[i], sets[j]))
+        assert n <= differ and n % 2 == differ % 2
+    assert odd[5, 5] == 0 and 180 * odd[4, 3] > 20 * (300 + 256)  # unlike sets are told apart
+
+
+def test_chance_meetings_move_no_sets(spark, monkeypatch):
+    """Of pairs that are compared, those too far apart by their sketches never have their shingles moved."""
+    rng = np.random.default_rng(6)
+    base = [[f"w{rng.integers(10**9)}" for _ in range(n)] for n in (300, 300, 300, 900)]
+    texts = [" ".join(w) for w in base] + [" ".join([*base[0][:298], "x", "y"])]
+    kept, likely = [], partenum._likely
+    monkeypatch.setattr(partenum, "_likely", lambda *a: kept.append(likely(*a)) or kept[-1])
+    table, how = docs(spark, texts).selectExpr("doc_id AS id", "text"), partenum.Shingles(5, partenum.draw_keys())
+    sets = table.mapInArrow(partenum._measured(how), "doc_id long, n_shingles long, key_a long, key_b long, sketch array<long>")
+    pairs = spark.createDataFrame([(4, 0), (4, 1), (2, 1), (3, 0), (2, 2)], "a long, b long")
+    seen = []
+    release = partenum.release
+    monkeypatch.setattr(partenum, "release", lambda t: seen.append(sorted(map(tuple, t.collect()))) or release(t) if t in kept else release(t))
+    found = partenum._verified(table, sets, pairs, how, 80)
+    assert sorted(map(tuple, found.collect())) == [(2, 2), (4, 0)] and seen == [[(2, 2), (4, 0)]]
+
+
 def test_words_of_one_structure_differ(spark):
     """Two words that a polynomial hash modulo a power of two cannot tell apart."""
     one, two = thue_morse("a", "b", 1024), thue_morse("b", "a", 1024)
