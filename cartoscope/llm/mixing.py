@@ -66,15 +66,24 @@ def exponent(sources: DataFrame, budget: float, target_entropy: float, max_repea
     return found
 
 
+def _block(seed: int) -> Column:
+    """The hash block of a row (id, text)."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text")), F.lit(seed)), F.lit(BLOCKS))
+
+
 def mix(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", target_entropy: float = 0.95, max_repeats: float = 4.0, budget: float | None = None, seed: int = 1) -> DataFrame:
     """Rows (id_col, source, n_tokens, weight, epoch, block, block_key, doc_key): each pick of each document.
 
     Order by (epoch, source, block_key, doc_key) for the block permutations. budget: tokens in all, by default
     those of the input.
     """
-    block = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text")), F.lit(seed)), F.lit(BLOCKS))
+    return _mixed(documents, id_col, source_col, text_col, target_entropy, max_repeats, budget, seed)[0]
+
+
+def _mixed(documents: DataFrame, id_col: str, source_col: str, text_col: str, target_entropy: float, max_repeats: float, budget: float | None, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of mix(); its plan: how often every row of (key, block) comes as part of whole blocks; and the ids that come once more, from a block at an end."""
     rows = documents.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.select("id", "source", source_key(F.col("source")).alias("key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n"), block.alias("block"))
+    rows = rows.select("id", "source", source_key(F.col("source")).alias("key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n"), _block(seed).alias("block"))
     rows = durable(rows, "tokens")
     blocks = durable(rows.groupBy("key", "block").agg(F.sum("n").alias("tokens")), "blocks")
     sources = blocks.groupBy("key").agg(F.sum("tokens").alias("tokens"))
@@ -104,21 +113,28 @@ def mix(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "sour
     edge = picked.where("room > 0 and room < tokens").withColumn("epoch", F.col("whole")).withColumn("doc_key", F.xxhash64("id", "epoch", F.lit(seed)))
     edge = edge.withColumn("upto", F.sum("n").over(inside)).where("upto <= room").drop("upto", "doc_key")
     out = whole.unionByName(last).unionByName(edge).withColumn("doc_key", F.xxhash64("id", "epoch", F.lit(seed)))
-    return out.select(F.col("id").alias(id_col), "source", F.col("n").alias("n_tokens"), "weight", "epoch", F.col("block").cast("long").alias("block"), block_key(F.col("epoch")).alias("block_key"), "doc_key")
+    out = out.select(F.col("id").alias(id_col), "source", F.col("n").alias("n_tokens"), "weight", "epoch", F.col("block").cast("long").alias("block"), block_key(F.col("epoch")).alias("block_key"), "doc_key")
+    return out, dealt.select("key", "block", (F.col("whole") + F.expr("room >= tokens and room > 0").cast("long")).alias("blocks")), edge.select("id")
 
 
 def mixed_documents(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", target_entropy: float = 0.95, max_repeats: float = 4.0, seed: int = 1) -> DataFrame:
     """The input's rows (all columns), each as often as the mix picks its id."""
-    picks = mix(documents, id_col=id_col, source_col=source_col, text_col=text_col, target_entropy=target_entropy, max_repeats=max_repeats, seed=seed)
-    times = picks.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("picks"))
+    picks, plan, edge = _mixed(documents, id_col, source_col, text_col, target_entropy, max_repeats, None, seed)
     sizes = documents.groupBy(F.col(id_col).alias("of")).agg(F.count("*").alias("all"))
+    # ids of one row outside the blocks at the ends are picked by the plan, so their rows meet no table of ids
+    odd = durable(sizes.where("all > 1").select("of").unionByName(edge.select(F.col("id").alias("of"))).distinct(), "odd")
+    times = picks.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("picks")).join(odd.withColumnRenamed("of", "odd"), F.col("id").eqNullSafe(F.col("odd")), "left_semi")
     times = durable(times.join(sizes, times["id"].eqNullSafe(sizes["of"])).select("id", "picks", "all"), "times")
     rows = documents.select(F.col(id_col).alias("row_id"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    few = odd.count() <= BROADCAST_PLAN
 
     def met(some: DataFrame) -> DataFrame:
-        return rows.join(some, rows["row_id"].eqNullSafe(some["id"])).select("row", "id", "picks", "all")
+        return rows.join(F.broadcast(some) if few else some, rows["row_id"].eqNullSafe(some["id"])).select("row", "id", "picks", "all")
 
-    out = met(times.where("all = 1")).select("row", F.col("picks").alias("n"))
+    plain = documents.select(F.col(id_col).alias("id"), source_key(F.col(source_col)).alias("key"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    plain = plain.join(F.broadcast(odd) if few else odd, plain["id"].eqNullSafe(odd["of"]), "left_anti").withColumn("block", _block(seed))
+    plain = plain.join(F.broadcast(plan) if plan.count() <= BROADCAST_PLAN else plan, ["key", "block"]).select("row", F.col("blocks").alias("n"))
+    out = plain.unionByName(met(times.where("all = 1")).select("row", F.col("picks").alias("n")))
     several = times.where("all > 1")
     if not several.isEmpty():
         # the picks of an id are dealt to its rows in turn, none is made up; rows without an id are one group, dealt out by salts

@@ -753,3 +753,16 @@ def test_window_scan(spark):
         starts = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
         one = [toxicity.text_features(toxicity.sample([" ".join(words[s : s + toxicity.WINDOW])]), net)[0, 1] for s in starts]
         assert np.isclose(whole[1], max(one), atol=1e-4) and np.isclose(np.expm1(whole[2]), sum(1 / (1 + np.exp(-z)) for z in one), atol=1e-4)
+
+
+def test_mixed_rows_follow_the_plan(spark, monkeypatch):
+    """Rows come as often as mix() picks their ids; only ids of several rows and of blocks at the ends are looked up by id."""
+    monkeypatch.setattr(mixing, "BLOCKS", 8)
+    rng = np.random.default_rng(8)
+    table = docs(spark, [random_text(rng, int(n) * (1 if k % 3 else 9)) for k, n in enumerate(rng.integers(1, 30, 300))], [*range(298), 5, 5])
+    kept, durable = {}, mixing.durable
+    monkeypatch.setattr(mixing, "durable", lambda df, label: kept.setdefault(label, durable(df, label)))
+    want = collections.Counter(r.doc_id for r in mixing.mix(table).collect())
+    kept.clear()
+    assert collections.Counter(r.doc_id for r in mixing.mixed_documents(table).collect()) == want
+    assert 1 < kept["times"].count() < 150
