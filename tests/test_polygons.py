@@ -1,6 +1,7 @@
 """Points in polygons by cells equal a plain even-odd test of every point and edge."""
 
 import random
+import re
 
 import pytest
 
@@ -77,3 +78,16 @@ def test_no_pair_of_a_point_and_a_polygon_is_shuffled(spark):
     want = {(r.id, k) for r in points.collect() for k, c in corners.items() if k % 2 == r.section and inside(r.x, r.y, c)}
     assert {(r.id, r.polygon) for r in pairs.collect()} == want
     assert sorted(r.id for r in some.collect()) == sorted({i for i, _ in want})
+
+
+def test_no_polygon_is_cut_where_no_point_is_in_all_boxes(spark, monkeypatch):
+    square = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    corners = {1: square(0, 100), 2: square(100, 300), 3: [(500, 500), (600, 600)]}
+    vertices = spark.createDataFrame([(k, 1, i, float(x), float(y)) for k, c in corners.items() for i, (x, y) in enumerate(c)], "polygon int, section int, point_order int, x double, y double")
+    points = spark.createDataFrame([(i, 1, float(i), float(i)) for i in range(300)] + [(900, 2, 150.0, 150.0), (901, 1, None, 1.0)], "id int, section int, x double, y double")
+
+    def cut(*_, **__):
+        raise AssertionError("a polygon was cut")
+
+    monkeypatch.setattr(spatial, "_parts", cut)
+    assert spatial.polygon_intersection(points, vertices, 20).collect() == []
