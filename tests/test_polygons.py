@@ -91,3 +91,40 @@ def test_no_polygon_is_cut_where_no_point_is_in_all_boxes(spark, monkeypatch):
 
     monkeypatch.setattr(spatial, "_parts", cut)
     assert spatial.polygon_intersection(points, vertices, 20).collect() == []
+
+
+def test_a_place_is_asked_once_and_in_compiled_code(spark, monkeypatch, capsys):
+    """Points of one place share its answer; the join with its test is one method that the virtual machine compiles."""
+    monkeypatch.setattr(spatial, "IDS", 7)
+    rng = random.Random(5)
+    corners = {**shapes(), 50: [(rng.randint(-40, 90), rng.randint(-40, 90)) for _ in range(60)], 51: [(0, 0), (50, 50), None, (60, 0), (10, 80)]}  # many edges in a cell, and a gap
+    vertices = spark.createDataFrame([(k, k % 2, i, float(c[0]) if c else None, float(c[1]) if c else None) for k, v in corners.items() for i, c in enumerate(v)], "polygon int, section int, point_order int, x double, y double")
+    points = [(i, i % 2, float(i % 10 * 9 - 10), float(i % 7 * 12 - 10)) for i in range(700)]
+    pairs = spatial.in_polygons(spark.createDataFrame(points, "id int, section int, x double, y double"), vertices, 32)
+    closed = {k: v for k, v in corners.items() if None not in v}
+    got = {(r.id, r.polygon) for r in pairs.where("polygon <> 51").collect()}
+    assert got == {(i, k) for i, s, x, y in points for k, c in closed.items() if k % 2 == s and inside(x, y, c)}
+    assert "explode(ids" in pairs._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        capsys.readouterr()
+        spatial.in_polygons(spark.createDataFrame(points, "id int, section int, x double, y double"), vertices).explain("codegen")
+        code = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert re.search(r"\*\(\d+\) SortMergeJoin", code)
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+
+
+def test_polygons_are_cut_only_into_cells_of_places_that_are_left(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "FIRST", 2, raising=False)
+    corners = {k: [(0, 0), (100, 0), (100, 100), (0, 100)] for k in range(40)} | {k: [(90, 90), (130, 90), (130, 130)] for k in range(40, 80)}
+    vertices = spark.createDataFrame([(k, 1, i, float(x), float(y)) for k, c in corners.items() for i, (x, y) in enumerate(c)], "polygon int, section int, point_order int, x double, y double")
+    points = spark.createDataFrame([(i, 1, float(i % 140), float(i // 140 * 7)) for i in range(2800)] + [(9000, 1, None, 1.0), (9001, None, 5.0, 5.0)], "id int, section int, x double, y double")
+    parts, plain = [], spatial._parts
+    monkeypatch.setattr(spatial, "_parts", lambda *a, **k: parts.append(plain(*a, **k)) or parts[-1])
+    got = sorted(r.id for r in spatial.polygon_union(points, vertices, 20).collect())
+    assert got == sorted({r.id for r in points.collect() for c in corners.values() if r.section and r.x is not None and inside(r.x, r.y, c)})
+    places = {(int(r.x // 5), int(r.y // 5)) for r in points.collect() if r.section and r.x is not None and not inside(r.x, r.y, corners[0])}
+    asked = {(r["__pcx"], r["__pcy"]) for p in parts[2:] for r in p.collect()}
+    assert asked and asked <= places
