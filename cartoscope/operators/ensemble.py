@@ -4,7 +4,8 @@ Features are put into quantile bins once. A level's aggregate sums gradients and
 bin) for all models at once: each task adds up the cells of its rows, the cells are summed by a shuffle, and the
 splits are chosen from these sums, whose number follows from the parameters and not from the rows. Sums are whole
 numbers (gradients in units of 1 / UNIT), so a tree does not depend on the order or the partitions of the rows. What the
-trees so far give for a row is kept beside its bins and brought up to date every REFRESH rounds.
+trees so far give for a row is kept beside its bins and brought up to date every REFRESH rounds. A row of this table is a block of
+rows, so only bytes are moved to Python, and a tree compares whole columns of bin numbers.
 
 Training goes on from the trees of an earlier ensemble (start), which are rows of a table like any others.
 
@@ -28,7 +29,9 @@ from cartoscope.operators.detect import threshold_class
 #: Whole numbers stand for gradients in these units; a sum of 2^43 rows still fits.
 UNIT = 1 << 20
 #: Rounds after which each row's margins are written anew.
-REFRESH = 10
+REFRESH = 3
+#: Rows that go through the trees at once: their columns stay in a core's cache.
+STRIDE = 8192
 #: Cells (model, node, feature, bin) of a level that are summed at once; more models than fit are trained one part behind the other.
 CELLS = 4_000_000
 #: Regularisation of leaf values, least curvature of a child, least gain of a split.
@@ -52,35 +55,47 @@ class Ensemble:
     def models(self, some: slice) -> Ensemble:
         return replace(self, **{k: getattr(self, k)[:, some] for k in ("feature", "cut", "missing_left", "value")})
 
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """The bin (feature, row) of each value: the number of edges not above it, and one more than the most edges where it is missing."""
+        none = max([len(e) for e in self.edges], default=0) + 1
+        kind = np.min_scalar_type(none)
+        columns = np.ascontiguousarray(x.T)
+        return np.array([np.where(np.isnan(c), none, np.searchsorted(e, c, "right")).astype(kind) for c, e in zip(columns, self.edges, strict=True)], kind).reshape(columns.shape)
+
     def margins(self, x: np.ndarray, first: int = 0) -> np.ndarray:
         """Sum of the leaf values (row, model) of the rounds from first on; x: (row, feature), NaN where missing."""
         out = np.zeros((self.feature.shape[1], len(x)))
-        columns = np.ascontiguousarray(x.T)
-        for r in range(first, len(self.feature)):
-            for m, node in enumerate(self._leaves(columns, r)):
-                out[m] += self.value[r, m][node]
+        for a in range(0, len(x), STRIDE):
+            self.add(self.codes(x[a : a + STRIDE]), out[:, a : a + STRIDE], first)
         return out.T
 
-    def leaves(self, x: np.ndarray, r: int) -> np.ndarray:
-        """The node (row, model) of each row in the trees of a round."""
-        return np.array(list(self._leaves(np.ascontiguousarray(x.T), r)), np.int64).reshape(-1, len(x)).T
-
-    def _leaves(self, columns: np.ndarray, r: int) -> Iterator[np.ndarray]:
-        """The node of each row in each model's tree of a round: every split is one comparison of a whole column."""
-        blank = np.isnan(columns)
-        holes = blank.any(1)
-
-        def under(m: int, i: int) -> np.ndarray | np.int16:
-            f = self.feature[r, m, i]
+    def add(self, codes: np.ndarray, out: np.ndarray, first: int = 0, last: int | None = None) -> None:
+        """Add the leaf values of the rounds from first to last to out (model, row)."""
+        for r in range(first, len(self.feature) if last is None else last):
+            for m, node in enumerate(self.leaves(codes, r)):
+                out[m] += self.value[r, m].take(node)
+
+    def leaves(self, codes: np.ndarray, r: int) -> Iterator[np.ndarray | int]:
+        """The node of each row (or one of all) in each model's tree of a round: every split is one comparison of a whole column."""
+        none = max([len(e) for e in self.edges], default=0) + 1
+        holes = (codes == none).any(1)
+        kind = np.min_scalar_type(self.feature.shape[2])
+        feature, cut, missing_left = (v[r] for v in (self.feature, self.cut, self.missing_left))
+
+        def under(m: int, i: int) -> np.ndarray | int:
+            f = feature[m, i]
             if f < 0:
-                return np.int16(i)
-            left = columns[f] < self.cut[r, m, i]
-            if holes[f] and self.missing_left[r, m, i]:
-                left |= blank[f]
-            return np.where(left, under(m, 2 * i + 1), under(m, 2 * i + 2))
+                return i
+            # a value is below its cut where its bin is at most the cut's
+            left = codes[f] <= codes.dtype.type(np.searchsorted(self.edges[f], cut[m, i]))
+            if holes[f] and missing_left[m, i]:
+                left |= codes[f] == none
+            every = np.negative(left.view(np.uint8)) if kind == np.uint8 else np.negative(left.astype(kind))  # all bits or none
+            a, b = (v if isinstance(v, np.ndarray) else kind.type(v) for v in (under(m, 2 * i + 1), under(m, 2 * i + 2)))
+            return b ^ ((a ^ b) & every)
 
         for m in range(self.feature.shape[1]):
-            yield np.broadcast_to(under(m, 0), columns.shape[1:])
+            yield under(m, 0)
 
 
 def empty(features: Sequence[str], edges: Sequence[np.ndarray], models: int, depth: int, rounds: int = 0) -> Ensemble:
@@ -131,27 +146,37 @@ def quantile_edges(rows: DataFrame, features: Sequence[str], bins: int) -> list[
     return [np.unique(np.array(row[f"q{i}"] or [], float)) for i in range(len(features))]
 
 
-def _matrix(column: pa.Array, kind: type, width: int) -> np.ndarray:
-    """Values of a binary column, all of one size, a row each."""
-    if not len(column):
-        return np.zeros((0, width), kind)
-    _, ends, held = column.cast(pa.large_binary()).buffers()
-    at = np.frombuffer(ends, np.int64)[column.offset] if column.offset else 0
-    return np.frombuffer(held, kind, len(column) * width, int(at)).reshape(len(column), width)
+#: Rows of a block, so that the some thousand blocks that Spark reads at once are small.
+BLOCK = 64
+#: Blocks of rows: bins (feature, row), labels, which models learn from a row (model, bits of rows), margins (model, row). No model learns from the rows that fill the last block.
+STATE = "codes binary, y binary, learns binary, margins binary"
 
 
-def _read(batch: pa.RecordBatch, features: int, models: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """x (NaN where missing), y, which models learn from the row, margins."""
-    x, f = _matrix(batch.column(0), np.float64, features), _matrix(batch.column(3), np.float64, models)
-    return x, batch.column(1).to_numpy(), _matrix(batch.column(2), np.bool_, models), f
+def _state(codes: np.ndarray, y: np.ndarray, learns: np.ndarray, margins: np.ndarray) -> pa.RecordBatch:
+    """Arrays (..., row) of whole blocks as rows of STATE."""
+    n, out = len(y) // BLOCK, []
+    for v in (codes, y[None], learns, margins):
+        held = np.ascontiguousarray(v.reshape(len(v), n, -1).transpose(1, 0, 2))
+        ends = np.arange(n + 1, dtype=np.int32) * (held.nbytes // n if n else 0)
+        out.append(pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(held)]))
+    return pa.RecordBatch.from_arrays(out, ["codes", "y", "learns", "margins"])
 
 
-STATE = "x binary, y double, learns binary, margins binary"
+def _columns(column: pa.Array, kind: np.dtype | type, height: int) -> np.ndarray:
+    """(height, row) of blocks of one size."""
+    _, ends, held = column.buffers()
+    first, last = (int(np.frombuffer(ends, np.int32)[column.offset + i]) for i in (0, len(column)))
+    return np.frombuffer(held, np.uint8)[first:last].view(kind).reshape(len(column), height, -1).transpose(1, 0, 2).reshape(height, -1)
 
 
-def _state(x: np.ndarray, y: np.ndarray, learns: np.ndarray, margins: np.ndarray) -> pa.RecordBatch:
-    packed = [pa.array([r.tobytes() for r in np.ascontiguousarray(v)], pa.binary()) for v in (x, learns, margins)]
-    return pa.RecordBatch.from_arrays([packed[0], pa.array(y), packed[1], packed[2]], ["x", "y", "learns", "margins"])
+def _blocks(batches: Iterator[pa.RecordBatch], trees: Ensemble) -> Iterator[tuple[np.ndarray, ...]]:
+    """codes, y, learns (bits) and margins (to be written to) of some blocks at a time."""
+    features, models = len(trees.features), trees.feature.shape[1]
+    kind, step = np.min_scalar_type(max([len(e) for e in trees.edges], default=0) + 1), STRIDE // BLOCK
+    for batch in batches:
+        for a in range(0, len(batch), step):
+            part = batch.slice(a, step)
+            yield (_columns(part.column(0), kind, features) if features else np.zeros((0, len(part) * BLOCK), kind)), _columns(part.column(1), np.float64, 1)[0], _columns(part.column(2), np.uint8, models), np.array(_columns(part.column(3), np.float64, models))
 
 
 def _begun(features: int, trees: Ensemble):
@@ -159,26 +184,36 @@ def _begun(features: int, trees: Ensemble):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            x = np.stack([np.asarray(c, float) for c in columns[:features]], 1)
-            yield _state(x, columns[features], np.stack(columns[features + 1 :], 1).astype(bool), trees.margins(x))
+            for a in range(0, len(batch), STRIDE):
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.slice(a, STRIDE).columns]
+                n = len(columns[features])
+                full = lambda v, n=n: np.pad(v, [(0, 0)] * (v.ndim - 1) + [(0, -n % BLOCK)])
+                x = np.array([np.asarray(c, float) for c in columns[:features]]).reshape(features, n).T
+                learns = np.packbits(full(np.array(columns[features + 1 :]).astype(bool)), axis=1)
+                yield _state(full(trees.codes(x)), full(columns[features]), learns, full(trees.margins(x).T))
 
     return run
 
 
 def _refreshed(trees: Ensemble, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y, learns, f = _read(batch, len(trees.features), trees.feature.shape[1])
-            yield _state(x, y, learns, f + trees.margins(x, first))
+        for codes, y, learns, f in _blocks(batches, trees):
+            trees.add(codes, f, first)
+            yield _state(codes, y, learns, f)
 
     return run
 
 
+def _slopes(margins: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the logistic loss in whole units, as doubles."""
+    p = 1 / (1 + np.exp(-margins))
+    return np.rint((p - y) * UNIT), np.rint(p * (1 - p) * UNIT)
+
+
 def gradients(margins: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradient and curvature of the logistic loss (row, model) in whole units."""
-    p = 1 / (1 + np.exp(-margins))
-    return np.rint((p - y[:, None]) * UNIT).astype(np.int64), np.rint(p * (1 - p) * UNIT).astype(np.int64)
+    g, h = _slopes(margins, y[:, None])
+    return g.astype(np.int64), h.astype(np.int64)
 
 
 def _cells(trees: Ensemble, first: int, level: int, bins: int):
@@ -187,21 +222,25 @@ def _cells(trees: Ensemble, first: int, level: int, bins: int):
     nodes, last = 1 << level, len(trees.feature) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, models, nodes, features, bins), np.int64)
-        done = replace(trees, **{k: getattr(trees, k)[:last] for k in ("feature", "cut", "missing_left", "value")})
-        for batch in batches:
-            x, y, learns, f = _read(batch, features, models)
-            g, h = (np.ascontiguousarray(v.T, float) for v in gradients(f + done.margins(x, first), y))
-            columns, used = np.ascontiguousarray(x.T), np.ascontiguousarray(learns.T)
-            places = [np.where(np.isnan(c), bins - 1, np.searchsorted(e, c, "right")) for c, e in zip(columns, trees.edges, strict=True)]
-            for m, leaf in enumerate(trees._leaves(columns, last)):
-                node = leaf.astype(np.int64) - (nodes - 1)
-                some = used[m] & (node >= 0)  # a smaller node is a leaf of an earlier level
-                head = np.where(some, node, 0) * bins
-                for total, part in zip(sums, (g[m] * some, h[m] * some), strict=True):
-                    for j, place in enumerate(places):
-                        total[m, :, j] += np.bincount(head + place, part, nodes * bins).astype(np.int64).reshape(nodes, bins)  # a batch's sums are exact as doubles
-        sums = sums.reshape(2, -1)
+        sums = np.zeros((2, models, features, nodes * bins))  # exact: whole numbers of less than 2^33 rows
+        for codes, y, learns, f in _blocks(batches, trees):
+            trees.add(codes, f, first, last)
+            places = codes.astype(np.intp)
+            used = np.unpackbits(learns, axis=1).astype(bool)
+            for m, leaf in enumerate(trees.leaves(codes, last)):
+                g, h = _slopes(f[m], y)
+                some = used[m]
+                if level:
+                    node = np.broadcast_to(leaf, y.shape).astype(np.intp) - (nodes - 1)
+                    some = some & (node >= 0)  # a smaller node is a leaf of an earlier level
+                    head = np.maximum(node, 0) * bins
+                g *= some
+                h *= some
+                for j, place in enumerate(places):
+                    at = head + place if level else place
+                    sums[0, m, j] += np.bincount(at, g, nodes * bins)
+                    sums[1, m, j] += np.bincount(at, h, nodes * bins)
+        sums = sums.reshape(2, models, features, nodes, bins).transpose(0, 1, 3, 2, 4).reshape(2, -1).astype(np.int64)
         some = np.flatnonzero(sums.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[0, some]), pa.array(sums[1, some])], ["cell", "g", "h"])
 

@@ -127,3 +127,17 @@ def test_rows_of_one_file_are_dealt_to_all_cores(spark, rows, tmp_path, monkeypa
     monkeypatch.setattr(ensemble, "durable", lambda df, label: seen.append(df.rdd.getNumPartitions()) or kept(df, label))
     ensemble.train(spark.read.parquet(f"{tmp_path}/one"), FEATURES, "label", "id", models=2, rounds=1)
     assert min(seen) >= spark.sparkContext.defaultParallelism
+
+
+def test_rows_are_kept_in_blocks(spark, rows, monkeypatch):
+    """A row of the state is many rows, so what is moved to Python at each level is bytes and not rows; what fills a block up teaches nothing."""
+    seen, kept = [], ensemble.durable
+    monkeypatch.setattr(ensemble, "durable", lambda df, label: seen.append(kept(df, label)) or seen[-1])
+    monkeypatch.setattr(ensemble, "release", lambda df: None)
+    trees = ensemble.train(frame(spark, rows, 1).coalesce(1), FEATURES, "label", "id", models=3, rounds=2, percent=70, bins=9)
+    assert seen[0].count() <= 400 // 64 + spark.sparkContext.defaultParallelism + 1
+    x, _ = rows
+    m = trees.margins(x)
+    nodes = [list(trees.leaves(trees.codes(x), r)) for r in range(2)]
+    plain = sum(np.array([trees.value[r, k][n] * np.ones(len(x)) for k, n in enumerate(nodes[r])]) for r in range(2))
+    assert np.allclose(m, plain.T)
