@@ -154,10 +154,11 @@ def sink_all_predictions(t: Tables) -> DataFrame:
 
 @query("SELECT sum(n)::BIGINT AS n_points, count(*) AS n_cells, max(n) AS \"limit\" FROM (SELECT floor(x / 200)::BIGINT AS cx, floor(y / 200)::BIGINT AS cy, floor(section / 10)::BIGINT AS cz, count(*) AS n FROM @det GROUP BY ALL)")
 def sink_spatial_chunks(t: Tables) -> DataFrame:
-    path = folder(t, "chunks")
-    rows = S.spatial_chunks(T.detections(t).select("id", "x", "y", F.col("section").alias("z")), (200, 200, 10))
-    S.dealt(rows, "cx", "cy", "cz").write.partitionBy("cx", "cy", "cz").parquet(path)
-    return S.chunk_info(t.spark.read.parquet(path))
+    """A file a cell, written and read back by folders that tasks own."""
+    path, cells = folder(t, "chunks"), ["cx", "cy", "cz"]
+    points = T.detections(t).select("id", "x", "y", F.col("section").alias("z"))
+    O.write_cells(S.spatial_chunks(points, (200, 200, 10)), cells, path)
+    return S.chunk_info(O.read_cells(t.spark, cells, points.schema, path))
 
 
 @query("SELECT cx, cy, cz, count(*) AS n FROM (SELECT DISTINCT floor(x / 256)::BIGINT AS cx, floor(y / 256)::BIGINT AS cy, floor(section / 16)::BIGINT AS cz, x, y, section FROM @human WHERE y >= 0 AND section >= 0) GROUP BY ALL")
