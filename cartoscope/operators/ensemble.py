@@ -15,6 +15,7 @@ nothing. An empty table, or a model without rows, has trees of one leaf of value
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
@@ -30,8 +31,8 @@ from cartoscope.operators.detect import threshold_class
 UNIT = 1 << 20
 #: Rounds after which each row's margins are written anew.
 REFRESH = 3
-#: Rows that go through the trees at once: their columns stay in a core's cache.
-STRIDE = 8192
+#: Rows that go through the trees at once: many enough that the calls of a tree cost little beside them.
+STRIDE = 1 << 16
 #: Cells (model, node, feature, bin) of a level that are summed at once; more models than fit are trained one part behind the other.
 CELLS = 4_000_000
 #: Regularisation of leaf values, least curvature of a child, least gain of a split.
@@ -87,7 +88,7 @@ class Ensemble:
             if f < 0:
                 return i
             # a value is below its cut where its bin is at most the cut's
-            left = codes[f] <= codes.dtype.type(np.searchsorted(self.edges[f], cut[m, i]))
+            left = codes[f] <= codes.dtype.type(bisect_left(self.edges[f], cut[m, i]))
             if holes[f] and missing_left[m, i]:
                 left |= codes[f] == none
             every = np.negative(left.view(np.uint8)) if kind == np.uint8 else np.negative(left.astype(kind))  # all bits or none
